@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +45,18 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import count_tokens
 
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import judge
+
+    return judge(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op3_warc"] = warc.ORACLE
