@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import rows_of
+from .common import mapped, rows_of
 
 # Element ids of the Matroska specification.
 EBML, SEGMENT, SEEK_HEAD, INFO, TRACKS, CLUSTER, CUES = 0x1A45DFA3, 0x18538067, 0x114D9B74, 0x1549A966, 0x1654AE6B, 0x1F43B675, 0x1C53BB6B
@@ -269,7 +269,7 @@ def packet_table(media: DataFrame, id_col: str, media_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["id", *names, "error"])
 
     kind = media.schema[id_col].dataType.simpleString()
-    return media.select(media[id_col].alias("id"), media[media_col].alias("media")).mapInArrow(run, f"id {kind}, {PACKET}, error string").withColumnRenamed("id", id_col)
+    return mapped(media.select(media[id_col].alias("id"), media[media_col].alias("media")), run, f"id {kind}, {PACKET}, error string").withColumnRenamed("id", id_col)
 
 
 def padded(raw: bytes) -> bytes:
@@ -313,5 +313,5 @@ def media_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols[:n], types)], ["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "media"][:n])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    made = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string" + ", media binary" * with_media)
+    made = mapped(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")), run, f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string" + ", media binary" * with_media)
     return made.withColumnRenamed("id", id_col)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, rows_of
+from .common import cut, mapped, rows_of
 
 #: A run of slots: piece number ``rank`` of ``length`` is in sequence
 #: first_sequence + (rank - first_rank) div per_bin, at first_offset + (rank - first_rank) mod per_bin * length.
@@ -118,7 +118,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: in
             yield pa.RecordBatch.from_arrays(arrays + [pa.array(cols[5], pa.binary())] * with_ids, ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
+    return mapped(docs.select("doc_id", "text"), run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
 def assign(pieces: DataFrame, capacity: int, per_group: int = 50_000) -> DataFrame:

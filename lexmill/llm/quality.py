@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, rows_of
+from .common import cut, mapped, rows_of
 
 SYMBOLS = "#*$%&|<>"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_shouts", "n_ended", "n_distinct", "n_plain", "n_bare")
@@ -195,7 +195,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    made = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, f"id {kind}, {', '.join(f'{s} long' for s in STATS)}, base_failed boolean, pattern long")
+    made = mapped(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")), run, f"id {kind}, {', '.join(f'{s} long' for s in STATS)}, base_failed boolean, pattern long")
     return made.withColumnRenamed("id", id_col)
 
 
@@ -233,4 +233,4 @@ def keep_good(docs: DataFrame, text_col: str = "text", least: float = 0.5) -> Da
             stats = [measure(t) for t in b.column(at).to_pylist()]
             yield b.filter(pa.array([not failed(s) and pattern(s) in good for s in stats], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)

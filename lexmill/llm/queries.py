@@ -60,3 +60,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op3_warc"] = warc.ORACLE
+
+
+@query
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))

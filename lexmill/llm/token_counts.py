@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import rows_of
+from .common import mapped, rows_of
 
 SPACE = "▁"
 
@@ -89,4 +89,4 @@ def count_tokens(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field("id").type), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array([n > limit for n in n_tokens], pa.bool_())], [id_col, "n_bytes", "n_tokens", "over_limit"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return mapped(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")), run, f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, remove, rows_of, scratch
+from .common import cut, mapped, remove, rows_of, scratch
 
 VERSION, CRLF = b"WARC/1.1", b"\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -143,7 +143,7 @@ def write(pages: DataFrame, path: str, segment: int = 16_384, per_file: int = 1_
                     out += segments(headers | {"Content-Type": "application/http; msgtype=response"}, block, segment)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
-    made = placed.mapInArrow(run, "record binary")
+    made = mapped(placed, run, "record binary")
     made.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
 
 
@@ -169,7 +169,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     types = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.binary(), pa.string()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], [x.split()[0] for x in RECORD.split(", ")])
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content").mapInArrow(run, RECORD)
+    return mapped(spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content"), run, RECORD)
 
 
 def unzipped(data: bytes) -> bytes:
@@ -229,7 +229,7 @@ def payloads(found: DataFrame, with_payload: bool = False) -> DataFrame:
             n = 8 + with_payload
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols[:n], types)], [*names, "payload_bytes", "payload_digest", "error", "payload"][:n])
 
-    return found.select(*names, "block", "error").mapInArrow(run, "record_id string, kind string, uri string, refers_to string, digest string, payload_bytes long, payload_digest string, error string" + ", payload binary" * with_payload)
+    return mapped(found.select(*names, "block", "error"), run, "record_id string, kind string, uri string, refers_to string, digest string, payload_bytes long, payload_digest string, error string" + ", payload binary" * with_payload)
 
 
 def round_trip(pages: DataFrame, segment: int = 16_384, per_file: int = 1_000) -> DataFrame:
