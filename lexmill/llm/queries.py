@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import warc
+from . import line_dedup, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +67,11 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .minhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op7_line_dedup"] = line_dedup.ORACLE
