@@ -71,45 +71,57 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return runs
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = False, memo: int = 250_000, longest: int = 64) -> DataFrame:
-    """Documents (doc_id, text) as pieces of at most ``capacity`` ids, each document ended by ``end_id``.
+class ChunkIds(dict):
+    """Ids, as little-endian unsigned 32-bit, of chunks between spaces and newlines.
 
-    ``tokenizer``: path of a ``tokenizers`` file whose pre-tokens hold no white space and whose normaliser
-    works inside white space, as word BPE does; then a text's ids are those of its chunks between
-    spaces and newlines, and each different chunk is encoded once while it is in the memo.
+    At most ``memo`` chunks are remembered in each of two generations, so that frequent ones outlive a renewal.
+    A chunk of letters and one mark is a word's ids and the mark's, since pre-tokens end where letters do;
+    ASCII capitals alone are what their small letters are, since the normaliser lower-cases.
     """
 
-    def run(batches):
+    def __init__(self, path: str, memo: int, longest: int):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tok = Tokenizer.from_file(tokenizer)
-        known: dict[str, bytes] = {"": b""}
-        end, size = end_id.to_bytes(4, "little"), 4 * capacity
-
-        def encode(chunks: list[str]) -> dict[str, bytes]:
-            return {c: b"".join(i.to_bytes(4, "little") for i in e.ids) for c, e in zip(chunks, tok.encode_batch(chunks, add_special_tokens=False))}
-
-        def ids(text: str) -> bytes:
-            parts = text.replace("\n", " ").split(" ")
-            if rest := list(set(parts).difference(known)):
-                found = encode(rest)
-                if len(known) + len(found) > memo:
-                    known.clear()
-                    known[""] = b""
-                known.update((c, b) for c, b in found.items() if len(c) <= longest)
-                if not all(map(known.__contains__, parts)):
-                    local = known | found
-                    local |= encode([c for c in set(parts) if c not in local])
-                    return b"".join(map(local.__getitem__, parts))
-            return b"".join(map(known.__getitem__, parts))
+        self.tok, self.memo, self.longest, self.old = Tokenizer.from_file(path), memo, longest, {}
+        self[""] = b""
+
+    def __missing__(self, chunk: str) -> bytes:
+        if (ids := self.old.get(chunk)) is None:
+            if len(chunk) > 1 and chunk[-1] in ".,;:!?" and (word := chunk[:-1]).isalpha() and max(word) < "\u0250":
+                ids = self[word] + self[chunk[-1]]
+            elif chunk.isascii() and chunk.isalpha() and not chunk.islower():
+                ids = self[chunk.lower()]
+            else:
+                ids = b"".join(i.to_bytes(4, "little") for i in self.tok.encode_batch_fast([chunk], add_special_tokens=False)[0].ids)
+        if len(chunk) <= self.longest:
+            if len(self) >= self.memo:
+                self.old = dict(self)
+                self.clear()
+                self[""] = b""
+            self[chunk] = ids
+        return ids
+
+    def of(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = False, memo: int = 250_000, longest: int = 64) -> DataFrame:
+    """Documents (doc_id, text) as pieces of at most ``capacity`` ids, each document ended by ``end_id``.
+
+    ``tokenizer``: path of a ``tokenizers`` file whose pre-tokens hold no white space, end where letters do, and whose normaliser
+    works inside white space, as word BPE does; then a text's ids are those of its chunks between
+    spaces and newlines, and each different chunk is encoded once while it is remembered.
+    """
 
+    def run(batches):
+        ids, end, size = ChunkIds(tokenizer, memo, longest), end_id.to_bytes(4, "little"), 4 * capacity
         for b in batches:
             out = []
             for doc, text in rows_of(b, "doc_id", "text"):
-                all_ids = ids(text or "") + end
+                all_ids = ids.of(text or "") + end
                 for k in range(0, len(all_ids), size):
                     piece = all_ids[k : k + size]
                     out.append((doc, k // size, k // 4, len(piece) // 4, zlib.crc32(piece), piece))
