@@ -71,12 +71,19 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return runs
 
 
+#: Below it, letters are composed and have one small letter each (but for one, whose small form isn't a letter alone).
+LATIN_END = "\u0250"
+#: The byte alphabet of byte-level BPE: printable bytes stand for themselves, the others for characters from 256 on.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTES = dict(zip(_PLAIN, map(chr, _PLAIN))) | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
+
+
 class ChunkIds(dict):
     """Ids, as little-endian unsigned 32-bit, of chunks between spaces and newlines.
 
     At most ``memo`` chunks are remembered in each of two generations, so that frequent ones outlive a renewal.
-    A chunk of letters and one mark is a word's ids and the mark's, since pre-tokens end where letters do;
-    ASCII capitals alone are what their small letters are, since the normaliser lower-cases.
+    A chunk of letters and one mark is a word's ids and the mark's, since pre-tokens end where letters do. A chunk of
+    Latin letters alone is one pre-token, which its lower case and the byte alphabet make ready for the model's merges.
     """
 
     def __init__(self, path: str, memo: int, longest: int):
@@ -90,12 +97,13 @@ class ChunkIds(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         if (ids := self.old.get(chunk)) is None:
-            if len(chunk) > 1 and chunk[-1] in ".,;:!?" and (word := chunk[:-1]).isalpha() and max(word) < "\u0250":
+            if chunk.isalpha() and max(chunk) < LATIN_END and (word := chunk.lower()).isalpha():
+                found = self.tok.model.tokenize(word if word.isascii() else "".join(map(BYTES.__getitem__, word.encode())))
+                ids = b"".join([t.id.to_bytes(4, "little") for t in found])
+            elif len(chunk) > 1 and chunk[-1] in ".,;:!?" and (word := chunk[:-1]).lower().isalpha() and max(word) < LATIN_END:
                 ids = self[word] + self[chunk[-1]]
-            elif chunk.isascii() and chunk.isalpha() and not chunk.islower():
-                ids = self[chunk.lower()]
             else:
-                ids = b"".join(i.to_bytes(4, "little") for i in self.tok.encode_batch_fast([chunk], add_special_tokens=False)[0].ids)
+                ids = b"".join([i.to_bytes(4, "little") for i in self.tok.encode_batch_fast([chunk], add_special_tokens=False)[0].ids])
         if len(chunk) <= self.longest:
             if len(self) >= self.memo:
                 self.old = dict(self)
@@ -108,7 +116,7 @@ class ChunkIds(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = False, memo: int = 250_000, longest: int = 64) -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = False, memo: int = 350_000, longest: int = 64) -> DataFrame:
     """Documents (doc_id, text) as pieces of at most ``capacity`` ids, each document ended by ``end_id``.
 
     ``tokenizer``: path of a ``tokenizers`` file whose pre-tokens hold no white space, end where letters do, and whose normaliser
