@@ -20,11 +20,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import cut, mapped, rows_of
 
 #: Of the words of labelled texts, so many of the most frequent are known to the classifier.
 VOCABULARY = 20_000
+#: The labels are taken to be wrong this often, so that no posterior is sharper than labels can be.
+SMOOTHING = 0.02
 
 
 @dataclass(frozen=True)
@@ -71,7 +74,8 @@ def train(rows: list[tuple[str | None, str]], domains: tuple[str, ...], vocabula
     if not texts:
         return model
     means, truth = np.stack([model.mean(w) for w, _ in texts]), np.array([d for _, d in texts])
-    loss = lambda s: -np.log(softmax(prior + s * means)[np.arange(len(truth)), truth] + 1e-12).mean()
+    soft = np.eye(len(domains))[truth] * (1 - SMOOTHING) + SMOOTHING / len(domains)
+    loss = lambda s: -(soft * np.log(softmax(prior + s * means) + 1e-300)).sum(1).mean()
     return Classifier(domains, model.index, weight, prior, min((0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0), key=loss))
 
 
@@ -164,7 +168,7 @@ def with_rates(state: DataFrame, found: Fit) -> DataFrame:
             p = np.array(b.column(b.schema.get_field_index("p")).to_pylist(), float).reshape(b.num_rows, -1)
             yield b.append_column("rate", pa.array(found.rates(p), pa.float64()))
 
-    return mapped(state, run, state.schema.add("rate", "double")).withColumn("copies", copies(F.col("rate")))
+    return mapped(state, run, StructType([*state.schema, StructField("rate", DoubleType())])).withColumn("copies", copies(F.col("rate")))
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = 1.0, least: float = 0.0, most_labelled: int = 4_000, text_col: str = "text") -> DataFrame:
@@ -193,5 +197,5 @@ def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budge
             p = np.array([model.posterior(t)[1] for t in b.column(at).to_pylist()], float).reshape(b.num_rows, -1)
             yield b.append_column("_rate", pa.array(found.rates(p), pa.float64()))
 
-    rated = mapped(docs, run, docs.schema.add("_rate", "double"))
+    rated = mapped(docs, run, StructType([*docs.schema, StructField("_rate", DoubleType())]))
     return rated.withColumn("_copies", copies(F.col("_rate"))).where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)

@@ -75,3 +75,34 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op7_line_dedup"] = line_dedup.ORACLE
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import scored
+
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: Wanted shares of tokens by language.
+TARGETS = {"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.15}
+
+
+def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled table of the mixing operator: the language of the documents that ``labels`` covers."""
+    docs = table(spark, sf_dir, "documents").selectExpr("doc_id", "text", "lang AS domain")
+    return docs.join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"), labelled_domains(spark, sf_dir), TARGETS)
+
+
+@query
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find
+
+    return find(table(spark, sf_dir, "documents"))

@@ -36,7 +36,9 @@ IDENTITIES = (
     ("frauen", "männer"), ("femmes", "hommes"), ("mujeres", "hombres"),
 )
 MARKS = ".,;:!?\"'()[]{}<>*#$%&|…«»„“”-"
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7)
+#: A feature is used if its shares among the two labels differ by so many standard errors.
+LEAST_Z = 5.0
 
 
 def features_of(word: str) -> tuple[str, ...]:
@@ -78,7 +80,7 @@ def swaps(words: set[str], identities=IDENTITIES) -> list[set[str]]:
     return [words - {name} | {other} for row in identities for name in row if name in words for other in row if other not in words]
 
 
-def train(rows: list[tuple[str | None, int]], swap: float = 20.0, ridge: float = 0.02, most_features: int = 4_000, rounds: int = 400, identities=IDENTITIES) -> Model:
+def train(rows: list[tuple[str | None, int]], swap: float = 20.0, ridge: float = 0.005, most_features: int = 4_000, rounds: int = 400, identities=IDENTITIES) -> Model:
     """From (text, toxic) rows. Deterministic; without both labels every score is the prior."""
     sets = [(words_of(t), int(y)) for t, y in rows if y in (0, 1)]
     by = [Counter(), Counter()]
@@ -96,10 +98,12 @@ def train(rows: list[tuple[str | None, int]], swap: float = 20.0, ridge: float =
         a, b = by[1][f], by[0][f]
         if a + b >= 3:
             p, q = (a + 0.5) / (n[1] + 1), (b + 0.5) / (n[0] + 1)
-            gain[f] = abs(p - q) * abs(np.log(p / q)) * (1 if p > q else 0.1)
+            both = (a + b) / sum(n)
+            if abs(a / n[1] - b / n[0]) >= LEAST_Z * np.sqrt(max(both * (1 - both), 1e-12) * (1 / n[0] + 1 / n[1])):
+                gain[f] = abs(p - q) * abs(np.log(p / q))
     names = {x for row in identities for w in row for x in features_of(w)}
     chosen = sorted(gain, key=lambda f: (-gain[f], f))[:most_features]
-    chosen += sorted((names & gain.keys()) - set(chosen))
+    chosen += sorted((names & (by[0].keys() | by[1].keys())) - set(chosen))  # the swaps need a group's names, telling or not
     index = {f: k for k, f in enumerate(chosen)}
 
     def sparse(items: list[set[str]]) -> tuple[np.ndarray, np.ndarray]:
