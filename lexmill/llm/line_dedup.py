@@ -3,8 +3,8 @@
 A line is the set of its words. Lines of equal sets are one class. Words are ordered by rarity,
 and each class puts out only the first words of its set in that order: two sets whose Jaccard similarity
 reaches the threshold share one of those (prefix filter). What meets on a word is checked by sizes
-(length filter) and by how many words can still follow in both (positional filter); what is left
-is verified on the whole sets. A line is removed if an earlier line, by (doc_id, line number), has
+(length filter), by how many words can still follow in both (positional filter), and by bits that
+bound how many words differ; what is left is verified on the whole sets. A line is removed if an earlier line, by (doc_id, line number), has
 the same set or links with it.
 
 Any total order of words gives the same links; rarity only keeps candidates few. It is counted over all
@@ -20,7 +20,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, words_of
+from .common import cut
 
 BUCKETS = 65_536
 
@@ -33,18 +33,28 @@ def release(spark: SparkSession) -> None:
 
 def rarity(docs: DataFrame, text_col: str = "text") -> list[int]:
     """A level from 0 (rare) to 63 of each hash bucket of words, over all texts."""
-    counted = docs.select(F.explode(words_of(F.col(text_col))).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("bucket")).agg(F.count("*").alias("n"))
+    counted = docs.select(F.explode(_words(F.col(text_col))).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("bucket")).agg(F.count("*").alias("n"))
     levels = [0] * BUCKETS
     for r in counted.collect():  # at most BUCKETS rows
         levels[r["bucket"]] = min(63, int(2 * math.log2(r["n"])))
     return levels
 
 
+def _words(text) -> F.Column:
+    """Words without a lambda: a text without any gives one empty string."""
+    return F.split(F.btrim(text, F.lit(" \t\n\x0b\f\r")), r"[\x20\x09-\x0D]+")
+
+
 def _set_of(line, levels: list[int]) -> F.Column:
     """The line's distinct words as longs, rarest first."""
     table = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")  # folded to a constant
-    hashes = F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w)))
-    return F.array_sort(F.transform(hashes, lambda h: F.shiftleft(F.get(table, F.pmod(h, F.lit(BUCKETS)).cast("int")), 57).bitwiseOR(F.shiftrightunsigned(h, 7))))
+    as_long = lambda w: F.shiftleft(F.get(table, F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")), 57).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 7))
+    return F.sort_array(F.array_distinct(F.transform(_words(line), as_long)))
+
+
+def _parity(words) -> F.Column:
+    """64 bits, each whether an odd number of words falls on it. Sets that differ in n words differ in at most n bits."""
+    return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def _lines(docs: DataFrame, text_col: str) -> DataFrame:
@@ -52,22 +62,23 @@ def _lines(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def line_table(docs: DataFrame, levels: list[int], text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
-    """doc_id, line_no, class, size, prefix of each line with words."""
-    sets = _lines(docs, text_col).select("doc_id", "line_no", _set_of(F.col("line"), levels).alias("words")).where(F.size("words") > 0)
+    """doc_id, line_no, class, size, parity, prefix of each line with words."""
+    sets = _lines(docs, text_col).where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "line_no", _set_of(F.col("line"), levels).alias("words"))
     size = F.size("words")
     least = F.floor((num * size + (den - 1)) / den).cast("int")  # the least overlap with any set: ceil(size * num / den)
-    return sets.select("doc_id", "line_no", F.xxhash64("words").alias("class"), size.alias("size"), F.slice("words", 1, size - least + 1).alias("prefix"))
+    return sets.select("doc_id", "line_no", F.xxhash64("words").alias("class"), size.alias("size"), _parity(F.col("words")).alias("parity"), F.slice("words", 1, size - least + 1).alias("prefix"))
 
 
 def similar(lines: DataFrame, docs: DataFrame, levels: list[int], text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
     """Links (a, b: classes, a < b) between different sets whose Jaccard similarity is num/den at least."""
     spark = docs.sparkSession
-    classes = lines.groupBy("class").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"))  # equal in a class
-    prefix = classes.select("class", "size", F.posexplode("prefix").alias("pos", "word"))
+    classes = lines.groupBy("class").agg(F.first("size").alias("size"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))  # equal in a class
+    prefix = classes.select("class", "size", "parity", F.posexplode("prefix").alias("pos", "word"))
     x, y = prefix.alias("x"), prefix.alias("y")
     near = F.expr(
         f"x.word = y.word AND x.class < y.class AND {den} * least(x.size, y.size) >= {num} * greatest(x.size, y.size)"
-        f" AND {num + den} * (1 + least(x.size - x.pos, y.size - y.pos) - 1) >= {num} * (x.size + y.size)"
+        f" AND {num + den} * least(x.size - x.pos, y.size - y.pos) >= {num} * (x.size + y.size)"
+        f" AND {num + den} * (x.size + y.size - bit_count(x.parity ^ y.parity)) >= 2 * {num} * (x.size + y.size)"
     )
     pairs = cut(x.join(y, near).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct())
     release(spark)
