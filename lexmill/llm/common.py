@@ -72,6 +72,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_sample(rows: DataFrame, most: int, id_col: str = "doc_id") -> DataFrame:
+    """At most ``most`` rows, by the hash of their ids: the same on every run. Few more than those are sorted, whatever the table's size."""
+    n, scale = rows.count(), 1 << 30
+    share = min(scale, int(scale * 2 * most / max(n, 1)))
+    h = F.xxhash64(id_col)
+    return rows.where(F.pmod(h, F.lit(scale)) < share).orderBy(h, id_col).limit(most)
+
+
 def words_of(text) -> F.Column:
     """Native: the words of a text column; null and empty texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import cut, mapped, rows_of
+from .common import bounded_sample, cut, mapped, rows_of
 
 #: Of the words of labelled texts, so many of the most frequent are known to the classifier.
 VOCABULARY = 20_000
@@ -81,7 +81,7 @@ def train(rows: list[tuple[str | None, str]], domains: tuple[str, ...], vocabula
 
 def labelled_rows(labelled: DataFrame, most: int = 4_000) -> list[tuple[str | None, str]]:
     """At most ``most`` rows (text, domain) of the labelled table, by the hash of their ids."""
-    chosen = labelled.where(F.col("domain").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    chosen = bounded_sample(labelled.where(F.col("domain").isNotNull()), most)
     return [(r["text"], r["domain"]) for r in chosen.select("text", "domain").collect()]
 
 

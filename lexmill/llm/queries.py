@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import line_dedup, warc
-from .common import table
+from .common import bounded_sample, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,10 +89,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 TARGETS = {"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.15}
 
 
-def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The labelled table of the mixing operator: the language of the documents that ``labels`` covers."""
+def labelled_domains(spark: SparkSession, sf_dir: str, most: int = 4_000) -> DataFrame:
+    """The labelled table of the mixing operator: the language of at most ``most`` of the documents that ``labels`` covers."""
     docs = table(spark, sf_dir, "documents").selectExpr("doc_id", "text", "lang AS domain")
-    return docs.join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    covered = bounded_sample(table(spark, sf_dir, "labels").where("doc_id IS NOT NULL").select("doc_id"), most)
+    return docs.join(F.broadcast(covered), "doc_id", "left_semi")  # at most ``most`` ids
 
 
 @query

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, rows_of
+from .common import bounded_sample, mapped, rows_of
 
 #: Names that are swapped for one another, by what they name. A parameter: any language's words will do.
 IDENTITIES = (
@@ -146,7 +146,7 @@ def is_held_out(doc_id) -> bool:
 def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = 3_000, text_col: str = "text") -> list[tuple[str | None, int]]:
     """At most ``per_label`` rows of each label, by the hash of doc_id, of those that aren't held out."""
     usable = labels.where(F.col("toxic").isin(0, 1) & (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != 2))
-    chosen = [usable.where(F.col("toxic") == k).select("doc_id", "toxic").orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for k in (0, 1)]
+    chosen = [bounded_sample(usable.where(F.col("toxic") == k).select("doc_id", "toxic"), per_label) for k in (0, 1)]
     few = F.broadcast(chosen[0].unionByName(chosen[1]).distinct())  # at most 2 * per_label ids
     return [(r["text"], r["toxic"]) for r in docs.select("doc_id", F.col(text_col).alias("text")).join(few, "doc_id").orderBy("doc_id").collect()]
 
