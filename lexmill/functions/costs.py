@@ -51,7 +51,7 @@ def pri_cost(tags: Column) -> Column:
     """Cost of priority tags (an array): the best band nfNN, else whether any tag ends in 1. Null for null or no tags."""
     bands = F.transform(F.filter(tags, lambda t: t.rlike(r"\Anf[0-9]+\z")), lambda t: F.substring(t, 3, 9).cast("int"))
     band = F.least(F.floor(F.greatest(F.array_min(bands) - 1, F.lit(0)) / 6), F.lit(len(NF_COST) - 1)).cast("int")
-    banded = F.get(F.array(*map(F.lit, NF_COST)), band)
+    banded = F.when(F.size(bands) > 0, F.get(F.array(*map(F.lit, NF_COST)), band))
     return F.when(F.size(tags) > 0, F.coalesce(banded, F.when(F.exists(tags, lambda t: t.endswith("1")), FIRST_COST).otherwise(SECOND_COST)))
 
 

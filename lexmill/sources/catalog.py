@@ -115,7 +115,7 @@ def _analyser(spark, source):
     made = okuri.from_lemmas(lemmas.select("lemma", "conjugation", "form", "normalized", "surface", "reading", "cost"))
     # Generated rows come behind the others; a pair occurs once, so its own hash orders it among them.
     made = made.withColumn("rank", F.lit(1 << 40) + F.pmod(F.xxhash64("reading", "surface"), F.lit(1 << 40)))
-    return plain.unionByName(made, allowMissingColumns=True), made.select(F.lit("okuri_generated").alias("metric")).groupBy("metric").agg(F.count("*").alias("n"))
+    return parsed(plain, source["id"]).unionByName(parsed(made, source["id"])), made.select(F.lit("okuri_generated").alias("metric")).groupBy("metric").agg(F.count("*").alias("n"))
 
 
 def _tagged(spark, source):
@@ -135,7 +135,7 @@ def _tagged(spark, source):
         F.lit(ARI).alias("kind"), F.lit(SKK_ONLY).alias("scope"), "pri", "inf", (F.lit(1 << 40) + F.col("rank")).alias("rank"), F.lit(GENERATED).alias("confidence"),
     )
     counted = counts(rows.withColumn("counter", F.when(F.col("search"), "jmdict_search_only_pair"))).union(made.select(F.lit("okuri_generated").alias("metric")).groupBy("metric").agg(F.count("*").alias("n")))
-    return plain.unionByName(made, allowMissingColumns=True), counted
+    return parsed(plain, source["id"]).unionByName(parsed(made, source["id"])), counted
 
 
 register("jmdict")(_tagged)
