@@ -61,10 +61,11 @@ def train(rows: list[tuple[str | None, str]], domains: tuple[str, ...], vocabula
     from collections import Counter
 
     of = {d: k for k, d in enumerate(domains)}
-    texts = [((t or "").encode("utf-8", "surrogatepass").lower().split(), of[d]) for t, d in rows if d in of]
+    texts = [(t, of[d]) for t, d in rows if d in of]
+    split = lambda t: (t or "").encode("utf-8", "surrogatepass").lower().split()
     counts = [Counter() for _ in domains]
-    for words, d in texts:
-        counts[d].update(words)
+    for t, d in texts:
+        counts[d].update(split(t))
     total = sum(counts, Counter())
     known = [w for w, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:vocabulary]]
     table = np.array([[c[w] for c in counts] for w in known] + [[sum(c.values()) - sum(c[w] for w in known) for c in counts]], float) + 0.5
@@ -73,13 +74,13 @@ def train(rows: list[tuple[str | None, str]], domains: tuple[str, ...], vocabula
     model = Classifier(domains, {w: k for k, w in enumerate(known)}, weight, prior, 1.0)
     if not texts:
         return model
-    means, truth = np.stack([model.mean(w) for w, _ in texts]), np.array([d for _, d in texts])
+    means, truth = np.stack([model.mean(split(t)) for t, _ in texts]), np.array([d for _, d in texts])
     soft = np.eye(len(domains))[truth] * (1 - SMOOTHING) + SMOOTHING / len(domains)
     loss = lambda s: -(soft * np.log(softmax(prior + s * means) + 1e-300)).sum(1).mean()
     return Classifier(domains, model.index, weight, prior, min((0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0), key=loss))
 
 
-def labelled_rows(labelled: DataFrame, most: int = 4_000) -> list[tuple[str | None, str]]:
+def labelled_rows(labelled: DataFrame, most: int = 2_000) -> list[tuple[str | None, str]]:
     """At most ``most`` rows (text, domain) of the labelled table, by the hash of their ids."""
     chosen = bounded_sample(labelled.where(F.col("domain").isNotNull()), most)
     return [(r["text"], r["domain"]) for r in chosen.select("text", "domain").collect()]
@@ -171,7 +172,7 @@ def with_rates(state: DataFrame, found: Fit) -> DataFrame:
     return mapped(state, run, StructType([*state.schema, StructField("rate", DoubleType())])).withColumn("copies", copies(F.col("rate")))
 
 
-def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = 1.0, least: float = 0.0, most_labelled: int = 4_000, text_col: str = "text") -> DataFrame:
+def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = 1.0, least: float = 0.0, most_labelled: int = 2_000, text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, p_<domain>, rate, copies.
 
     ``labelled``: (doc_id, text, domain), of which at most ``most_labelled`` rows train the classifier. ``weights``: wanted
@@ -185,7 +186,7 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget:
     return out.select("doc_id", "n_tokens", *(F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(domains)), "rate", "copies")
 
 
-def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = 1.0, least: float = 0.0, most_labelled: int = 4_000, text_col: str = "text") -> DataFrame:
+def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = 1.0, least: float = 0.0, most_labelled: int = 2_000, text_col: str = "text") -> DataFrame:
     """``docs`` itself at the fitted rates: each row as often as its copies say, with all its columns. Texts are scored twice and not shuffled."""
     domains = tuple(sorted(weights))
     model = train(labelled_rows(labelled, most_labelled), domains)

@@ -89,7 +89,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 TARGETS = {"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.15}
 
 
-def labelled_domains(spark: SparkSession, sf_dir: str, most: int = 4_000) -> DataFrame:
+def labelled_domains(spark: SparkSession, sf_dir: str, most: int = 2_000) -> DataFrame:
     """The labelled table of the mixing operator: the language of at most ``most`` of the documents that ``labels`` covers."""
     docs = table(spark, sf_dir, "documents").selectExpr("doc_id", "text", "lang AS domain")
     covered = bounded_sample(table(spark, sf_dir, "labels").where("doc_id IS NOT NULL").select("doc_id"), most)

@@ -82,14 +82,14 @@ def swaps(words: set[str], identities=IDENTITIES) -> list[set[str]]:
 
 def train(rows: list[tuple[str | None, int]], swap: float = 20.0, ridge: float = 0.005, most_features: int = 4_000, rounds: int = 400, identities=IDENTITIES) -> Model:
     """From (text, toxic) rows. Deterministic; without both labels every score is the prior."""
-    sets = [(words_of(t), int(y)) for t, y in rows if y in (0, 1)]
+    rows = [(t, int(y)) for t, y in rows if y in (0, 1)]
+    texts, y = [t for t, _ in rows], np.array([y for _, y in rows], float)
+    of = lambda words: {x for w in words for x in features_of(w)}
+    # Features are counted text by text and made again when it is known which count, so that no text's features are held.
     by = [Counter(), Counter()]
-    feats = []
-    for words, y in sets:
-        f = {x for w in words for x in features_of(w)}
-        by[y].update(f)
-        feats.append(f)
-    n = [sum(y == k for _, y in sets) for k in (0, 1)]
+    for t, label in rows:
+        by[label].update(of(words_of(t)))
+    n = [int((y == k).sum()) for k in (0, 1)]
     if not all(n):
         rate = (n[1] + 1) / (sum(n) + 2)
         return Model({}, float(np.log(rate / (1 - rate))))
@@ -106,19 +106,16 @@ def train(rows: list[tuple[str | None, int]], swap: float = 20.0, ridge: float =
     chosen += sorted((names & (by[0].keys() | by[1].keys())) - set(chosen))  # the swaps need a group's names, telling or not
     index = {f: k for k, f in enumerate(chosen)}
 
-    def sparse(items: list[set[str]]) -> tuple[np.ndarray, np.ndarray]:
-        cols = [sorted(index[x] for x in f if x in index) for f in items]
-        return np.repeat(np.arange(len(cols)), [len(c) for c in cols]), np.array([c for r in cols for c in r], np.int64)
-
-    row, col = sparse(feats)
-    y = np.array([y for _, y in sets], float)
+    by.clear()
+    cols = [sorted(index[x] for x in of(words_of(t)) if x in index) for t in texts]
+    row, col = np.repeat(np.arange(len(cols)), [len(c) for c in cols]), np.array([c for r in cols for c in r], np.int64)
     pairs = []  # differences of features between labelled sentences and their swaps
-    for t, _ in rows:
+    for t in texts:
         for sentence in re.split(r"(?<=[.!?])\s+|\n", (t or "")) if any(w in names for w in words_of(t)) else ():
             own = words_of(sentence)
-            base = {x for w in own for x in features_of(w)}
+            base = of(own)
             for other in swaps(own, identities):
-                new = {x for w in other for x in features_of(w)}
+                new = of(other)
                 pairs.append(([index[x] for x in base - new if x in index], [index[x] for x in new - base if x in index]))
     pairs = pairs[:50_000]
     prow = np.repeat(np.arange(len(pairs)), [len(a) + len(b) for a, b in pairs]) if pairs else np.zeros(0, np.int64)
@@ -143,7 +140,7 @@ def is_held_out(doc_id) -> bool:
     return zlib.crc32(str(doc_id).encode()) % 4 == 2
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = 3_000, text_col: str = "text") -> list[tuple[str | None, int]]:
+def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = 2_000, text_col: str = "text") -> list[tuple[str | None, int]]:
     """At most ``per_label`` rows of each label, by the hash of doc_id, of those that aren't held out."""
     usable = labels.where(F.col("toxic").isin(0, 1) & (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != 2))
     chosen = [bounded_sample(usable.where(F.col("toxic") == k).select("doc_id", "toxic"), per_label) for k in (0, 1)]
@@ -151,7 +148,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = 3_000, te
     return [(r["text"], r["toxic"]) for r in docs.select("doc_id", F.col(text_col).alias("text")).join(few, "doc_id").orderBy("doc_id").collect()]
 
 
-def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, per_label: int = 3_000, text_col: str = "text") -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, per_label: int = 2_000, text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted.
 
     ``labels``: (doc_id, toxic). held_out: crc32 of doc_id as text leaves 2 by 4; such labels aren't learnt from. Only the
