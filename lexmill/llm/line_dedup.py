@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import gc
 import math
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of steps that are done."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(0.3)  # the cleaner works in a thread of its own
 
 
 def rarity(docs: DataFrame, text_col: str = "text") -> list[int]:
@@ -69,9 +71,8 @@ def line_table(docs: DataFrame, levels: list[int], text_col: str = "text", num:
     return sets.select("doc_id", "line_no", F.xxhash64("words").alias("class"), size.alias("size"), _parity(F.col("words")).alias("parity"), F.slice("words", 1, size - least + 1).alias("prefix"))
 
 
-def similar(lines: DataFrame, docs: DataFrame, levels: list[int], text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
-    """Links (a, b: classes, a < b) between different sets whose Jaccard similarity is num/den at least."""
-    spark = docs.sparkSession
+def _candidates(lines: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b: classes, a < b) that meet on a prefix word and pass the filters; materialised."""
     classes = lines.groupBy("class").agg(F.first("size").alias("size"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))  # equal in a class
     prefix = classes.select("class", "size", "parity", F.posexplode("prefix").alias("pos", "word"))
     x, y = prefix.alias("x"), prefix.alias("y")
@@ -80,16 +81,25 @@ def similar(lines: DataFrame, docs: DataFrame, levels: list[int], text_col: str
         f" AND {num + den} * least(x.size - x.pos, y.size - y.pos) >= {num} * (x.size + y.size)"
         f" AND {num + den} * (x.size + y.size - bit_count(x.parity ^ y.parity)) >= 2 * {num} * (x.size + y.size)"
     )
-    pairs = cut(x.join(y, near).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct())
-    release(spark)
-    # The whole sets of those classes only, from one line each.
+    return cut(x.join(y, near).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct())
+
+
+def _sets(pairs: DataFrame, lines: DataFrame, docs: DataFrame, levels: list[int], text_col: str) -> DataFrame:
+    """class, words of the classes in ``pairs`` only, from one line each; materialised."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    first = lines.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("at")).join(wanted, "class").select("class", "at.*")
-    text = docs.select("doc_id", F.col(text_col).alias("text"))
-    found = text.join(first.hint("shuffle_hash"), "doc_id").select("class", F.get(F.split("text", "\n"), F.col("line_no")).alias("line"))
+    first = lines.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("at")).join(wanted, "class")
+    first = first.select("class", F.col("at.doc_id").alias("of_doc"), F.col("at.line_no").alias("of_line"))
+    found = _lines(docs, text_col).join(first.hint("shuffle_hash"), F.expr("doc_id <=> of_doc AND line_no = of_line"))
     sets = found.select("class", _set_of(F.col("line"), levels).alias("words")).where(F.xxhash64("words") == F.col("class"))
-    sets = cut(sets.groupBy("class").agg(F.first("words").alias("words")))
-    release(spark)
+    return cut(sets.groupBy("class").agg(F.first("words").alias("words")))
+
+
+def similar(lines: DataFrame, docs: DataFrame, levels: list[int], text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
+    """Links (a, b: classes, a < b) between different sets whose Jaccard similarity is num/den at least."""
+    pairs = _candidates(lines, num, den)
+    release(docs.sparkSession)
+    sets = _sets(pairs, lines, docs, levels, text_col)
+    release(docs.sparkSession)
     both = pairs.join(sets.select(F.col("class").alias("a"), F.col("words").alias("wa")), "a").join(sets.select(F.col("class").alias("b"), F.col("words").alias("wb")), "b")
     shared = F.size(F.array_intersect("wa", "wb"))
     return both.where((num + den) * shared >= num * (F.size("wa") + F.size("wb"))).select("a", "b")

@@ -101,7 +101,7 @@ def members(docs: DataFrame, model: Classifier, text_col: str = "text") -> DataF
 
 @dataclass(frozen=True)
 class Fit:
-    """gradients: of each iteration, by domain. total: tokens; shares: of the domains at rate 1; targets: their wanted shares times the budget."""
+    """gradients: of each iteration, by domain, and its momentum. total: tokens; shares: of the domains at rate 1; targets: their wanted shares times the budget."""
 
     gradients: tuple[tuple[float, ...], ...]
     ridge: float
@@ -113,46 +113,56 @@ class Fit:
 
     def rates(self, p: np.ndarray) -> np.ndarray:
         """Rates of documents with posteriors ``p`` (n, domains)."""
-        r, step = np.ones(len(p)), 1 / (1 + self.ridge)
-        for g in self.gradients:
-            r = np.maximum(self.least, r - step * (p @ np.array(g) + self.ridge * (r - 1)))
+        ahead, r, step = np.ones(len(p)), np.ones(len(p)), 1 / (1 + self.ridge)
+        for *g, push in self.gradients:
+            new = np.maximum(self.least, ahead - step * (p @ np.array(g) + self.ridge * (ahead - 1)))
+            ahead, r = new + push * (new - r), new
         return r
 
 
-def fit(state: DataFrame, weights: dict[str, float], domains: tuple[str, ...], budget: float | None = 1.0, least: float = 0.0, ridge: float = 1e-3, rounds: int = 60, tolerance: float = 1e-7, span: int = 12) -> Fit:
-    """Projected gradient over ``state`` (of ``members``; materialise it, it is read once per iteration).
+def fit(state: DataFrame, weights: dict[str, float], domains: tuple[str, ...], budget: float | None = 1.0, least: float = 0.0, ridge: float = 1e-3, rounds: int = 80, tolerance: float = 1e-6, span: int = 12) -> Fit:
+    """Accelerated projected gradient over ``state`` (of ``members``; materialise it, it is read once per iteration).
 
     budget: wanted tokens as a multiple of those there are; None: the least at which no domain's target is below what it has.
+    The momentum starts anew when it points uphill.
     """
     d = range(len(domains))
-    share = lambda r: [F.sum(F.col("n_tokens") * r * F.col("p")[k]).alias(f"y{k}") for k in d]
-    first = state.agg(F.sum("n_tokens").alias("n"), *share(F.lit(1.0))).first()
+    share = lambda r, name: [F.sum(F.col("n_tokens") * r * F.col("p")[k]).alias(f"{name}{k}") for k in d]
+    first = state.agg(F.sum("n_tokens").alias("n"), *share(F.lit(1.0), "r")).first()
     total = float(first["n"] or 0)
     w = np.array([weights.get(x, 0.0) for x in domains], float)
     w = w / w.sum() if w.sum() else np.full(len(domains), 1 / len(domains))
     if not total:
         return Fit((), ridge, least, 0.0, tuple(0.0 for _ in d), tuple(w), tuple(0.0 for _ in d))
-    y = np.array([first[f"y{k}"] for k in d]) / total
+    y = reached = np.array([first[f"r{k}"] for k in d]) / total
     shares = y.copy()
     target = w * (float(np.max(shares / np.maximum(w, 1e-9))) if budget is None else budget)
-    step, now, pending, gradients = 1 / (1 + ridge), state.withColumn("r", F.lit(1.0)), [], []
+    step, t, pending, gradients = 1 / (1 + ridge), 1.0, [], []
+    now = state.withColumn("s", F.struct(F.lit(1.0).alias("ahead"), F.lit(1.0).alias("r"), F.lit(0.0).alias("uphill")))
     for _ in range(rounds):
-        g = (y - target) / np.maximum(shares, 1e-12)
-        gradients.append(tuple(g.tolist()))
+        t, before = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
+        g = (*((y - target) / np.maximum(shares, 1e-12)).tolist(), (before - 1) / t)
+        gradients.append(g)
         pending.append(g)
-        history = F.array(*(F.array(*(F.lit(float(v)) for v in h)) for h in pending))
-        pull = lambda h: sum((F.col("p")[k] * h[k] for k in d), F.lit(0.0))
-        moved = now.withColumn("r", F.aggregate(history, F.col("r"), lambda r, h: F.greatest(F.lit(float(least)), r - step * (pull(h) + ridge * (r - 1)))))
+        history = F.array(*(F.array(*map(F.lit, map(float, h))) for h in pending))
+
+        def move(s, h):
+            pull = sum((F.col("p")[k] * h[k] for k in d), F.lit(0.0))
+            new = F.greatest(F.lit(float(least)), s["ahead"] - step * (pull + ridge * (s["ahead"] - 1)))
+            return F.struct((new + h[len(domains)] * (new - s["r"])).alias("ahead"), new.alias("r"), ((s["ahead"] - new) * (new - s["r"])).alias("uphill"))
+
+        moved = now.withColumn("s", F.aggregate(history, F.col("s"), move))
         if len(pending) == span:  # the rates so far become a column
             now, pending = cut(moved), []
             moved = now
-        got = moved.agg(*share(F.col("r"))).first()
-        new = np.array([got[f"y{k}"] for k in d]) / total
-        done = float(np.abs(new - y).max()) < tolerance
-        y = new
+        got = moved.agg(F.sum(F.col("n_tokens") * F.col("s.uphill")).alias("uphill"), *share(F.col("s.ahead"), "y"), *share(F.col("s.r"), "r")).first()
+        y, new = (np.array([got[f"{c}{k}"] for k in d]) / total for c in "yr")
+        if got["uphill"] > 0:
+            t = 1.0
+        done, reached = float(np.abs(new - reached).max()) < tolerance, new
         if done:
             break
-    return Fit(tuple(gradients), ridge, least, total, tuple(shares.tolist()), tuple(target.tolist()), tuple(y.tolist()))
+    return Fit(tuple(gradients), ridge, least, total, tuple(shares.tolist()), tuple(target.tolist()), tuple(reached.tolist()))
 
 
 def copies(rate: F.Column, seed: int = 7) -> F.Column:

@@ -344,6 +344,8 @@ def plausible(kind: str, span: str) -> bool:
     digits = sum(c.isdigit() for c in span)
     if kind == "email":
         words = [_CUES.get(w.lower(), "") for w in span.split()]
+        if not re.match(r"\S*[A-Za-z]", span) or not re.search(r"[A-Za-z]{2,}\W*\Z", span):
+            return False
         return "@" in span and "." in span or any(w.startswith("at") for w in words[1:]) and ("." in span or any(w.startswith("dot") for w in words[2:]))
     return {"ip": digits >= 4 and span.count(".") >= 3, "card": 12 <= digits <= 19, "phone": 7 <= digits <= 15}[kind]
 

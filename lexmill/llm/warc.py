@@ -119,24 +119,23 @@ def page_uri(page) -> str:
 def write(pages: DataFrame, path: str, segment: int = 16_384, per_file: int = 1_000) -> None:
     """Write ``pages`` (page_id, url, html) as gzipped archives into the folder ``path``.
 
-    Of pages of equal payload that with the largest page_id is a response; of rows that also share that
-    page_id, the last one read is. Only digests meet by key; they are pre-aggregated, and the rows of a
-    payload that very many pages share may be split among tasks. A null html is an empty payload.
+    Of pages of equal payload that with the largest page_id is a response; rows that repeat that page_id and payload
+    are responses too. Pages meet by digest only; winners are pre-aggregated, and the rows of a payload that very many
+    pages share may be split among tasks. A null html is an empty payload.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
-    rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), html.alias("html"), F.sha1(html.cast("binary")).alias("sha1"), F.monotonically_increasing_id().alias("row"))
-    kept = rows.groupBy("sha1").agg(F.max(F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "row")).alias("kept"))
-    full = F.col("row") == F.col("kept.row")
-    placed = rows.join(kept, "sha1").select("page_id", "url", F.when(full, F.col("html")).alias("html"), "sha1", "row", F.col("kept.page_id").alias("kept_page"), F.col("kept.row").alias("kept_row"))
+    rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), html.alias("html"), F.sha1(html.cast("binary")).alias("sha1"))
+    kept = rows.groupBy("sha1").agg(F.max("page_id").alias("kept_page"))
+    full = F.col("page_id").eqNullSafe(F.col("kept_page"))
+    placed = rows.join(kept, "sha1").select("page_id", "url", F.when(full, F.col("html")).alias("html"), "sha1", F.monotonically_increasing_id().alias("row"), "kept_page")
 
     def run(batches):
         for b in batches:
             out = []
-            for page, url, text, sha1, row, kept_page, kept_row in rows_of(b, *b.schema.names):
-                name = lambda p, r: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{p}/{r}')}>"
-                headers = {"WARC-Type": "response", "WARC-Record-ID": name(page, row), "WARC-Date": DATE, "WARC-Target-URI": page_uri(page), "X-Page-URL": re.sub(r"\s+", " ", url), "WARC-Payload-Digest": "sha1:" + base64.b32encode(bytes.fromhex(sha1)).decode()}
+            for page, url, text, sha1, row, kept_page in rows_of(b, *b.schema.names):
+                headers = {"WARC-Type": "response", "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page}/{row}')}>", "WARC-Date": DATE, "WARC-Target-URI": page_uri(page), "X-Page-URL": re.sub(r"\s+", " ", url), "WARC-Payload-Digest": "sha1:" + base64.b32encode(bytes.fromhex(sha1)).decode()}
                 if text is None:
-                    headers |= {"WARC-Type": "revisit", "WARC-Profile": PROFILE, "WARC-Refers-To": name(kept_page, kept_row), "WARC-Refers-To-Target-URI": page_uri(kept_page)}
+                    headers |= {"WARC-Type": "revisit", "WARC-Profile": PROFILE, "WARC-Refers-To-Target-URI": page_uri(kept_page), "WARC-Refers-To-Date": DATE}
                     out.append(record(headers, b""))
                 else:
                     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked(text.encode("utf-8", "surrogatepass"))
@@ -161,7 +160,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     for h, block in records(data):
                         number = h.get("warc-segment-number", "")
                         rid = h.get("warc-record-id", "")
-                        out.append((rid, h.get("warc-type"), h.get("warc-segment-origin-id") or rid, int(number or 1), int(h["warc-segment-total-length"]) if "warc-segment-total-length" in h else None, h.get("warc-target-uri"), h.get("warc-refers-to"), h.get("warc-payload-digest", "").removeprefix("sha1:") or None, not number, block, None))
+                        out.append((rid, h.get("warc-type"), h.get("warc-segment-origin-id") or rid, int(number or 1), int(h["warc-segment-total-length"]) if "warc-segment-total-length" in h else None, h.get("warc-target-uri"), h.get("warc-refers-to-target-uri"), h.get("warc-payload-digest", "").removeprefix("sha1:") or None, not number, block, None))
                 except (Damaged, ValueError) as e:
                     out.append((None,) * 10 + (str(e),))
                 for at in range(0, len(out), 500):
@@ -236,7 +235,7 @@ def round_trip(pages: DataFrame, segment: int = 16_384, per_file: int = 1_000) -
     """Write ``pages``, read the archives back, and report each page from what was read.
 
     One row per row of ``pages``: page_id, payload_bytes and payload_digest of the full payload, record_type, refers_to
-    (the response's page_id, for revisits), error. A revisit's payload is looked up in the response that it refers to.
+    (the response's page_id, for revisits), error. A revisit's payload is looked up in the response that it refers to, by page and digest.
     Null html is an empty payload; a null page_id stays null; an empty table gives an empty one; other columns aren't read.
     """
     spark = pages.sparkSession
@@ -247,11 +246,11 @@ def round_trip(pages: DataFrame, segment: int = 16_384, per_file: int = 1_000) -
     finally:
         remove(spark, path)
     page = lambda uri: F.expr(f"try_cast(substr({uri}, 10) as {pages.schema['page_id'].dataType.simpleString()})")
-    full = found.where("kind = 'response'").select(F.col("record_id").alias("to"), F.col("uri").alias("to_uri"), F.col("payload_bytes").alias("to_bytes"), F.col("payload_digest").alias("to_digest"))
+    full = found.where("kind = 'response' AND error IS NULL").groupBy(F.col("uri").alias("to_uri"), F.col("payload_digest").alias("to_digest")).agg(F.max("payload_bytes").alias("to_bytes"))
     responses = found.where("kind = 'response'").select(page("uri").alias("page_id"), "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).cast(pages.schema["page_id"].dataType).alias("refers_to"), "error")
-    revisits = found.where("kind = 'revisit'").join(full, F.col("refers_to") == F.col("to"), "left")
-    wrong = F.when(F.col("to").isNull(), F.lit("the record that it refers to is missing")).when(F.col("digest") != F.col("to_digest"), F.lit("the payload's digest differs"))
-    revisits = revisits.select(page("uri").alias("page_id"), F.col("to_bytes").alias("payload_bytes"), F.col("to_digest").alias("payload_digest"), F.lit("revisit").alias("record_type"), page("to_uri").alias("refers_to"), F.coalesce("error", wrong).alias("error"))
+    revisits = found.where("kind = 'revisit'").join(full, (F.col("refers_to") == F.col("to_uri")) & (F.col("digest") == F.col("to_digest")), "left")
+    wrong = F.when(F.col("to_uri").isNull(), F.lit("the response that it refers to is missing"))
+    revisits = revisits.select(page("uri").alias("page_id"), F.col("to_bytes").alias("payload_bytes"), F.col("to_digest").alias("payload_digest"), F.lit("revisit").alias("record_type"), page("refers_to").alias("refers_to"), F.coalesce("error", wrong).alias("error"))
     damaged = found.where("kind is null").select(F.lit(None).cast(pages.schema["page_id"].dataType).alias("page_id"), "payload_bytes", "payload_digest", F.lit(None).cast("string").alias("record_type"), F.lit(None).cast(pages.schema["page_id"].dataType).alias("refers_to"), "error")
     return responses.unionByName(revisits).unionByName(damaged)
 
