@@ -1,0 +1,33 @@
+import random
+
+import pytest
+
+ODD = [None, "", " ", "\n\n", "word", "a b", "é ü 日本 \U0001f600", "x " * 30_000, "long" * 20_000, "tab\tand\x0bfeed\x0c", "\x00 nul", "nbsp here", "same text here for all", "same text here for all"]
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """Nulls, empty and very long texts, ties, repeated rows, and columns whose names an operator could use itself."""
+    rows = [(k, t, "en", "s", 0, "x", 1.0, b"y") for k, t in enumerate(ODD)] + [(3, ODD[3], "en", "s", 0, "x", 1.0, b"y"), (None, "no id here", None, None, None, None, None, None), (None, None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, id string, length double, media binary").repartition(3)
+
+
+@pytest.fixture(scope="session")
+def corpus():
+    """Texts with exact and near copies and repeated lines, the same on every run."""
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("ka to mi re su no la vi en or".split()) for _ in range(r.randint(1, 4)))
+    texts = []
+    for _ in range(60):
+        lines = [" ".join(word() for _ in range(r.randint(3, 30))) for _ in range(r.randint(1, 6))]
+        texts.append("\n".join(lines))
+    for k in range(60):
+        words = texts[k % 20].split(" ")
+        for _ in range(r.randint(0, 4)):
+            words[r.randrange(len(words))] = word()
+        texts.append(" ".join(words))
+    return texts + texts[:10]
+
+
+def same(a, b):
+    assert sorted(map(repr, a)) == sorted(map(repr, b))

@@ -1,0 +1,150 @@
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lexmill.llm import common, line_dedup, minhash
+
+
+def shingles(text, width):
+    words = (text or "").encode().lower().split()
+    return frozenset(zip(*(words[k:] for k in range(width)))) if len(words) >= width else frozenset([tuple(words)] if words else [])
+
+
+def brute_components(rows, width, percent):
+    sets = [(i, shingles(t, width)) for i, t in rows]
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            x, y = sets[a][1], sets[b][1]
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                root[find(a)] = find(b)
+    low = defaultdict(list)
+    for k, (i, _) in enumerate(sets):
+        low[find(k)].append(i)
+    return [(i, len(s), min(low[find(k)])) for k, (i, s) in enumerate(sets)]
+
+
+@pytest.mark.parametrize("width,percent", [(3, 85), (5, 80), (1, 60)])
+def test_components_against_brute_force(spark, corpus, width, percent):
+    r = random.Random(width)
+    rows = list(enumerate(corpus))
+    base = corpus[3].split(" ")
+    for k in range(90):  # a group of copies that link in chains rather than with one of them
+        words = list(base)
+        for _ in range(k // 6):
+            words[r.randrange(len(words))] = f"w{r.randrange(10**6)}"
+        rows.append((1000 + k, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    scheme = minhash.Scheme(width, percent)
+    got = [(x["doc_id"], x["n_shingles"], x["component_id"]) for x in minhash.near_duplicates(df, scheme).collect()]
+    assert sorted(got) == sorted(brute_components(rows, width, percent))
+
+
+def test_small_blocks_lose_no_link(spark, corpus):
+    rows = list(enumerate(corpus))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    scheme = minhash.Scheme()
+    sketched = common.cut(minhash.sketch(df, scheme))
+    links = minhash.candidate_links(sketched, df, scheme, "doc_id", "text", block=2)
+    joined = {(r["node"], r["root"]) for r in minhash.components(links).collect()}
+    whole = {(r["node"], r["root"]) for r in minhash.components(minhash.candidate_links(sketched, df, scheme, "doc_id", "text")).collect()}
+    assert joined == whole and whole
+
+
+def test_odd_rows(spark, odd):
+    rows = minhash.near_duplicates(odd).collect()
+    assert len(rows) == odd.count()
+    got = {r["doc_id"]: r for r in rows if r["doc_id"] is not None}
+    assert got[0]["n_shingles"] == got[1]["n_shingles"] == 0 and got[0]["kept"] and got[1]["kept"]
+    assert got[12]["component_id"] == got[13]["component_id"] == 12 and not got[13]["kept"] and got[4]["n_shingles"] == 1
+    assert all(r["kept"] for r in rows if r["doc_id"] is None)
+    assert minhash.near_duplicates(odd.limit(0)).count() == 0
+
+
+def test_word_hashes_tell_words_apart():
+    h = minhash.WordHashes()
+    words = list({("".join(random.Random(k).choice("abc") for _ in range(k % 9 + 1))).encode() for k in range(4000)})
+    assert len(np.unique(h(b" ".join(words)))) == len(words)
+    assert (h(b"  ab\tc\n") == np.r_[h(b"ab"), h(b"c")]).all() and len(h(b"")) == 0
+
+
+def test_pruning_bound_is_the_beta_tail():
+    scheme = minhash.Scheme()
+    assert (scheme.rows, scheme.size) == (5, 120)
+    r, t = np.random.default_rng(0), 0.85
+    for n, need in scheme.least[:3]:
+        tail = lambda m: (r.beta(m + 1, n - m + 1, 400_000) >= t).mean()
+        assert tail(max(need - 4, 0)) <= 1e-4 and tail(n) > 0.5
+    assert all(a[1] <= b[1] for a, b in zip(scheme.least, scheme.least[1:]))
+
+
+def test_components_of_long_chains(spark):
+    edges = [(k, k + 1) for k in range(0, 400) if k % 100] + [(500, 500 + k) for k in range(1, 50)]
+    random.Random(0).shuffle(edges)
+    node = lambda k: f"{k:04d}".encode()
+    df = spark.createDataFrame([(node(a), node(b)) if a % 2 else (node(b), node(a)) for a, b in edges], "a binary, b binary")
+    got = {bytes(r["node"]): bytes(r["root"]) for r in minhash.components(df).collect()}
+    assert all(got.get(node(k), node(k)) == node((k - 1) // 100 * 100 + 1) for k in range(1, 400) if k % 100 != 0) and got[node(549)] == node(500)
+    assert minhash.components(df.limit(0)).count() == 0
+
+
+def brute_lines(rows):
+    words = lambda line: frozenset(w for w in re.split(r"[\x20\x09-\x0D]+", line) if w)
+    lines = sorted({((i is not None, i or 0), n, words(line)) for i, t in rows for n, line in enumerate((t or "").split("\n")) if words(line)}, key=lambda x: x[:2])
+    out = defaultdict(lambda: [0, [], 0])
+    sets = {s for _, _, s in lines}
+    near = {s: [o for o in sets if o != s and 9 * len(s & o) >= 4 * (len(s) + len(o))] for s in sets}
+    first = {}
+    for at in lines:
+        first.setdefault(at[2], at[:2])
+    for i, n, s in lines:
+        row = out[i]
+        row[0] += 1
+        row[2] += len(near[s])
+        if min([first[s], *(first[o] for o in near[s])]) < (i, n):
+            row[1].append(n)
+    return {i if i[0] else None: v for i, v in out.items()}
+
+
+def test_lines_against_brute_force(spark, odd, corpus):
+    r = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(40)]
+    rows = list(enumerate(corpus)) + [(1000 + k, "\n".join(" ".join(r.sample(vocabulary, r.randint(1, 14))) for _ in range(4))) for k in range(60)]
+    rows += [(2000 + k, "\n".join(" ".join(sorted(vocabulary[: 10 + k % 5])) for _ in range(2))) for k in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute_lines(rows)
+    got = line_dedup.line_report(df).collect()
+    assert len(got) == len(rows) and sum(x["n_links"] for x in got) > 20
+    for x in got:
+        n, gone, links = want.get((True, x["doc_id"]), (0, [], 0))
+        assert (x["n_lines"], x["n_removed"], x["n_links"], x["removed_lines"]) == (n, len(gone), links, ",".join(map(str, gone)))
+    left = {x["doc_id"]: x["text"] for x in line_dedup.remove_lines(df).collect()}
+    for i, t in rows:
+        gone = set(want.get((True, i), (0, [], 0))[1])
+        kept = "\n".join(line for n, line in enumerate(t.split("\n")) if n not in gone)
+        assert left.get(i) == (kept if kept.strip() or not gone else None)
+
+
+def test_lines_of_odd_rows(spark, odd):
+    report = line_dedup.line_report(odd)
+    assert report.count() == odd.select("doc_id").distinct().count() and line_dedup.line_report(odd.limit(0)).count() == 0
+    out = line_dedup.remove_lines(odd)
+    assert out.columns == odd.columns
+    ids = sorted(r["doc_id"] for r in out.collect() if r["doc_id"] is not None)
+    assert ids == sorted([0, 1, 2, 3, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12])  # 13 repeats 12; 5 is a set of its own
+    assert {r["doc_id"]: r["text"] for r in out.collect()}[0] is None
+
+
+def test_line_plan_has_no_python(spark, odd):
+    plan = line_dedup.line_table(odd, [0] * line_dedup.BUCKETS)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and F is not None
