@@ -21,7 +21,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, remove, scratch
 
 BUCKETS = 65_536
 
@@ -43,8 +43,10 @@ def rarity(docs: DataFrame, text_col: str = "text") -> list[int]:
 
 
 def _words(text) -> F.Column:
-    """Words without a lambda: a text without any gives one empty string."""
-    return F.split(F.btrim(text, F.lit(" \t\n\x0b\f\r")), r"[\x20\x09-\x0D]+")
+    """Words without a lambda or a pattern: white space as spaces, split at each, empty strings taken out."""
+    for c in ("\t", "\n", "\x0b", "\f", "\r"):
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
 def _set_of(line, levels: list[int]) -> F.Column:
@@ -113,15 +115,20 @@ def judged(docs: DataFrame, text_col: str = "text", num: int = 4, den: int = 5)
     """
     spark = docs.sparkSession
     levels = rarity(docs, text_col)
-    lines = cut(line_table(docs, levels, text_col, num, den))
-    links = cut(similar(lines, docs, levels, text_col, num, den))
-    release(spark)
-    first = lines.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("at"))
-    ways = links.select("a", "b").union(links.select("b", "a")).toDF("class", "other")
-    linked = ways.join(first.withColumnRenamed("class", "other"), "other").groupBy("class").agg(F.min("at").alias("other_at"), F.count("*").alias("n_links"))
-    known = first.join(linked, "class", "left").select("class", F.least("at", "other_at").alias("earliest"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    own = F.struct("doc_id", "line_no")
-    return lines.join(known, "class").select("doc_id", "line_no", "class", "n_links", (F.col("earliest") < own).alias("removed"))
+    path = scratch(spark, "lines")
+    try:
+        line_table(docs, levels, text_col, num, den).write.parquet(path)  # compressed, and read by columns
+        lines = spark.read.parquet(path)
+        links = cut(similar(lines, docs, levels, text_col, num, den))
+        release(spark)
+        first = lines.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("at"))
+        ways = links.select("a", "b").union(links.select("b", "a")).toDF("class", "other")
+        linked = ways.join(first.withColumnRenamed("class", "other"), "other").groupBy("class").agg(F.min("at").alias("other_at"), F.count("*").alias("n_links"))
+        known = first.join(linked, "class", "left").select("class", F.least("at", "other_at").alias("earliest"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        own = F.struct("doc_id", "line_no")
+        return cut(lines.join(known, "class").select("doc_id", "line_no", "class", "n_links", (F.col("earliest") < own).alias("removed")))
+    finally:
+        remove(spark, path)
 
 
 def line_report(docs: DataFrame, text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
