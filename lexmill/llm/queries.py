@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, warc
+from . import line_dedup, minhash, warc
 from .common import bounded_sample, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,9 +65,10 @@ ORACLES["op3_warc"] = warc.ORACLE
 
 @query
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .minhash import near_duplicates
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+
+ORACLES["op10_minhash"] = minhash.ORACLE
 
 
 @query
