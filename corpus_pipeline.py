@@ -39,7 +39,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated at fitted rates of at least 1, so that expected tokens by language meet TARGETS and no document goes."""
-    return mixing.mixed(docs, labelled_domains(spark, sf_dir), TARGETS, budget=None, least=1.0)
+    return mixing.mixed(docs, labelled_domains(spark, sf_dir), TARGETS, budget=None, least=1.0, tolerance=1e-4)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -124,7 +124,7 @@ def fit(state: DataFrame, weights: dict[str, float], domains: tuple[str, ...], b
     """Accelerated projected gradient over ``state`` (of ``members``; materialise it, it is read once per iteration).
 
     budget: wanted tokens as a multiple of those there are; None: the least at which no domain's target is below what it has.
-    The momentum starts anew when it points uphill.
+    The momentum starts anew when it points uphill. It ends when no domain's share of the tokens moves by ``tolerance``.
     """
     d = range(len(domains))
     share = lambda r, name: [F.sum(F.col("n_tokens") * r * F.col("p")[k]).alias(f"{name}{k}") for k in d]
@@ -196,11 +196,11 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget:
     return out.select("doc_id", "n_tokens", *(F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(domains)), "rate", "copies")
 
 
-def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = 1.0, least: float = 0.0, most_labelled: int = 2_000, text_col: str = "text") -> DataFrame:
+def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = 1.0, least: float = 0.0, most_labelled: int = 2_000, text_col: str = "text", tolerance: float = 1e-6) -> DataFrame:
     """``docs`` itself at the fitted rates: each row as often as its copies say, with all its columns. Texts are scored twice and not shuffled."""
     domains = tuple(sorted(weights))
     model = train(labelled_rows(labelled, most_labelled), domains)
-    found = fit(cut(members(docs, model, text_col)), weights, domains, budget, least)
+    found = fit(cut(members(docs, model, text_col)), weights, domains, budget, least, tolerance=tolerance)
     at = docs.columns.index(text_col)
 
     def run(batches):
