@@ -27,32 +27,31 @@ BUCKETS = 65_536
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps that are done."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    time.sleep(0.3)  # the cleaner works in a thread of its own
+    """Let Spark drop the shuffle files of steps that are done. What refers to them goes in turns: first here, then in the JVM."""
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)  # the cleaner works in a thread of its own
 
 
 def rarity(docs: DataFrame, text_col: str = "text") -> list[int]:
-    """A level from 0 (rare) to 63 of each hash bucket of words, over all texts."""
-    counted = docs.select(F.explode(_words(F.col(text_col))).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("bucket")).agg(F.count("*").alias("n"))
+    """A level from 0 (rare) to 63 of each hash bucket of words, over all texts. Words are told apart by spaces alone: it is only an order."""
+    counted = docs.select(F.explode(F.split(text_col, " ")).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("bucket")).agg(F.count("*").alias("n"))
     levels = [0] * BUCKETS
     for r in counted.collect():  # at most BUCKETS rows
         levels[r["bucket"]] = min(63, int(2 * math.log2(r["n"])))
     return levels
 
 
-def _words(text) -> F.Column:
-    """Words without a lambda or a pattern: white space as spaces, split at each, empty strings taken out."""
-    for c in ("\t", "\n", "\x0b", "\f", "\r"):
-        text = F.replace(text, F.lit(c), F.lit(" "))
-    return F.array_remove(F.split(text, " "), "")
+def _words(line) -> F.Column:
+    """Words of a line of ``_lines``, without a lambda or a pattern: split at each space, empty strings taken out."""
+    return F.array_remove(F.split(line, " "), "")
 
 
 def _set_of(line, levels: list[int]) -> F.Column:
     """The line's distinct words as longs, rarest first."""
     table = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")  # folded to a constant
-    as_long = lambda w: F.shiftleft(F.get(table, F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")), 57).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 7))
+    as_long = lambda w: F.shiftleft(F.coalesce(F.get(table, F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")), F.lit(0).cast("long")), 57).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 7))
     return F.sort_array(F.array_distinct(F.transform(_words(line), as_long)))
 
 
@@ -62,12 +61,16 @@ def _parity(words) -> F.Column:
 
 
 def _lines(docs: DataFrame, text_col: str) -> DataFrame:
-    return docs.select("doc_id", F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line_no", "line"))
+    """doc_id, line_no, line, with spaces for other white space."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    for c in ("\t", "\x0b", "\f", "\r"):
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return docs.select("doc_id", F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
 
 
 def line_table(docs: DataFrame, levels: list[int], text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
     """doc_id, line_no, class, size, parity, prefix of each line with words."""
-    sets = _lines(docs, text_col).where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "line_no", _set_of(F.col("line"), levels).alias("words"))
+    sets = _lines(docs, text_col).where(F.btrim("line") != "").select("doc_id", "line_no", _set_of(F.col("line"), levels).alias("words"))
     size = F.size("words")
     least = F.floor((num * size + (den - 1)) / den).cast("int")  # the least overlap with any set: ceil(size * num / den)
     return sets.select("doc_id", "line_no", F.xxhash64("words").alias("class"), size.alias("size"), _parity(F.col("words")).alias("parity"), F.slice("words", 1, size - least + 1).alias("prefix"))
