@@ -95,8 +95,9 @@ def _sets(pairs: DataFrame, lines: DataFrame, docs: DataFrame, levels: list[int]
     first = lines.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("at")).join(wanted, "class")
     first = first.select("class", F.col("at.doc_id").alias("of_doc"), F.col("at.line_no").alias("of_line"))
     found = _lines(docs, text_col).join(first.hint("shuffle_hash"), F.expr("doc_id <=> of_doc AND line_no = of_line"))
-    sets = found.select("class", _set_of(F.col("line"), levels).alias("words")).where(F.xxhash64("words") == F.col("class"))
-    return cut(sets.groupBy("class").agg(F.first("words").alias("words")))
+    # Of rows that share a doc_id only one may have the class's line. A filter here would become a key of the join, for all lines.
+    sets = found.select("class", _set_of(F.col("line"), levels).alias("words")).select("class", "words", F.xxhash64("words").alias("name"))
+    return cut(sets.groupBy("class").agg(F.first(F.when(F.col("name") == F.col("class"), F.col("words")), ignorenulls=True).alias("words")))
 
 
 def similar(lines: DataFrame, docs: DataFrame, levels: list[int], text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
