@@ -17,6 +17,7 @@ from __future__ import annotations
 import gc
 import math
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,6 +107,17 @@ def similar(lines: DataFrame, docs: DataFrame, levels: list[int], text_col: str
     release(docs.sparkSession)
     sets = _sets(pairs, lines, docs, levels, text_col)
     release(docs.sparkSession)
+    # A pair carries a whole set to its verification. In as many slices as classes have partners, what is carried at
+    # once stays near the size of the sets themselves, at any size of the corpus.
+    slices = max(1, -(-pairs.count() // max(1, 2 * sets.count())))
+    parts = []
+    for k in range(slices):
+        parts.append(cut(_verified(pairs.where(F.pmod(F.xxhash64("b"), F.lit(slices)) == k), sets, num, den)))
+        release(docs.sparkSession)
+    return reduce(DataFrame.union, parts)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     both = pairs.join(sets.select(F.col("class").alias("a"), F.col("words").alias("wa")), "a").join(sets.select(F.col("class").alias("b"), F.col("words").alias("wb")), "b")
     shared = F.size(F.array_intersect("wa", "wb"))
     return both.where((num + den) * shared >= num * (F.size("wa") + F.size("wb"))).select("a", "b")
@@ -123,8 +135,7 @@ def judged(docs: DataFrame, text_col: str = "text", num: int = 4, den: int = 5)
     try:
         line_table(docs, levels, text_col, num, den).write.parquet(path)  # compressed, and read by columns
         lines = spark.read.parquet(path)
-        links = cut(similar(lines, docs, levels, text_col, num, den))
-        release(spark)
+        links = similar(lines, docs, levels, text_col, num, den)
         first = lines.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("at"))
         ways = links.select("a", "b").union(links.select("b", "a")).toDF("class", "other")
         linked = ways.join(first.withColumnRenamed("class", "other"), "other").groupBy("class").agg(F.min("at").alias("other_at"), F.count("*").alias("n_links"))
