@@ -61,20 +61,38 @@ def _parity(words) -> F.Column:
     return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
 
 
+def keyed(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with _row, which with doc_id tells rows apart: of rows with an id their texts' hash, of rows without one a number each."""
+    known = docs.withColumn("_row", F.xxhash64(text_col))
+    nameless = cut(docs.where("doc_id IS NULL").withColumn("_row", F.monotonically_increasing_id()))  # the numbers have to stay
+    return known if nameless.isEmpty() else known.where("doc_id IS NOT NULL").unionByName(nameless)
+
+
+def _place(docs: DataFrame) -> list[str]:
+    """The columns that say which row a line is of."""
+    return ["doc_id", "_row"] if "_row" in docs.columns else ["doc_id"]
+
+
+def _at(rows: DataFrame) -> F.Column:
+    """A line's place in the order. Rows that share a doc_id are one document; rows of ``keyed`` without one are a document each."""
+    own = [F.when(F.col("doc_id").isNull(), F.col("_row")).alias("_row")] if "_row" in rows.columns else []
+    return F.struct("doc_id", *own, "line_no")
+
+
 def _lines(docs: DataFrame, text_col: str) -> DataFrame:
-    """doc_id, line_no, line, with spaces for other white space."""
+    """doc_id, _row if there, line_no, line, with spaces for other white space."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     for c in ("\t", "\x0b", "\f", "\r"):
         text = F.replace(text, F.lit(c), F.lit(" "))
-    return docs.select("doc_id", F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    return docs.select(*_place(docs), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
 
 
 def line_table(docs: DataFrame, levels: list[int], text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
-    """doc_id, line_no, class, size, parity, prefix of each line with words."""
-    sets = _lines(docs, text_col).where(F.btrim("line") != "").select("doc_id", "line_no", _set_of(F.col("line"), levels).alias("words"))
+    """doc_id, _row if there, line_no, class, size, parity, prefix of each line with words."""
+    sets = _lines(docs, text_col).where(F.btrim("line") != "").select(*_place(docs), "line_no", _set_of(F.col("line"), levels).alias("words"))
     size = F.size("words")
     least = F.floor((num * size + (den - 1)) / den).cast("int")  # the least overlap with any set: ceil(size * num / den)
-    return sets.select("doc_id", "line_no", F.xxhash64("words").alias("class"), size.alias("size"), _parity(F.col("words")).alias("parity"), F.slice("words", 1, size - least + 1).alias("prefix"))
+    return sets.select(*_place(docs), "line_no", F.xxhash64("words").alias("class"), size.alias("size"), _parity(F.col("words")).alias("parity"), F.slice("words", 1, size - least + 1).alias("prefix"))
 
 
 def _candidates(lines: DataFrame, num: int, den: int) -> DataFrame:
@@ -93,9 +111,10 @@ def _candidates(lines: DataFrame, num: int, den: int) -> DataFrame:
 def _sets(pairs: DataFrame, lines: DataFrame, docs: DataFrame, levels: list[int], text_col: str) -> DataFrame:
     """class, words of the classes in ``pairs`` only, from one line each; materialised."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    first = lines.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("at")).join(wanted, "class")
-    first = first.select("class", F.col("at.doc_id").alias("of_doc"), F.col("at.line_no").alias("of_line"))
-    found = _lines(docs, text_col).join(first.hint("shuffle_hash"), F.expr("doc_id <=> of_doc AND line_no = of_line"))
+    place = [*_place(docs), "line_no"]
+    first = lines.groupBy("class").agg(F.min(F.struct(*place)).alias("at")).join(wanted, "class")
+    first = first.select("class", *(F.col(f"at.{c}").alias(f"of_{c}") for c in place))
+    found = _lines(docs, text_col).join(first.hint("shuffle_hash"), F.expr(" AND ".join(f"{c} {'<=>' if c == 'doc_id' else '='} of_{c}" for c in place)))
     # Of rows that share a doc_id only one may have the class's line. A filter here would become a key of the join, for all lines.
     sets = found.select("class", _set_of(F.col("line"), levels).alias("words")).select("class", "words", F.xxhash64("words").alias("name"))
     return cut(sets.groupBy("class").agg(F.first(F.when(F.col("name") == F.col("class"), F.col("words")), ignorenulls=True).alias("words")))
@@ -124,10 +143,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 def judged(docs: DataFrame, text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
-    """doc_id, line_no, class, n_links (other sets that link with this line's), removed of each line with words.
+    """doc_id, _row if there, line_no, class, n_links (other sets that link with this line's), removed of each line with words.
 
     Lines without words aren't compared and never removed. Null texts have no lines. Rows that repeat a doc_id count as the
-    same document: their equal lines are at the same place, so neither is later than the other. Null ids come first.
+    same document: their equal lines are at the same place, so neither is later than the other. Null ids come first; they
+    are one document, or with the _row of ``keyed`` one each.
     """
     spark = docs.sparkSession
     levels = rarity(docs, text_col)
@@ -136,12 +156,11 @@ def judged(docs: DataFrame, text_col: str = "text", num: int = 4, den: int = 5)
         line_table(docs, levels, text_col, num, den).write.parquet(path)  # compressed, and read by columns
         lines = spark.read.parquet(path)
         links = similar(lines, docs, levels, text_col, num, den)
-        first = lines.groupBy("class").agg(F.min(F.struct("doc_id", "line_no")).alias("at"))
+        first = lines.groupBy("class").agg(F.min(_at(lines)).alias("at"))
         ways = links.select("a", "b").union(links.select("b", "a")).toDF("class", "other")
         linked = ways.join(first.withColumnRenamed("class", "other"), "other").groupBy("class").agg(F.min("at").alias("other_at"), F.count("*").alias("n_links"))
         known = first.join(linked, "class", "left").select("class", F.least("at", "other_at").alias("earliest"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-        own = F.struct("doc_id", "line_no")
-        return cut(lines.join(known, "class").select("doc_id", "line_no", "class", "n_links", (F.col("earliest") < own).alias("removed")))
+        return cut(lines.join(known, "class").select(*_place(docs), "line_no", "class", "n_links", (F.col("earliest") < _at(lines)).alias("removed")))
     finally:
         remove(spark, path)
 
@@ -161,12 +180,15 @@ def line_report(docs: DataFrame, text_col: str = "text", num: int = 4, den: int
 def remove_lines(docs: DataFrame, text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
     """``docs`` with the removed lines taken out of their texts; all rows and columns stay, but for texts of which nothing is left.
 
-    A row goes if it had lines with words and all are removed: its whole text is a repetition.
+    A row goes if it had lines with words and all are removed: its whole text is a repetition. Each row loses lines of its own
+    only, also where others share its doc_id; rows without a doc_id are a document each, in the order they are read in.
     """
-    gone = judged(docs, text_col, num, den).where("removed").groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
+    rows = keyed(docs, text_col)
+    gone = judged(rows, text_col, num, den).where("removed").groupBy("doc_id", "_row").agg(F.collect_set("line_no").alias("gone"))
     gone = cut(gone)
     release(docs.sparkSession)
-    full = docs.alias("d").join(gone.alias("g").hint("shuffle_hash"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")), "left")
+    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d._row") == F.col("g._row"))
+    full = rows.alias("d").join(gone.alias("g").hint("shuffle_hash"), same, "left")
     left = F.filter(F.split(F.col(f"d.{text_col}"), "\n"), lambda _, k: ~F.array_contains("gone", k))
     text = F.when(F.col("gone").isNull(), F.col(f"d.{text_col}")).otherwise(F.array_join(left, "\n"))
     made = full.select(*(text.alias(c) if c == text_col else F.col(f"d.{c}") for c in docs.columns), F.col("gone").isNotNull().alias("_touched"))

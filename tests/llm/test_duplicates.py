@@ -145,6 +145,16 @@ def test_lines_of_odd_rows(spark, odd):
     assert {r["doc_id"]: r["text"] for r in out.collect()}[0] is None
 
 
+def test_rows_that_share_an_id_lose_lines_of_their_own_only(spark):
+    one, two, three, four = "alpha beta gamma", "delta epsilon zeta", "eta theta iota", "kappa lambda mu"
+    nameless = [(None, f"{one}\n{two}"), (None, f"{two}\n{three}"), (None, f"{two}\n{three}")]
+    texts = sorted(r["text"] for r in line_dedup.remove_lines(spark.createDataFrame(nameless, "doc_id long, text string")).collect())
+    assert sorted("\n".join(texts).split("\n")) == sorted([one, two, three])
+    shared = [(1, f"{one}\n{two}"), (2, f"{three}\n{one}"), (2, f"{three}\n{four}"), (2, f"{two}\n{one}")]
+    got = line_dedup.remove_lines(spark.createDataFrame(shared, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == [(1, f"{one}\n{two}"), (2, three), (2, f"{three}\n{four}")]
+
+
 def test_line_plan_has_no_python(spark, odd):
     plan = line_dedup.line_table(odd, [0] * line_dedup.BUCKETS)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and F is not None
