@@ -219,8 +219,6 @@ class Field:
         if (k := self.ids.get(word)) is None:
             s = shape(word)
             if (k := self.shapes.get(s)) is None:
-                if len(self.rows) > 50_000:
-                    self.shapes, self.rows, self.ids = {}, [], {}
                 k = self.shapes[s] = len(self.rows)
                 self.rows.append(self.row(s).astype(np.float32))
             if len(self.ids) > 300_000:
@@ -229,6 +227,10 @@ class Field:
                 self.ids[word] = k
         return k
 
+    def forget(self) -> None:
+        """Empty the memos. Ids given before mean nothing afterwards, so no line may hold any."""
+        self.shapes, self.rows, self.ids = {}, [], {}
+
     def emissions(self, lines: list[np.ndarray], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(words, labels) of all lines one behind the other, and where each starts. table: rows of the ids."""
         flat = np.concatenate(lines)
@@ -350,8 +352,8 @@ def plausible(kind: str, span: str) -> bool:
     return {"ip": digits >= 4 and span.count(".") >= 3, "card": 12 <= digits <= 19, "phone": 7 <= digits <= 15}[kind]
 
 
-def added_spans(texts: list[str], model: Field, base: list[list[tuple[str, int, int]]], words_at_once: int = 200_000) -> list[list[tuple[str, int, int]]]:
-    """Spans of the field in each text that touch none of its base spans."""
+def added_spans(texts: list[str], model: Field, base: list[list[tuple[str, int, int]]], words_at_once: int = 200_000, most_shapes: int = 50_000) -> list[list[tuple[str, int, int]]]:
+    """Spans of the field in each text that touch none of its base spans. Shapes are forgotten between lines, beyond ``most_shapes``; one line may have more."""
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
     lines, of, held = [], [], 0
 
@@ -377,8 +379,9 @@ def added_spans(texts: list[str], model: Field, base: list[list[tuple[str, int,
 
     for k, text in enumerate(texts):
         for number, line in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n")):
-            if len(model.rows) > 49_000:
+            if len(model.rows) > most_shapes:  # only here, where no line is half done
                 work()
+                model.forget()
             words = line.split()
             lines.append(np.fromiter(map(model.id_of, words), np.int64, len(words)))
             of.append((k, number))

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -111,6 +112,18 @@ def test_field_decodes_as_viterbi_does():
         assert abs(score(got.get(k, np.zeros(len(line), int))) - best) < 1e-3
 
 
+def test_more_shapes_than_the_memo_holds():
+    model = pii.train(pii.labelled_table())
+    junk = ["".join(x) for x in itertools.islice(itertools.product("!#%&*=^~", repeat=6), 120_000)]
+    mail = "write to anna (at) mail7 (dot) org please"
+    texts = [f"{mail} {' '.join(junk[:60_000])} {mail}", f"{mail}\n{' '.join(junk[60_000:90_000])}\n{mail}", f"{' '.join(junk[90_000:])} {mail}\n{mail}"]
+    got = pii.added_spans(texts, model, [[] for _ in texts])
+    assert all(len(spans) == 2 and all(kind == "email" and t[a:b].endswith("anna (at) mail7 (dot) org") for kind, a, b in spans) for t, spans in zip(texts, got))
+    assert len(model.rows) < 60_000 and len(model.rows) == len(model.shapes)
+    whole = pii.added_spans(texts, pii.train(pii.labelled_table()), [[] for _ in texts], most_shapes=1 << 30)
+    assert got == whole
+
+
 def test_field_adds_what_patterns_miss_and_leaves_prose_alone(spark):
     texts = ["Write to anna (at) mail7 (dot) org please.", "please call (988) 555-2485 today\nand tel 0171 555 2485 too", "a@b.co and +1 (988) 555-2485 here", "In 2024 version 1.2.3 cost 12.50 at 10:30 on 2024-01-05."]
     rows = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
