@@ -25,16 +25,22 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, Jaccard 0.8): the one with the least doc_id.
+    """One row of each group of near-duplicates (five-word shingles, Jaccard 0.8): the one with the least doc_id.
 
-    Of rows that share a doc_id one stays. Rows without a doc_id all stay.
+    Where rows share that doc_id, the one with the least hash of its text. Texts that aren't linked are groups of their own,
+    also where they share a doc_id. Of rows without words one stays per doc_id. Rows without a doc_id all stay.
     """
-    judged = minhash.near_duplicates(docs, minhash.Scheme(width=5, percent=80))
-    kept = common.cut(judged.where(F.col("kept") | F.col("doc_id").isNull()).groupBy("doc_id").agg(F.count("*").alias("n")))
-    full = docs.join(kept.select(F.col("doc_id").alias("kept_id")).hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    if kept.where("doc_id IS NOT NULL AND n > 1").isEmpty():
-        return full
-    return full.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(full.where("doc_id IS NULL"))
+    judged = minhash.grouped(docs, minhash.Scheme(width=5, percent=80)).where("doc_id = component_id")
+    equal = judged.groupBy("root", "doc_id", "row").agg(F.count("*").alias("n"))
+    kept = common.cut(equal.groupBy("root", "doc_id").agg(F.min(F.struct("row", "n")).alias("least")).select(F.col("doc_id").alias("kept_id"), F.col("least.row").alias("kept_row"), F.col("least.n").alias("n")))
+    rows = docs.withColumn("_row", minhash.row_key("text"))
+    same = (F.col("doc_id") == F.col("kept_id")) & (F.col("_row") == F.col("kept_row"))
+    of = lambda chosen: rows.join(chosen.hint("shuffle_hash"), same, "left_semi")
+    if kept.where("n > 1").isEmpty():
+        one = of(kept)
+    else:
+        one = of(kept.where("n = 1")).unionByName(of(kept.where("n > 1")).dropDuplicates(["doc_id", "_row"]))
+    return one.drop("_row").unionByName(docs.where("doc_id IS NULL"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -136,21 +136,26 @@ class Scheme:
         return Scheme, (self.width, self.percent, self.bands, self.miss)
 
 
+def row_key(text) -> F.Column:
+    """What tells rows of one doc_id, or without one, apart: a hash of the text, so rows of equal keys have equal texts."""
+    return F.xxhash64(text)
+
+
 def sketch(docs: DataFrame, scheme: Scheme, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, digest (null for empty sets), keys (null for empty sets) of each row. Narrow."""
+    """doc_id, row (hash of the text), n_shingles, digest (null for empty sets), keys (null for empty sets) of each row. Narrow."""
 
     def run(batches):
         for b in batches:
             out = []
-            for i, text in rows_of(b, "doc_id", "text"):
+            for i, row, text in rows_of(b, "doc_id", "row", "text"):
                 s = scheme.shingles(text)
-                out.append((i, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None, scheme.keys(scheme.signature(s))[0] if len(s) else None))
-            cols = list(zip(*out)) if out else [()] * 4
-            types = [b.schema.field("doc_id").type, pa.int64(), pa.binary(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "n_shingles", "digest", "keys"])
+                out.append((i, row, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None, scheme.keys(scheme.signature(s))[0] if len(s) else None))
+            cols = list(zip(*out)) if out else [()] * 5
+            types = [b.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "row", "n_shingles", "digest", "keys"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return mapped(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")), run, f"doc_id {kind}, n_shingles long, digest binary, keys array<long>")
+    return mapped(docs.select(docs[id_col].alias("doc_id"), row_key(docs[text_col]).alias("row"), docs[text_col].alias("text")), run, f"doc_id {kind}, row long, n_shingles long, digest binary, keys array<long>")
 
 
 def linked(scheme: Scheme, one: list[np.ndarray], two: list[np.ndarray] | None) -> list[tuple[int, int]]:
@@ -268,6 +273,19 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def grouped(docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, row, n_shingles, component_id, root (of the row's group of linked texts; null for empty sets)."""
+    rows = cut(sketch(docs, scheme, id_col, text_col))
+    roots = components(candidate_links(rows, docs, scheme, id_col, text_col))
+    classes = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("low"))
+    placed = classes.join(roots, F.col("digest") == F.col("node"), "left").select("digest", "low", F.coalesce("root", "digest").alias("root"))
+    ids = placed.groupBy("root").agg(F.min("low").alias("component_id"))
+    known = placed.join(ids, "root").select("digest", "root", "component_id")
+    out = rows.drop("keys").join(known, "digest", "left")
+    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "row", "n_shingles", component.alias("component_id"), "root")
+
+
 def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -276,15 +294,8 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "d
     repeat a doc_id are judged by their own texts; null ids never become a component's id unless all are null (then
     component_id is null and all are kept). Empty tables give empty ones; other columns aren't read.
     """
-    rows = cut(sketch(docs, scheme, id_col, text_col))
-    roots = components(candidate_links(rows, docs, scheme, id_col, text_col))
-    classes = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("low"))
-    placed = classes.join(roots, F.col("digest") == F.col("node"), "left").select("digest", "low", F.coalesce("root", "digest").alias("root"))
-    ids = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    known = placed.join(ids, "root").select("digest", "component_id")
-    out = rows.drop("keys").join(known, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))).withColumnRenamed("doc_id", id_col)
+    out = grouped(docs, scheme, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))).withColumnRenamed("doc_id", id_col)
 
 
 #: The contract's rows, from all pairs of texts that share a shingle.

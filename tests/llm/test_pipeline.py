@@ -45,6 +45,18 @@ def test_repeated_and_null_ids_in_near_duplicates(spark):
     assert got.columns == docs.columns and sorted(map(str, (r["doc_id"] for r in got.collect()))) == ["1", "3", "4", "None"]
 
 
+def test_shared_ids_lose_no_text_and_keep_no_copy(spark):
+    a, z = " ".join(f"a{k}" for k in range(40)), " ".join(f"z{k}" for k in range(40))
+    other = [" ".join(f"t{n}w{k}" for k in range(12)) for n in range(4)]
+    rows = [(1, a), (2, f"{a} more"), (2, z), (3, f"{z} more"), (4, f"{other[0]} x {a}"), (4, f"{other[1]}")]
+    far = [(9, other[2]), (9, other[2].upper()), (9, other[3]), (9, other[3]), (9, f"{a} end"), (8, ""), (8, None)]
+    docs = lambda rows: spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = lambda rows: sorted((r["doc_id"], (r["text"] or "").lower()) for r in corpus_pipeline.one_of_each_group(spark, docs(rows), "").collect())
+    near = [(1, a), (2, z), *rows[4:]]
+    assert kept(rows) == sorted(near)
+    assert kept(rows + far) == sorted([*near, (9, other[2]), (9, other[3]), (8, "")])
+
+
 def test_every_operator_has_its_query():
     names = {k.split("_")[0] for k in queries.QUERIES}
     assert names == {f"op{n}" for n in range(1, 11)} and len(corpus_pipeline.STAGES) == 5 and set(queries.ORACLES) <= set(queries.QUERIES)
