@@ -214,7 +214,7 @@ def intersections(one: list[np.ndarray], two: list[np.ndarray], i: np.ndarray, j
 
 def candidate_links(rows: DataFrame, docs: DataFrame, scheme: Scheme, id_col: str, text_col: str, block: int = 256) -> DataFrame:
     """Links (a, b: digests) between classes, from ``rows`` of ``sketch`` and their texts."""
-    reps = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
+    reps = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("at"), F.first("keys").alias("keys"))
     keys = reps.select(F.explode("keys").alias("key"), "digest")
     several = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("digest").alias("low")).where("n > 1")
     edges = cut(keys.join(several, "key").select("key", "digest", "low"))
@@ -229,16 +229,18 @@ def candidate_links(rows: DataFrame, docs: DataFrame, scheme: Scheme, id_col: st
     at = edges.join(member, "digest").select("key", "block").distinct()
     pairs = at.alias("x").join(at.alias("y"), F.expr("x.key = y.key and x.block <= y.block")).select(F.col("x.block").alias("one"), F.col("y.block").alias("two")).distinct()
     sides = pairs.select("one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
-    units = sides.join(member, "block").join(reps.select("digest", "doc_id"), "digest")
-    text = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    full = text.join(units.hint("shuffle_hash"), "doc_id").select("one", "two", (F.col("block") == F.col("one")).alias("first"), "digest", "text")
+    units = sides.join(member, "block").join(reps.select("digest", F.col("at.doc_id").alias("of_doc"), F.col("at.row").alias("of_row")), "digest")
+    text = docs.select(docs[id_col].alias("doc_id"), row_key(docs[text_col]).alias("row"), docs[text_col].alias("text"))
+    # Of equal texts without an id one is enough.
+    text = text.where("doc_id IS NOT NULL").unionByName(text.where("doc_id IS NULL").dropDuplicates(["row"]))
+    full = text.join(units.hint("shuffle_hash"), F.expr("doc_id <=> of_doc AND row = of_row")).select("one", "two", (F.col("block") == F.col("one")).alias("first"), "digest", "text")
 
     def run(table: pa.Table) -> pa.Table:
         own = {}
         for first, digest, t in zip(*(table.column(c).to_pylist() for c in ("first", "digest", "text"))):
             if digest not in own:
                 s = scheme.shingles(t)
-                if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == digest:  # else another row of this doc_id
+                if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == digest:  # else another text of this doc_id and hash
                     own[digest] = (first, s)
         within = all(first for first, _ in own.values())
         one = [d for d, (first, _) in own.items() if first]

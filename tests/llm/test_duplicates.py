@@ -71,6 +71,15 @@ def test_odd_rows(spark, odd):
     assert minhash.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_texts_without_an_id_link(spark):
+    words = lambda a, n, mark="w": " ".join(f"{mark}{k}" for k in range(a, a + n))
+    rows = [(1, words(0, 10)), (None, words(2, 10)), (2, words(4, 10)), (None, words(0, 10, "x")), (None, words(1, 10, "x")), (None, words(1, 10, "x")), (5, words(2, 10, "x")), (6, words(0, 9, "y")), (None, "alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = minhash.near_duplicates(df, minhash.Scheme(1, 60)).collect()
+    want = [(1, 1, True), (None, 1, False), (2, 1, False), *[(None, 5, False)] * 3, (5, 5, True), (6, 6, True), (None, None, True)]
+    assert sorted(map(str, ((r["doc_id"], r["component_id"], r["kept"]) for r in got))) == sorted(map(str, want))
+
+
 def test_word_hashes_tell_words_apart():
     h = minhash.WordHashes()
     words = list({("".join(random.Random(k).choice("abc") for _ in range(k % 9 + 1))).encode() for k in range(4000)})
