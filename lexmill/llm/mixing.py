@@ -14,6 +14,7 @@ follows from its document's posterior and the gradients so far, so no rates are
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -101,7 +102,7 @@ def members(docs: DataFrame, model: Classifier, text_col: str = "text") -> DataF
 
 @dataclass(frozen=True)
 class Fit:
-    """gradients: of each iteration, by domain, and its momentum. total: tokens; shares: of the domains at rate 1; targets: their wanted shares times the budget."""
+    """gradients: of each iteration, by domain, and its momentum. total: tokens; shares: of the domains at rate 1; targets: their wanted shares times the budget. settled: whether it ended before rounds ran out."""
 
     gradients: tuple[tuple[float, ...], ...]
     ridge: float
@@ -110,6 +111,7 @@ class Fit:
     shares: tuple[float, ...]
     targets: tuple[float, ...]
     reached: tuple[float, ...]
+    settled: bool = True
 
     def rates(self, p: np.ndarray) -> np.ndarray:
         """Rates of documents with posteriors ``p`` (n, domains)."""
@@ -124,7 +126,8 @@ def fit(state: DataFrame, weights: dict[str, float], domains: tuple[str, ...], b
     """Accelerated projected gradient over ``state`` (of ``members``; materialise it, it is read once per iteration).
 
     budget: wanted tokens as a multiple of those there are; None: the least at which no domain's target is below what it has.
-    The momentum starts anew when it points uphill. It ends when no domain's share of the tokens moves by ``tolerance``.
+    The momentum starts anew when it points uphill. It ends when no domain's share of the tokens moves by ``tolerance``;
+    where rounds run out before, it warns of that.
     """
     d = range(len(domains))
     share = lambda r, name: [F.sum(F.col("n_tokens") * r * F.col("p")[k]).alias(f"{name}{k}") for k in d]
@@ -137,7 +140,7 @@ def fit(state: DataFrame, weights: dict[str, float], domains: tuple[str, ...], b
     y = reached = np.array([first[f"r{k}"] for k in d]) / total
     shares = y.copy()
     target = w * (float(np.max(shares / np.maximum(w, 1e-9))) if budget is None else budget)
-    step, t, pending, gradients = 1 / (1 + ridge), 1.0, [], []
+    step, t, pending, gradients, done, moves = 1 / (1 + ridge), 1.0, [], [], False, float("inf")
     now = state.withColumn("s", F.struct(F.lit(1.0).alias("ahead"), F.lit(1.0).alias("r"), F.lit(0.0).alias("uphill")))
     for _ in range(rounds):
         t, before = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
@@ -159,10 +162,13 @@ def fit(state: DataFrame, weights: dict[str, float], domains: tuple[str, ...], b
         y, new = (np.array([got[f"{c}{k}"] for k in d]) / total for c in "yr")
         if got["uphill"] > 0:
             t = 1.0
-        done, reached = float(np.abs(new - reached).max()) < tolerance, new
+        moves, reached = float(np.abs(new - reached).max()), new
+        done = moves < tolerance
         if done:
             break
-    return Fit(tuple(gradients), ridge, least, total, tuple(shares.tolist()), tuple(target.tolist()), tuple(reached.tolist()))
+    if not done:
+        warnings.warn(f"mixing: {rounds} rounds ran out while shares moved by {moves:.1e}; reached {reached.tolist()} of {target.tolist()}", RuntimeWarning, stacklevel=2)
+    return Fit(tuple(gradients), ridge, least, total, tuple(shares.tolist()), tuple(target.tolist()), tuple(reached.tolist()), done)
 
 
 def copies(rate: F.Column, seed: int = 7) -> F.Column:

@@ -5,7 +5,9 @@ import re
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lexmill.llm import common, mixing, pii, toxicity
@@ -158,6 +160,21 @@ def test_rates_against_plain_projected_gradient(spark):
     assert abs(sum(x["copies"] for x in rated) / got.sum() - 1) < 0.1
 
 
+def test_fit_says_when_rounds_run_out(spark, monkeypatch):
+    r = np.random.default_rng(1)
+    rows = [(k, int(n), p.tolist()) for k, (n, p) in enumerate(zip(r.integers(1, 900, 200), r.dirichlet([0.3, 0.3], 200)))]
+    state = common.cut(spark.createDataFrame(rows, "doc_id long, n_tokens long, p array<double>"))
+    with pytest.warns(RuntimeWarning, match="2 rounds ran out"):
+        assert not mixing.fit(state, {"a": 0.9, "b": 0.1}, ("a", "b"), rounds=2).settled
+    assert mixing.fit(state, {"a": 0.9, "b": 0.1}, ("a", "b"), rounds=400).settled
+    asked = {}
+    monkeypatch.setattr(mixing, "fit", lambda *a, **k: asked.update(k) or mixing.Fit((), 1e-3, 1.0, 0.0, (), (), ()))
+    docs = spark.createDataFrame([(1, "a b", "en", "s", 3)], "doc_id long, text string, lang string, source string, n_chars long")
+    monkeypatch.setattr(corpus_pipeline, "labelled_domains", lambda *a: docs.selectExpr("doc_id", "text", "lang AS domain"))
+    corpus_pipeline.mixed(spark, docs, "")
+    assert asked["tolerance"] == 1e-6
+
+
 def test_mixture_meets_targets(spark):
     docs = common.table(spark, SF, "documents")
     labelled = docs.where("doc_id % 7 = 0").select("doc_id", "text", F.col("lang").alias("domain"))
