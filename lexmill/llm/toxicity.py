@@ -109,15 +109,15 @@ def train(rows: list[tuple[str | None, int]], swap: float = 20.0, ridge: float =
     by.clear()
     cols = [sorted(index[x] for x in of(words_of(t)) if x in index) for t in texts]
     row, col = np.repeat(np.arange(len(cols)), [len(c) for c in cols]), np.array([c for r in cols for c in r], np.int64)
-    pairs = []  # differences of features between labelled sentences and their swaps
+    counted = Counter()  # differences of features between labelled sentences and their swaps; equal ones once, with how many there are
     for t in texts:
         for sentence in re.split(r"(?<=[.!?])\s+|\n", (t or "")) if any(w in names for w in words_of(t)) else ():
             own = words_of(sentence)
             base = of(own)
             for other in swaps(own, identities):
                 new = of(other)
-                pairs.append(([index[x] for x in base - new if x in index], [index[x] for x in new - base if x in index]))
-    pairs = pairs[:50_000]
+                counted[tuple(tuple(sorted(index[x] for x in side if x in index)) for side in (base - new, new - base))] += 1
+    pairs, times = list(counted), np.array(list(counted.values()), float)
     prow = np.repeat(np.arange(len(pairs)), [len(a) + len(b) for a, b in pairs]) if pairs else np.zeros(0, np.int64)
     pcol = np.array([k for a, b in pairs for k in (*a, *b)], np.int64)
     sign = np.array([s for a, b in pairs for s in (*[1.0] * len(a), *[-1.0] * len(b))])
@@ -127,8 +127,8 @@ def train(rows: list[tuple[str | None, int]], swap: float = 20.0, ridge: float =
         err = 1 / (1 + np.exp(-np.clip(z, -60, 60))) - y
         grad = np.bincount(col, err[row], len(w)) / len(y) * 10 + ridge * w * 0.1
         if len(pairs):
-            d = np.bincount(prow, sign * w[pcol], len(pairs))
-            grad += 2 * swap * np.bincount(pcol, sign * d[prow], len(w)) / len(pairs)
+            d = times * np.bincount(prow, sign * w[pcol], len(pairs))
+            grad += 2 * swap * np.bincount(pcol, sign * d[prow], len(w)) / times.sum()
         g = np.append(grad, err.mean() * 10)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)

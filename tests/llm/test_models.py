@@ -51,6 +51,15 @@ def test_swaps_keep_neutral_mentions_neutral():
     assert toxicity.train([], swap=1.0).score(None) == 0.5 and toxicity.train([("a", 1)]).score("a") > 0.5
 
 
+def test_groups_named_after_many_others_are_swapped_too():
+    r = random.Random(4)
+    filler = lambda: " ".join(r.choice("the city has many people who work and live in it".split()) for _ in range(8))
+    long = "\n".join(["women work here"] * 20_000)  # three swaps a line
+    rows = [(long, 0)] + [(f"{filler()} {'muslims' if k % 3 == 0 else 'christians'} {'scum' if k % 3 == 0 else 'neighbours'}", int(k % 3 == 0)) for k in range(600)]
+    gap = lambda m: abs(m.score("muslims here") - m.score("christians here"))
+    assert gap(toxicity.train(rows, swap=2000.0)) < 0.25 * gap(toxicity.train(rows, swap=0.0))
+
+
 def test_odd_rows(spark, odd):
     labels = spark.createDataFrame([(k, k % 2) for k in range(12)] + [(None, 1), (3, None)], "doc_id long, toxic int")
     for out, columns in ((toxicity.scored(odd, labels), {"doc_id", "held_out", "score", "predicted"}), (pii.find(odd), {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"})):
