@@ -35,6 +35,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Spark then drops a query's shuffle files when the query ends, instead of when the driver happens to collect garbage.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet in the shared folder and read again, and its path, for ``remove``. Its shuffle files are gone by then."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN)
+        else:
+            spark.conf.set(_CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -1,38 +1,39 @@
 """Line dedup by an exact set-similarity join, in DataFrame operations only.
 
-A line is the set of its words. Lines of equal sets are one class. Words are ordered by rarity,
-and each class puts out only the first words of its set in that order: two sets whose Jaccard similarity
-reaches the threshold share one of those (prefix filter). What meets on a word is checked by sizes
-(length filter), by how many words can still follow in both (positional filter), and by bits that
-bound how many words differ; what is left is verified on the whole sets. A line is removed if an earlier line, by (doc_id, line number), has
-the same set or links with it.
-
-Any total order of words gives the same links; rarity only keeps candidates few. It is counted over all
+A line is the set of its words. Lines of equal sets are one class, whose place is that of its first line by
+(doc_id, line number). Words are ordered by rarity, and each class puts out only the first words of its set in that
+order: two sets whose Jaccard similarity reaches the threshold share one of those (prefix filter). What meets on
+a word is checked by sizes (length filter), by how many words can still follow in both (positional filter),
+and by bits that bound how many words differ; what is left is verified on the whole sets. A line is removed if an earlier
+line has the same set or links with it.
+
+So a class needs one earlier class that links with it, not all of them, and pairs of classes are never written out as such.
+First each class is held, in each of its words' buckets, against the bucket's first class and the few before it, and
+only its best candidate is verified. Classes that are still open then meet the classes at ranks 0 to 63 of their
+buckets, then 64 to 1023, and so on in growing blocks; whoever has found an earlier link drops out, and the last
+block ends where the largest bucket of an open class does. No bucket is capped, and no link that decides is lost.
+
+Any total order of words gives the same result; rarity only keeps buckets small. It is counted over all
 words in BUCKETS hash buckets, so the order is a table of fixed size. A word is from then on the long
-(rarity level, hash), with 57 bits of hash; a class's name is the 64-bit hash of its set.
+(rarity level, hash), with 57 bits of hash; a class is known by 128 bits of its set.
 """
 
 from __future__ import annotations
 
-import gc
 import math
-import time
-from functools import reduce
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, remove, scratch
+from .common import cut, remove, stored
 
-BUCKETS = 65_536
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps that are done. What refers to them goes in turns: first here, then in the JVM."""
-    for _ in range(3):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)  # the cleaner works in a thread of its own
+BUCKETS = 1 << 18
+#: How many classes before it, besides the first, a class meets at once in a bucket.
+NEAR = 4
+#: A word that occurs more often has its bucket's first look in parts of about so many classes.
+PART = 1 << 20
 
 
 def rarity(docs: DataFrame, text_col: str = "text") -> list[int]:
@@ -40,159 +41,212 @@ def rarity(docs: DataFrame, text_col: str = "text") -> list[int]:
     counted = docs.select(F.explode(F.split(text_col, " ")).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("bucket")).agg(F.count("*").alias("n"))
     levels = [0] * BUCKETS
     for r in counted.collect():  # at most BUCKETS rows
-        levels[r["bucket"]] = min(63, int(2 * math.log2(r["n"])))
+        levels[r["bucket"]] = min(63, int(1.4 * math.log2(r["n"])))
     return levels
 
 
-def _words(line) -> F.Column:
+def _parts(word) -> Column:
+    """Into how many parts a word's bucket is dealt: by the upper bound of its count that its level is."""
+    return F.greatest(F.lit(1), F.ceil(F.pow(F.lit(2.0), (F.shiftright(word, 57) + 1) / 1.4) / PART)).cast("long")
+
+
+def _words(line) -> Column:
     """Words of a line of ``_lines``, without a lambda or a pattern: split at each space, empty strings taken out."""
     return F.array_remove(F.split(line, " "), "")
 
 
-def _set_of(line, levels: list[int]) -> F.Column:
+def _set_of(line, levels: list[int]) -> Column:
     """The line's distinct words as longs, rarest first."""
     table = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")  # folded to a constant
-    as_long = lambda w: F.shiftleft(F.coalesce(F.get(table, F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")), F.lit(0).cast("long")), 57).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 7))
-    return F.sort_array(F.array_distinct(F.transform(_words(line), as_long)))
+    as_long = lambda h: F.shiftleft(F.coalesce(F.get(table, F.pmod(h, F.lit(BUCKETS)).cast("int")), F.lit(0).cast("long")), 57).bitwiseOR(F.shiftrightunsigned(h, 7))
+    return F.sort_array(F.array_distinct(F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), as_long)))
 
 
-def _parity(words) -> F.Column:
+def _parity(words) -> Column:
     """64 bits, each whether an odd number of words falls on it. Sets that differ in n words differ in at most n bits."""
     return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
 
 
-def keyed(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with _row, which with doc_id tells rows apart: of rows with an id their texts' hash, of rows without one a number each."""
-    known = docs.withColumn("_row", F.xxhash64(text_col))
-    nameless = cut(docs.where("doc_id IS NULL").withColumn("_row", F.monotonically_increasing_id()))  # the numbers have to stay
-    return known if nameless.isEmpty() else known.where("doc_id IS NOT NULL").unionByName(nameless)
-
+def _rows(docs: DataFrame, text_col: str, apart: bool) -> DataFrame:
+    """doc_id, row, text, and all: the row as it came. ``row`` tells rows apart: of rows with an id their texts' hash, of others a number each.
 
-def _place(docs: DataFrame) -> list[str]:
-    """The columns that say which row a line is of."""
-    return ["doc_id", "_row"] if "_row" in docs.columns else ["doc_id"]
+    If not ``apart`` it is null: rows that share a doc_id, or have none, are one document.
+    """
+    base = docs.select("doc_id", F.col(text_col).alias("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("all"))
+    if not apart:
+        return base.withColumn("row", F.lit(None).cast("long"))
+    known = base.withColumn("row", F.xxhash64("text"))
+    nameless = cut(base.where("doc_id IS NULL").withColumn("row", F.monotonically_increasing_id()))  # the numbers have to stay
+    return known if nameless.isEmpty() else known.where("doc_id IS NOT NULL").unionByName(nameless)
 
 
-def _at(rows: DataFrame) -> F.Column:
-    """A line's place in the order. Rows that share a doc_id are one document; rows of ``keyed`` without one are a document each."""
-    own = [F.when(F.col("doc_id").isNull(), F.col("_row")).alias("_row")] if "_row" in rows.columns else []
-    return F.struct("doc_id", *own, "line_no")
+def _at() -> Column:
+    """A line's place in the order. Rows that share a doc_id are one document; rows without one are a document each if they have a number."""
+    return F.struct("doc_id", F.when(F.col("doc_id").isNull(), F.col("row")).alias("own"), "line_no")
 
 
-def _lines(docs: DataFrame, text_col: str) -> DataFrame:
-    """doc_id, _row if there, line_no, line, with spaces for other white space."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+def _lines(rows: DataFrame) -> DataFrame:
+    """doc_id, row, line_no, line, with spaces for other white space."""
+    text = F.coalesce("text", F.lit(""))
     for c in ("\t", "\x0b", "\f", "\r"):
         text = F.replace(text, F.lit(c), F.lit(" "))
-    return docs.select(*_place(docs), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    return rows.select("doc_id", "row", F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
 
 
-def line_table(docs: DataFrame, levels: list[int], text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
-    """doc_id, _row if there, line_no, class, size, parity, prefix of each line with words."""
-    sets = _lines(docs, text_col).where(F.btrim("line") != "").select(*_place(docs), "line_no", _set_of(F.col("line"), levels).alias("words"))
+def _class(words) -> list[Column]:
+    return [F.xxhash64(words).alias("c1"), F.xxhash64(F.lit(1), words).alias("c2")]
+
+
+def line_table(rows: DataFrame, levels: list[int], num: int = 4, den: int = 5) -> DataFrame:
+    """doc_id, row, line_no, c1 and c2 (the class), size, parity, prefix of each line with words."""
+    sets = _lines(rows).where(F.btrim("line") != "").select("doc_id", "row", "line_no", _set_of(F.col("line"), levels).alias("words"))
     size = F.size("words")
     least = F.floor((num * size + (den - 1)) / den).cast("int")  # the least overlap with any set: ceil(size * num / den)
-    return sets.select(*_place(docs), "line_no", F.xxhash64("words").alias("class"), size.alias("size"), _parity(F.col("words")).alias("parity"), F.slice("words", 1, size - least + 1).alias("prefix"))
-
-
-def _candidates(lines: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b: classes, a < b) that meet on a prefix word and pass the filters; materialised."""
-    classes = lines.groupBy("class").agg(F.first("size").alias("size"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))  # equal in a class
-    prefix = classes.select("class", "size", "parity", F.posexplode("prefix").alias("pos", "word"))
-    x, y = prefix.alias("x"), prefix.alias("y")
-    near = F.expr(
-        f"x.word = y.word AND x.class < y.class AND {den} * least(x.size, y.size) >= {num} * greatest(x.size, y.size)"
-        f" AND {num + den} * least(x.size - x.pos, y.size - y.pos) >= {num} * (x.size + y.size)"
-        f" AND {num + den} * (x.size + y.size - bit_count(x.parity ^ y.parity)) >= 2 * {num} * (x.size + y.size)"
+    return sets.select("doc_id", "row", "line_no", *_class("words"), size.alias("size"), _parity(F.col("words")).alias("parity"), F.slice("words", 1, size - least + 1).alias("prefix"))
+
+
+def first_lines(lines: DataFrame) -> DataFrame:
+    """One row per class: c1, c2, at (its first line's place), size, parity, prefix."""
+    first = lines.groupBy("c1", "c2").agg(F.min(F.struct(_at().alias("at"), "size", "parity", "prefix")).alias("f"))  # equal places hold equal lines
+    return first.select("c1", "c2", "f.*")
+
+
+def _can_link(x: str, y: str, num: int, den: int) -> Column:
+    """y comes before x, and length, position and parity allow a link."""
+    both, differ = f"({x}.size + {y}.size)", f"bit_count({x}.parity ^ {y}.parity)"
+    return F.expr(
+        f"{y}.at < {x}.at AND {den} * least({x}.size, {y}.size) >= {num} * greatest({x}.size, {y}.size)"
+        f" AND {num + den} * least({x}.size - {x}.pos, {y}.size - {y}.pos) >= {num} * {both}"
+        f" AND {num + den} * ({both} - {differ}) >= 2 * {num} * {both}"
     )
-    return cut(x.join(y, near).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct())
 
 
-def _sets(pairs: DataFrame, lines: DataFrame, docs: DataFrame, levels: list[int], text_col: str) -> DataFrame:
-    """class, words of the classes in ``pairs`` only, from one line each; materialised."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    place = [*_place(docs), "line_no"]
-    first = lines.groupBy("class").agg(F.min(F.struct(*place)).alias("at")).join(wanted, "class")
-    first = first.select("class", *(F.col(f"at.{c}").alias(f"of_{c}") for c in place))
-    found = _lines(docs, text_col).join(first.hint("shuffle_hash"), F.expr(" AND ".join(f"{c} {'<=>' if c == 'doc_id' else '='} of_{c}" for c in place)))
+def buckets(classes: DataFrame, num: int, den: int) -> DataFrame:
+    """word, me (c1, at, size, parity, pos), rank, n (classes in the part), best (the best candidate met at once: score, c1, at) of buckets where anything may link."""
+    # The least set that can link with another one: below, no other size is near enough.
+    least = next(s for s in range(1, 10_000) if num * (s + 1) <= den * s)
+    me = F.struct("c1", "at", "size", "parity", "pos")
+    index = classes.where(F.col("size") >= least).select("c1", "at", "size", "parity", F.posexplode("prefix").alias("pos", "word"))
+    index = index.select("word", F.pmod("c1", _parts(F.col("word"))).alias("part"), me.alias("me"))
+    part = Window.partitionBy("word", "part")
+    ordered = part.orderBy("me.at", "me.c1")
+    seen = [F.first("me").over(ordered), *(F.lag("me", k).over(ordered) for k in range(1, NEAR + 1))]
+    met = index.select("word", "part", "me", F.row_number().over(ordered).alias("rank"), *(c.alias(f"y{k}") for k, c in enumerate(seen)))
+    score = lambda y: F.expr(f"bit_count(me.parity ^ {y}.parity) / (me.size + {y}.size)")
+    best = F.least(*(F.when(_can_link("me", f"y{k}", num, den), F.struct(score(f"y{k}").alias("score"), F.col(f"y{k}.c1").alias("c1"), F.col(f"y{k}.at").alias("at"))) for k in range(NEAR + 1)))
+    judged = met.select("word", "part", "me", (F.col("rank") - 1).alias("rank"), best.alias("best"))
+    whole = judged.select("word", "me", "rank", "best", F.count("*").over(part).alias("n"), F.count("best").over(part).alias("hits"))
+    return whole.where((F.col("hits") > 0) | (F.col("n") > NEAR + 2) | (_parts(F.col("word")) > 1)).drop("hits")
+
+
+def _sets(pairs: DataFrame, rows: DataFrame, levels: list[int]) -> DataFrame:
+    """c1, at, words of the classes in ``pairs`` only, from one line each."""
+    wanted = pairs.select(F.explode(F.array("x", "y")).alias("k")).distinct().select("k.c1", "k.at", F.col("k.at.doc_id").alias("of_doc"), F.col("k.at.own").alias("of_own"), F.col("k.at.line_no").alias("of_line"))
+    own = F.when(F.col("doc_id").isNull(), F.col("row"))
+    found = _lines(rows).join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("line_no") == F.col("of_line")) & own.eqNullSafe(F.col("of_own")))
     # Of rows that share a doc_id only one may have the class's line. A filter here would become a key of the join, for all lines.
-    sets = found.select("class", _set_of(F.col("line"), levels).alias("words")).select("class", "words", F.xxhash64("words").alias("name"))
-    return cut(sets.groupBy("class").agg(F.first(F.when(F.col("name") == F.col("class"), F.col("words")), ignorenulls=True).alias("words")))
-
-
-def similar(lines: DataFrame, docs: DataFrame, levels: list[int], text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
-    """Links (a, b: classes, a < b) between different sets whose Jaccard similarity is num/den at least."""
-    pairs = _candidates(lines, num, den)
-    release(docs.sparkSession)
-    sets = _sets(pairs, lines, docs, levels, text_col)
-    release(docs.sparkSession)
-    # A pair carries a whole set to its verification. In as many slices as classes have partners, what is carried at
-    # once stays near the size of the sets themselves, at any size of the corpus.
-    slices = max(1, -(-pairs.count() // max(1, 2 * sets.count())))
-    parts = []
-    for k in range(slices):
-        parts.append(cut(_verified(pairs.where(F.pmod(F.xxhash64("b"), F.lit(slices)) == k), sets, num, den)))
-        release(docs.sparkSession)
-    return reduce(DataFrame.union, parts)
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    both = pairs.join(sets.select(F.col("class").alias("a"), F.col("words").alias("wa")), "a").join(sets.select(F.col("class").alias("b"), F.col("words").alias("wb")), "b")
-    shared = F.size(F.array_intersect("wa", "wb"))
-    return both.where((num + den) * shared >= num * (F.size("wa") + F.size("wb"))).select("a", "b")
-
-
-def judged(docs: DataFrame, text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
-    """doc_id, _row if there, line_no, class, n_links (other sets that link with this line's), removed of each line with words.
-
-    Lines without words aren't compared and never removed. Null texts have no lines. Rows that repeat a doc_id count as the
-    same document: their equal lines are at the same place, so neither is later than the other. Null ids come first; they
-    are one document, or with the _row of ``keyed`` one each.
-    """
-    spark = docs.sparkSession
-    levels = rarity(docs, text_col)
-    path = scratch(spark, "lines")
+    sets = found.select("c1", "at", _set_of(F.col("line"), levels).alias("words")).select("c1", "at", "words", F.xxhash64("words").alias("name"))
+    return sets.groupBy("c1", "at").agg(F.first(F.when(F.col("name") == F.col("c1"), F.col("words")), ignorenulls=True).alias("words"))
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, levels: list[int], num: int, den: int) -> DataFrame:
+    """x (c1, at) of the ``pairs`` (x, y) whose whole sets link."""
+    spark = rows.sparkSession
+    sets, path = stored(_sets(pairs, rows, levels), "sets")
     try:
-        line_table(docs, levels, text_col, num, den).write.parquet(path)  # compressed, and read by columns
-        lines = spark.read.parquet(path)
-        links = similar(lines, docs, levels, text_col, num, den)
-        first = lines.groupBy("class").agg(F.min(_at(lines)).alias("at"))
-        ways = links.select("a", "b").union(links.select("b", "a")).toDF("class", "other")
-        linked = ways.join(first.withColumnRenamed("class", "other"), "other").groupBy("class").agg(F.min("at").alias("other_at"), F.count("*").alias("n_links"))
-        known = first.join(linked, "class", "left").select("class", F.least("at", "other_at").alias("earliest"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-        return cut(lines.join(known, "class").select(*_place(docs), "line_no", "class", "n_links", (F.col("earliest") < _at(lines)).alias("removed")))
+        side = lambda k: sets.select(F.struct("c1", "at").alias(k), F.col("words").alias(f"w{k}"))
+        both = pairs.join(side("x"), "x").join(side("y"), "y")
+        shared = F.size(F.array_intersect("wx", "wy"))
+        return cut(both.where((num + den) * shared >= num * (F.size("wx") + F.size("wy"))).select("x").distinct())
     finally:
         remove(spark, path)
 
 
+def preceded(classes: DataFrame, rows: DataFrame, levels: list[int], num: int = 4, den: int = 5) -> DataFrame:
+    """x (c1, at) of the classes that link with an earlier one."""
+    spark, paths = rows.sparkSession, []
+    met, path = stored(buckets(classes, num, den), "buckets")
+    paths.append(path)
+    try:
+        name = lambda s: F.struct(F.col(f"{s}.c1").alias("c1"), F.col(f"{s}.at").alias("at"))
+        first = met.where("best IS NOT NULL").groupBy(name("me").alias("x")).agg(F.min("best").alias("y")).select("x", name("y").alias("y"))
+        first, path = stored(first, "pairs")
+        paths.append(path)
+        done = _verified(first, rows, levels, num, den)
+        # Open are those whose best candidate failed, and those that haven't met all before them.
+        unsure = met.where(F.col("best").isNotNull() | (F.col("rank") > NEAR + 1) | (_parts(F.col("word")) > 1)).select(name("me").alias("x")).distinct()
+        still, low, high = cut(unsure.join(done, "x", "left_anti")), 0, 64
+        while True:
+            probes = met.select("word", "n", "me", name("me").alias("x")).join(still, "x", "left_semi")
+            most = probes.agg(F.max("n").alias("n")).first()["n"]
+            if most is None or most <= low:
+                return done
+            leaders = met.where((F.col("rank") >= low) & (F.col("rank") < high)).select("word", F.col("me").alias("you"))
+            hits = probes.where(F.col("n") > low).alias("p").join(leaders.alias("l"), (F.col("p.word") == F.col("l.word")) & _can_link("me", "you", num, den))
+            pairs, path = stored(hits.select("x", name("you").alias("y")).distinct(), "pairs")
+            paths.append(path)
+            more = _verified(pairs, rows, levels, num, den)
+            done, still = done.union(more), cut(still.join(more, "x", "left_anti"))
+            low, high = high, 16 * high
+    finally:
+        for path in paths:
+            remove(spark, path)
+
+
+@contextmanager
+def judged(rows: DataFrame, num: int = 4, den: int = 5) -> Iterator[DataFrame]:
+    """doc_id, row, line_no, near (an earlier line of another set links), removed of each line with words in ``rows`` of ``_rows``.
+
+    Its tables are removed at the end of the block.
+    """
+    spark, paths = rows.sparkSession, []
+    levels = rarity(rows)
+    try:
+        lines, path = stored(line_table(rows, levels, num, den), "lines")
+        paths.append(path)
+        classes, path = stored(first_lines(lines), "classes")
+        paths.append(path)
+        late = preceded(classes, rows, levels, num, den).select("x.c1", "x.at", F.lit(True).alias("near"))
+        known = classes.select("c1", "c2", "at").join(late, ["c1", "at"], "left").select("c1", "c2", F.col("at").alias("first"), F.coalesce("near", F.lit(False)).alias("near"))
+        yield lines.select("doc_id", "row", "line_no", "c1", "c2", _at().alias("at")).join(known, ["c1", "c2"]).select("doc_id", "row", "line_no", "c1", "c2", "near", (F.col("near") | (F.col("first") < F.col("at"))).alias("removed"))
+    finally:
+        for path in paths:
+            remove(spark, path)
+
+
 def line_report(docs: DataFrame, text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
-    """One row per doc_id of ``docs``: n_lines (with words), n_removed, n_links (of its lines, summed), removed_lines (numbers from 0, comma-joined)."""
-    lines = judged(docs, text_col, num, den).dropDuplicates(["doc_id", "line_no", "class"])
-    by_doc = lines.groupBy("doc_id").agg(
-        F.count("*").alias("n_lines"), F.count_if("removed").alias("n_removed"), F.sum("n_links").alias("n_links"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("removed"), F.col("line_no")))), lambda n: n.cast("string")), ",").alias("removed_lines"),
-    )
-    ids = docs.select("doc_id").distinct()
-    none = {"n_lines": 0, "n_removed": 0, "n_links": 0, "removed_lines": ""}
-    return ids.alias("i").join(by_doc.alias("b"), F.col("i.doc_id").eqNullSafe(F.col("b.doc_id")), "left").select("i.doc_id", *(F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in none.items()))
+    """One row per doc_id of ``docs``: n_lines (with words), n_removed, n_near (lines that an earlier line of another set links with), removed_lines (numbers from 0, comma-joined).
+
+    Lines without words aren't compared and never removed. Null texts have no lines. Rows that repeat a doc_id, or have
+    none, are one document: their equal lines at one place count once, and neither is later than the other. Null ids come first.
+    Empty tables give empty ones; other columns aren't read.
+    """
+    with judged(_rows(docs, text_col, apart=False), num, den) as found:
+        lines = found.dropDuplicates(["doc_id", "line_no", "c1", "c2"])
+        numbers = F.array_sort(F.collect_list(F.when(F.col("removed"), F.col("line_no"))))
+        by_doc = lines.groupBy("doc_id").agg(
+            F.count("*").alias("n_lines"), F.count_if("removed").alias("n_removed"), F.count_if("near").alias("n_near"), F.array_join(F.transform(numbers, lambda n: n.cast("string")), ",").alias("removed_lines")
+        )
+        by_doc = cut(by_doc)
+    none = {"n_lines": 0, "n_removed": 0, "n_near": 0, "removed_lines": ""}
+    return docs.select("doc_id").distinct().alias("i").join(by_doc.alias("b"), F.col("i.doc_id").eqNullSafe(F.col("b.doc_id")), "left").select("i.doc_id", *(F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in none.items()))
 
 
 def remove_lines(docs: DataFrame, text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
-    """``docs`` with the removed lines taken out of their texts; all rows and columns stay, but for texts of which nothing is left.
+    """``docs`` with the removed lines taken out of their texts; all rows and columns stay, whatever their names, but for texts of which nothing is left.
 
     A row goes if it had lines with words and all are removed: its whole text is a repetition. Each row loses lines of its own
     only, also where others share its doc_id; rows without a doc_id are a document each, in the order they are read in.
     """
-    rows = keyed(docs, text_col)
-    gone = judged(rows, text_col, num, den).where("removed").groupBy("doc_id", "_row").agg(F.collect_set("line_no").alias("gone"))
-    gone = cut(gone)
-    release(docs.sparkSession)
-    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d._row") == F.col("g._row"))
-    full = rows.alias("d").join(gone.alias("g").hint("shuffle_hash"), same, "left")
-    left = F.filter(F.split(F.col(f"d.{text_col}"), "\n"), lambda _, k: ~F.array_contains("gone", k))
-    text = F.when(F.col("gone").isNull(), F.col(f"d.{text_col}")).otherwise(F.array_join(left, "\n"))
-    made = full.select(*(text.alias(c) if c == text_col else F.col(f"d.{c}") for c in docs.columns), F.col("gone").isNotNull().alias("_touched"))
-    return made.where(~F.col("_touched") | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).drop("_touched")
+    rows = _rows(docs, text_col, apart=True)
+    with judged(rows, num, den) as found:
+        gone = cut(found.where("removed").groupBy(F.col("doc_id").alias("of_doc"), F.col("row").alias("of_row")).agg(F.collect_set("line_no").alias("gone")))
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("row") == F.col("of_row"))
+    full = rows.join(gone.hint("shuffle_hash"), same, "left")
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda _, k: ~F.array_contains("gone", k)), "\n")
+    made = full.select("all", F.col("gone").isNotNull().alias("touched"), F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("left"))
+    made = made.where(~F.col("touched") | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
+    return made.select(*(F.col("left").alias(c) if c == text_col else F.col(f"all.`{c}`") for c in docs.columns))
 
 
 #: The same result from an inverted index of words.
@@ -211,13 +265,13 @@ cand AS (SELECT DISTINCT x.id AS a, y.id AS b FROM prefix x JOIN prefix y ON x.t
 links AS (
   SELECT a, b FROM cand JOIN classes p ON p.id = a JOIN classes q ON q.id = b WHERE 9 * len(list_intersect(p.w, q.w)) >= 4 * (p.n + q.n)
 ), ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-linked AS (SELECT a AS id, count(*) AS n_links, min(pos) AS other FROM ways JOIN classes ON id = b GROUP BY a),
-known AS (SELECT w, CASE WHEN other IS NULL OR pos < other THEN pos ELSE other END AS earliest, coalesce(n_links, 0) AS n_links FROM classes LEFT JOIN linked USING (id)),
-judged AS (SELECT doc_id, line_no, n_links, earliest < (doc_id, line_no) AS removed FROM lines JOIN known USING (w)),
+linked AS (SELECT a AS id, min(pos) AS other FROM ways JOIN classes ON id = b GROUP BY a),
+known AS (SELECT w, pos, coalesce(other < pos, false) AS near FROM classes LEFT JOIN linked USING (id)),
+judged AS (SELECT doc_id, line_no, near, near OR pos < (doc_id, line_no) AS removed FROM lines JOIN known USING (w)),
 by_doc AS (
-  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed, sum(n_links)::BIGINT AS n_links,
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed, count(*) FILTER (near) AS n_near,
     coalesce(string_agg(line_no::VARCHAR, ',' ORDER BY line_no) FILTER (removed), '') AS removed_lines FROM judged GROUP BY doc_id
 )
-SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_links, 0)::BIGINT AS n_links, coalesce(removed_lines, '') AS removed_lines
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_near, 0)::BIGINT AS n_near, coalesce(removed_lines, '') AS removed_lines
 FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN by_doc USING (doc_id)
 """

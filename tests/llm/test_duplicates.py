@@ -119,7 +119,7 @@ def brute_lines(rows):
     for i, n, s in lines:
         row = out[i]
         row[0] += 1
-        row[2] += len(near[s])
+        row[2] += any(first[o] < first[s] for o in near[s])
         if min([first[s], *(first[o] for o in near[s])]) < (i, n):
             row[1].append(n)
     return {i if i[0] else None: v for i, v in out.items()}
@@ -133,10 +133,10 @@ def test_lines_against_brute_force(spark, odd, corpus):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     want = brute_lines(rows)
     got = line_dedup.line_report(df).collect()
-    assert len(got) == len(rows) and sum(x["n_links"] for x in got) > 20
+    assert len(got) == len(rows) and sum(x["n_near"] for x in got) > 20
     for x in got:
-        n, gone, links = want.get((True, x["doc_id"]), (0, [], 0))
-        assert (x["n_lines"], x["n_removed"], x["n_links"], x["removed_lines"]) == (n, len(gone), links, ",".join(map(str, gone)))
+        n, gone, near = want.get((True, x["doc_id"]), (0, [], 0))
+        assert (x["n_lines"], x["n_removed"], x["n_near"], x["removed_lines"]) == (n, len(gone), near, ",".join(map(str, gone)))
     left = {x["doc_id"]: x["text"] for x in line_dedup.remove_lines(df).collect()}
     for i, t in rows:
         gone = set(want.get((True, i), (0, [], 0))[1])
@@ -164,6 +164,36 @@ def test_rows_that_share_an_id_lose_lines_of_their_own_only(spark):
     assert sorted((r["doc_id"], r["text"]) for r in got) == [(1, f"{one}\n{two}"), (2, three), (2, f"{three}\n{four}")]
 
 
-def test_line_plan_has_no_python(spark, odd):
-    plan = line_dedup.line_table(odd, [0] * line_dedup.BUCKETS)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and F is not None
+def families(r, n, m):
+    """n families of m different lines each that come from one line by changed words: many link with one another, and some with none."""
+    out = []
+    for f in range(n):
+        base = [f"f{f}w{k}" for k in range(18)]
+        for _ in range(m):
+            words = list(base)
+            for _ in range(r.randint(0, 3)):
+                words[r.randrange(18)] = f"x{r.randrange(10**6)}"
+            out.append(" ".join(words))
+    r.shuffle(out)
+    return [(k, "\n".join(out[k * 5 : k * 5 + 5])) for k in range(len(out) // 5)]
+
+
+@pytest.mark.parametrize("near,part", [(4, 1 << 20), (1, 1 << 20), (2, 8)])
+def test_large_families_in_blocks_and_parts(spark, monkeypatch, near, part):
+    monkeypatch.setattr(line_dedup, "NEAR", near)
+    monkeypatch.setattr(line_dedup, "PART", part)
+    rows = families(random.Random(8), 3, 200)
+    want = brute_lines(rows)
+    got = line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {x["doc_id"]: [x["n_lines"], x["removed_lines"], x["n_near"]] for x in got} == {i: [n, ",".join(map(str, gone)), k] for (_, i), (n, gone, k) in want.items()}
+
+
+def test_line_plans_have_no_python(spark, odd):
+    rows = line_dedup._rows(odd, "text", apart=True)
+    lines = line_dedup.line_table(rows, [0] * line_dedup.BUCKETS)
+    classes = line_dedup.first_lines(lines)
+    met = line_dedup.buckets(classes, 4, 5)
+    pairs = met.select(F.struct("me.c1", "me.at").alias("x"), F.struct("best.c1", "best.at").alias("y"))
+    for df in (lines, classes, met, line_dedup._sets(pairs, rows, [0] * line_dedup.BUCKETS), line_dedup.line_report(odd), line_dedup.remove_lines(odd)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
