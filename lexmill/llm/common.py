@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: What a word is, everywhere in this subpackage. bytes.split() of UTF-8 gives the same words.
@@ -17,10 +19,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's spark.checkpoint.dir.
 
-    Only where that is unset (as in tests on one machine) a temporary folder is set.
+    Where that is unset, a temporary folder is set if the master is local (as in tests), and else this raises.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not named and not re.match(r"local(\[|\Z)", sc.master):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexmill-"))
     return named or sc.getCheckpointDir()
@@ -29,7 +33,8 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so that nothing before it runs twice.
 
-    The files go when the JVM no longer refers to them (spark.cleaner.referenceTracking.cleanCheckpoints).
+    The files go when the JVM no longer refers to them, if spark.cleaner.referenceTracking.cleanCheckpoints is on. For large
+    tables there is ``Tables``, whose files go when told to.
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
@@ -39,21 +44,6 @@ def cut(df: DataFrame) -> DataFrame:
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``df`` written as Parquet in the shared folder and read again, and its path, for ``remove``. Its shuffle files are gone by then."""
-    spark, path = df.sparkSession, scratch(df.sparkSession, name)
-    before = spark.conf.get(_CLEAN, None)
-    spark.conf.set(_CLEAN, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEAN)
-        else:
-            spark.conf.set(_CLEAN, before)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
@@ -64,6 +54,71 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Tables:
+    """Tables in the shared folder that live as long as a block: ``with Tables(spark) as keep: df = keep(df, name)``.
+
+    Shuffle files of the queries that run in the block, but for checkpoints, go as each query ends, so disk is what is kept and one
+    query's shuffles. What isn't kept is planned anew where it is used again.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def __enter__(self) -> Tables:
+        self.before = self.spark.conf.get(_CLEAN, None)
+        self.spark.conf.set(_CLEAN, "true")
+        return self
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch(self.spark, name)
+        df.write.parquet(path)
+        self.paths[name] = [*self.paths.get(name, []), path]
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def read(self, name: str) -> DataFrame:
+        """The table kept last under this name."""
+        return self.spark.read.parquet(self.paths[name][-1])
+
+    def drop(self, *names: str) -> None:
+        """Remove the tables kept under these names."""
+        for name in names:
+            for path in self.paths.pop(name, []):
+                remove(self.spark, path)
+
+    def __exit__(self, *_) -> None:
+        if self.before is None:
+            self.spark.conf.unset(_CLEAN)
+        else:
+            self.spark.conf.set(_CLEAN, self.before)
+        self.drop(*list(self.paths))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where ``df`` has columns of those names."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def sift(keys: DataFrame, *columns: str, bits: int = 20) -> Callable[..., Column]:
+    """A test of fixed size whether values may be among those of some columns: true for all that are, and for few others while there are few.
+
+    It keeps rows that can't join from being shuffled; nulls count as values.
+    """
+    spot = lambda *c: F.shiftrightunsigned(F.xxhash64(*c), 64 - bits)
+    bit = lambda *c: spot(*c).bitwiseAND(F.lit(63)).cast("int")
+    found = keys.groupBy(F.shiftright(spot(*columns), 6).alias("cell")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit(*columns))).alias("bits"))
+    cells = [0] * (1 << (bits - 6))
+    for r in found.collect():  # at most 2 ** (bits - 6) rows
+        cells[r["cell"]] = r["bits"]
+    table = F.split(F.lit(",".join(map(str, cells))), ",").cast("array<bigint>")  # folded to a constant
+    return lambda *c: F.call_function("shiftright", table[F.shiftright(spot(*c), 6).cast("int")], bit(*c)).bitwiseAND(F.lit(1)) == 1
+
+
 _shipped: set[str] = set()
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, mapped, rows_of, ship
+from .common import Tables, cut, mapped, rows_of, ship, sift
 
 _U = np.uint64
 
@@ -212,28 +212,30 @@ def intersections(one: list[np.ndarray], two: list[np.ndarray], i: np.ndarray, j
     return total[np.searchsorted(rows, i), np.searchsorted(cols, j)].astype(np.int64)
 
 
-def candidate_links(rows: DataFrame, docs: DataFrame, scheme: Scheme, id_col: str, text_col: str, block: int = 256) -> DataFrame:
-    """Links (a, b: digests) between classes, from ``rows`` of ``sketch`` and their texts."""
+def candidate_links(rows: DataFrame, docs: DataFrame, scheme: Scheme, id_col: str, text_col: str, keep: Tables, block: int = 256) -> DataFrame:
+    """Links (a, b: digests) between classes, from ``rows`` of ``sketch`` and their texts; read them while ``keep`` holds."""
     reps = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("at"), F.first("keys").alias("keys"))
     keys = reps.select(F.explode("keys").alias("key"), "digest")
     several = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("digest").alias("low")).where("n > 1")
-    edges = cut(keys.join(several, "key").select("key", "digest", "low"))
+    edges = keep(keys.join(several, "key").select("key", "digest", "low"), "edges")
     # Candidates near one another get one home: the least class over their buckets, and over those buckets' classes.
     home = edges.groupBy("digest").agg(F.min("low").alias("home"))
     for _ in range(2):
         low = edges.join(home, "digest").groupBy("key").agg(F.min("home").alias("low2"))
         home = edges.join(low, "key").groupBy("digest").agg(F.min("low2").alias("home"))
-    home = cut(home)
+    home = keep(home, "home")
     salts = home.groupBy("home").agg(F.ceil(F.count("*") / block).alias("salts"))
-    member = cut(home.join(salts, "home").select("digest", F.struct("home", F.pmod(F.xxhash64("digest"), "salts").alias("salt")).alias("block")))
+    member = keep(home.join(salts, "home").select("digest", F.struct("home", F.pmod(F.xxhash64("digest"), "salts").alias("salt")).alias("block")), "member")
     at = edges.join(member, "digest").select("key", "block").distinct()
     pairs = at.alias("x").join(at.alias("y"), F.expr("x.key = y.key and x.block <= y.block")).select(F.col("x.block").alias("one"), F.col("y.block").alias("two")).distinct()
     sides = pairs.select("one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
     units = sides.join(member, "block").join(reps.select("digest", F.col("at.doc_id").alias("of_doc"), F.col("at.row").alias("of_row")), "digest")
+    units = keep(units.select("one", "two", (F.col("block") == F.col("one")).alias("first"), "digest", "of_doc", "of_row"), "units")
     text = docs.select(docs[id_col].alias("doc_id"), row_key(docs[text_col]).alias("row"), docs[text_col].alias("text"))
+    text = text.where(sift(units, "of_row")(F.col("row")))  # texts that are no candidate's aren't shuffled
     # Of equal texts without an id one is enough.
     text = text.where("doc_id IS NOT NULL").unionByName(text.where("doc_id IS NULL").dropDuplicates(["row"]))
-    full = text.join(units.hint("shuffle_hash"), F.expr("doc_id <=> of_doc AND row = of_row")).select("one", "two", (F.col("block") == F.col("one")).alias("first"), "digest", "text")
+    full = text.join(units.hint("shuffle_hash"), F.expr("doc_id <=> of_doc AND row = of_row")).select("one", "two", "first", "digest", "text")
 
     def run(table: pa.Table) -> pa.Table:
         own = {}
@@ -277,15 +279,17 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
 
 def grouped(docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, row, n_shingles, component_id, root (of the row's group of linked texts; null for empty sets)."""
-    rows = cut(sketch(docs, scheme, id_col, text_col))
-    roots = components(candidate_links(rows, docs, scheme, id_col, text_col))
-    classes = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("low"))
-    placed = classes.join(roots, F.col("digest") == F.col("node"), "left").select("digest", "low", F.coalesce("root", "digest").alias("root"))
-    ids = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    known = placed.join(ids, "root").select("digest", "root", "component_id")
-    out = rows.drop("keys").join(known, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "row", "n_shingles", component.alias("component_id"), "root")
+    with Tables(docs.sparkSession) as keep:
+        rows = keep(sketch(docs, scheme, id_col, text_col), "sketch")
+        links = keep(candidate_links(rows, docs, scheme, id_col, text_col, keep), "links")
+        roots = components(links)
+        classes = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("low"))
+        placed = classes.join(roots, F.col("digest") == F.col("node"), "left").select("digest", "low", F.coalesce("root", "digest").alias("root"))
+        ids = placed.groupBy("root").agg(F.min("low").alias("component_id"))
+        known = keep(placed.join(ids, "root").select("digest", "root", "component_id"), "known")
+        out = rows.drop("keys").join(known, "digest", "left")
+        component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+        return cut(out.select("doc_id", "row", "n_shingles", component.alias("component_id"), "root"))
 
 
 def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
