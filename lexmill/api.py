@@ -8,8 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions import text
 from .operators import export, index, merge, rank
-from .runtime import publish
+from .runtime import publish, write_json
+from .schema import GIVEN
 from .sources import catalog as C
 
 
@@ -28,32 +30,50 @@ class Lexicon:
     def ingest(self, catalog: list[dict]) -> DataFrame:
         """Read, check and merge all sources of a catalog; the lexicon changes as a whole or not at all. Returns counts (source, metric, n).
 
-        A source that yields no row raises.
+        A source of which no row is left after the rejects raises.
         """
         ranking = {s["id"]: s["format"] for s in catalog if s["format"] in (C.COSTS, C.CLICKS)}
         read = {s["id"]: C.read(self.spark, s) for s in catalog}
-        empty = [i for i, (rows, _) in read.items() if rows.isEmpty()]
-        if empty:
-            raise ValueError(f"{', '.join(empty)} produced no vocabulary")
         frames = lambda keep: [r for i, (r, _) in read.items() if keep(ranking.get(i))]
         blank = self.spark.createDataFrame([], C.PARSED)
         union = lambda parts: reduce(DataFrame.unionByName, parts, blank)
         words, costs, clicks = (union(frames(lambda f, k=k: f == k)) for k in (None, C.COSTS, C.CLICKS))
         valid = merge.checked(costs).where("reject IS NULL").drop("reading").withColumnRenamed("key", "reading")
-        titles = clicks.where(F.col("surface") != "").withColumn("clicks", F.col("cost").cast("long"))
+        titles = clicks.where(text.is_valid_surface(F.col("surface"))).withColumn("clicks", F.col("cost").cast("long"))
         counted = reduce(DataFrame.unionByName, (c.withColumn("source", F.lit(i)) for i, (_, c) in read.items())).select("source", "metric", "n")
+        rejected = merge.reject_counts(words).unionByName(merge.reject_counts(costs)).unionByName(merge.title_counts(clicks))
         parts = {
             "entries": merge.entries(words).repartitionByRange("reading", "surface").sortWithinPartitions("reading", "surface", "source", "kind"), "costs": merge.least_costs(valid),
-            "clicks": merge.total_clicks(titles, cost="clicks"), "sources": C.source_table(self.spark, catalog), "counts": counted.unionByName(merge.reject_counts(words)),
+            "clicks": merge.total_clicks(titles, cost="clicks"), "sources": C.source_table(self.spark, catalog), "counts": counted.unionByName(rejected),
         }
 
         def writer(_, place: str) -> None:
             for name, df in parts.items():
                 df.write.mode("overwrite").parquet(f"{place}/{name}")
+            made = {name: self.spark.read.parquet(f"{place}/{name}") for name in ("entries", "costs", "clicks")}
+            found = merge.per_source(made["entries"].select("source", "confidence").unionByName(reduce(DataFrame.unionByName, (made[k].select("source", F.lit(GIVEN).alias("confidence")) for k in ("costs", "clicks")))), list(read))
+            unique = {r["id"]: r for r in found.collect()}  # one row per source
+            if empty := [i for i in read if not unique[i]["n"]]:
+                raise ValueError(f"{', '.join(empty)} produced no vocabulary")
+            totals = merge.totals(made["entries"]).first().asDict() | merge.ranking_totals(made["costs"], made["clicks"]).first().asDict()
+            by_source = {r["source"]: {} for r in found.select(F.col("id").alias("source")).collect()}
+            for r in self.spark.read.parquet(f"{place}/counts").collect():  # a dozen rows per source
+                by_source[r["source"]][r["metric"]] = r["n"]
+            for i, r in unique.items():
+                by_source[i] |= {"unique_source_pairs": r["n"]} | ({"okuri_generated_unique_pairs": r["generated"]} if r["generated"] else {})
+            write_json(self.spark, f"{place}/report.json", by_source | {"totals": totals})
 
         publish(parts["sources"], self.path, writer)
         return self.table("counts")
 
+    def report(self) -> dict:
+        """What the last ingest counted: by source, and in total."""
+        return json.loads(self.spark.read.option("wholetext", "true").text(f"{self.path}/report.json").first()[0])
+
+    def traced(self) -> DataFrame:
+        """Each entry with the version and the licence of its source."""
+        return merge.traced(self.table("entries"), self.table("sources"))
+
     def list_sources(self) -> DataFrame:
         """id, version, license in the catalog's order."""
         get = lambda k: F.get_json_object("metadata", f"$.{k}").alias(k)

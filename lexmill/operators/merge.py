@@ -69,12 +69,29 @@ def reject_counts(parsed: DataFrame) -> DataFrame:
     return rows.select("source", metric.alias("metric")).groupBy("source", "metric").agg(F.count("*").alias("n"))
 
 
+def title_counts(parsed: DataFrame) -> DataFrame:
+    """source, metric, n of rows that only have a title: rows parsed, titles rejected."""
+    metric = F.explode(F.filter(F.array(F.lit("parsed_pairs"), F.when(~text.is_valid_surface(F.col("surface")), "invalid_surface")), lambda x: x.isNotNull()))
+    return parsed.select("source", metric.alias("metric")).groupBy("source", "metric").agg(F.count("*").alias("n"))
+
+
 def totals(merged: DataFrame) -> DataFrame:
-    """One row over ENTRIES: different readings, nasi and ari pairs, pairs that are generated only."""
-    pairs = merged.groupBy("reading", "surface", "kind").agg((F.max("confidence") == GENERATED).alias("made"), (F.min("confidence") == GENERATED).alias("only"))
-    return pairs.agg(
-        F.countDistinct("reading").alias("readings"), F.count_if(F.col("kind") == NASI).alias("nasi_pairs"), F.count_if(F.col("kind") != NASI).alias("ari_pairs"), F.count_if(F.col("made") & F.col("only")).alias("generated_pairs")
-    )
+    """One row over ENTRIES: different nasi readings, nasi pairs, ari pairs, ari pairs that no source gives."""
+    pairs = merged.groupBy("reading", "surface", "kind").agg(F.bool_and(F.col("confidence") == GENERATED).alias("made"))
+    nasi = F.col("kind") == NASI
+    return pairs.agg(F.countDistinct(F.when(nasi, F.col("reading"))).alias("readings"), F.count_if(nasi).alias("nasi_pairs"), F.count_if(~nasi).alias("ari_pairs"), F.count_if(~nasi & F.col("made")).alias("generated_pairs"))
+
+
+def ranking_totals(costs: DataFrame, clicks: DataFrame) -> DataFrame:
+    """One row: different pairs with a word cost, different titles with clicks."""
+    pairs = costs.agg(F.countDistinct("reading", "surface").alias("ranking_pairs"))
+    return pairs.join(F.broadcast(clicks.agg(F.countDistinct("surface").alias("ranking_titles"))), F.lit(True))  # one row each
+
+
+def traced(merged: DataFrame, sources: DataFrame, fields: tuple[str, ...] = ("version", "license")) -> DataFrame:
+    """``provenance`` with what the sources' metadata say about each row's source; rows of unlisted sources stay, with nulls."""
+    about = sources.select(F.col("id").alias("source"), *(F.get_json_object("metadata", f"$.{f}").alias(f) for f in fields))
+    return provenance(merged).join(about, "source", "left")
 
 
 def per_source(merged: DataFrame, ids: list[str]) -> DataFrame:

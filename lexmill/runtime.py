@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import re
 import tempfile
+import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,18 +34,79 @@ def _path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where that is unset and the master is local."""
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not named and not re.match(r"local(\[|\Z)", sc.master):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexmill-"))
+    return (named or sc.getCheckpointDir()).rstrip("/")
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A path in the shared folder that is gone after the block."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        p, fs = _path(spark, path)
+        fs.delete(p, True)
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` as a checkpoint in the shared folder: read many times, computed once."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _move(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"can't move {source} to {target}")
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Put back what ``publish`` had moved aside when it was broken off between its two moves."""
+    (target, fs), (old, _) = _path(spark, path), _path(spark, f"{path}.old")
+    if fs.exists(old) and not fs.exists(target):
+        _move(fs, old, target)
+
+
 def publish(df: DataFrame, path: str, writer) -> None:
-    """Write beside ``path`` by ``writer(df.write, place)``, then put the result in its place; what was there stays if writing fails."""
+    """Write beside ``path`` by ``writer(df.write, place)``, then put the result in its place; what was there stays if anything fails."""
     spark = df.sparkSession
-    new, old = f"{path}.new", f"{path}.old"
-    (target, fs), (new_p, _), (old_p, _) = _path(spark, path), _path(spark, new), _path(spark, old)
+    recover(spark, path)
+    (target, fs), (new, _), (old, _) = _path(spark, path), _path(spark, f"{path}.new"), _path(spark, f"{path}.old")
     try:
-        writer(df.write.mode("overwrite"), new)
+        writer(df.write.mode("overwrite"), f"{path}.new")
+        fs.delete(old, True)
+        there = fs.exists(target)
+        if there:
+            _move(fs, target, old)
+        try:
+            _move(fs, new, target)
+        except BaseException:
+            if there:
+                _move(fs, old, target)
+            raise
     except BaseException:
-        fs.delete(new_p, True)
+        fs.delete(new, True)
         raise
-    fs.delete(old_p, True)
+    fs.delete(old, True)
+
+
+def write_json(spark: SparkSession, path: str, value) -> None:
+    """A JSON document as one file, there as a whole or not at all."""
+    (target, fs), (new, _), (old, _) = _path(spark, path), _path(spark, f"{path}.new"), _path(spark, f"{path}.old")
+    out = fs.create(new, True)
+    try:
+        out.write(bytearray((json.dumps(value, ensure_ascii=False, indent=2) + "\n").encode()))
+    finally:
+        out.close()
+    fs.delete(old, False)
     if fs.exists(target):
-        fs.rename(target, old_p)
-    fs.rename(new_p, target)
-    fs.delete(old_p, True)
+        _move(fs, target, old)
+    _move(fs, new, target)
+    fs.delete(old, False)

@@ -47,6 +47,51 @@ def test_from_files_to_dictionary(spark, tmp_path, catalog):
     assert sorted(map(str, lex.table("entries").collect())) == before
 
 
+def test_report_and_provenance(spark, tmp_path, catalog):
+    lex = Lexicon(spark, str(tmp_path / "lex"))
+    lex.ingest(catalog)
+    report = lex.report()
+    assert report["totals"] == {"readings": 3, "nasi_pairs": 7, "ari_pairs": 2, "generated_pairs": 0, "ranking_pairs": 2, "ranking_titles": 1}
+    assert report["extra"]["unique_source_pairs"] == 4 and report["mozc"]["parsed_pairs"] == 2 and report["clicks"] == {"parsed_pairs": 1, "unique_source_pairs": 1}
+    rows = {(r["surface"], r["version"], r["license"]) for r in lex.traced().collect()}
+    assert ("検索", "1", "GPL") in rows and ("蚊", None, None) in rows
+
+
+def test_source_of_rejects_only_raises(spark, tmp_path, catalog):
+    lex = Lexicon(spark, str(tmp_path / "lex"))
+    (tmp_path / "b").write_bytes("漢\t漢\n*\t犬\n".encode())
+    with pytest.raises(ValueError, match="extra produced no vocabulary"):
+        lex.ingest(catalog)
+    assert not (tmp_path / "lex").exists()
+
+
+@pytest.mark.parametrize("broken", [1, 2])
+def test_failed_moves_lose_nothing(spark, tmp_path, monkeypatch, broken):
+    from lexmill import runtime
+
+    path, write = str(tmp_path / "t"), lambda w, at: w.parquet(at)
+    runtime.publish(spark.range(3), path, write)
+    moves, move = [], runtime._move
+
+    def breaks(fs, a, b):
+        moves.append(a)
+        if len(moves) == broken:
+            raise OSError("can't move")
+        move(fs, a, b)
+
+    monkeypatch.setattr(runtime, "_move", breaks)
+    with pytest.raises(OSError):
+        runtime.publish(spark.range(5), path, write)
+    assert spark.read.parquet(path).count() == 3 and sorted(x.name for x in tmp_path.iterdir() if not x.name.startswith(".")) == ["t"]
+    monkeypatch.setattr(runtime, "_move", move)
+    (tmp_path / "t").rename(tmp_path / "t.old")  # as if the driver was lost between the two moves
+    runtime.publish(spark.range(7), path, write)
+    assert spark.read.parquet(path).count() == 7 and not (tmp_path / "t.old").exists()
+    runtime.write_json(spark, str(tmp_path / "j.json"), {"a": ["あ"]})
+    runtime.write_json(spark, str(tmp_path / "j.json"), {"a": ["い"]})
+    assert json.loads((tmp_path / "j.json").read_text()) == {"a": ["い"]}
+
+
 def test_stream_folds_as_batches_do(spark, tmp_path):
     rows = [("s", k, "か" if k % 2 else "き", f"字{k % 5}", "p", "nasi", "all", k % 7, None, None, "upstream-provided") for k in range(60)]
     df = spark.createDataFrame(rows, PARSED)
