@@ -75,6 +75,20 @@ def select(catalog: list[dict], ids: list[str] | None) -> list[str]:
     return [k for k in known if not ids or k in ids]
 
 
+def ranked_behind(made: DataFrame, *order: str) -> DataFrame:
+    """Generated rows with a rank behind all given ones, in this order; numbers have gaps, no two are equal."""
+    return made.orderBy(*order).withColumn("rank", F.lit(1 << 60) + F.monotonically_increasing_id())
+
+
+def newest_month(listing: DataFrame, file: str, tries: int = 3) -> str:
+    """Of a listing (month as YYYY-MM, file), the newest month that has the file, among the newest ``tries`` months."""
+    months = listing.select("month").distinct().orderBy(F.desc("month")).limit(tries)
+    found = months.join(listing.where(F.col("file") == F.replace(F.lit(file), F.lit("{month}"), F.col("month"))), "month", "left_semi").agg(F.max("month")).first()[0]
+    if found is None:
+        raise ValueError(f"none of the newest {tries} months has {file}")
+    return found
+
+
 @register("skk")
 def _keyed(spark, source):
     rows = files.read_keyed(spark, source["path"], source.get("encoding", "utf-8"))
@@ -113,8 +127,7 @@ def _analyser(spark, source):
     plain = rows.select("reading", "surface", "pos", F.when(inflected, SEARCH_ONLY).otherwise(ALL).alias("scope"), "cost", "rank")
     lemmas = rows.where((F.col("left_id") != -1) & F.col("part").isin("動詞", "形容詞") & (F.col("lemma") != "*") & F.col("conjugation").rlike(okuri.CONJUGATIONS) & ~F.col("conjugation").isin(*okuri.EXCLUDED_CLASSES))
     made = okuri.from_lemmas(lemmas.select("lemma", "conjugation", "form", "normalized", "surface", "reading", "cost"))
-    # Generated rows come behind the others; a pair occurs once, so its own hash orders it among them.
-    made = made.withColumn("rank", F.lit(1 << 40) + F.pmod(F.xxhash64("reading", "surface"), F.lit(1 << 40)))
+    made = ranked_behind(made, "reading", "surface")
     return parsed(plain, source["id"]).unionByName(parsed(made, source["id"])), made.select(F.lit("okuri_generated").alias("metric")).groupBy("metric").agg(F.count("*").alias("n"))
 
 
@@ -130,9 +143,9 @@ def _tagged(spark, source):
     plain = rows.select("reading", "surface", "pos", F.when(F.col("search"), SEARCH_ONLY).otherwise(ALL).alias("scope"), "pri", F.col("tags").alias("inf"), "rank")
     able = ~F.col("search") & ~F.col("odd") & F.col("has_form") & (F.col("first_form") | (F.size(F.coalesce("own_pri", F.array().cast("array<string>"))) > 0))
     forms = rows.where(able).select("reading", "surface", "pri", F.col("tags").alias("inf"), "rank", F.explode("classes").alias("class"))
-    made = okuri.inflect(forms).select(
+    made = ranked_behind(okuri.inflect(forms), "rank", "class", "turn", "okuri_key", "stem").select(
         F.col("okuri_key").alias("reading"), F.col("stem").alias("surface"), F.concat_ws("|", F.lit("okuri-rule"), "class", "reading", F.col("surface")).alias("pos"),
-        F.lit(ARI).alias("kind"), F.lit(SKK_ONLY).alias("scope"), "pri", "inf", (F.lit(1 << 40) + F.col("rank")).alias("rank"), F.lit(GENERATED).alias("confidence"),
+        F.lit(ARI).alias("kind"), F.lit(SKK_ONLY).alias("scope"), "pri", "inf", "rank", F.lit(GENERATED).alias("confidence"),
     )
     counted = counts(rows.withColumn("counter", F.when(F.col("search"), "jmdict_search_only_pair"))).union(made.select(F.lit("okuri_generated").alias("metric")).groupBy("metric").agg(F.count("*").alias("n")))
     return parsed(plain, source["id"]).unionByName(parsed(made, source["id"])), counted

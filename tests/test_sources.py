@@ -133,3 +133,38 @@ def test_two_copies_are_kept_and_exported_once(spark, tmp_path):
         catalog.read(spark, {"id": "one", "format": "x", "path": path})
     with pytest.raises(ValueError, match="unknown sources: a, b"):
         catalog.select([{"id": "one"}], ["b", "a"])
+
+
+def test_tab_pairs(spark, tmp_path):
+    rows = files.read_tab_pairs(spark, write(tmp_path / "d", 'あ\t"亜\tx"\nい\t\n'.encode())).orderBy("rank").collect()
+    assert [(r["reading"], r["surface"]) for r in rows] == [("あ", '"亜\tx"'), ("い", "")]
+    with pytest.raises(Exception, match="a pair line has a tab"):
+        files.read_tab_pairs(spark, write(tmp_path / "e", "あ 亜\n".encode())).collect()
+
+
+def test_entities_of_a_document_type():
+    head = b"""<?xml version="1.0"?><!DOCTYPE d [<!ELEMENT d ANY><!ENTITY % p "no"><!ENTITY a 'it&#39;s "a"'><!ENTITY b "b &amp; c"><!ENTITY c "b &amp; c">]><d>&a;</d>"""
+    assert files.entities(head) == {"it's \"a\"": "a", "b &amp; c": "b"} and files.entities(b"<d/>") == {}
+
+
+def test_brackets_in_candidate_lists(spark):
+    rows = ["a/(b (c/d)/e/f)/g", "[x/y/]/z", "a(b/c)/(d/[e/)/f", "(a)/(/)/]/b"]
+    df = spark.createDataFrame([(k, r.split("/")) for k, r in enumerate(rows)], "k int, f array<string>")
+    got = {r["k"]: r["b"] for r in df.select("k", files.bracketed(df["f"]).alias("b")).collect()}
+    assert got == {0: [False, True, True, True, True, False], 1: [True, True, True, False], 2: [False, False, True, True, True, False], 3: [True, True, True, False, False]}
+
+
+def test_generated_rows_have_ranks_of_their_own(spark, tmp_path):
+    xml = """<?xml version="1.0"?><!DOCTYPE d [<!ENTITY v1 "one"><!ENTITY v5r "five">]><d><entry><k_ele><keb>着る</keb></k_ele><r_ele><reb>きる</reb></r_ele><sense><pos>&v1;</pos><pos>&v5r;</pos></sense></entry></d>"""
+    rows, _ = catalog.read(spark, {"id": "jmdict", "format": "jmdict", "path": write(tmp_path / "d", xml.encode())})
+    made = rows.where("kind = 'ari'").orderBy("rank").collect()
+    assert len({r["rank"] for r in made}) == len(made) > 4 and min(r["rank"] for r in made) > 1 << 59
+    classes = [r["pos"].split("|")[1] for r in made]
+    assert classes == sorted(classes) and set(classes) == {"v1", "v5r"}
+
+
+def test_newest_month(spark):
+    listing = spark.createDataFrame([("2026-05", "x-2026-05.gz"), ("2026-06", "x-2026-06.gz"), ("2026-07", "y"), ("2026-08", "y")], "month string, file string")
+    assert catalog.newest_month(listing, "x-{month}.gz") == "2026-06"
+    with pytest.raises(ValueError, match="newest 2 months"):
+        catalog.newest_month(listing, "x-{month}.gz", tries=2)
