@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import costs as C
 from ..functions import text
-from .rank import ORDER
+from .rank import ORDER, positions
 
 QUANTILES = (0.01, 0.02, 0.05, *(k / 20 for k in range(2, 20)), 0.95, 0.98, 0.99)
 
@@ -88,6 +88,39 @@ def rule_precision(generated: DataFrame, truth: DataFrame, by_letter: bool = Fal
     return out.withColumn("low", low).withColumn("high", high).orderBy("grouping", F.desc("pairs"), "label")
 
 
+def ratio_text(hits: Column, total: Column) -> Column:
+    """"0.750 (3/4)" with thousands separated, or n/a without any trial."""
+    return F.when(total > 0, F.format_string("%.3f (%,d/%,d)", hits / total, hits, total)).otherwise("n/a")
+
+
+def unknown_sample(generated: DataFrame, truth: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """key, stem, labels of ``n`` generated pairs whose key the truth lacks, drawn by a seeded hash: the same on every run."""
+    outside = generated.join(truth.select("key").distinct(), "key", "left_anti")
+    pairs = outside.groupBy("key", "stem").agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(":", "source", "class"))), " ").alias("labels"))
+    return pairs.orderBy(F.sha2(F.concat_ws("\t", F.lit(str(seed)), "key", "stem"), 256), "key", "stem").limit(n)
+
+
+def evaluate_rules(generated: DataFrame, truth: DataFrame, by_letter: bool = False, sample: int = 0, seed: int = 0) -> dict[str, DataFrame]:
+    """How good generated pairs (key, stem, source, class) are against given ones (key, stem): by_group, total (one row), and sample if asked for."""
+    own, pairs = truth.select("key", "stem").distinct(), generated.select("key", "stem").distinct()
+    marked = pairs.join(own.select("key").distinct().withColumn("known", F.lit(True)), "key", "left").join(own.withColumn("hit", F.lit(True)), ["key", "stem"], "left")
+    size = own.agg(F.count("*").alias("truth"))
+    total = marked.agg(F.count("*").alias("pairs"), F.count_if("known").alias("key_known"), F.count_if("hit").alias("hits")).join(F.broadcast(size), F.lit(True))  # one row each
+    total = total.withColumn("precision", ratio_text(F.col("hits"), F.col("key_known"))).withColumn("recall", ratio_text(F.col("hits"), F.col("truth")))
+    out = {"by_group": rule_precision(generated, truth, by_letter), "total": total}
+    return out | ({"sample": unknown_sample(generated, truth, sample, seed)} if sample else {})
+
+
+def evaluate_order(candidates: DataFrame, ordered: DataFrame, probes: int = 8) -> dict[str, DataFrame]:
+    """How far an order (``rank.nasi_order``, with the truth's source among its ``ignored``) agrees with that of a truth's candidates (reading, surface, rank).
+
+    agreement: of neighbours; first_kinds: what stands first; probes: the first candidates of each key.
+    """
+    truth = truth_order(candidates)
+    placed = positions(ordered)
+    return {"agreement": order_agreement(truth, ordered), "first_kinds": first_kinds(placed), "probes": top(placed, probes).select("reading", "surface", "position")}
+
+
 def knots(rows: DataFrame, x: str, y: str, quantiles: Sequence[float] = QUANTILES, falling: bool = False) -> DataFrame:
     """n, x, y: matched quantiles of two scales over rows that have both; of equal x the first stays. falling: large x goes with small y."""
     q = sorted(quantiles)

@@ -41,7 +41,7 @@ def in_order(pairs: DataFrame) -> DataFrame:
 def order_errors(rows: DataFrame, line: str = "line_no", kind: str = "kind", key: str = "key") -> DataFrame:
     """Rows (line, kind, key) whose key comes back or comes before its predecessor's in the section's direction.
 
-    Predecessors are looked up by line number within blocks and across their ends, so no single task sorts all rows.
+    Predecessors are looked up by a join on the line number, so no single task sorts all rows.
     """
     nxt = rows.select((F.col(line) + 1).alias("_l"), F.col(kind).alias("_kind"), F.col(key).alias("_key"))
     joined = rows.join(nxt, F.col(line) == F.col("_l"))
@@ -53,33 +53,45 @@ def order_errors(rows: DataFrame, line: str = "line_no", kind: str = "kind", key
 def judged_pairs(pairs: DataFrame, cap: int = ENTRY_CHARS) -> DataFrame:
     """kind, key, surface, position, verdict: kept, or why not (unsupported_key, unsafe_candidate, duplicate, overlong_entry).
 
-    The cap is a greedy fit: a candidate that doesn't fit is passed over, a later shorter one may still fit.
+    The cap is a greedy fit: a candidate that doesn't fit is passed over, a later shorter one may still fit. Where all of a key's
+    candidates fit together, as a running sum shows, nothing has to be tried one after the other.
     """
     ok_key, ok_value = text.is_valid_dictionary_key(F.col("kind"), F.col("key")), text.is_valid_candidate(F.col("surface"))
+    wrong = F.when(~ok_key, "unsupported_key").when(~ok_value, "unsafe_candidate")
     again = F.row_number().over(Window.partitionBy("kind", "key", "surface").orderBy("position")) > 1
-    rows = pairs.withColumn("verdict", F.when(~ok_key, "unsupported_key").when(~ok_value, "unsafe_candidate").when(again, "duplicate"))
-    good = rows.where("verdict IS NULL").groupBy("kind", "key").agg(F.array_sort(F.collect_list(F.struct("position", "surface"))).alias("c"))
-    fitted = good.withColumn("fits", greedy_fit(F.col("c"), F.char_length("key"), F.lit(cap))).select("kind", "key", F.explode(F.arrays_zip("c", "fits")).alias("x"))
-    placed = fitted.select("kind", "key", F.col("x.c.surface").alias("surface"), F.col("x.c.position").alias("position"), F.when(F.col("x.fits"), "kept").otherwise("overlong_entry").alias("verdict"))
-    return rows.where("verdict IS NOT NULL").select("kind", "key", "surface", "position", "verdict").unionByName(placed)
+    rows = pairs.withColumn("verdict", F.coalesce(wrong, F.when(again, "duplicate")))
+    size = F.char_length("key") + F.sum(F.when(F.col("verdict").isNull(), F.char_length("surface") + 1).otherwise(0)).over(Window.partitionBy("kind", "key"))
+    sized = rows.withColumn("_over", F.col("verdict").isNull() & (size > cap))
+    over = sized.where("_over").groupBy("kind", "key").agg(F.array_sort(F.collect_list(F.struct("position", "surface"))).alias("c"))
+    passed = F.transform(greedy_fit(F.col("c"), F.char_length("key"), F.lit(cap)), lambda x: ~x)
+    none = over.select("kind", "key", F.explode(F.arrays_zip("c", passed.alias("out"))).alias("x")).where("x.out").select("kind", "key", F.col("x.c.surface").alias("surface"), F.lit("overlong_entry").alias("late"))
+    told = sized.join(none, ["kind", "key", "surface"], "left")
+    return told.select("kind", "key", "surface", "position", F.coalesce("verdict", F.when(F.col("_over"), F.col("late")), F.lit("kept")).alias("verdict"))
 
 
 def greedy_fit(items, start, cap):
-    """For an ordered array of structs with ``surface``: which of them fit, one after the other, each adding its length and 1 to ``start``."""
+    """For an ordered array of structs with ``surface``: which of them fit, one after the other, each adding its length and 1 to ``start``.
+
+    The sizes so far come by one fold; a candidate fits if it grows them.
+    """
     step = lambda a, x: F.struct(
         F.when(a["size"] + F.char_length(x["surface"]) + 1 <= cap, a["size"] + F.char_length(x["surface"]) + 1).otherwise(a["size"]).alias("size"),
-        F.concat(a["fits"], F.array(a["size"] + F.char_length(x["surface"]) + 1 <= cap)).alias("fits"),
+        F.concat(a["fits"], F.when(a["size"] + F.char_length(x["surface"]) + 1 <= cap, "1").otherwise("0")).alias("fits"),
     )
-    zero = F.struct(start.cast("int").alias("size"), F.array().cast("array<boolean>").alias("fits"))
-    return F.aggregate(items, zero, step, lambda a: a["fits"])
+    zero = F.struct(start.cast("int").alias("size"), F.lit("").alias("fits"))
+    return F.transform(F.filter(F.split(F.aggregate(items, zero, step, lambda a: a["fits"]), ""), lambda x: x != ""), lambda x: x == "1")
 
 
 def verdict_counts(judged: DataFrame) -> DataFrame:
-    """metric, n: pairs in, pairs and keys out by kind, and pairs by what was wrong."""
+    """metric, n: pairs in, pairs and keys out by kind, and pairs by what was wrong. One pass: pairs are counted by key first."""
     kept = F.col("verdict") == "kept"
-    metric = F.explode(F.array(F.lit("input_pairs"), F.when(kept, F.concat("kind", F.lit("_pairs"))).otherwise(F.concat("verdict", F.lit("_pairs")))))
-    readings = judged.where(kept).select("kind", "key").distinct().select(F.concat("kind", F.lit("_readings")).alias("metric"))
-    return judged.select(metric.alias("metric")).union(readings).groupBy("metric").agg(F.count("*").alias("n"))
+    by_key = judged.groupBy("kind", "key", "verdict").agg(F.count("*").alias("n"))
+    some = [
+        F.struct(F.lit("input_pairs").alias("metric"), F.col("n").alias("n")), F.struct(F.when(kept, F.concat("kind", F.lit("_pairs"))).otherwise(F.concat("verdict", F.lit("_pairs"))).alias("metric"), F.col("n").alias("n")),
+        F.struct(F.when(kept, F.concat("kind", F.lit("_readings"))).alias("metric"), F.lit(1).cast("long").alias("n")),
+    ]
+    each = by_key.select(F.explode(F.array(*some)).alias("x")).select("x.*").where("metric IS NOT NULL")
+    return each.groupBy("metric").agg(F.sum("n").alias("n"))
 
 
 def dictionary_lines(judged: DataFrame) -> DataFrame:

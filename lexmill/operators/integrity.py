@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import io
 import json
+import os
+import re
 import tarfile
+import tempfile
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +23,11 @@ def digests(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.substring_index("path", f"/{name}/", -1).alias("path"), F.sha2("content", 256).alias("sha256"))
 
 
+def row_digests(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """key, sha256 of a text column: a listing that ``differences`` can compare."""
+    return rows.select(key, F.sha2(value, 256).alias("sha256"))
+
+
 def differences(left: DataFrame, right: DataFrame, key: str = "path", value: str = "sha256") -> DataFrame:
     """key, problem (missing, unlisted, changed) of what is in ``left`` against the list in ``right``."""
     l, r = left.select(key, F.col(value).alias("l")), right.select(key, F.col(value).alias("r"))  # noqa: E741
@@ -47,6 +55,47 @@ def unsafe_members(names: list[tuple[str, bool]]) -> list[str]:
     return out
 
 
+#: What a release's names may look like.
+REPOSITORY, TAG = r"[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+", r"[A-Za-z0-9][A-Za-z0-9._-]*"
+
+
+def release_identity(repository: str, tag: str, modifier: str, when: str) -> dict:
+    """What a release says about itself; raises where a name isn't one. when: an ISO time."""
+    if not re.fullmatch(REPOSITORY, repository):
+        raise ValueError("a repository is owner/name")
+    if not re.fullmatch(TAG, tag):
+        raise ValueError("a tag has letters, digits, dots, underscores and hyphens")
+    if not modifier.strip() or len(modifier.splitlines()) > 1 or modifier.endswith(("\n", "\r")):
+        raise ValueError("the modifier is one line")
+    return {"repository": repository, "tag": tag, "modifier": modifier, "generated_at": when}
+
+
+def write_archive(spark: SparkSession, folder: str, path: str, most: int = 2 << 30) -> dict[str, str]:
+    """A gzipped tar of a folder's files with the list of their checksums, which is returned. On the driver, file by file; more than ``most`` bytes raise."""
+    listed = {r["path"]: r["sha256"] for r in digests(spark, folder).collect() if r["path"] != LIST}  # one row per file
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    with tempfile.NamedTemporaryFile(suffix=".tar.gz") as local:
+        with tarfile.open(local.name, "w:gz", compresslevel=1) as tar:
+            def put(name: str, data: bytes) -> None:
+                info = tarfile.TarInfo(name)
+                info.size = len(data)
+                tar.addfile(info, io.BytesIO(data))
+
+            for name in sorted(listed):
+                put(name, bytes(spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/{name}").select("content").first()[0]))
+            put(LIST, json.dumps(listed, indent=2).encode())
+        if not 0 < os.path.getsize(local.name) < most:
+            raise ValueError(f"the archive has {os.path.getsize(local.name)} bytes")
+        fs.copyFromLocalFile(False, True, hadoop(local.name), hadoop(path))
+    return listed
+
+
+def rebuild_differences(spark: SparkSession, rebuilt: str, recorded: dict[str, str]) -> DataFrame:
+    """path, problem of outputs made anew against the checksums that were recorded of the first ones; empty if all are the same."""
+    return differences(digests(spark, rebuilt), listing(spark, recorded))
+
+
 def verify_archive(spark: SparkSession, path: str, required: tuple[str, ...] = ()) -> DataFrame:
     """name, problem of a gzipped tar with its own list of checksums; empty if all is well. One archive is read on the driver."""
     import hashlib

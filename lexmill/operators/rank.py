@@ -81,6 +81,21 @@ def with_order(seen: DataFrame, mozc: Column, absent_shift: Column, clicks: Colu
     )
 
 
+def with_least_cost(rows: DataFrame, costs: DataFrame, reading: str = "reading", surface: str = "surface", out: str = "word_cost") -> DataFrame:
+    """``rows`` with the least cost of their (reading, surface), null where there is none: that a word lacks one is evidence, too."""
+    least = costs.groupBy(F.col("reading").alias("_r"), F.col("surface").alias("_s")).agg(F.min("cost").alias(out))
+    return rows.join(least, (F.col(reading) == F.col("_r")) & (F.col(surface) == F.col("_s")), "left").drop("_r", "_s")
+
+
+def with_guarded_clicks(rows: DataFrame, clicks: DataFrame, signals: DataFrame, out: str = "title_clicks") -> DataFrame:
+    """``rows`` (reading, surface, ...) with the clicks of the title that is their surface; null if ``signals`` give the title to another reading, or to several."""
+    titles = clicks.groupBy(F.col("surface").alias("title")).agg(F.sum("clicks").alias("_n"))
+    owned = exclusive_owner(signals.join(titles, F.col("surface") == F.col("title"), "left_semi")).withColumnRenamed("title", "_title")
+    both = rows.join(titles, F.col("surface") == F.col("title"), "left").join(owned, F.col("surface") == F.col("_title"), "left")
+    free = F.col("n_owners").isNull() | (F.col("owner") == F.col("reading"))
+    return both.withColumn(out, F.when(free, F.col("_n"))).drop("title", "_n", "_title", "n_owners", "owner")
+
+
 def nasi_order(merged: DataFrame, ids: list[str], costs: DataFrame | None = None, clicks: DataFrame | None = None, ordered_sources: list[str] = (), shift_without_costs: bool = True, ignored: tuple[str, ...] = ()) -> DataFrame:
     """ORDER's columns, signal, reading and surface of each nasi candidate of the selected sources ``ids``.
 
@@ -95,20 +110,15 @@ def nasi_order(merged: DataFrame, ids: list[str], costs: DataFrame | None = None
     seen = evidence(move_loanword_tags(rows.withColumn("irregular", irregular)))
     mozc = F.lit(None).cast("int")
     if costs is not None:
-        least = costs.groupBy(F.col("reading").alias("_r"), F.col("surface").alias("_s")).agg(F.min("cost").alias("_mozc"))
-        seen = seen.join(least, (F.col("reading") == F.col("_r")) & (F.col("surface") == F.col("_s")), "left").drop("_r", "_s")
-        mozc = F.col("_mozc")
+        seen, mozc = with_least_cost(seen, costs), F.col("word_cost")
     counted = F.lit(None).cast("long")
     if clicks is not None:
-        titles = clicks.groupBy(F.col("surface").alias("title")).agg(F.sum("clicks").alias("_n"))
         said = (F.col("source") == FIRST_SOURCE) | ((F.col("source") == MEASURED_SOURCE) & (F.col("cost") != 0)) | ((F.col("source") == TAGGED_SOURCE) & F.col("pri").isNotNull())
         signals = base.where(said).select("reading", "surface")
         if costs is not None:
             all_costs = costs.groupBy("reading", "surface").agg(F.min("cost").alias("cost"))
             signals = signals.union(all_costs.where(C.is_plausible(F.col("surface"), F.col("cost"))).select("reading", "surface"))
-        owned = exclusive_owner(signals.join(titles, F.col("surface") == F.col("title"), "left_semi")).withColumnRenamed("title", "_title")
-        seen = seen.join(titles, F.col("surface") == F.col("title"), "left").join(owned, F.col("surface") == F.col("_title"), "left")
-        counted = F.when(F.col("n_owners").isNull() | (F.col("owner") == F.col("reading")), F.col("_n"))
+        seen, counted = with_guarded_clicks(seen, clicks, signals), F.col("title_clicks")
     out = with_order(seen, mozc, F.lit(costs is not None or shift_without_costs), counted, list(ordered_sources))
     return out.select("reading", "signal", *ORDER)
 
@@ -124,9 +134,8 @@ def ari_order(merged: DataFrame, ids: list[str], ordinals: dict[str, int], costs
     made = rows.where(F.col("confidence") == GENERATED).withColumn("irregular", F.coalesce(F.arrays_overlap("inf", F.array(*map(F.lit, IRREGULAR_TAGS))), F.lit(False))).withColumn("base", okuri.base_of(F.col("pos")))
     mozc = F.lit(None).cast("int")
     if costs is not None:
-        least = costs.groupBy(F.col("reading").alias("_r"), F.col("surface").alias("_s")).agg(F.min("cost").alias("mozc"))
-        made = made.join(least, (F.col("base.reading") == F.col("_r")) & (F.col("base.surface") == F.col("_s")), "left")
-        mozc = F.col("mozc")
+        made = made.withColumn("base_reading", F.col("base.reading")).withColumn("base_surface", F.col("base.surface"))
+        made, mozc = with_least_cost(made, costs, "base_reading", "base_surface", "mozc"), F.col("mozc")
     generated = with_order(evidence(made), mozc, F.lit(costs is not None), F.lit(None).cast("long"), []).select("reading", "signal", *ORDER)
     return upstream.unionByName(generated.join(given, ["reading", "surface"], "left_anti"))
 

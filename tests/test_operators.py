@@ -183,3 +183,34 @@ def test_archives(spark, tmp_path):
     assert integrity.verify_folder(spark, str(folder)).count() == 0
     (folder / "d/b").write_bytes(b"2")
     assert [tuple(r) for r in integrity.verify_folder(spark, str(folder)).collect()] == [("d/b", "unlisted")]
+
+
+def test_rules_against_a_truth(spark):
+    made = spark.createDataFrame([("かk", "書", "a", "v5k"), ("かk", "書", "b", "v5k"), ("みr", "見", "a", "v1"), ("zz", "字", "a", "v1"), ("yy", "字", "b", "v1")], "key string, stem string, source string, class string")
+    truth = spark.createDataFrame([("かk", "書"), ("みr", "観"), ("みr", "観")], "key string, stem string")
+    out = evaluate.evaluate_rules(made, truth, by_letter=True, sample=1)
+    total = out["total"].first()
+    assert (total["pairs"], total["key_known"], total["hits"], total["truth"], total["precision"], total["recall"]) == (4, 2, 1, 2, "0.500 (1/2)", "0.500 (1/2)")
+    assert {r["grouping"] for r in out["by_group"].collect()} == {"source", "class", "source/class", "letter"}
+    drawn = [evaluate.evaluate_rules(made, truth, sample=1)["sample"].collect() for _ in range(2)]
+    assert drawn[0] == drawn[1] and drawn[0][0]["key"] in ("zz", "yy")
+
+
+def test_archive_round_trip(spark, tmp_path):
+    (tmp_path / "stage" / "sub").mkdir(parents=True)
+    (tmp_path / "stage" / "a.txt").write_text("one")
+    (tmp_path / "stage" / "sub" / "b.txt").write_text("two")
+    listed = integrity.write_archive(spark, str(tmp_path / "stage"), str(tmp_path / "x.tar.gz"))
+    assert set(listed) == {"a.txt", "sub/b.txt"} and integrity.verify_archive(spark, str(tmp_path / "x.tar.gz"), ("a.txt",)).count() == 0
+    assert integrity.rebuild_differences(spark, str(tmp_path / "stage"), listed).count() == 0
+    (tmp_path / "stage" / "a.txt").write_text("changed")
+    assert [r["problem"] for r in integrity.rebuild_differences(spark, str(tmp_path / "stage"), listed).collect()] == ["changed"]
+    with pytest.raises(ValueError, match="bytes"):
+        integrity.write_archive(spark, str(tmp_path / "stage"), str(tmp_path / "y.tar.gz"), most=10)
+
+
+def test_release_identity():
+    assert integrity.release_identity("o/r", "v1.0", "Ann", "2026-01-01")["tag"] == "v1.0"
+    for bad in (("o", "v1", "Ann"), ("o/r", "-v", "Ann"), ("o/r", "v1", " "), ("o/r", "v1", "a\nb")):
+        with pytest.raises(ValueError):
+            integrity.release_identity(*bad, "2026-01-01")
