@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import costs as C
-from ..functions import sequence, text
+from ..functions import okuri, sequence, text
 from ..operators import evaluate, export, index, integrity, merge, rank
+from ..runtime import materialized, scratch
 from ..schema import ALL, ARI, GENERATED, GIVEN, NASI, SKK_ONLY
+from ..sources import catalog, files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,14 +82,83 @@ def q03_merge(spark, sf_dir):
     return merge.fold(lexicon(spark, sf_dir)).withColumn("pri", F.array_join("pri", "|")).drop("inf")
 
 
-@query("SELECT doc_id, translate(lower(trim(text)), '.,;', '') AS cleaned FROM documents")
-def q01_cleaned(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.translate(F.lower(F.trim("text")), ".,;", "").alias("cleaned"))
+@query(f"WITH {TOK} done AS (SELECT 1) SELECT DISTINCT token, lower(token) AS search_key FROM tok")
+def q01_search_keys(spark, sf_dir):
+    return tokens(spark, sf_dir).select("token").distinct().withColumn("search_key", text.search_key(F.col("token")))
 
 
-@query(f"WITH {TOK} done AS (SELECT 1) SELECT doc_id, token, min(pos)::BIGINT AS first_pos, count(*) AS n FROM tok GROUP BY ALL")
-def q02_first_places(spark, sf_dir):
-    return tokens(spark, sf_dir).groupBy("doc_id", "token").agg(F.min("pos").cast("long").alias("first_pos"), F.count("*").alias("n"))
+@query(f"""
+WITH {TOK} line AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'か' || doc_id || 'あk' ELSE 'key' || doc_id END AS reading, CASE WHEN doc_id % 2 = 0 THEN 'ari' ELSE 'nasi' END AS kind, coalesce(len(p), 0) AS n FROM parts)
+SELECT reading, kind, CASE kind WHEN 'ari' THEN 'skk' ELSE 'all' END AS scope, token AS surface, NULL AS counter, count(*) AS n FROM line JOIN tok USING (doc_id) GROUP BY ALL
+UNION ALL SELECT reading, NULL, NULL, NULL, 'skk_okuri_entry', 1 FROM line WHERE kind = 'ari'
+UNION ALL SELECT reading, NULL, NULL, NULL, 'skk_special_candidate', 1 FROM line WHERE n = 0""")
+def q02_keyed_files(spark, sf_dir):
+    """Each document as an entry of a keyed dictionary, under the header of its section; written, and read back."""
+    even = F.col("doc_id") % 2 == 0
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[^A-Za-z]+"), lambda x: x != "")
+    key = F.when(even, F.concat(F.lit("か"), F.col("doc_id").cast("string"), F.lit("あk"))).otherwise(F.concat(F.lit("key"), F.col("doc_id").cast("string")))
+    line = F.concat(F.when(even, files.ARI_HEADER).otherwise(files.NASI_HEADER), F.lit("\n"), key, F.lit(" /"), F.array_join(F.transform(words, lambda w: F.concat(w, F.lit(";a note"))), "/"), F.lit("/"))
+    with scratch(spark, "keyed") as path:
+        table(spark, sf_dir, "documents").select(line).write.text(path)
+        rows = files.read_keyed(spark, path)
+        return materialized(rows.groupBy("reading", "kind", "scope", "surface", "counter").agg(F.count("*").alias("n")))
+
+
+@query(f"WITH {TOK} done AS (SELECT 1) SELECT lower(token) AS reading, token AS surface, min(pos % 500)::INT AS cost FROM tok WHERE pos % 11 <> 0 GROUP BY ALL")
+def q37_word_cost_files(spark, sf_dir):
+    """Words as lines of word costs, of which those with a flag don't count."""
+    pos, word = F.col("pos"), F.col("token")
+    line = F.concat_ws("\t", F.lower(word), F.lit("7"), F.lit("8"), (pos % 500).cast("string"), word, F.when(pos % 11 == 0, "flag"))
+    with scratch(spark, "costs") as path:
+        tokens(spark, sf_dir).select(line).write.text(path)
+        return materialized(merge.least_costs(files.read_word_costs(spark, path).where(~F.col("flagged")), ("reading", "surface")))
+
+
+@query(f"WITH {TOK} done AS (SELECT 1) SELECT token || ' ' || lang AS surface, sum(pos % 90 + 1)::BIGINT AS clicks FROM tok GROUP BY ALL")
+def q38_click_files(spark, sf_dir):
+    """Words as lines of clicks on titles, gzipped."""
+    line = F.concat_ws("\t", F.lit("other-search"), F.concat_ws("_", "token", "lang"), F.lit("external"), (F.col("pos") % 90 + 1).cast("string"))
+    with scratch(spark, "clicks") as path:
+        tokens(spark, sf_dir).select(line).write.option("compression", "gzip").text(path)
+        return materialized(merge.total_clicks(files.read_clicks(spark, path), ("surface",), "clicks"))
+
+
+@query(f"""WITH {TOK} r AS (SELECT DISTINCT lower(token) AS reading, token || chr(9) || '"' || lang AS surface FROM tok) SELECT reading, list_sort(list(surface)) AS surfaces FROM r GROUP BY reading""")
+def q39_tab_pair_files(spark, sf_dir):
+    """Pairs split at the first tab, quotes and further tabs kept; grouped as the index has them."""
+    line = F.concat(F.lower("token"), F.lit("\t"), F.col("token"), F.lit('\t"'), F.col("lang"))
+    with scratch(spark, "pairs") as path:
+        tokens(spark, sf_dir).select(line).write.text(path)
+        return materialized(index.grouped(files.read_tab_pairs(spark, path)))
+
+
+@query(f"""WITH {TOK} done AS (SELECT 1) SELECT lower(token) AS reading, token || ' "' || lang || '"' AS surface, count(*) AS n FROM tok GROUP BY ALL""")
+def q40_quoted_pair_files(spark, sf_dir):
+    """Pairs in quoted fields."""
+    line = F.concat(F.lower("token"), F.lit('\t"'), F.col("token"), F.lit(' ""'), F.col("lang"), F.lit('"""'))
+    with scratch(spark, "quoted") as path:
+        tokens(spark, sf_dir).select(line).write.text(path)
+        return materialized(files.read_pairs(spark, path).groupBy("reading", "surface").agg(F.count("*").alias("n")))
+
+
+@query(f"""
+WITH {TOK} d AS (SELECT DISTINCT doc_id, token FROM tok), f AS (SELECT doc_id, min(token) AS first FROM d GROUP BY doc_id)
+SELECT lower(token) AS reading, token AS surface, 'a noun, "common"' AS pos, token = first AS first_form, 'iK' AS inf, CASE WHEN doc_id % 2 = 0 THEN 'news1' ELSE '' END AS shared, count(*) AS n FROM d JOIN f USING (doc_id) GROUP BY ALL""")
+def q41_xml_files(spark, sf_dir):
+    """Each document as an XML entry: words as forms, in small letters as readings that are restricted to them, codes as entities of the DTD."""
+    words = F.array_sort(F.array_distinct(F.filter(F.split(F.coalesce("text", F.lit("")), "[^A-Za-z]+"), lambda x: x != "")))
+    given = F.when(F.col("doc_id") % 2 == 0, "news1").otherwise("gai1")
+    forms = F.array_join(F.transform("words", lambda w: F.concat(F.lit("<k_ele><keb>"), w, F.lit("</keb><ke_pri>news1</ke_pri><ke_inf>&iK;</ke_inf></k_ele>"))), "")
+    by_reading = F.transform("words", lambda w: F.concat(F.lit("<r_ele><reb>"), F.lower(w), F.lit("</reb><re_restr>"), w, F.lit("</re_restr><re_pri>"), given, F.lit("</re_pri></r_ele>")))
+    entry = F.concat(F.lit("<entry>"), forms, F.array_join(by_reading, ""), F.lit("<sense><pos>&n;</pos></sense></entry>"))
+    head = """<?xml version="1.0" encoding="UTF-8"?><!DOCTYPE d [<!ENTITY n 'a noun, "common"'><!ENTITY iK "irregular kanji form">]><d>"""
+    docs = table(spark, sf_dir, "documents").withColumn("words", words).where(F.size("words") > 0)
+    with scratch(spark, "xml") as path:  # a document of XML per file, of some hundred entries
+        parts = docs.groupBy(F.floor(F.col("doc_id") / 300).alias("part")).agg(F.concat(F.lit(head), F.array_join(F.collect_list(entry), ""), F.lit("</d>")).alias("value"))
+        parts.write.partitionBy("part").text(path)
+        rows = files.read_xml(spark, f"{path}/*", okuri.INFLECTIONS)
+        shared = F.array_join(F.array_intersect("own_pri", "reading_pri"), "|").alias("shared")
+        return materialized(rows.select("reading", "surface", "pos", "first_form", F.array_join("inf", "|").alias("inf"), shared).groupBy("reading", "surface", "pos", "first_form", "inf", "shared").agg(F.count("*").alias("n")))
 
 
 @query("""
@@ -123,7 +194,7 @@ def q07_total_clicks(spark, sf_dir):
 
 @query(f"""
 WITH {LEXICON} pairs AS (SELECT reading, surface, kind, max(confidence) = 'rule-generated' AS made FROM merged GROUP BY ALL)
-SELECT count(DISTINCT reading) AS readings, count(*) FILTER (kind = 'nasi') AS nasi_pairs, count(*) FILTER (kind <> 'nasi') AS ari_pairs, count(*) FILTER (made) AS generated_pairs FROM pairs""")
+SELECT count(DISTINCT reading) FILTER (kind = 'nasi') AS readings, count(*) FILTER (kind = 'nasi') AS nasi_pairs, count(*) FILTER (kind <> 'nasi') AS ari_pairs, count(*) FILTER (made AND kind <> 'nasi') AS generated_pairs FROM pairs""")
 def q08_totals(spark, sf_dir):
     return merge.totals(merge.fold(lexicon(spark, sf_dir)))
 
@@ -139,9 +210,22 @@ def q09_rejects(spark, sf_dir):
     return merge.reject_counts(words.withColumn("reading", F.col("surface")))
 
 
-@query("SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus IN ('O', 'P')")
+@query("SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')")
 def q10_selected(spark, sf_dir):
-    return table(spark, sf_dir, "orders").where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & F.col("o_orderstatus").isin("O", "P")).select("o_orderkey", "o_orderpriority")
+    """Rows of the sources that a selection names; one that the catalog lacks would raise."""
+    orders = table(spark, sf_dir, "orders")
+    listed = [{"id": r["id"]} for r in orders.select(F.col("o_orderpriority").alias("id")).distinct().orderBy("id").collect()]  # five priorities
+    return orders.where(F.col("o_orderpriority").isin(catalog.select(listed, ["1-URGENT", "2-HIGH"]))).select("o_orderkey", "o_orderpriority")
+
+
+@query("""
+WITH c AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem), own AS (SELECT l_partkey AS t, CASE WHEN count(DISTINCT l_suppkey) = 1 THEN min(l_suppkey) END AS owner FROM lineitem WHERE l_quantity > 40 GROUP BY 1)
+SELECT l_partkey AS surface, l_suppkey AS reading, CASE WHEN t IS NULL OR owner = l_suppkey THEN p_size END::BIGINT AS title_clicks FROM c LEFT JOIN part ON p_partkey = l_partkey LEFT JOIN own ON t = l_partkey""")
+def q14_owner_guard(spark, sf_dir):
+    """Clicks count for a candidate unless signals give its title to another reading, or to several."""
+    pairs = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("surface"), F.col("l_suppkey").alias("reading"), "l_quantity")
+    clicks = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("surface"), F.col("p_size").cast("long").alias("clicks"))
+    return rank.with_guarded_clicks(pairs.select("surface", "reading").distinct(), clicks, pairs.where("l_quantity > 40").select("reading", "surface"))
 
 
 @query(f"WITH {LEXICON} done AS (SELECT 1) SELECT DISTINCT reading, surface FROM merged WHERE source IN ('en', 'fr') AND kind = 'nasi' AND scope IN ('all', 'migemo')")
@@ -171,10 +255,10 @@ def _chain(x: str, knots) -> str:
 _NAMES = {"en": "skk-l", "de": "sudachi-small", "fr": "jmdict", "es": "jawiki"}
 _NAME_SQL = "CASE lang " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _NAMES.items()) + " ELSE 'other' END"
 RANKED = TOK + f"""
-named AS (SELECT substr(lower(token), 1, 2) AS reading, token AS surface, CASE WHEN doc_id % 3 = 0 THEN 'jawiki' ELSE {_NAME_SQL} END AS source, doc_id * 1000000 + pos AS rank, (pos % 500)::INT AS cost, CASE WHEN pos % 7 = 0 THEN 1 + (pos % 48) END AS nf FROM tok WHERE length(token) > 4),
+named AS (SELECT coalesce(nullif(regexp_replace(lower(token), '[aeiou]', '', 'g'), ''), lower(token)) AS reading, token AS surface, CASE WHEN doc_id % 3 = 0 THEN 'jawiki' ELSE {_NAME_SQL} END AS source, doc_id * 1000000 + pos AS rank, (pos % 500)::INT AS cost, CASE WHEN pos % 7 = 0 THEN 1 + (pos % 48) END AS nf FROM tok),
 e AS (SELECT reading, surface, source, min(rank) AS rank, min(cost) AS cost, arg_min(nf, rank) FILTER (nf IS NOT NULL) AS nf FROM named GROUP BY ALL),
-mz AS (SELECT reading, surface, min(1000 + (length(surface) * 797) % 12000)::INT AS cost FROM e WHERE rank % 4 = 0 GROUP BY ALL),
-ck AS (SELECT surface, sum(rank % 900 + 1)::BIGINT AS clicks FROM e WHERE rank % 5 = 0 GROUP BY ALL),
+mz AS (SELECT reading, surface, min(1000 + (length(surface) * 797) % 12000)::INT AS cost FROM e WHERE contains(surface, 'n') GROUP BY ALL),
+ck AS (SELECT surface, sum(rank % 900 + 1)::BIGINT AS clicks FROM e WHERE contains(surface, 'e') GROUP BY ALL),
 sig AS (
   SELECT reading, surface FROM e WHERE source = 'skk-l' OR (source = 'sudachi-small' AND cost <> 0) OR (source = 'jmdict' AND nf IS NOT NULL) UNION SELECT reading, surface FROM mz WHERE cost >= 1000
 ), own AS (SELECT surface, CASE WHEN count(DISTINCT reading) = 1 THEN min(reading) END AS owner FROM sig WHERE surface IN (SELECT surface FROM ck) GROUP BY surface),
@@ -199,22 +283,27 @@ z AS (
 
 
 def named_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ENTRIES: words by their first two letters."""
+    """ENTRIES: words by what is left of them without vowels."""
     lang = F.create_map(*(F.lit(x) for kv in _NAMES.items() for x in kv))
     pos, word = F.col("pos"), F.col("token")
-    rows = tokens(spark, sf_dir).where(F.length("token") > 4).select(
-        F.substring(F.lower(word), 1, 2).alias("reading"), word.alias("surface"), F.when(F.col("doc_id") % 3 == 0, "jawiki").otherwise(F.coalesce(F.try_element_at(lang, F.col("lang")), F.lit("other"))).alias("source"),
+    bare = F.regexp_replace(F.lower(word), "[aeiou]", "")
+    key = F.when(bare != "", bare).otherwise(F.lower(word))
+    rows = tokens(spark, sf_dir).select(
+        key.alias("reading"), word.alias("surface"), F.when(F.col("doc_id") % 3 == 0, "jawiki").otherwise(F.coalesce(F.try_element_at(lang, F.col("lang")), F.lit("other"))).alias("source"),
         F.lit(NASI).alias("kind"), F.lit(ALL).alias("scope"), (F.col("doc_id") * 1000000 + pos).alias("rank"), (pos % 500).alias("cost"), F.when(pos % 7 == 0, F.array(F.concat(F.lit("nf"), F.lpad((1 + pos % 48).cast("string"), 2, "0")))).alias("pri"),
-        F.lit("").alias("pos"), F.substring(F.lower(word), 1, 2).alias("original_reading"), F.lit(GIVEN).alias("confidence"), F.lit(None).cast("array<string>").alias("inf"),
+        F.lit("").alias("pos"), key.alias("original_reading"), F.lit(GIVEN).alias("confidence"), F.lit(None).cast("array<string>").alias("inf"),
     )
     return merge.fold(rows)
 
 
+def ordered(merged: DataFrame, ignored: tuple[str, ...] = ()) -> DataFrame:
+    costs = merged.where(F.contains("surface", F.lit("n"))).select("reading", "surface", (1000 + (F.length("surface") * 797) % 12000).cast("int").alias("cost"))
+    clicks = merged.where(F.contains("surface", F.lit("e"))).select("surface", (F.col("rank") % 900 + 1).alias("clicks"))
+    return rank.nasi_order(merged, [*_NAMES.values(), "other"], costs, clicks, ["jawiki"], ignored=ignored)
+
+
 def ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = named_lexicon(spark, sf_dir)
-    costs = merged.where("rank % 4 = 0").select("reading", "surface", (1000 + (F.length("surface") * 797) % 12000).cast("int").alias("cost"))
-    clicks = merged.where("rank % 5 = 0").select("surface", (F.col("rank") % 900 + 1).alias("clicks"))
-    return rank.positions(rank.nasi_order(merged, [*_NAMES.values(), "other"], costs, clicks, ["jawiki"]))
+    return rank.positions(ordered(materialized(named_lexicon(spark, sf_dir))))
 
 
 @query(f"WITH {RANKED} SELECT reading, surface, signal::INT AS signal, tier::INT AS tier, order_cost::BIGINT AS order_cost, minus_families::BIGINT AS minus_families, tie_clicks::BIGINT AS tie_clicks, tie_source, tie_rank::BIGINT AS tie_rank, position::INT AS position FROM placed")
@@ -227,14 +316,25 @@ def q35_top(spark, sf_dir):
     return evaluate.top(ranking(spark, sf_dir)).select("reading", "surface", "position")
 
 
+#: The order without the first source's evidence; what only that source has stands behind all.
+_BEHIND = "(1, 18001, 0, 0, '', 0, surface)"
+AGREED = RANKED.replace("AS fb\n  FROM e GROUP BY ALL", "AS fb\n  FROM e WHERE source <> 'skk-l' GROUP BY ALL")
+
+
 @query(f"""
-WITH {RANKED}, pairs AS (
-  SELECT position, surface, lead(surface) OVER w AS nxt, signal IS NOT NULL AND lead(signal) OVER w IS NOT NULL AS signal FROM placed WINDOW w AS (PARTITION BY reading ORDER BY position)
-), n AS (SELECT *, surface < nxt AS lexical FROM pairs WHERE nxt IS NOT NULL), s AS (SELECT 'adjacent' AS scope, * FROM n UNION ALL SELECT 'first-two', * FROM n WHERE position = 0)
-SELECT scope, count(*) AS n, count(*) AS agree, count(*) FILTER (lexical) AS lexical, count(*) FILTER (signal) AS signal, count(*) FILTER (signal) AS signal_agree FROM s GROUP BY scope""")
+WITH {AGREED}, firsts AS (SELECT reading, surface, min(rank) AS rank FROM e GROUP BY ALL), truth AS (
+  SELECT reading, surface, row_number() OVER (PARTITION BY reading ORDER BY rank, surface) - 1 AS position FROM firsts QUALIFY count(*) OVER (PARTITION BY reading) > 1
+), seen AS (
+  SELECT reading, surface, truth.position, signal, CASE WHEN tier IS NULL THEN {_BEHIND} ELSE (tier, order_cost, minus_families, tie_clicks, tie_source, tie_rank, surface) END AS place FROM truth LEFT JOIN ranked USING (reading, surface)
+), pairs AS (
+  SELECT position, surface, place, signal, lead(surface) OVER w AS nxt, lead(place) OVER w AS nxt_place, lead(signal) OVER w AS nxt_signal FROM seen WINDOW w AS (PARTITION BY reading ORDER BY position)
+), n AS (SELECT position, place < nxt_place AS agree, surface < nxt AS lexical, signal IS NOT NULL AND nxt_signal IS NOT NULL AS signal FROM pairs WHERE nxt IS NOT NULL),
+s AS (SELECT 'adjacent' AS scope, * FROM n UNION ALL SELECT 'first-two', * FROM n WHERE position = 0)
+SELECT scope, count(*) AS n, count(*) FILTER (agree) AS agree, count(*) FILTER (lexical) AS lexical, count(*) FILTER (signal) AS signal, count(*) FILTER (signal AND agree) AS signal_agree FROM s GROUP BY scope""")
 def q23_agreement(spark, sf_dir):
-    order = ranking(spark, sf_dir)
-    return evaluate.order_agreement(order.where(F.col("reading").isNotNull()).select("reading", "surface", "position"), order.drop("position"))
+    """How far the order without one source agrees with the candidates' order in the corpus; some candidates only that source has."""
+    merged = materialized(named_lexicon(spark, sf_dir))
+    return evaluate.evaluate_order(merged, ordered(merged, ("skk-l",)))["agreement"]
 
 
 @query(f"""
@@ -250,11 +350,11 @@ def q19_rule_precision(spark, sf_dir):
 
 @query("""
 WITH c AS (SELECT event_type, count(*) FILTER (value > 50) AS h, count(*) AS n FROM events GROUP BY event_type), p AS (SELECT *, h / n::DOUBLE AS p, 1.96::DOUBLE AS z FROM c)
-SELECT event_type, h AS hits, n, round((p + z*z/(2*n) - z*sqrt(p*(1-p)/n + z*z/(4.0*n*n))) / (1 + z*z/n), 6) AS low, round((p + z*z/(2*n) + z*sqrt(p*(1-p)/n + z*z/(4.0*n*n))) / (1 + z*z/n), 6) AS high FROM p""")
+SELECT event_type, h AS hits, n, round((p + z*z/(2*n) - z*sqrt(p*(1-p)/n + z*z/(4.0*n*n))) / (1 + z*z/n), 6) AS low, round((p + z*z/(2*n) + z*sqrt(p*(1-p)/n + z*z/(4.0*n*n))) / (1 + z*z/n), 6) AS high, format('{:.3f} ({:,}/{:,})', p, h, n) AS ratio FROM p""")
 def q25_wilson(spark, sf_dir):
     c = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count_if(F.col("value") > 50).alias("hits"), F.count("*").alias("n"))
     low, high = evaluate.wilson(F.col("hits"), F.col("n"))
-    return c.withColumn("low", F.round(low, 6)).withColumn("high", F.round(high, 6))
+    return c.withColumn("low", F.round(low, 6)).withColumn("high", F.round(high, 6)).withColumn("ratio", evaluate.ratio_text(F.col("hits"), F.col("n")))
 
 
 @query(f"SELECT doc_id, ({_chain('n_chars', C.MOZC_KNOTS)})::INT AS word_cost, ({_chain('n_chars', C.CLICK_KNOTS)})::INT AS click_cost FROM documents")
@@ -296,6 +396,20 @@ def q22_greedy_fit(spark, sf_dir):
     return items.withColumn("fits", fits).select("doc_id", F.explode(F.arrays_zip("c", "fits")).alias("x")).select("doc_id", "x.c.line_no", "x.fits")
 
 
+@query(f"""
+WITH RECURSIVE {LINES} j AS (SELECT doc_id, line_no, line, line = '' OR regexp_matches(line, '[/;#\\[\\]]') OR line LIKE '(%' AS bad, row_number() OVER (PARTITION BY doc_id, line ORDER BY line_no) > 1 AS again FROM lines),
+g AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS k FROM j WHERE NOT bad AND NOT again), f(doc_id, k, size, fits) AS (
+  SELECT doc_id, 0::BIGINT, 3 + length(doc_id::VARCHAR), false FROM documents UNION ALL
+  SELECT f.doc_id, g.k, CASE WHEN f.size + length(g.line) + 1 <= 900 THEN f.size + length(g.line) + 1 ELSE f.size END, f.size + length(g.line) + 1 <= 900 FROM f JOIN g ON g.doc_id = f.doc_id AND g.k = f.k + 1
+), v AS (SELECT 'input_pairs' AS metric FROM j UNION ALL SELECT 'unsafe_candidate_pairs' FROM j WHERE bad UNION ALL SELECT 'duplicate_pairs' FROM j WHERE NOT bad AND again
+  UNION ALL SELECT CASE WHEN fits THEN 'nasi_pairs' ELSE 'overlong_entry_pairs' END FROM f WHERE k > 0 UNION ALL SELECT 'nasi_readings' FROM (SELECT DISTINCT doc_id FROM f WHERE fits))
+SELECT metric, count(*) AS n FROM v GROUP BY metric""")
+def q51_capped_entries(spark, sf_dir):
+    """Lines as candidates of their document's key, of which some entries are too long."""
+    rows = lines(spark, sf_dir).select(F.lit(NASI).alias("kind"), F.concat(F.lit("key"), F.col("doc_id").cast("string")).alias("key"), F.col("line").alias("surface"), F.col("line_no").alias("position"))
+    return export.verdict_counts(export.judged_pairs(rows, cap=900))
+
+
 @query("""
 WITH p AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'ari' ELSE 'nasi' END AS kind, doc_id // 10 AS k, string_split_regex(text, '[ \\n]+') AS w FROM documents),
 r AS (SELECT kind, CASE WHEN kind = 'ari' THEN 'か' || k || 'あk' ELSE 'key' || k END AS key, unnest(w) AS surface, generate_subscripts(w, 1) - 1 AS i FROM p), d AS (SELECT kind, key, surface, min(i) AS i, count(*) AS n FROM r GROUP BY ALL)
@@ -309,29 +423,31 @@ def q36_verdicts(spark, sf_dir):
     return export.verdict_counts(export.judged_pairs(d.select("kind", "key", "surface", (F.col("doc_id") * 1_000_000 + F.col("i")).alias("position")), cap=1 << 30))
 
 
-@query("SELECT doc_id, sha256(text) AS digest FROM documents")
+@query("SELECT doc_id, sha256(text) AS sha256 FROM documents")
 def q30_digests(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("digest"))
+    return integrity.row_digests(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 @query("""
-WITH l AS (SELECT doc_id, sha256(text) AS h FROM documents WHERE doc_id % 7 <> 0), r AS (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'x' ELSE sha256(text) END AS h FROM documents WHERE doc_id % 5 <> 0)
+WITH l AS (SELECT doc_id, sha256(text) AS h FROM documents), r AS (SELECT doc_id, sha256(trim(lower(text))) AS h FROM documents WHERE lang <> 'fr' UNION ALL SELECT -1 - doc_id, sha256(lang) FROM documents WHERE lang = 'fr')
 SELECT doc_id, CASE WHEN l.h IS NULL THEN 'missing' WHEN r.h IS NULL THEN 'unlisted' ELSE 'changed' END AS problem FROM l FULL JOIN r USING (doc_id) WHERE l.h IS NULL OR r.h IS NULL OR l.h <> r.h""")
 def q31_listing(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("h"))
-    listed = d.where("doc_id % 5 <> 0").withColumn("h", F.when(F.col("doc_id") % 11 == 0, "x").otherwise(F.col("h")))
-    return integrity.differences(d.where("doc_id % 7 <> 0"), listed, "doc_id", "h")
+    """Documents against a list in which one language's have other names, and texts are in small letters."""
+    d = table(spark, sf_dir, "documents")
+    french = F.col("lang") == "fr"
+    listed = d.select(F.when(french, -1 - F.col("doc_id")).otherwise(F.col("doc_id")).alias("doc_id"), F.when(french, F.col("lang")).otherwise(F.trim(F.lower("text"))).alias("text"))
+    return integrity.differences(integrity.row_digests(d, "doc_id", "text"), integrity.row_digests(listed, "doc_id", "text"), "doc_id")
 
 
-@query("""
-WITH r AS (SELECT DISTINCT substr(text, 1, 2) AS reading, lang AS surface, CASE WHEN doc_id % 3 = 0 THEN 'skk' WHEN doc_id % 3 = 1 THEN 'sudachi' ELSE 'jmdict' END AS kind FROM documents),
+@query(f"""
+WITH {TOK} r AS (SELECT DISTINCT lower(token) AS reading, token AS surface, CASE lang WHEN 'en' THEN 'skk' WHEN 'de' THEN 'sudachi' ELSE 'jmdict' END AS kind FROM tok),
 s AS (SELECT reading, surface, list_sort(list(kind)) AS kinds FROM r GROUP BY ALL), m AS (SELECT 'candidates_' || CASE WHEN list_contains(kinds, 'skk') THEN 'skk' ELSE array_to_string(kinds, '+') END AS metric FROM s
   UNION ALL SELECT 'keys' FROM (SELECT DISTINCT reading FROM s) UNION ALL SELECT 'keys_with_upstream' FROM (SELECT DISTINCT reading FROM r WHERE kind = 'skk'))
 SELECT metric, count(*) AS n FROM m GROUP BY metric""")
 def q32_origins(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    given = F.col("doc_id") % 3 == 0
-    rows = d.select(F.substring("text", 1, 2).alias("reading"), F.col("lang").alias("surface"), F.when(given, "skk-l").when(F.col("doc_id") % 3 == 1, "sudachi-core").otherwise("jmdict").alias("source"), F.lit(ARI).alias("kind"), F.lit(SKK_ONLY).alias("scope"), F.when(given, GIVEN).otherwise(GENERATED).alias("confidence"))
+    lang = F.col("lang")
+    source = F.when(lang == "en", "skk-l").when(lang == "de", "sudachi-core").otherwise("jmdict")
+    rows = tokens(spark, sf_dir).select(F.lower("token").alias("reading"), F.col("token").alias("surface"), source.alias("source"), F.lit(ARI).alias("kind"), F.lit(SKK_ONLY).alias("scope"), F.when(lang == "en", GIVEN).otherwise(GENERATED).alias("confidence"))
     return rank.origins(rows, ["skk-l", "sudachi-core", "jmdict"])
 
 
@@ -347,18 +463,198 @@ def q34_normalized(spark, sf_dir):
 
 
 @query("""
-SELECT o_orderkey, o_custkey, c_name, c_custkey IS NULL AS absent FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON c_custkey = o_custkey""")
+SELECT l_partkey AS reading, l_suppkey AS surface, least AS word_cost, least IS NULL AS absent FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)
+LEFT JOIN (SELECT l_partkey, l_suppkey, min(l_extendedprice) AS least FROM lineitem WHERE l_quantity > 25 GROUP BY ALL) USING (l_partkey, l_suppkey)""")
 def q18_absence(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").where("c_acctbal > 0")
-    o = table(spark, sf_dir, "orders")
-    return o.join(c, o["o_custkey"] == c["c_custkey"], "left").select("o_orderkey", "o_custkey", "c_name", F.col("c_custkey").isNull().alias("absent"))
+    """The least cost of each pair, and whether it lacks one."""
+    pairs = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("reading"), F.col("l_suppkey").alias("surface"), F.col("l_extendedprice").alias("cost"), "l_quantity")
+    return rank.with_least_cost(pairs.select("reading", "surface").distinct(), pairs.where("l_quantity > 25")).withColumn("absent", F.col("word_cost").isNull())
+
+
+@query("""
+WITH r AS (SELECT p_brand AS reading, p_type AS surface, CASE WHEN p_size < 15 THEN 'skk-l' WHEN p_size < 30 THEN 'sudachi-small' WHEN p_size < 40 THEN 'sudachi-core' ELSE 'jmdict' END AS source, p_partkey AS rank, p_size AS cost, p_retailprice > 1400 AS odd FROM part)
+SELECT reading, surface, min(rank) FILTER (source = 'skk-l') AS first_rank, min(cost) FILTER (source = 'sudachi-small' AND cost <> 0)::INT AS measured_cost, bool_or(source = 'jmdict') AS is_tagged,
+  coalesce(bool_and(odd) FILTER (source = 'jmdict'), false) AS irregular, count(DISTINCT string_split(source, '-')[1]) AS families,
+  min((CASE source WHEN 'jmdict' THEN 12000 WHEN 'skk-l' THEN 18000 ELSE 13000 END, source, rank))[3] AS fallback_rank FROM r GROUP BY ALL""")
+def q20_evidence(spark, sf_dir):
+    """Rows of many sources as one row of evidence per pair: leasts, flags, counts, and the least tuple."""
+    size = F.col("p_size")
+    rows = table(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("reading"), F.col("p_type").alias("surface"), F.when(size < 15, "skk-l").when(size < 30, "sudachi-small").when(size < 40, "sudachi-core").otherwise("jmdict").alias("source"),
+        F.col("p_partkey").alias("rank"), size.alias("cost"), F.lit(None).cast("array<string>").alias("pri"), (F.col("p_retailprice") > 1400).alias("irregular"),
+    )
+    return rank.evidence(rows).select("reading", "surface", "first_rank", "measured_cost", "is_tagged", "irregular", "families", F.col("fallback.rank").alias("fallback_rank"))
+
+
+#: Words as ari candidates: two languages' are given, two languages' are generated, with the dictionary form that they come from.
+ARI_ROWS = TOK + """
+a AS (
+  SELECT lower(token) || 'k' AS reading, upper(substr(token, 1, 1)) || CASE WHEN pos % 2 = 0 THEN lang ELSE token END AS surface, CASE lang WHEN 'en' THEN 'skk-l' WHEN 'de' THEN 'sudachi-small' WHEN 'fr' THEN 'jmdict' ELSE 'jawiki' END AS source,
+    doc_id * 1000000 + pos AS rank, (pos % 500)::INT AS cost, lower(token) AS base FROM tok
+), ar AS (SELECT reading, surface, source, min(rank) AS rank, min(cost) AS cost, arg_min(base, rank) AS base FROM a GROUP BY ALL),
+given AS (SELECT reading, surface, min(((source <> 'skk-l')::INT, CASE source WHEN 'jawiki' THEN 3 ELSE 0 END, rank)) AS place FROM ar WHERE source IN ('skk-l', 'jawiki') GROUP BY ALL),
+made AS (
+  SELECT reading, surface, min(cost) FILTER (source = 'sudachi-small' AND cost <> 0) AS measured, count(DISTINCT string_split(source, '-')[1]) AS families,
+    min((CASE source WHEN 'jmdict' THEN 12000 ELSE 13000 END, source, rank)) AS fb FROM ar WHERE source IN ('sudachi-small', 'jmdict') GROUP BY ALL
+), both_tiers AS (
+  SELECT reading, surface, -1 AS tier, place[1]::BIGINT AS a, place[2]::BIGINT AS b, place[3] AS c, '' AS d FROM given
+  UNION ALL SELECT reading, surface, 1, coalesce(measured, fb[1]), -families, 0, CASE WHEN measured IS NULL THEN fb[2] ELSE '' END FROM made ANTI JOIN given USING (reading, surface)
+), ari_placed AS (SELECT reading, surface, tier, row_number() OVER (PARTITION BY reading ORDER BY tier, a, b, c, d, surface) - 1 AS position FROM both_tiers)
+"""
+
+
+def ari_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pos, word, lang = F.col("pos"), F.col("token"), F.col("lang")
+    source = F.when(lang == "en", "skk-l").when(lang == "de", "sudachi-small").when(lang == "fr", "jmdict").otherwise("jawiki")
+    rows = tokens(spark, sf_dir).select(
+        F.concat(F.lower(word), F.lit("k")).alias("reading"), F.concat(F.upper(F.substring(word, 1, 1)), F.when(pos % 2 == 0, lang).otherwise(word)).alias("surface"), source.alias("source"), F.lit(ARI).alias("kind"), F.lit(SKK_ONLY).alias("scope"),
+        (F.col("doc_id") * 1000000 + pos).alias("rank"), (pos % 500).alias("cost"), F.lit(None).cast("array<string>").alias("pri"), F.concat(F.lit("okuri-rule|v5k|"), F.lower(word), F.lit("|"), word).alias("pos"),
+        F.lower(word).alias("original_reading"), F.when(lang.isin("de", "fr"), GENERATED).otherwise(GIVEN).alias("confidence"), F.lit(None).cast("array<string>").alias("inf"),
+    )
+    return merge.fold(rows)
+
+
+def ari_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = ["skk-l", "sudachi-small", "jmdict", "jawiki"]
+    return rank.positions(rank.ari_order(ari_lexicon(spark, sf_dir), ids, {s: k for k, s in enumerate(ids)}))
+
+
+@query(f"WITH {ARI_ROWS} SELECT reading, surface, tier::INT AS tier, position::INT AS position FROM ari_placed")
+def q16_two_tiers(spark, sf_dir):
+    """Given candidates by source and rank, then the generated ones that aren't given, by cost."""
+    return ari_positions(spark, sf_dir).select("reading", "surface", "tier", "position")
+
 
+@query(f"""
+WITH {ARI_ROWS}, nasi AS (SELECT lower(token) AS key, token AS surface, min(doc_id * 1000000 + pos) AS rank FROM tok GROUP BY ALL), p AS (SELECT 'nasi' AS kind, key, surface, row_number() OVER (PARTITION BY key ORDER BY rank, surface) - 1 AS position FROM nasi)
+SELECT kind, key, surface, position::INT AS position FROM p UNION ALL SELECT 'ari', reading, surface, position::INT FROM ari_placed""")
+def q42_dictionary_order(spark, sf_dir):
+    """Both sections of a dictionary, one behind the other."""
+    given = merge.fold(lexicon(spark, sf_dir).withColumn("kind", F.lit(NASI)).withColumn("scope", F.lit(ALL)).withColumn("source", F.lit("skk-l")))
+    return export.ranked_pairs(ari_positions(spark, sf_dir), rank.positions(rank.nasi_order(given, ["skk-l"])))
+
+
+_DIGITS, _KATAKANA, _HIRAGANA = "0123456789", "カキクケコサシスセソ", "かきくけこさしすせそ"
+
+
+@query(f"""
+WITH r AS (
+  SELECT p_brand AS reading, translate((p_size % 20)::VARCHAR, '{_DIGITS}', '{_KATAKANA}') AS surface, translate(p_size::VARCHAR, '{_DIGITS}', '{_KATAKANA}') AS original_reading, CASE WHEN p_retailprice > 1200 THEN 'jmdict' ELSE 'jawiki' END AS source,
+    p_partkey AS rank, p_size::INT AS cost, CASE WHEN p_retailprice > 1300 THEN 'nf01' END AS pri, false AS irregular FROM part
+), k AS (SELECT DISTINCT reading, surface AS spelling FROM r), m AS (SELECT r.*, source = 'jmdict' AND pri IS NOT NULL AND original_reading <> surface AND spelling IS NOT NULL AS moved FROM r LEFT JOIN k ON k.reading = r.reading AND k.spelling = r.original_reading)
+SELECT reading, surface, source, rank, cost, CASE WHEN NOT moved THEN pri END AS pri, irregular FROM m UNION ALL SELECT reading, original_reading, source, rank, NULL, pri, false FROM m WHERE moved""")
+def q17_loanwords(spark, sf_dir):
+    """Tags of a loanword go to the spelling of its reading, where that is a candidate of the same key."""
+    kana = lambda c: F.translate(c.cast("string"), _DIGITS, _KATAKANA)
+    rows = table(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("reading"), kana(F.col("p_size") % 20).alias("surface"), kana(F.col("p_size")).alias("original_reading"), F.when(F.col("p_retailprice") > 1200, "jmdict").otherwise("jawiki").alias("source"),
+        F.col("p_partkey").alias("rank"), F.col("p_size").cast("int").alias("cost"), F.when(F.col("p_retailprice") > 1300, F.array(F.lit("nf01"))).alias("pri"), F.lit(False).alias("irregular"),
+    )
+    return rank.move_loanword_tags(rows).withColumn("pri", F.array_join("pri", "|"))
+
+
+@query(f"""
+WITH {TOK} g AS (SELECT DISTINCT lower(token) AS key, token AS stem, lang AS source, 'c' || (length(token) % 5) AS class FROM tok WHERE lang IN ('es', 'fr')),
+t AS (SELECT DISTINCT lower(token) AS key, token AS stem FROM tok WHERE lang = 'en'), b AS (SELECT DISTINCT substr(key, 1, length(key) - 1) AS bare, stem FROM t), k AS (SELECT DISTINCT key FROM t),
+l AS (SELECT DISTINCT key, stem, 'source' AS grouping, source AS label FROM g UNION SELECT DISTINCT key, stem, 'class', class FROM g UNION SELECT DISTINCT key, stem, 'source/class', source || ' ' || class FROM g UNION SELECT DISTINCT key, stem, 'letter', right(key, 1) FROM g),
+m AS (SELECT l.*, k.key IS NOT NULL AS known, t.key IS NOT NULL AS hit, b.bare IS NOT NULL AS stemmed FROM l LEFT JOIN t ON t.key = l.key AND t.stem = l.stem LEFT JOIN k ON k.key = l.key LEFT JOIN b ON b.bare = substr(l.key, 1, length(l.key) - 1) AND b.stem = l.stem)
+SELECT grouping, label, count(*) AS pairs, count(*) FILTER (known) AS key_known, count(*) FILTER (known AND hit) AS hits, count(*) FILTER (stemmed) AS stem_known, count(*) FILTER (stemmed AND hit) AS stem_hits FROM m GROUP BY ALL""")
+def q24_groupings(spark, sf_dir):
+    """Precision by four groupings at once, the key's last letter among them."""
+    t = tokens(spark, sf_dir).select(F.lower("token").alias("key"), F.col("token").alias("stem"), F.col("lang").alias("source"), F.concat(F.lit("c"), (F.length("token") % 5).cast("string")).alias("class"))
+    return evaluate.evaluate_rules(t.where(F.col("source").isin("es", "fr")), t.where(F.col("source") == "en"), by_letter=True)["by_group"].drop("low", "high")
+
+
+@query(f"""
+WITH {TOK} g AS (SELECT DISTINCT lower(token) AS key, token AS stem, lang AS source, 'c' || (length(token) % 5) AS class FROM tok WHERE lang IN ('es', 'fr')), o AS (SELECT key, stem, string_agg(DISTINCT source || ':' || class, ' ' ORDER BY source || ':' || class) AS labels FROM g WHERE key NOT IN (SELECT lower(token) FROM tok WHERE lang = 'en') GROUP BY ALL)
+SELECT key, stem, labels FROM o ORDER BY sha256('0' || chr(9) || key || chr(9) || stem), key, stem LIMIT 50""")
+def q43_sample(spark, sf_dir):
+    """A seeded sample of generated pairs whose key isn't known."""
+    t = tokens(spark, sf_dir).select(F.lower("token").alias("key"), F.col("token").alias("stem"), F.col("lang").alias("source"), F.concat(F.lit("c"), (F.length("token") % 5).cast("string")).alias("class"))
+    return evaluate.evaluate_rules(t.where(F.col("source").isin("es", "fr")), t.where(F.col("source") == "en"), sample=50)["sample"]
+
+
+_LATIN, _HIRA, _KATA = "abcdefghijklmnopqrstuvwxyz", "あいうえおかきくけこさしすせそたちつてとなにぬねのは", "アイウエオカキクケコサシスセソタチツテトナニヌネノハ"
+
+
+@query(f"""
+WITH {TOK} c AS (
+  SELECT translate(lower(token), 'aeiou', 'あえいおう') AS reading, CASE pos % 3 WHEN 0 THEN token WHEN 1 THEN translate(lower(token), '{_LATIN}', '{_HIRA}') ELSE translate(lower(token), '{_LATIN}', '{_KATA}') END AS surface, doc_id * 1000000 + pos AS rank FROM tok
+), f AS (SELECT reading, surface, min(rank) AS rank FROM c GROUP BY ALL), h AS (SELECT reading, min(surface) AS lexical, arg_min(surface, rank) AS ordered FROM f GROUP BY reading HAVING count(*) > 1),
+e AS (SELECT 'lexical' AS label, lexical AS s FROM h WHERE NOT regexp_full_match(reading, '[\x00-\x7F]*') UNION ALL SELECT 'ordered', ordered FROM h WHERE NOT regexp_full_match(reading, '[\x00-\x7F]*'))
+SELECT label, CASE WHEN regexp_full_match(s, '[\x00-\x7F]*') THEN 'ascii' WHEN regexp_full_match(s, '[ぁ-ゖ]+') THEN 'hiragana' ELSE 'katakana' END AS kind, count(*) AS n FROM e GROUP BY ALL""")
+def q28_first_kinds(spark, sf_dir):
+    """What stands first in keys that aren't ASCII, by code points and by rank."""
+    low, pos = F.lower("token"), F.col("pos")
+    surface = F.when(pos % 3 == 0, F.col("token")).when(pos % 3 == 1, F.translate(low, _LATIN, _HIRA)).otherwise(F.translate(low, _LATIN, _KATA))
+    rows = tokens(spark, sf_dir).select(F.translate(low, "aeiou", "あえいおう").alias("reading"), surface.alias("surface"), (F.col("doc_id") * 1000000 + pos).alias("rank"))
+    return evaluate.first_kinds(evaluate.truth_order(rows))
+
+
+@query(f"""
+WITH p AS (SELECT p_partkey, translate(p_partkey::VARCHAR, '{_DIGITS}', '{_HIRAGANA}') AS kana, p_size % 3 AS k FROM part), l AS (SELECT * FROM (VALUES (0, 'k'), (0, 'i'), (1, 'r'), (1, 'y'), (1, 't'), (1, 'n'), (1, 'm'), (2, 'i'), (2, 'k'), (2, 's')) AS t(k, letter))
+SELECT p_partkey, kana || letter AS okuri_key, ['書', '見', '高'][k + 1] AS stem FROM p JOIN l USING (k)""")
+def q44_inflected(spark, sf_dir):
+    """Dictionary forms of three classes as keys and stems of their inflected forms."""
+    kana, k = F.translate(F.col("p_partkey").cast("string"), _DIGITS, _HIRAGANA), F.col("p_size") % 3
+    by = lambda *v: F.when(k == 0, v[0]).when(k == 1, v[1]).otherwise(v[2])
+    forms = table(spark, sf_dir, "part").select("p_partkey", by("書く", "見る", "高い").alias("surface"), F.concat(kana, by("く", "る", "い")).alias("reading"), by("v5k", "v1", "adj-i").alias("class"))
+    return okuri.inflect(forms).select("p_partkey", "okuri_key", "stem")
+
+
+@query(f"""
+WITH p AS (SELECT translate(p_partkey::VARCHAR, '{_DIGITS}', '{_HIRAGANA}') AS kana, p_size AS cost FROM part)
+SELECT kana || letter AS reading, '書' AS surface, 'okuri-rule|五段-カ行|' || kana || 'く|書く' AS pos, cost::INT AS cost FROM p, (VALUES ('k'), ('i')) AS t(letter)""")
+def q45_lemmas(spark, sf_dir):
+    """Analyser rows, of each lemma the plain form and another one, as generated entries."""
+    kana = F.translate(F.col("p_partkey").cast("string"), _DIGITS, _KATAKANA)
+    form = lambda name, surface, tail, cost: F.struct(F.lit(name).alias("form"), F.lit(surface).alias("surface"), F.concat(kana, F.lit(tail)).alias("reading"), cost.cast("int").alias("cost"))
+    size = F.col("p_size")
+    forms = F.explode(F.array(form(okuri.PLAIN_FORM, "書く", "ク", size), form("連用形-イ音便", "書い", "イ", size + 5), form("仮定形-一般", "描け", "ケ", size))).alias("f")
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("lemma"), F.lit("五段-カ行").alias("conjugation"), F.lit("書く").alias("normalized"), forms).select("lemma", "conjugation", "normalized", "f.*")
+    return okuri.from_lemmas(rows).select("reading", "surface", "pos", "cost")
+
+
+@query("SELECT p_partkey, chr(12353 + p_size::INT) || 'x' || chr(131072 + p_partkey::INT) AS plain FROM part")
+def q46_unescaped(spark, sf_dir):
+    code = lambda c: F.lower(F.hex(c.cast("long")))
+    escaped = F.concat(F.lit("\\u"), F.lpad(code(F.col("p_size") + 12353), 4, "0"), F.lit("x\\u{"), code(F.col("p_partkey") + 131072), F.lit("}"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.unescape_code_points(escaped).alias("plain"))
+
+
+@query("SELECT p_partkey, lower(p_name) AS reading, p_type || '|' || p_brand AS surface FROM part")
+def q47_dictionary_forms(spark, sf_dir):
+    """The dictionary forms that generated rows name."""
+    pos = F.concat_ws("|", F.lit("okuri-rule"), F.lit("v5k"), "p_name", "p_type", "p_brand")
+    return table(spark, sf_dir, "part").select("p_partkey", okuri.base_of(pos).alias("b")).select("p_partkey", "b.reading", "b.surface")
+
+
+@query(f"""
+WITH {LEXICON} done AS (SELECT 1), s AS (SELECT * FROM (VALUES ('en', '1', 'A'), ('de', '2', 'B')) AS t(source, version, license))
+SELECT reading, surface, source, original_reading, kind, scope, confidence, CASE WHEN confidence = 'rule-generated' THEN pos ELSE '' END AS rule, version, license FROM merged LEFT JOIN s USING (source)""")
+def q48_traced(spark, sf_dir):
+    """Each entry with its source's version and licence; two sources aren't listed."""
+    listed = [{"id": "en", "format": "skk", "version": "1", "license": "A"}, {"id": "de", "format": "skk", "version": "2", "license": "B"}]
+    return merge.traced(merge.fold(lexicon(spark, sf_dir)), catalog.source_table(spark, listed))
+
+
+@query(f"WITH {LEXICON} done AS (SELECT 1), i AS (SELECT unnest(['en', 'de', 'fr', 'es', 'none']) AS id) SELECT id, count(reading) AS n, count(*) FILTER (confidence = 'rule-generated') AS generated FROM i LEFT JOIN merged ON source = id GROUP BY id")
+def q49_per_source(spark, sf_dir):
+    """Entries by source, of listed ones that have none, too."""
+    return merge.per_source(merge.fold(lexicon(spark, sf_dir)), ["en", "de", "fr", "es", "none"])
+
+
+@query("""
+WITH l AS (SELECT o_orderkey AS line_no, CASE WHEN o_orderkey % 1000 < 600 THEN 'ari' ELSE 'nasi' END AS kind, o_orderpriority AS key FROM orders)
+SELECT b.line_no, b.kind, b.key FROM l a JOIN l b ON b.line_no = a.line_no + 1 WHERE (a.kind <> b.kind OR a.key <> b.key) AND ((a.kind = 'nasi' AND b.kind = 'ari') OR (a.kind = b.kind AND ((b.key > a.key) = (b.kind = 'ari'))))""")
+def q50_order_errors(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return export.order_errors(o.select(F.col("o_orderkey").alias("line_no"), F.when(F.col("o_orderkey") % 1000 < 600, ARI).otherwise(NASI).alias("kind"), F.col("o_orderpriority").alias("key")))
 
-@query("SELECT p_brand, min((p_retailprice, p_size, p_partkey))[3] AS p_partkey FROM part GROUP BY p_brand")
-def q20_least_tuple(spark, sf_dir):
-    return table(spark, sf_dir, "part").groupBy("p_brand").agg(F.min(F.struct("p_retailprice", "p_size", "p_partkey")).alias("m")).select("p_brand", F.col("m.p_partkey").alias("p_partkey"))
 
+@query("WITH l AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_quantity > 49 OR l_quantity < 2), p AS (SELECT p_partkey AS k FROM part WHERE p_size > 10) (SELECT k FROM p EXCEPT ALL SELECT k FROM l) UNION ALL (SELECT k FROM l EXCEPT ALL SELECT k FROM p)")
+def q29_differs(spark, sf_dir):
+    """Rows that one of two relations has and the other lacks."""
+    sold = table(spark, sf_dir, "lineitem").where("l_quantity > 49 OR l_quantity < 2").select(F.col("l_partkey").alias("k")).distinct()
+    return integrity.differs(table(spark, sf_dir, "part").where("p_size > 10").select(F.col("p_partkey").alias("k")), sold)
 
-@query("SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 10")
-def q29_difference(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_partkey").subtract(table(spark, sf_dir, "lineitem").where("l_quantity > 10").select("l_partkey"))
