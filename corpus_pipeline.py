@@ -30,17 +30,18 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Where rows share that doc_id, the one with the least hash of its text. Texts that aren't linked are groups of their own,
     also where they share a doc_id. Of rows without words one stays per doc_id. Rows without a doc_id all stay.
     """
-    judged = minhash.grouped(docs, minhash.Scheme(width=5, percent=80)).where("doc_id = component_id")
-    equal = judged.groupBy("root", "doc_id", "row").agg(F.count("*").alias("n"))
-    kept = common.cut(equal.groupBy("root", "doc_id").agg(F.min(F.struct("row", "n")).alias("least")).select(F.col("doc_id").alias("kept_id"), F.col("least.row").alias("kept_row"), F.col("least.n").alias("n")))
-    rows = docs.withColumn("_row", minhash.row_key("text"))
-    same = (F.col("doc_id") == F.col("kept_id")) & (F.col("_row") == F.col("kept_row"))
-    of = lambda chosen: rows.join(chosen.hint("shuffle_hash"), same, "left_semi")
-    if kept.where("n > 1").isEmpty():
-        one = of(kept)
-    else:
-        one = of(kept.where("n = 1")).unionByName(of(kept.where("n > 1")).dropDuplicates(["doc_id", "_row"]))
-    return one.drop("_row").unionByName(docs.where("doc_id IS NULL"))
+    judged = minhash.grouped(docs, minhash.Scheme(width=5, percent=80))
+    equal = judged.where("doc_id = component_id").groupBy("root", "doc_id", "row").agg(F.count("*").alias("n"))
+    least = equal.groupBy("root", "doc_id").agg(F.min(F.struct("row", "n")).alias("least"))
+    kept = common.cut(least.select("doc_id", "least.row", "least.n"))
+    # Only rows that may have to go, or may be there twice, are shuffled; others are passed on as they are read.
+    gone = judged.where("doc_id IS NOT NULL").select("doc_id", "row").join(kept, ["doc_id", "row"], "left_anti")
+    unsure = common.sift(gone.union(kept.where("n > 1").select("doc_id", "row")), "doc_id", "row")
+    rows = docs.select("doc_id", minhash.row_key(F.col("text")).alias("row"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("all"))
+    known = F.col("doc_id").isNotNull()
+    sure = rows.where(~known | ~unsure("doc_id", "row"))
+    held = rows.where(known & unsure("doc_id", "row")).join(kept.hint("shuffle_hash"), ["doc_id", "row"]).dropDuplicates(["doc_id", "row"])
+    return sure.select("all.*").unionByName(held.select("all.*"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
