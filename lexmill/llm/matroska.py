@@ -23,7 +23,8 @@ EBML, SEGMENT, SEEK_HEAD, INFO, TRACKS, CLUSTER, CUES = 0x1A45DFA3, 0x18538067,
 DOC_TYPE, TIMESTAMP_SCALE, DURATION = 0x4282, 0x2AD7B1, 0x4489
 TRACK_ENTRY, TRACK_NUMBER, TRACK_UID, TRACK_TYPE, FLAG_LACING, CODEC_ID, DEFAULT_DURATION = 0xAE, 0xD7, 0x73C5, 0x83, 0x9C, 0x86, 0x23E383
 AUDIO, SAMPLING_FREQUENCY, CHANNELS, BIT_DEPTH = 0xE1, 0xB5, 0x9F, 0x6264
-TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK, BLOCK_DURATION = 0xE7, 0xA3, 0xA0, 0xA1, 0x9B
+TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK, BLOCK_DURATION, REFERENCE_BLOCK = 0xE7, 0xA3, 0xA0, 0xA1, 0x9B, 0xFB
+TAGS, CHAPTERS, ATTACHMENTS = 0x1254C367, 0x1043A770, 0x1941A469
 CUE_POINT, CUE_TIME, CUE_TRACK_POSITIONS, CUE_TRACK, CUE_CLUSTER_POSITION = 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
 NO_LACING, XIPH, FIXED, EBML_LACING = 0, 1, 2, 3
 
@@ -117,23 +118,27 @@ def read_vint(data: bytes, at: int, end: int, keep: bool = False) -> tuple[int,
     return n if keep else value, at + width, value == (1 << 7 * width) - 1
 
 
-def children(data: bytes, at: int, end: int, until=frozenset()):
-    """(id, start, body, end) of each element in a range. An unknown size ends where its parent does, or at an id of ``until``."""
+#: What a segment holds. A cluster of unknown size ends where one of these, or another segment, begins.
+LEVEL_ONE = frozenset((SEEK_HEAD, INFO, TRACKS, CLUSTER, CUES, TAGS, CHAPTERS, ATTACHMENTS))
+
+
+def head(data: bytes, at: int, end: int) -> tuple[int, int, int | None]:
+    """(id, body, end) of the element at a place; the end is None if its size is unknown."""
+    key, body, _ = read_vint(data, at, end, keep=True)
+    n, body, unknown = read_vint(data, body, end)
+    if unknown and key not in (SEGMENT, CLUSTER):
+        raise Damaged(f"element {key:x} at {at} has no size")
+    if not unknown and body + n > end:
+        raise Damaged(f"element {key:x} at {at} runs over its parent's end")
+    return key, body, None if unknown else body + n
+
+
+def children(data: bytes, at: int, end: int):
+    """(id, start, body, end) of each element in a range. One of unknown size goes to the range's end."""
     while at < end:
-        start = at
-        key, at, _ = read_vint(data, at, end, keep=True)
-        n, at, unknown = read_vint(data, at, end)
-        if unknown and key not in (SEGMENT, CLUSTER):
-            raise Damaged(f"element {key:x} at {start} has no size")
-        stop = end if unknown else at + n
-        if unknown and key == CLUSTER:
-            stop = next((s for k, s, _, _ in children(data, at, end, frozenset((CLUSTER, CUES, SEEK_HEAD, INFO, TRACKS))) if k in (CLUSTER, CUES, SEEK_HEAD, INFO, TRACKS)), end)
-        if stop > end:
-            raise Damaged(f"element {key:x} at {start} runs over its parent's end")
-        yield key, start, at, stop
-        if key in until:
-            return
-        at = stop
+        key, body, stop = head(data, at, end)
+        yield key, at, body, end if stop is None else stop
+        at = end if stop is None else stop
 
 
 def number(data: bytes, at: int, end: int) -> int:
@@ -184,7 +189,15 @@ def parse(data: bytes) -> Media:
         if key != SEGMENT:
             continue
         base = at
-        for k, start, a, e in children(data, at, end):
+        while at < end:
+            start = at
+            k, a, e = head(data, start, end)
+            if k == CLUSTER:
+                at = _cluster(data, start, a, end if e is None else e, e is None, out)
+                continue
+            if k in (EBML, SEGMENT):  # another file begins, behind a segment of unknown size
+                break
+            at = end if e is None else e
             if k == INFO:
                 out.scale = next((number(data, x, y) for i, _, x, y in children(data, a, e) if i == TIMESTAMP_SCALE), out.scale)
             elif k == TRACKS:
@@ -192,8 +205,6 @@ def parse(data: bytes) -> Media:
                     if i == TRACK_ENTRY:
                         t = {j: data[p:q] for j, _, p, q in children(data, x, y)}
                         out.tracks[int.from_bytes(t.get(TRACK_NUMBER, b""), "big")] = {"codec": t.get(CODEC_ID, b"").decode("ascii", "replace"), "type": int.from_bytes(t.get(TRACK_TYPE, b""), "big"), "frame_ns": int.from_bytes(t.get(DEFAULT_DURATION, b""), "big")}
-            elif k == CLUSTER:
-                _cluster(data, start, a, e, out)
             elif k == CUES:
                 for i, _, x, y in children(data, a, e):
                     if i == CUE_POINT:
@@ -206,33 +217,46 @@ def parse(data: bytes) -> Media:
     if base is None:
         raise Damaged("there is no segment")
     out.cues = [(t, time * out.scale, at) for t, time, at in cue_points]
-    out.cues_true = all(at in set(out.clusters) for _, _, at in out.cues)
+    clusters = set(out.clusters)
+    out.cues_true = all(at in clusters for _, _, at in out.cues)
     return out
 
 
-def _cluster(data: bytes, start: int, at: int, end: int, out: Media) -> None:
+def _cluster(data: bytes, start: int, at: int, end: int, unknown: bool, out: Media) -> int:
+    """Reads a cluster, each element once, and returns the place behind it. Of unknown size, it ends before what can't be in it."""
     out.clusters.append(start)
     stamp, index = 0, len(out.clusters) - 1
-    for key, _, a, e in children(data, at, end):
+    while at < end:
+        key, a, e = head(data, at, end)
+        if unknown and (key in LEVEL_ONE or key in (SEGMENT, EBML)):
+            return at
+        if e is None:
+            raise Damaged(f"element {key:x} at {at} can't be in a cluster")
+        at = e
         if key == TIMESTAMP:
             stamp = number(data, a, e)
         elif key == SIMPLE_BLOCK:
-            _block(data, a, e, stamp, index, out, None)
+            _block(data, a, e, stamp, index, out, None, 0)
         elif key == BLOCK_GROUP:
             inner = [(k, x, y) for k, _, x, y in children(data, a, e)]
+            duration = next((number(data, x, y) for k, x, y in inner if k == BLOCK_DURATION), 0)
+            alone = all(k != REFERENCE_BLOCK for k, _, _ in inner)  # a block that refers to none is a keyframe
             for k, x, y in inner:
                 if k == BLOCK:
-                    _block(data, x, y, stamp, index, out, True)
+                    _block(data, x, y, stamp, index, out, alone, duration)
+    return end
 
 
-def _block(data: bytes, at: int, end: int, stamp: int, index: int, out: Media, key: bool | None) -> None:
+def _block(data: bytes, at: int, end: int, stamp: int, index: int, out: Media, key: bool | None, duration: int = 0) -> None:
+    """duration: of all the block's frames together, in the segment's ticks; 0 if not given."""
     track, at, _ = read_vint(data, at, end)
     if at + 3 > end:
         raise Damaged(f"a block is cut off at {at}")
     relative, flags = int.from_bytes(data[at : at + 2], "big", signed=True), data[at + 2]
     lacing, time = flags >> 1 & 3, (stamp + relative) * out.scale
-    step = out.tracks.get(track, {}).get("frame_ns", 0)
-    for k, (p, n) in enumerate(laced(data, at + 3, end, lacing)):
+    frames = laced(data, at + 3, end, lacing)
+    step = out.tracks.get(track, {}).get("frame_ns", 0) or duration * out.scale // len(frames)
+    for k, (p, n) in enumerate(frames):
         out.packets.append((track, time + k * step, p, n, index, lacing, bool(flags & 0x80) if key is None else key))
 
 

@@ -48,6 +48,56 @@ def test_unknown_sizes_groups_and_damage():
             mk.parse(bad)
 
 
+def open_ended(key, body):
+    """An element of unknown size."""
+    return key.to_bytes(4, "big") + b"\x01" + b"\xff" * 7 + body
+
+
+def test_many_clusters_of_unknown_size_take_linear_time():
+    cluster = open_ended(mk.CLUSTER, mk.uint(mk.TIMESTAMP, 7) + mk.element(mk.SIMPLE_BLOCK, mk.block(1, 0, [b"abc"], mk.NO_LACING)))
+    data = mk.element(mk.EBML, b"") + open_ended(mk.SEGMENT, cluster * 100_000 + mk.element(mk.TAGS, b"") + cluster)
+    table = mk.parse(data)
+    assert len(table.clusters) == len(table.packets) == 100_001 and mk.read_back(data, table) == b"abc" * 100_001
+    with pytest.raises(mk.Damaged):
+        mk.parse(mk.element(mk.EBML, b"") + open_ended(mk.SEGMENT, open_ended(mk.CLUSTER, open_ended(mk.BLOCK_GROUP << 24, b""))))
+
+
+def test_groups_have_references_and_durations():
+    group = lambda frames, lacing, *more: mk.element(mk.BLOCK_GROUP, mk.element(mk.BLOCK, mk.block(1, 5, frames, lacing)) + b"".join(more))
+    body = mk.uint(mk.TIMESTAMP, 100) + group([b"a", b"b", b"c"], mk.FIXED, mk.uint(mk.BLOCK_DURATION, 30)) + group([b"d"], mk.NO_LACING, mk.element(mk.REFERENCE_BLOCK, b"\xff"))
+    table = mk.parse(mk.element(mk.EBML, b"") + mk.element(mk.SEGMENT, mk.element(mk.CLUSTER, body)))
+    assert [(p[1], p[6]) for p in table.packets] == [(105_000_000, True), (115_000_000, True), (125_000_000, True), (105_000_000, False)]
+
+
+def test_parse_against_a_writer_of_random_files():
+    for seed in range(150):
+        r = random.Random(seed)
+        want, clusters, scale = [], b"", r.choice([1, 1000, 1_000_000])
+        for c in range(r.randint(0, 6)):
+            stamp, inner = r.randrange(10**6), b""
+            for _ in range(r.randint(0, 5)):
+                lacing = r.choice([mk.NO_LACING, mk.XIPH, mk.FIXED, mk.EBML_LACING])
+                n = 1 if lacing == mk.NO_LACING else r.randint(1, 6)
+                size = r.randint(0, 300)
+                frames = [r.randbytes(size if lacing == mk.FIXED else r.randint(0, 700)) for _ in range(n)]
+                track, relative, grouped, refers, duration = r.choice([1, 2, 200]), r.randint(-50, 50), r.random() < 0.5, r.random() < 0.5, r.choice([0, 7, 60])
+                raw = mk.block(track, relative, frames, lacing)
+                if grouped:
+                    parts = [mk.element(mk.BLOCK, raw)] + [mk.element(mk.REFERENCE_BLOCK, b"\x01")] * refers + [mk.uint(mk.BLOCK_DURATION, duration)] * (duration > 0)
+                    r.shuffle(parts)
+                    inner += mk.element(mk.BLOCK_GROUP, b"".join(parts))
+                else:
+                    inner += mk.element(mk.SIMPLE_BLOCK, raw)
+                step = duration * scale // n if grouped else 0
+                want += [(track, (stamp + relative) * scale + k * step, f, c, lacing, not (grouped and refers)) for k, f in enumerate(frames)]
+            body = mk.uint(mk.TIMESTAMP, stamp) + inner
+            clusters += open_ended(mk.CLUSTER, body) if r.random() < 0.5 else mk.element(mk.CLUSTER, body)
+        inner = mk.element(mk.INFO, mk.uint(mk.TIMESTAMP_SCALE, scale)) + clusters
+        data = mk.element(mk.EBML, b"") + (open_ended(mk.SEGMENT, inner) if r.random() < 0.5 else mk.element(mk.SEGMENT, inner))
+        table = mk.parse(data)
+        assert [(t, s, data[p : p + n], c, lace, key) for t, s, p, n, c, lace, key in table.packets] == want
+
+
 def test_media_digest(spark, odd):
     rows = mk.media_digest(odd).collect()
     texts = {r["doc_id"]: r["text"] for r in odd.collect() if r["doc_id"] is not None}
