@@ -1,9 +1,10 @@
 """Personal data: four patterns as the base, and a linear-chain conditional random field that adds spans.
 
 The patterns are searched in time linear in the text, whatever it holds. The field labels the words of
-each line by their shapes and their neighbours' shapes. It is trained from a small labelled table
-(``labelled_table``: written-out rules, so the table is data of this module), and decoded by Viterbi over many lines at
-once. A line in which no word can gain enough for any label is all O without decoding, by a bound
+each line by their shapes and their neighbours' shapes, as the four kinds or as a secret (a key or token given away). It is
+trained from a small labelled table: lines of the corpus itself, whose base spans are the labels, the same lines with
+those spans written in ways that the patterns miss (``variant``), and sentences by written-out rules (``labelled_table``).
+It is decoded by Viterbi over many lines at once. A line in which no word can gain enough for any label is all O without decoding, by a bound
 on every path's score. Spans of the field that touch a base span are dropped: base ones stay as they are.
 """
 
@@ -13,15 +14,20 @@ import hashlib
 import random
 import re
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import WORD, mapped, rows_of
+from .common import WORD, bounded_sample, mapped, rows_of
 
+#: Kinds of the base.
 KINDS = ("email", "ip", "card", "phone")
-LABELS = ("O", *KINDS)
+#: Kinds that the field labels, in the order in which spans are listed.
+FOUND = (*KINDS, "secret")
+LABELS = ("O", *FOUND)
 
 # Base patterns
 
@@ -99,9 +105,19 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
+_WORDS = re.compile(WORD)
+
 # The labelled table
 
-_CUES = {"at": "at", "(at)": "at()", "[at]": "at()", "{at}": "at()", "dot": "dot", "(dot)": "dot()", "[dot]": "dot()", "{dot}": "dot()", "tel": "tel", "tel:": "tel", "phone": "tel", "phone:": "tel", "call": "tel", "fax": "tel", "mobile": "tel", "email": "mail", "e-mail": "mail", "mail": "mail", "email:": "mail", "card": "card", "card:": "card", "visa": "card", "ip": "ip", "ip:": "ip", "host": "ip"}
+_CUES = {
+    word: cue
+    for cue, words in {
+        "at": "at", "at()": "(at) [at] {at}", "dot": "dot", "dot()": "(dot) [dot] {dot}",
+        "tel": "tel tel: phone phone: call fax mobile telefon telefon: handy téléphone téléphone: appelez teléfono teléfono: móvil llame",
+        "mail": "email e-mail mail email: mail: courriel correo correo:", "card": "card card: visa karte kreditkarte carte carte: tarjeta tarjeta:", "ip": "ip ip: host server",
+        "key": "token token: token= key key: key= secret secret: password password: passwort passwort: clave clave: api_key api_key= apikey",
+    }.items() for word in words.split()
+}
 
 
 def labelled_table(n: int = 700, seed: int = 11) -> list[list[tuple[str, str]]]:
@@ -117,7 +133,12 @@ def labelled_table(n: int = 700, seed: int = 11) -> list[list[tuple[str, str]]]:
     cue = lambda k: [(r.choice([c for c, v in _CUES.items() if v == k]), "O")]
 
     def positive() -> list[tuple[str, str]]:
-        kind = r.randrange(11)
+        kind = r.randrange(13)
+        if kind >= 11:
+            mark = r.choice(["=", ":", ""])
+            value = "".join(r.choice("0123456789abcdef" if kind == 11 else "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(r.randint(20, 48))) + num(1) + "f"
+            quote = r.choice(['"', '"', "'", ""])
+            return cue("key") + [(mark, "O")] * bool(mark) + [(f"{quote}{value}{quote}", "secret")]
         if kind == 0:
             return [(f"{name()}.{num(2)}@{host()}.{end()}", "email")]
         if kind == 1:
@@ -139,14 +160,14 @@ def labelled_table(n: int = 700, seed: int = 11) -> list[list[tuple[str, str]]]:
         if kind == 8:
             return cue("card") + [(w, "card") for w in (num(4), num(4), num(4), num(4))]
         if kind == 9:
-            return cue("card") + [(num(16), "card")]
+            return cue("card") * r.randrange(2) + [(num(16), "card")]
         return cue("ip") + [(f"{num(2)}.{num(2)}.{num(3)}.{num(2)}", "ip")]
 
     def negative() -> list[tuple[str, str]]:
         kind = r.randrange(16)
         plain = [
             num(4), num(r.randint(1, 3)), f"{num(1)}.{num(2)}", f"{num(1)}.{num(1)}.{num(1)}", f"{num(4)}-{num(2)}-{num(2)}", f"{num(2)}/{num(2)}/{num(4)}", f"{num(2)}:{num(2)}",
-            f"{num(2)}-{num(2)}", f"({num(4)})", num(16), num(r.randint(5, 14)), f"{num(2)}.{num(2)}.{num(3)}.{num(2)}", f"v{num(1)}.{num(1)}.{num(1)}", f"({num(1)})",
+            f"{num(2)}-{num(2)}", f"({num(4)})", num(r.randint(20, 30)), num(r.randint(5, 11)), f"{num(2)}.{num(2)}.{num(3)}.{num(2)}", f"v{num(1)}.{num(1)}.{num(1)}", f"({num(1)})",
         ]
         if kind == 14:
             return [filler(), ("at", "O"), filler(), filler()]
@@ -177,25 +198,86 @@ def labelled_table(n: int = 700, seed: int = 11) -> list[list[tuple[str, str]]]:
     return out
 
 
+def variant(kind: str, span: str, r: random.Random) -> list[str]:
+    """The words of a base span written so that the patterns miss it."""
+    if kind == "email":
+        local, _, domain = span.partition("@")
+        at, dot = r.choice([("at", "dot"), ("(at)", "(dot)"), ("[at]", "[dot]"), ("{at}", "{dot}")])
+        return [local, at, *(domain.replace(".", f" {dot} ").split() if at == "at" or r.random() < 0.6 else [domain])]
+    digits = "".join(_DIGIT.findall(span))
+    if kind == "ip":
+        return [span.replace(".", "[.]")]
+    if kind == "card":  # one digit is misread
+        k = r.randrange(len(digits))
+        wrong = digits[:k] + str((int(digits[k]) + r.randint(1, 9)) % 10) + digits[k + 1 :]
+        wrong = wrong if not luhn(wrong) else wrong[:-1] + str((int(wrong[-1]) + 1) % 10)
+        return [wrong] if r.random() < 0.6 else re.findall("[0-9]{1,4}", wrong)
+    ten = digits[-10:].rjust(10, "0")
+    return [f"({ten[:3]})", f"{ten[3:6]}-{ten[6:]}"] if r.random() < 0.6 else [r.choice(["tel", "telefon", "téléphone", "teléfono"]), f"{ten[:3]}-{ten[3:6]}-{ten[6:]}"]
+
+
+def sentences_of(line: str, r: random.Random, around: int = 6) -> list[list[tuple[str, str]]]:
+    """The words near each base span of a line with their labels, and those words with a variant in the span's place; without base spans its first words, as O.
+
+    What looks like a misread card or a quoted key is labelled so, since lines of a corpus hold those, too.
+    """
+    words = [(m[0], *m.span()) for m in _WORDS.finditer(line)]
+    rule = lambda w: "card" if re.fullmatch(r"[0-9]{12,19}", w.strip(_EDGE)) else "secret" if shape(w.encode()).startswith("mixed") and w[:1] in "\"'" else "O"
+    found = base_spans(line)
+    label = lambda w, p, q: next((k for k, x, y in found if p < y and x < q), rule(w))
+    tagged = [(w, label(w, p, q)) for w, p, q in words]
+    if not found:
+        return [tagged[: 2 * around]] if tagged else []
+    out = []
+    for kind, x, y in found:
+        inside = [k for k, (_, p, q) in enumerate(words) if p < y and x < q]
+        left, right = tagged[max(0, inside[0] - around) : inside[0]], tagged[inside[-1] + 1 : inside[-1] + 1 + around]
+        new = variant(kind, line[x:y], r)
+        out += [[*left, *tagged[inside[0] : inside[-1] + 1], *right], [*left, *((w, "O" if w.isalpha() and kind == "phone" else kind) for w in new), *right]]
+    return out
+
+
+def corpus_table(docs: DataFrame, most: int = 3_000, lines: int = 150, widest: int = 400, id_col: str = "doc_id", text_col: str = "text") -> list[list[tuple[str, str]]]:
+    """The labelled table from the corpus: ``lines`` lines with digits or an @, and as many without, of at most ``widest`` characters, from ``most`` documents by the hash of their ids."""
+    ids = bounded_sample(docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id")), most)
+    some = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(ids.distinct()), "doc_id", "left_semi")  # at most ``most`` ids
+    parts = some.select(F.explode(F.split("text", "\n")).alias("line")).where(F.char_length("line").between(1, widest)).distinct()
+    r, out = random.Random(5), []
+    for marked in (True, False):
+        rows = parts.where(F.col("line").rlike("[0-9@]") == F.lit(marked)).orderBy(F.xxhash64("line"), "line").limit(lines).collect()
+        out += [s for row in rows for s in sentences_of(row["line"], r)]
+    return out
+
+
 # The field
 
 _RUN = re.compile(r"[0-9]+|[^\W\d_]+")
+_EDGE = ".,;:!?#%$&*|\"'"
+_MIXED = re.compile(r"[A-Za-z0-9_+/=-]{16,}")
 
 
 def shape(word: bytes) -> str:
-    """Runs of letters as a, or A if they start with a capital; runs of digits as 9 and their length, up to 5; cue words as such."""
+    """Runs of letters as a, or A if they start with a capital; runs of digits as 9 and their length, from 5 on in classes; cue words as such; marks of noise at the end go.
+
+    A long word of letters and digits without other marks is mixed, in its quotes if it has any.
+    """
     w = word.decode("utf-8", "replace")
     if cue := _CUES.get(w.lower()):
         return f"cue {cue}"
+    w = w.rstrip("!#%$&*|") or w
+    core = w.strip(_EDGE)
+    if len(core) <= 200 and _MIXED.fullmatch(core) and sum(c.isdigit() for c in core) >= 3 and re.search("[A-Za-z]", core):
+        return f"mixed {w[:1] if w[:1] in _EDGE else ''}"
     if len(w) > 60:
         return "long"
-    mark = lambda m: f"9{min(len(m[0]), 5)}" if m[0][0].isdigit() else "A" if m[0][0].isupper() else "a"
+    size = lambda n: n if n < 5 else 5 if n < 12 else 6 if n < 20 else 7
+    mark = lambda m: f"9{size(len(m[0]))}" if m[0][0].isdigit() else "A" if m[0][0].isupper() else "a"
     return _RUN.sub(mark, w)[:24]
 
 
 def flags(s: str) -> list[str]:
     """What a shape that the table doesn't have is known by."""
-    return [f"shape {s}", f"digit {'9' in s}", f"at {'@' in s}", f"plain {s.rstrip('.,;:!?') in ('a', 'A')}", f"cue {s.startswith('cue ')}", f"end {s[-1:] in '.,;:!?'}"]
+    return [f"shape {s}", f"digit {'9' in s}", f"at {'@' in s}", f"plain {s.rstrip('.,;:!?') in ('a', 'A')}", f"cue {s.startswith('cue ')}", f"end {s[-1:] in '.,;:!?'}", f"dots {min(s.count('.'), 4)} {'[.]' in s}"]
 
 
 @dataclass
@@ -338,9 +420,6 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
     return top + np.log(np.exp(x - np.expand_dims(top, axis)).sum(axis))
 
 
-_WORDS = re.compile(WORD)
-
-
 def plausible(kind: str, span: str) -> bool:
     """Whether a span has what its kind can't do without, since a field labels words and not wholes."""
     digits = sum(c.isdigit() for c in span)
@@ -349,20 +428,25 @@ def plausible(kind: str, span: str) -> bool:
         if not re.match(r"\S*[A-Za-z]", span) or not re.search(r"[A-Za-z]{2,}\W*\Z", span):
             return False
         return "@" in span and "." in span or any(w.startswith("at") for w in words[1:]) and ("." in span or any(w.startswith("dot") for w in words[2:]))
-    return {"ip": digits >= 4 and span.count(".") >= 3, "card": 12 <= digits <= 19, "phone": 7 <= digits <= 15}[kind]
+    return {"ip": digits >= 4 and span.count(".") >= 3, "card": 12 <= digits <= 19, "phone": 7 <= digits <= 15, "secret": bool(_MIXED.fullmatch(span))}[kind]
 
 
 def added_spans(texts: list[str], model: Field, base: list[list[tuple[str, int, int]]], words_at_once: int = 200_000, most_shapes: int = 50_000) -> list[list[tuple[str, int, int]]]:
     """Spans of the field in each text that touch none of its base spans. Shapes are forgotten between lines, beyond ``most_shapes``; one line may have more."""
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
     lines, of, held = [], [], 0
+    places: dict[int, tuple[list[str], list[int]]] = {}  # of texts in work: lines, and where each starts
 
     def work():
         nonlocal lines, of, held
+        for text in places.keys() - {text for text, _ in of}:
+            del places[text]
         for k, labels in model.decode(lines, np.stack(model.rows) if model.rows else np.zeros((0, 3, len(LABELS)), np.float32)).items():
             text, number = of[k]
-            start = sum(len(x) + 1 for x in texts[text].split("\n", number)[:number])
-            line = texts[text].split("\n", number + 1)[number]
+            if text not in places:
+                parts = texts[text].split("\n")
+                places[text] = parts, list(accumulate((len(x) + 1 for x in parts), initial=0))
+            start, line = places[text][1][number], places[text][0][number]
             spans = [m.span() for m in _WORDS.finditer(line)]
             at = 0
             while at < len(labels):
@@ -371,8 +455,9 @@ def added_spans(texts: list[str], model: Field, base: list[list[tuple[str, int,
                     end += 1
                 if labels[at]:
                     a, b = spans[at][0], spans[end - 1][1]
-                    b = a + len(line[a:b].rstrip(".,;:!?"))
-                    if plausible(LABELS[labels[at]], line[a:b]) and all(start + b <= p or q <= start + a for _, p, q in base[text]):
+                    b = a + len(line[a:b].rstrip(_EDGE))
+                    a = b - len(line[a:b].lstrip(_EDGE))
+                    if b > a and plausible(LABELS[labels[at]], line[a:b]) and all(start + b <= p or q <= start + a for _, p, q in base[text]):
                         out[text].append((LABELS[labels[at]], start + a, start + b))
                 at = end
         lines, of, held = [], [], 0
@@ -393,13 +478,14 @@ def added_spans(texts: list[str], model: Field, base: list[list[tuple[str, int,
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table: list[list[tuple[str, str]]] | None = None) -> DataFrame:
-    """One row per row of ``docs``: the id, n_email, n_ip, n_card, n_phone (base), base_sha256, spans, n_added.
+    """One row per row of ``docs``: the id, n_email, n_ip, n_card, n_phone (base), base_sha256, spans, n_added, n_spans.
 
     base_sha256 is that of the base spans, ``spans`` has them and the field's, as kind:start:end by start, then kind,
-    comma-joined; positions are code points, the end is exclusive. Null texts count as empty; repeated rows give
-    equal rows; an empty table gives an empty one; other columns aren't read. Narrow.
+    comma-joined; positions are code points, the end is exclusive. Without a ``table`` the field learns from written-out rules and
+    a bounded sample of the corpus' lines (``corpus_table``). Null texts count as empty; repeated rows give
+    equal rows; an empty table gives an empty one; other columns aren't read. Narrow, but for that sample.
     """
-    model = train(table or labelled_table())
+    model = train(table or labelled_table() + corpus_table(docs, id_col=id_col, text_col=text_col))
 
     def run(batches):
         for b in batches:
@@ -408,21 +494,21 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table:
             added = added_spans(list(texts), model, base)
             out = []
             for i, found, more in zip(ids, base, added):
-                spans = sorted(found + more, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
-                out.append((i, *(sum(s[0] == k for s in found) for k in KINDS), hashlib.sha256(joined(found).encode()).hexdigest(), joined(spans), len(more)))
-            cols = list(zip(*out)) if out else [()] * 8
-            types = [b.schema.field("id").type, *[pa.int64()] * 4, pa.string(), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"])
+                spans = sorted(found + more, key=lambda s: (s[1], FOUND.index(s[0]), s[2]))
+                out.append((i, *(sum(s[0] == k for s in found) for k in KINDS), hashlib.sha256(joined(found).encode()).hexdigest(), joined(spans), len(more), len(spans)))
+            cols = list(zip(*out)) if out else [()] * 9
+            types = [b.schema.field("id").type, *[pa.int64()] * 4, pa.string(), pa.string(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added", "n_spans"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {kind}, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string, n_added long"
+    schema = f"id {kind}, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string, n_added long, n_spans long"
     return mapped(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")), run, schema).withColumnRenamed("id", id_col)
 
 
 def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
     """The text with each span replaced by its kind in brackets; of overlapping spans the first counts."""
     out, at = [], 0
-    for kind, a, b in sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]))):
+    for kind, a, b in sorted(spans, key=lambda s: (s[1], FOUND.index(s[0]))):
         if a >= at:
             out += [text[at:a], f"[{kind}]"]
             at = b
