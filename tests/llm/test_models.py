@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -60,9 +61,51 @@ def test_groups_named_after_many_others_are_swapped_too():
     assert gap(toxicity.train(rows, swap=2000.0)) < 0.25 * gap(toxicity.train(rows, swap=0.0))
 
 
+def test_swap_differences_against_whole_sentences():
+    r = random.Random(9)
+    vocabulary = "women men girls muslims muslin muslinity city people work manly man woman live".split()
+    texts = [". ".join(" ".join(r.choice(vocabulary) for _ in range(r.randint(1, 6))) for _ in range(3)) for _ in range(60)] + [None, ""]
+    of = lambda words: {x for w in words for x in toxicity.features_of(w)}
+    index = {x: k for k, x in enumerate(sorted(of(vocabulary)))}
+    want = Counter()
+    for t in texts:
+        for sentence in (t or "").split(". "):
+            own = set(sentence.split())
+            for row in toxicity.IDENTITIES:
+                for name in set(row) & own:
+                    for other in set(row) - own:
+                        new = own - {name} | {other}
+                        want[tuple(sorted(index[x] for x in of(own) - of(new) if x in index)), tuple(sorted(index[x] for x in of(new) - of(own) if x in index))] += 1
+    assert want and toxicity.differences(texts, index) == want
+
+
+def test_stand_ins_are_swapped_on_the_corpus_and_scores_are_the_model_s(spark):
+    docs, labels = common.table(spark, "/root/testdata/sf0.01", "documents"), common.table(spark, "/root/testdata/sf0.01", "labels")
+    rows = toxicity.training_rows(docs, labels)
+    # Features that the labels go with by chance as well: there the stand-ins carry weight unless they are held to carry none.
+    plain, fair = (toxicity.train(rows, swap=x) for x in (0.0, 50.0))
+    assert fair.n_pairs > 1000 and plain.n_pairs == fair.n_pairs
+    y = np.array([k for _, k in rows])
+    by = [Counter(), Counter()]
+    for t, k in rows:
+        by[k].update({x for w in toxicity.words_of(t) for x in toxicity.features_of(w)})
+    stand = toxicity.stand_ins([t for t, _ in rows], y, by)
+    assert len(stand) >= 2 and all(len(set(row)) == len(row) >= 2 for row in stand)
+    change = lambda m: sum((m.score(f"x {a} y") - m.score(f"x {b} y")) ** 2 for row in stand for a in row for b in row)
+    assert change(fair) <= change(plain) + 1e-12
+    for r in toxicity.scored(docs, labels).limit(50).collect():
+        text = docs.where(F.col("doc_id") == r["doc_id"]).first()["text"] or ""
+        model = toxicity.train(rows)
+        words = {re.sub(r"^[%s]+|[%s]+$" % ((re.escape(toxicity.MARKS),) * 2), "", w) for w in text.lower().split()}
+        known = {w[:n] + "~" for w in words for n in toxicity.BEGINNINGS if len(w) > n} | words
+        z = model.bias + sum(model.weight.get(f, 0.0) for f in known)
+        assert abs(r["score"] - 1 / (1 + np.exp(-z))) < 1e-9 and r["swap_pairs"] == model.n_pairs
+        break
+
+
 def test_odd_rows(spark, odd):
     labels = spark.createDataFrame([(k, k % 2) for k in range(12)] + [(None, 1), (3, None)], "doc_id long, toxic int")
-    for out, columns in ((toxicity.scored(odd, labels), {"doc_id", "held_out", "score", "predicted"}), (pii.find(odd), {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"})):
+    for out, columns in ((toxicity.scored(odd, labels), {"doc_id", "held_out", "score", "predicted", "swap_pairs"}), (pii.find(odd), {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added", "n_spans"})):
         assert out.count() == odd.count() and set(out.columns) == columns
     assert toxicity.scored(odd.limit(0), labels).count() == 0 and toxicity.scored(odd, labels.limit(0)).count() == odd.count() and pii.find(odd.limit(0)).count() == 0
     labelled = odd.select("doc_id", "text", F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b").alias("domain"))
@@ -110,11 +153,11 @@ def test_field_decodes_as_viterbi_does():
         e[:-1] += table[line[1:], 2]
         score = lambda y: sum(e[t, c] for t, c in enumerate(y)) + sum(model.move[a, b] for a, b in zip(y, y[1:]))
         best = [(0.0, ())]
-        paths = {(c,): e[0, c] for c in range(5)}
+        paths = {(c,): e[0, c] for c in range(len(pii.LABELS))}
         for t in range(1, len(line)):
             ends = {}
             for p, s in paths.items():
-                for c in range(5):
+                for c in range(len(pii.LABELS)):
                     v = s + model.move[p[-1], c] + e[t, c]
                     if c not in ends or v > ends[c][0]:
                         ends[c] = (v, (*p, c))
@@ -143,11 +186,46 @@ def test_field_adds_what_patterns_miss_and_leaves_prose_alone(spark):
     assert cut[0] == [("email", "anna (at) mail7 (dot) org")] and ("phone", "(988) 555-2485") in cut[1] and rows[2]["n_added"] == 0 and cut[3] == []
     for i, r in enumerate(rows):
         assert r["base_sha256"] == hashlib.sha256(pii.joined(brute_spans(texts[i])).encode()).hexdigest()
-    docs = common.table(spark, "/root/testdata/sf0.01", "documents")
-    assert pii.find(docs).where("n_added > 0").count() <= 3
+    secret = 'here token = "0a1b2c3d4e5f60718293a4b5c6d7e8f901234567", and no more'
+    found = pii.find(spark.createDataFrame([(1, secret), (2, None)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert found[0]["spans"] == "secret:14:54" and found[1]["n_spans"] == 0
     assert pii.redact(texts[2], brute_spans(texts[2])) == "[email] and [phone] here"
 
 
+def test_field_finds_what_the_patterns_miss_in_the_corpus(spark):
+    docs = common.table(spark, SF, "documents")
+    rows = [(r["doc_id"], r["text"]) for r in docs.where("doc_id < 2500").collect()]
+    model = pii.train(pii.labelled_table() + pii.corpus_table(docs))
+    r, hit, number = random.Random(77), Counter(), Counter()
+    for _, text in rows:
+        for kind, a, b in pii.base_spans(text or ""):
+            new = " ".join(pii.variant(kind, text[a:b], r))
+            changed = f"{text[:a]}{new}{text[b:]}"
+            base = pii.base_spans(changed)
+            spans = [(x, y) for k, x, y in base + pii.added_spans([changed], model, [base])[0] if k == kind]
+            number[kind] += 1
+            hit[kind] += any(x <= a + len(new) - 4 and y >= a + len(new) - 1 for x, y in spans)
+    assert all(number[k] >= 10 and hit[k] >= 0.9 * number[k] for k in pii.KINDS), (hit, number)
+    found = pii.find(docs).join(docs, "doc_id").where("n_added > 0").collect()
+    assert len(found) >= 200
+    for row in found:
+        base = {s for s in map(tuple, pii.base_spans(row["text"]))}
+        extra = [s for s in (x.split(":") for x in row["spans"].split(",")) if (s[0], int(s[1]), int(s[2])) not in base]
+        assert len(extra) == row["n_added"] == row["n_spans"] - len(base)
+        for kind, a, b in extra:
+            assert pii.plausible(kind, row["text"][int(a) : int(b)])
+
+
+def test_lines_with_spans_take_linear_time():
+    model, line = pii.train(pii.labelled_table()), "write to anna (at) mail7 (dot) org please\n"
+    took = []
+    for n in (2_000, 20_000):
+        began = time.time()
+        assert len(pii.added_spans([line * n], model, [[]])[0]) == n
+        took.append(time.time() - began)
+    assert took[1] < 30 * max(took[0], 0.05)
+
+
 def test_rates_against_plain_projected_gradient(spark):
     r = np.random.default_rng(0)
     n, p = r.integers(0, 900, 500), r.dirichlet([0.3, 0.3, 0.3], 500)
