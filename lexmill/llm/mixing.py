@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import bounded_sample, cut, mapped, rows_of
+from .common import bounded_sample, cut, fresh, mapped, rows_of
 
 #: Of the words of labelled texts, so many of the most frequent are known to the classifier.
 VOCABULARY = 20_000
@@ -208,11 +208,13 @@ def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budge
     model = train(labelled_rows(labelled, most_labelled), domains)
     found = fit(cut(members(docs, model, text_col)), weights, domains, budget, least, tolerance=tolerance)
     at = docs.columns.index(text_col)
+    rate, times, copy = fresh(docs, "rate", "times", "copy")
 
     def run(batches):
         for b in batches:
             p = np.array([model.posterior(t)[1] for t in b.column(at).to_pylist()], float).reshape(b.num_rows, -1)
-            yield b.append_column("_rate", pa.array(found.rates(p), pa.float64()))
+            yield b.append_column(rate, pa.array(found.rates(p), pa.float64()))
 
-    rated = mapped(docs, run, StructType([*docs.schema, StructField("_rate", DoubleType())]))
-    return rated.withColumn("_copies", copies(F.col("_rate"))).where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    rated = mapped(docs, run, StructType([*docs.schema, StructField(rate, DoubleType())]))
+    repeated = rated.withColumn(times, copies(F.col(rate))).where(F.col(times) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return repeated.select(*(F.col(f"`{c}`") for c in docs.columns))

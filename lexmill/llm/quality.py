@@ -53,9 +53,13 @@ def repeated_words(ids: np.ndarray, distinct: int, width: int = 3) -> int:
     return int(hit.sum())
 
 
-@lru_cache(maxsize=200_000)
 def _kind(word: bytes) -> int:
     """2 a plain word, 0 without any letter, else 1."""
+    return _known_kind(word) if len(word) <= 64 else _known_kind.__wrapped__(word)
+
+
+@lru_cache(maxsize=100_000)
+def _known_kind(word: bytes) -> int:
     return 2 if PLAIN.fullmatch(word) else 1 if LETTER.search(word) else 0
 
 

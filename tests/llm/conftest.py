@@ -8,8 +8,11 @@ ODD = [None, "", " ", "\n\n", "word", "a b", "é ü 日本 \U0001f600", "x " * 3
 @pytest.fixture(scope="session")
 def odd(spark):
     """Nulls, empty and very long texts, ties, repeated rows, and columns whose names an operator could use itself."""
-    rows = [(k, t, "en", "s", 0, "x", 1.0, b"y") for k, t in enumerate(ODD)] + [(3, ODD[3], "en", "s", 0, "x", 1.0, b"y"), (None, "no id here", None, None, None, None, None, None), (None, None, None, None, None, None, None, None)]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, id string, length double, media binary").repartition(3)
+    clash = "id string, length double, media binary, gone long, _touched string, kept_id long, _rate double, _copies long, _copy long, rate double, times long, copy long, _row long, row long, left string, at long, rank int, words string"
+    kinds = [c.split()[1] for c in clash.split(", ")]
+    extra = tuple({"string": "x", "double": 99.5, "binary": b"y", "long": 7, "int": 3}[k] for k in kinds)
+    rows = [(k, t, "en", "s", 0, *extra) for k, t in enumerate(ODD)] + [(3, ODD[3], "en", "s", 0, *extra), (None, "no id here", None, None, None, *[None] * len(extra)), (None, None, None, None, None, *[None] * len(extra))]
+    return spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {clash}").repartition(3)
 
 
 @pytest.fixture(scope="session")

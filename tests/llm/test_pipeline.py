@@ -57,6 +57,16 @@ def test_shared_ids_lose_no_text_and_keep_no_copy(spark):
     assert kept(rows + far) == sorted([*near, (9, other[2]), (9, other[3]), (8, "")])
 
 
+def test_stages_on_odd_and_empty_rows(spark, odd):
+    sf = "/root/testdata/sf0.001"
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, sf)
+        rows = out.collect()
+        assert out.columns == odd.columns and all(r["gone"] in (7, None) and r["_copies"] in (7, None) and r["_rate"] in (99.5, None) for r in rows), name
+        assert stage(spark, odd.limit(0), sf).count() == 0, name
+    assert corpus_pipeline.STAGES[-1][1](spark, odd, sf).count() >= odd.count() and corpus_pipeline.STAGES[-1][1](spark, odd.limit(0), sf).count() == 0
+
+
 def test_every_operator_has_its_query():
     names = {k.split("_")[0] for k in queries.QUERIES}
     assert names == {f"op{n}" for n in range(1, 11)} and len(corpus_pipeline.STAGES) == 5 and set(queries.ORACLES) <= set(queries.QUERIES)
