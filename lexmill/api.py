@@ -68,7 +68,7 @@ class Lexicon:
 
     def report(self) -> dict:
         """What the last ingest counted: by source, and in total."""
-        return json.loads(self.spark.read.option("wholetext", "true").text(f"{self.path}/report.json").first()[0])
+        return json.loads(self.spark.read.text(f"{self.path}/report.json", wholetext=True).first()[0])
 
     def traced(self) -> DataFrame:
         """Each entry with the version and the licence of its source."""
