@@ -8,10 +8,11 @@ and by bits that bound how many words differ; what is left is verified on the wh
 line has the same set or links with it.
 
 So a class needs one earlier class that links with it, not all of them, and pairs of classes are never written out as such.
-First each class is held, in each of its words' buckets, against the bucket's first class and the few before it, and
-only its best candidate is verified. Classes that are still open then meet the classes at ranks 0 to 63 of their
-buckets, then 64 to 1023, and so on in growing blocks; whoever has found an earlier link drops out, and the last
-block ends where the largest bucket of an open class does. No bucket is capped, and no link that decides is lost.
+A semi-join over the words first keeps those classes that can link with any other one at all, by the filters. From here on
+256 bits of a set bound how many words differ, which leaves few false candidates. Classes that may link with an earlier one
+are held against the two first classes of their words' buckets, and only the best candidate is verified. Who is still open meets the classes at ranks 0 to 15 of their buckets, then 16 to 127, and so on in growing blocks; whoever has
+found an earlier link drops out, and the last block ends where the largest bucket of an open class does. No
+bucket is capped, and no link that decides is lost.
 
 Any total order of words gives the same result; rarity only keeps buckets small. It is counted over all
 words in BUCKETS hash buckets, so the order is a table of fixed size. A word is from then on the long
@@ -24,21 +25,23 @@ import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, remove, stored
+from .common import Tables, cut, sift
 
-BUCKETS = 1 << 18
-#: How many classes before it, besides the first, a class meets at once in a bucket.
-NEAR = 4
-#: A word that occurs more often has its bucket's first look in parts of about so many classes.
+BUCKETS = 1 << 16
+#: A bucket is ranked in parts of about so many classes.
 PART = 1 << 20
+#: Longs of a wide sketch; a power of 2.
+WIDE = 4
+#: Ends of the first block of ranks; each next block ends at GROWTH times the last one's end.
+BLOCK, GROWTH = 16, 8
 
 
 def rarity(docs: DataFrame, text_col: str = "text") -> list[int]:
     """A level from 0 (rare) to 63 of each hash bucket of words, over all texts. Words are told apart by spaces alone: it is only an order."""
-    counted = docs.select(F.explode(F.split(text_col, " ")).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("bucket")).agg(F.count("*").alias("n"))
+    counted = docs.select(F.explode(F.split(text_col, " ")).alias("w")).groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket")).agg(F.count("*").alias("n"))
     levels = [0] * BUCKETS
     for r in counted.collect():  # at most BUCKETS rows
         levels[r["bucket"]] = min(63, int(1.4 * math.log2(r["n"])))
@@ -58,7 +61,7 @@ def _words(line) -> Column:
 def _set_of(line, levels: list[int]) -> Column:
     """The line's distinct words as longs, rarest first."""
     table = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")  # folded to a constant
-    as_long = lambda h: F.shiftleft(F.coalesce(F.get(table, F.pmod(h, F.lit(BUCKETS)).cast("int")), F.lit(0).cast("long")), 57).bitwiseOR(F.shiftrightunsigned(h, 7))
+    as_long = lambda h: F.shiftleft(table[h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")], 57).bitwiseOR(F.shiftrightunsigned(h, 7))
     return F.sort_array(F.array_distinct(F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), as_long)))
 
 
@@ -106,112 +109,118 @@ def line_table(rows: DataFrame, levels: list[int], num: int = 4, den: int = 5) -
 
 
 def first_lines(lines: DataFrame) -> DataFrame:
-    """One row per class: c1, c2, at (its first line's place), size, parity, prefix."""
+    """One row per class: id (any number), c1, c2, at (its first line's place), size, parity, prefix. To be stored, for the ids to stay."""
     first = lines.groupBy("c1", "c2").agg(F.min(F.struct(_at().alias("at"), "size", "parity", "prefix")).alias("f"))  # equal places hold equal lines
-    return first.select("c1", "c2", "f.*")
+    return first.select(F.monotonically_increasing_id().alias("id"), "c1", "c2", "f.*")
 
 
-def _can_link(x: str, y: str, num: int, den: int) -> Column:
-    """y comes before x, and length, position and parity allow a link."""
-    both, differ = f"({x}.size + {y}.size)", f"bit_count({x}.parity ^ {y}.parity)"
-    return F.expr(
-        f"{y}.at < {x}.at AND {den} * least({x}.size, {y}.size) >= {num} * greatest({x}.size, {y}.size)"
-        f" AND {num + den} * least({x}.size - {x}.pos, {y}.size - {y}.pos) >= {num} * {both}"
-        f" AND {num + den} * ({both} - {differ}) >= 2 * {num} * {both}"
+#: Of two rows x and y: the least number of words that differ, by 64 bits or by all bits of ``_sketch``.
+NARROW = "bit_count(x.parity ^ y.parity)"
+
+
+def _can_link(num: int, den: int, differ: str = NARROW) -> str:
+    """Length, position and bits allow that the rows x and y of a bucket link."""
+    both = "(x.size + y.size)"
+    return (
+        f"{num + den} * ({both} - {differ}) >= 2 * {num} * {both} AND {den} * least(x.size, y.size) >= {num} * greatest(x.size, y.size)"
+        f" AND {num + den} * least(x.size - x.pos, y.size - y.pos) >= {num} * {both}"
     )
 
 
-def buckets(classes: DataFrame, num: int, den: int) -> DataFrame:
-    """word, me (c1, at, size, parity, pos), rank, n (classes in the part), best (the best candidate met at once: score, c1, at) of buckets where anything may link."""
-    # The least set that can link with another one: below, no other size is near enough.
-    least = next(s for s in range(1, 10_000) if num * (s + 1) <= den * s)
-    me = F.struct("c1", "at", "size", "parity", "pos")
-    index = classes.where(F.col("size") >= least).select("c1", "at", "size", "parity", F.posexplode("prefix").alias("pos", "word"))
-    index = index.select("word", F.pmod("c1", _parts(F.col("word"))).alias("part"), me.alias("me"))
-    part = Window.partitionBy("word", "part")
-    ordered = part.orderBy("me.at", "me.c1")
-    seen = [F.first("me").over(ordered), *(F.lag("me", k).over(ordered) for k in range(1, NEAR + 1))]
-    met = index.select("word", "part", "me", F.row_number().over(ordered).alias("rank"), *(c.alias(f"y{k}") for k, c in enumerate(seen)))
-    score = lambda y: F.expr(f"bit_count(me.parity ^ {y}.parity) / (me.size + {y}.size)")
-    best = F.least(*(F.when(_can_link("me", f"y{k}", num, den), F.struct(score(f"y{k}").alias("score"), F.col(f"y{k}.c1").alias("c1"), F.col(f"y{k}.at").alias("at"))) for k in range(NEAR + 1)))
-    judged = met.select("word", "part", "me", (F.col("rank") - 1).alias("rank"), best.alias("best"))
-    whole = judged.select("word", "me", "rank", "best", F.count("*").over(part).alias("n"), F.count("best").over(part).alias("hits"))
-    return whole.where((F.col("hits") > 0) | (F.col("n") > NEAR + 2) | (_parts(F.col("word")) > 1)).drop("hits")
-
-
-def _sets(pairs: DataFrame, rows: DataFrame, levels: list[int]) -> DataFrame:
-    """c1, at, words of the classes in ``pairs`` only, from one line each."""
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("k")).distinct().select("k.c1", "k.at", F.col("k.at.doc_id").alias("of_doc"), F.col("k.at.own").alias("of_own"), F.col("k.at.line_no").alias("of_line"))
+def _sketch() -> list[Column]:
+    """WIDE times 64 bits of a set from its exploded words w, as ``_parity`` has 64: they tell nearly exactly how many words differ."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("w").bitwiseAND(F.lit(63)).cast("int"))
+    cell = F.shiftright("w", 6).bitwiseAND(F.lit(WIDE - 1))
+    return [F.bit_xor(F.when(cell == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"b{k}") for k in range(WIDE)]
+
+
+def promising(classes: DataFrame, num: int, den: int) -> DataFrame:
+    """word, id, size, pos, parity of the prefixes' words on which a class can link with another one."""
+    least = next(s for s in range(1, 10_000) if num * (s + 1) <= den * s)  # below, no other size is near enough
+    index = classes.where(F.col("size") >= least).select("id", "size", "parity", F.posexplode("prefix").alias("pos", "word"))
+    return index.alias("x").join(index.alias("y"), F.expr(f"x.word = y.word AND x.id <> y.id AND {_can_link(num, den)}"), "left_semi")
+
+
+def _sets(ids: DataFrame, rows: DataFrame, levels: list[int]) -> DataFrame:
+    """id, words of the classes in ``ids`` (id, c1, at) only, from one line each."""
+    wanted = ids.select("id", "c1", F.col("at.doc_id").alias("of_doc"), F.col("at.own").alias("of_own"), F.col("at.line_no").alias("of_line"))
     own = F.when(F.col("doc_id").isNull(), F.col("row"))
-    found = _lines(rows).join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("line_no") == F.col("of_line")) & own.eqNullSafe(F.col("of_own")))
+    lines = _lines(rows).where(sift(wanted, "of_doc", "of_line", bits=21)("doc_id", "line_no"))  # before any shuffle
+    found = lines.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("line_no") == F.col("of_line")) & own.eqNullSafe(F.col("of_own")))
     # Of rows that share a doc_id only one may have the class's line. A filter here would become a key of the join, for all lines.
-    sets = found.select("c1", "at", _set_of(F.col("line"), levels).alias("words")).select("c1", "at", "words", F.xxhash64("words").alias("name"))
-    return sets.groupBy("c1", "at").agg(F.first(F.when(F.col("name") == F.col("c1"), F.col("words")), ignorenulls=True).alias("words"))
-
-
-def _verified(pairs: DataFrame, rows: DataFrame, levels: list[int], num: int, den: int) -> DataFrame:
-    """x (c1, at) of the ``pairs`` (x, y) whose whole sets link."""
-    spark = rows.sparkSession
-    sets, path = stored(_sets(pairs, rows, levels), "sets")
-    try:
-        side = lambda k: sets.select(F.struct("c1", "at").alias(k), F.col("words").alias(f"w{k}"))
-        both = pairs.join(side("x"), "x").join(side("y"), "y")
-        shared = F.size(F.array_intersect("wx", "wy"))
-        return cut(both.where((num + den) * shared >= num * (F.size("wx") + F.size("wy"))).select("x").distinct())
-    finally:
-        remove(spark, path)
-
-
-def preceded(classes: DataFrame, rows: DataFrame, levels: list[int], num: int = 4, den: int = 5) -> DataFrame:
-    """x (c1, at) of the classes that link with an earlier one."""
-    spark, paths = rows.sparkSession, []
-    met, path = stored(buckets(classes, num, den), "buckets")
-    paths.append(path)
-    try:
-        name = lambda s: F.struct(F.col(f"{s}.c1").alias("c1"), F.col(f"{s}.at").alias("at"))
-        first = met.where("best IS NOT NULL").groupBy(name("me").alias("x")).agg(F.min("best").alias("y")).select("x", name("y").alias("y"))
-        first, path = stored(first, "pairs")
-        paths.append(path)
-        done = _verified(first, rows, levels, num, den)
-        # Open are those whose best candidate failed, and those that haven't met all before them.
-        unsure = met.where(F.col("best").isNotNull() | (F.col("rank") > NEAR + 1) | (_parts(F.col("word")) > 1)).select(name("me").alias("x")).distinct()
-        still, low, high = cut(unsure.join(done, "x", "left_anti")), 0, 64
-        while True:
-            probes = met.select("word", "n", "me", name("me").alias("x")).join(still, "x", "left_semi")
-            most = probes.agg(F.max("n").alias("n")).first()["n"]
-            if most is None or most <= low:
-                return done
-            leaders = met.where((F.col("rank") >= low) & (F.col("rank") < high)).select("word", F.col("me").alias("you"))
-            hits = probes.where(F.col("n") > low).alias("p").join(leaders.alias("l"), (F.col("p.word") == F.col("l.word")) & _can_link("me", "you", num, den))
-            pairs, path = stored(hits.select("x", name("you").alias("y")).distinct(), "pairs")
-            paths.append(path)
-            more = _verified(pairs, rows, levels, num, den)
-            done, still = done.union(more), cut(still.join(more, "x", "left_anti"))
-            low, high = high, 16 * high
-    finally:
-        for path in paths:
-            remove(spark, path)
+    sets = found.select("id", "c1", _set_of(F.col("line"), levels).alias("words")).select("id", "c1", "words", F.xxhash64("words").alias("name"))
+    return sets.groupBy("id").agg(F.first(F.when(F.col("name") == F.col("c1"), F.col("words")), ignorenulls=True).alias("words"))
+
+
+def preceded(classes: DataFrame, rows: DataFrame, levels: list[int], keep: Tables, num: int = 4, den: int = 5) -> DataFrame:
+    """c1, c2 of the classes that link with an earlier one."""
+    hits = keep(promising(classes, num, den), "promising")
+    places = keep(classes.select("id", "c1", "c2", "at"), "places")
+    ids = keep(places.join(hits.select("id").distinct().hint("shuffle_hash"), "id"), "ids")
+    # Classes at one place, of rows that share a doc_id, share their number: neither is earlier.
+    order = ids.select("at").distinct().orderBy("at").select("at", F.monotonically_increasing_id().alias("ord"))
+    order = keep(order, "order")
+    sets = keep(_sets(ids, rows, levels), "sets")
+    part = Window.partitionBy("word", F.pmod("id", _parts(F.col("word")))).orderBy("ord", "id")
+    wide = sets.select("id", F.explode("words").alias("w")).groupBy("id").agg(*_sketch())
+    numbered = ids.join(order.hint("shuffle_hash"), "at").select("id", "ord").join(wide, "id")
+    hits = hits.drop("parity")
+    ranked = keep(hits.join(numbered.hint("shuffle_hash"), "id").withColumn("rank", F.row_number().over(part) - 1), "ranked")
+    keep.drop("promising", "order")
+    differ = f"({' + '.join(f'bit_count(x.b{k} ^ y.b{k})' for k in range(WIDE))})"
+    earlier = F.expr(f"x.word = y.word AND y.ord < x.ord AND {_can_link(num, den, differ)}")
+
+    # Who has nothing before it that it may link with is done. In most buckets of the rest, the first two classes settle it.
+    able = keep(ranked.alias("x").join(ranked.alias("y"), earlier, "left_semi"), "able")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """id of the pairs (id, other) whose whole sets link."""
+        both = pairs.join(sets.withColumnRenamed("words", "a"), "id").join(sets.select(F.col("id").alias("other"), F.col("words").alias("b")), "other")
+        return keep(both.where((num + den) * F.size(F.array_intersect("a", "b")) >= num * (F.size("a") + F.size("b"))).select("id").distinct(), "verified")
+
+    score = F.expr(f"struct({differ} / (x.size + y.size) AS score, y.id AS other)")
+    best = able.alias("x").join(ranked.where("rank < 2").alias("y"), earlier).select("x.id", score.alias("best")).groupBy("id").agg(F.min("best").alias("best"))
+    done = verified(keep(best.select("id", "best.other"), "pairs"))
+    probes = keep(able.join(done, "id", "left_anti"), "probes")
+    arena = keep(ranked.join(probes.select("word").distinct(), "word", "left_semi"), "arena")
+    keep.drop("able", "ranked")
+    low, high = 0, BLOCK
+    while True:
+        # Only who stands behind the block's start has anyone left to meet.
+        most = probes.agg(F.max("rank").alias("r")).first()["r"]
+        if most is None or (low and most <= low and not _dealt(arena, low)):
+            return keep(ids.join(done, "id", "left_semi").select("c1", "c2"), "preceded")
+        met = probes.alias("x").join(arena.where((F.col("rank") >= low) & (F.col("rank") < high)).alias("y"), earlier)
+        more = verified(keep(met.select("x.id", F.col("y.id").alias("other")).distinct(), "pairs"))
+        done, probes = done.union(more), keep(probes.join(more, "id", "left_anti"), "probes")
+        low, high = high, GROWTH * high
+
+
+def _dealt(ranked: DataFrame, low: int) -> bool:
+    """Whether a bucket in parts has ranks from ``low`` on: there, a class's own rank doesn't say how many are before it."""
+    return not ranked.where((_parts(F.col("word")) > 1) & (F.col("rank") >= low)).isEmpty()
 
 
 @contextmanager
 def judged(rows: DataFrame, num: int = 4, den: int = 5) -> Iterator[DataFrame]:
-    """doc_id, row, line_no, near (an earlier line of another set links), removed of each line with words in ``rows`` of ``_rows``.
+    """doc_id, row, line_no, c1, c2, near (an earlier line of another set links), removed of each line with words in ``rows`` of ``_rows``.
 
-    Its tables are removed at the end of the block.
+    To be used inside the block.
     """
-    spark, paths = rows.sparkSession, []
-    levels = rarity(rows)
-    try:
-        lines, path = stored(line_table(rows, levels, num, den), "lines")
-        paths.append(path)
-        classes, path = stored(first_lines(lines), "classes")
-        paths.append(path)
-        late = preceded(classes, rows, levels, num, den).select("x.c1", "x.at", F.lit(True).alias("near"))
-        known = classes.select("c1", "c2", "at").join(late, ["c1", "at"], "left").select("c1", "c2", F.col("at").alias("first"), F.coalesce("near", F.lit(False)).alias("near"))
-        yield lines.select("doc_id", "row", "line_no", "c1", "c2", _at().alias("at")).join(known, ["c1", "c2"]).select("doc_id", "row", "line_no", "c1", "c2", "near", (F.col("near") | (F.col("first") < F.col("at"))).alias("removed"))
-    finally:
-        for path in paths:
-            remove(spark, path)
+    with Tables(rows.sparkSession) as keep:
+        levels = rarity(rows)
+        wide = keep(line_table(rows, levels, num, den), "wide")
+        classes = keep(first_lines(wide), "classes")
+        lines = keep(wide.select("doc_id", "row", "line_no", "c1", "c2"), "lines")
+        keep.drop("wide")
+        late = preceded(classes, rows, levels, keep, num, den).withColumn("near", F.lit(True))
+        keep.drop("classes", "sets", "arena", "pairs", "ids", "verified", "probes")
+        places = keep.read("places")
+        # A class is there once, so that neither hashed side has a hot key.
+        known = places.select("c1", "c2", F.col("at").alias("first")).join(late.hint("shuffle_hash"), ["c1", "c2"], "left")
+        near = F.coalesce("near", F.lit(False))
+        found = lines.withColumn("at", _at()).join(known.hint("shuffle_hash"), ["c1", "c2"])
+        yield found.select("doc_id", "row", "line_no", "c1", "c2", near.alias("near"), (near | (F.col("first") < F.col("at"))).alias("removed"))
 
 
 def line_report(docs: DataFrame, text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
@@ -222,7 +231,7 @@ def line_report(docs: DataFrame, text_col: str = "text", num: int = 4, den: int
     Empty tables give empty ones; other columns aren't read.
     """
     with judged(_rows(docs, text_col, apart=False), num, den) as found:
-        lines = found.dropDuplicates(["doc_id", "line_no", "c1", "c2"])
+        lines = found.repartition("doc_id").dropDuplicates(["doc_id", "line_no", "c1", "c2"])  # one shuffle for this and the next
         numbers = F.array_sort(F.collect_list(F.when(F.col("removed"), F.col("line_no"))))
         by_doc = lines.groupBy("doc_id").agg(
             F.count("*").alias("n_lines"), F.count_if("removed").alias("n_removed"), F.count_if("near").alias("n_near"), F.array_join(F.transform(numbers, lambda n: n.cast("string")), ",").alias("removed_lines")

@@ -55,9 +55,9 @@ def test_small_blocks_lose_no_link(spark, corpus):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     scheme = minhash.Scheme()
     sketched = common.cut(minhash.sketch(df, scheme))
-    links = minhash.candidate_links(sketched, df, scheme, "doc_id", "text", block=2)
-    joined = {(r["node"], r["root"]) for r in minhash.components(links).collect()}
-    whole = {(r["node"], r["root"]) for r in minhash.components(minhash.candidate_links(sketched, df, scheme, "doc_id", "text")).collect()}
+    with common.Tables(spark) as keep:
+        found = [{(r["node"], r["root"]) for r in minhash.components(minhash.candidate_links(sketched, df, scheme, "doc_id", "text", keep, block)).collect()} for block in (2, 256)]
+    joined, whole = found
     assert joined == whole and whole
 
 
@@ -178,9 +178,9 @@ def families(r, n, m):
     return [(k, "\n".join(out[k * 5 : k * 5 + 5])) for k in range(len(out) // 5)]
 
 
-@pytest.mark.parametrize("near,part", [(4, 1 << 20), (1, 1 << 20), (2, 8)])
-def test_large_families_in_blocks_and_parts(spark, monkeypatch, near, part):
-    monkeypatch.setattr(line_dedup, "NEAR", near)
+@pytest.mark.parametrize("block,part", [(16, 1 << 20), (3, 8)])
+def test_large_families_in_blocks_and_parts(spark, monkeypatch, block, part):
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
     monkeypatch.setattr(line_dedup, "PART", part)
     rows = families(random.Random(8), 3, 200)
     want = brute_lines(rows)
@@ -192,8 +192,7 @@ def test_line_plans_have_no_python(spark, odd):
     rows = line_dedup._rows(odd, "text", apart=True)
     lines = line_dedup.line_table(rows, [0] * line_dedup.BUCKETS)
     classes = line_dedup.first_lines(lines)
-    met = line_dedup.buckets(classes, 4, 5)
-    pairs = met.select(F.struct("me.c1", "me.at").alias("x"), F.struct("best.c1", "best.at").alias("y"))
-    for df in (lines, classes, met, line_dedup._sets(pairs, rows, [0] * line_dedup.BUCKETS), line_dedup.line_report(odd), line_dedup.remove_lines(odd)):
+    ids = classes.select("id", "c1", "c2", "at")
+    for df in (lines, classes, line_dedup.promising(classes, 4, 5), line_dedup._sets(ids, rows, [0] * line_dedup.BUCKETS), line_dedup.line_report(odd), line_dedup.remove_lines(odd)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan
