@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, minhash, warc
+from . import exact, fim, line_dedup, minhash, ranked_search, warc
 from .common import bounded_sample, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +109,27 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import find
 
     return find(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_fill_in_middle"] = fim.ORACLE
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_ranked_search"] = ranked_search.ORACLE
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_groups(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_exact_dedup"] = exact.ORACLE
