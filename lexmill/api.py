@@ -5,12 +5,11 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import text
 from .operators import export, index, merge, rank
-from .runtime import publish, write_json
+from .runtime import keeping, publish, scratch, write_json
 from .schema import GIVEN
 from .sources import catalog as C
 
@@ -30,21 +29,27 @@ class Lexicon:
     def ingest(self, catalog: list[dict]) -> DataFrame:
         """Read, check and merge all sources of a catalog; the lexicon changes as a whole or not at all. Returns counts (source, metric, n).
 
-        A source of which no row is left after the rejects raises.
+        Sources are read once: into a table of checked rows, while what there is to count of each is observed. A source of which no row is left after
+        the rejects raises.
         """
-        ranking = {s["id"]: s["format"] for s in catalog if s["format"] in (C.COSTS, C.CLICKS)}
-        read = {s["id"]: C.read(self.spark, s) for s in catalog}
-        frames = lambda keep: [r for i, (r, _) in read.items() if keep(ranking.get(i))]
-        blank = self.spark.createDataFrame([], C.PARSED)
-        union = lambda parts: reduce(DataFrame.unionByName, parts, blank)
-        words, costs, clicks = (union(frames(lambda f, k=k: f == k)) for k in (None, C.COSTS, C.CLICKS))
-        valid = merge.checked(costs).where("reject IS NULL").drop("reading").withColumnRenamed("key", "reading")
-        titles = clicks.where(text.is_valid_surface(F.col("surface"))).withColumn("clicks", F.col("cost").cast("long"))
-        counted = reduce(DataFrame.unionByName, (c.withColumn("source", F.lit(i)) for i, (_, c) in read.items())).select("source", "metric", "n")
-        rejected = merge.reject_counts(words).unionByName(merge.reject_counts(costs)).unionByName(merge.title_counts(clicks))
+        part_of = {C.COSTS: "costs", C.CLICKS: "clicks"}
+        read, staged = [s["id"] for s in catalog], []
+        seen = {i: Observation() for i in read}
+        with keeping(self.spark), scratch(self.spark, "checked") as stage:
+            for s in catalog:
+                part = part_of.get(s["format"], "entries")
+                rows = (merge.checked_titles if part == "clicks" else merge.checked)(C.noted(self.spark, s))
+                staged.append(rows.observe(seen[s["id"]], *merge.metrics(C.NOTES)).where("given").drop("note", "given").withColumn("part", F.lit(part)))
+            # Observed in the stage that writes, so that a task that runs twice counts once.
+            reduce(DataFrame.unionByName, staged).write.partitionBy("part").parquet(stage)
+            counted = [(i, m, n) for i in read for m, n in seen[i].get.items() if n or m == "parsed_pairs"]
+            return self._merged(catalog, read, self.spark.read.schema(reduce(DataFrame.unionByName, staged).schema).parquet(stage), counted)
+
+    def _merged(self, catalog: list[dict], read: list[str], rows: DataFrame, counted: list[tuple]) -> DataFrame:
+        costs, clicks = rows.where("part = 'costs' AND reject IS NULL"), rows.where("part = 'clicks' AND reject IS NULL")
         parts = {
-            "entries": merge.entries(words).repartitionByRange("reading", "surface").sortWithinPartitions("reading", "surface", "source", "kind"), "costs": merge.least_costs(valid),
-            "clicks": merge.total_clicks(titles, cost="clicks"), "sources": C.source_table(self.spark, catalog), "counts": counted.unionByName(rejected),
+            "entries": merge.accepted(rows.where("part = 'entries'")).repartitionByRange("reading", "surface").sortWithinPartitions("reading", "surface", "source", "kind"), "costs": merge.least_costs(costs.drop("reading").withColumnRenamed("key", "reading")),
+            "clicks": merge.total_clicks(clicks.withColumn("clicks", F.col("cost").cast("long")), cost="clicks"), "sources": C.source_table(self.spark, catalog), "counts": self.spark.createDataFrame(counted, "source string, metric string, n long"),
         }
 
         def writer(_, place: str) -> None:

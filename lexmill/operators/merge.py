@@ -50,8 +50,25 @@ def fold(rows: DataFrame) -> DataFrame:
 
 
 def entries(parsed: DataFrame) -> DataFrame:
-    rows = checked(parsed).where("reject IS NULL")
-    return fold(rows.withColumnRenamed("reading", "original_reading").withColumnRenamed("key", "reading"))
+    return accepted(checked(parsed))
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    """ENTRIES of the ``checked`` rows that aren't rejected."""
+    return fold(rows.where("reject IS NULL").withColumnRenamed("reading", "original_reading").withColumnRenamed("key", "reading"))
+
+
+def checked_titles(parsed: DataFrame) -> DataFrame:
+    """As ``checked``, for rows that only have a title."""
+    return parsed.withColumn("key", F.col("reading")).withColumn("reject", F.when(~text.is_valid_surface(F.col("surface")), "invalid_surface"))
+
+
+def metrics(notes: tuple[str, ...]) -> list[Column]:
+    """What is counted of ``checked`` rows with note and given: rows, rejects by reason, readings that lost a separator, and notes. As aggregates for ``DataFrame.observe``."""
+    given = F.col("given")
+    joined = F.col("reject").isNull() & (text.normalize(F.col("reading")) != F.col("key"))
+    counts = {"parsed_pairs": given, "separator_joined_pairs": given & joined} | {r: given & (F.col("reject") == r) for r in ("unsupported_reading", "invalid_surface")}
+    return [F.count_if(F.coalesce(c, F.lit(False))).alias(m) for m, c in (counts | {n: F.col("note") == n for n in notes}).items()]
 
 
 def least_costs(parsed: DataFrame, keys=("reading", "surface", "source"), cost: str = "cost") -> DataFrame:
@@ -69,12 +86,6 @@ def reject_counts(parsed: DataFrame) -> DataFrame:
     return rows.select("source", metric.alias("metric")).groupBy("source", "metric").agg(F.count("*").alias("n"))
 
 
-def title_counts(parsed: DataFrame) -> DataFrame:
-    """source, metric, n of rows that only have a title: rows parsed, titles rejected."""
-    metric = F.explode(F.filter(F.array(F.lit("parsed_pairs"), F.when(~text.is_valid_surface(F.col("surface")), "invalid_surface")), lambda x: x.isNotNull()))
-    return parsed.select("source", metric.alias("metric")).groupBy("source", "metric").agg(F.count("*").alias("n"))
-
-
 def totals(merged: DataFrame) -> DataFrame:
     """One row over ENTRIES: different nasi readings, nasi pairs, ari pairs, ari pairs that no source gives."""
     pairs = merged.groupBy("reading", "surface", "kind").agg(F.bool_and(F.col("confidence") == GENERATED).alias("made"))

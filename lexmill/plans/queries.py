@@ -6,17 +6,20 @@ its place in the corpus the rank.
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import costs as C
 from ..functions import okuri, sequence, text
 from ..operators import evaluate, export, index, integrity, merge, rank
-from ..runtime import materialized, scratch
+from ..runtime import materialized, scratch, ship
 from ..schema import ALL, ARI, GENERATED, GIVEN, NASI, SKK_ONLY
-from ..sources import catalog, files
+from ..sources import catalog, files, planned
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -146,6 +149,10 @@ WITH {TOK} d AS (SELECT DISTINCT doc_id, token FROM tok), f AS (SELECT doc_id, m
 SELECT lower(token) AS reading, token AS surface, 'a noun, "common"' AS pos, token = first AS first_form, 'iK' AS inf, CASE WHEN doc_id % 2 = 0 THEN 'news1' ELSE '' END AS shared, count(*) AS n FROM d JOIN f USING (doc_id) GROUP BY ALL""")
 def q41_xml_files(spark, sf_dir):
     """Each document as an XML entry: words as forms, in small letters as readings that are restricted to them, codes as entities of the DTD."""
+    return xml_entries(spark, sf_dir, {})
+
+
+def xml_entries(spark: SparkSession, sf_dir: str, written: dict[str, str], **options) -> DataFrame:
     words = F.array_sort(F.array_distinct(F.filter(F.split(F.coalesce("text", F.lit("")), "[^A-Za-z]+"), lambda x: x != "")))
     given = F.when(F.col("doc_id") % 2 == 0, "news1").otherwise("gai1")
     forms = F.array_join(F.transform("words", lambda w: F.concat(F.lit("<k_ele><keb>"), w, F.lit("</keb><ke_pri>news1</ke_pri><ke_inf>&iK;</ke_inf></k_ele>"))), "")
@@ -155,12 +162,111 @@ def q41_xml_files(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("words", words).where(F.size("words") > 0)
     with scratch(spark, "xml") as path:  # a document of XML per file, of some hundred entries
         parts = docs.groupBy(F.floor(F.col("doc_id") / 300).alias("part")).agg(F.concat(F.lit(head), F.array_join(F.collect_list(entry), ""), F.lit("</d>")).alias("value"))
-        parts.write.partitionBy("part").text(path)
-        rows = files.read_xml(spark, f"{path}/*", okuri.INFLECTIONS)
+        parts.write.options(**written).partitionBy("part").text(path)
+        rows = files.read_xml(spark, f"{path}/*", okuri.INFLECTIONS, **options)
         shared = F.array_join(F.array_intersect("own_pri", "reading_pri"), "|").alias("shared")
         return materialized(rows.select("reading", "surface", "pos", "first_form", F.array_join("inf", "|").alias("inf"), shared).groupBy("reading", "surface", "pos", "first_form", "inf", "shared").agg(F.count("*").alias("n")))
 
 
+@query(ORACLES["q41_xml_files"])
+def q55_xml_parts(spark, sf_dir):
+    """The same rows from documents dealt in parts of 64 KB."""
+    return xml_entries(spark, sf_dir, {}, splitBytes=1 << 16)
+
+
+@query(ORACLES["q41_xml_files"])
+def q56_xml_gzipped(spark, sf_dir):
+    """The same rows from gzipped documents."""
+    return xml_entries(spark, sf_dir, {"compression": "gzip"})
+
+
+@query(f"""
+WITH {TOK} l AS (SELECT doc_id, coalesce(p, []) AS p, doc_id // 300 AS part, CASE WHEN doc_id % 300 < 150 THEN 'ari' WHEN doc_id % 11 = 0 THEN 'bad' WHEN doc_id % 7 = 0 THEN 'template' WHEN doc_id % 3 = 0 THEN 'mixed' ELSE 'plain' END AS form FROM parts),
+e AS (
+  SELECT *, CASE form WHEN 'ari' THEN ['skk_okuri_entry'] WHEN 'bad' THEN ['skk_malformed_entry'] WHEN 'template' THEN ['skk_template_entry'] WHEN 'mixed' THEN ['skk_expression_entry', 'skk_expression_candidate', 'skk_expression_candidate'] ELSE [] END AS c FROM l
+), n AS (
+  SELECT part, doc_id, form, unnest(c) AS counter, generate_subscripts(c, 1) AS k, NULL AS word FROM e
+  UNION ALL SELECT part, doc_id, form, NULL, 3 + generate_subscripts(p, 1), unnest(p) FROM e WHERE form NOT IN ('bad', 'template')
+  UNION ALL SELECT part, doc_id, form, 'skk_special_candidate', 4, NULL FROM e WHERE form NOT IN ('bad', 'template', 'mixed') AND len(p) = 0
+)
+SELECT part, CASE WHEN form = 'ari' THEN 'か' || doc_id || 'あk' WHEN form = 'template' THEN '#' || doc_id ELSE 'key' || doc_id END AS reading, word AS surface, counter, CASE WHEN word IS NOT NULL THEN CASE form WHEN 'ari' THEN 'ari' ELSE 'nasi' END END AS kind,
+  CASE WHEN word IS NOT NULL THEN CASE WHEN form IN ('ari', 'mixed') THEN 'skk' ELSE 'all' END END AS scope, row_number() OVER (PARTITION BY part ORDER BY doc_id, k) - 1 AS rank FROM n""")
+def q52_keyed_parts(spark, sf_dir):
+    """Keyed dictionaries of two sections, with expressions, templates and broken lines, dealt in parts of 4 KB: each row's number in its file, and its section, that a part before may begin."""
+    d, n = table(spark, sf_dir, "documents"), F.col("doc_id")
+    ari, form = n % 300 < 150, F.when(n % 300 < 150, "ari").when(n % 11 == 0, "bad").when(n % 7 == 0, "template").when(n % 3 == 0, "mixed")
+    words = F.array_join(F.filter(F.split(F.coalesce("text", F.lit("")), "[^A-Za-z]+"), lambda x: x != ""), "/")
+    key = F.concat(F.when(form == "ari", "か").when(form == "template", "#").otherwise("key"), n.cast("string"), F.when(form == "ari", "あk").otherwise(""))
+    line = F.concat(key, F.when(form == "bad", " ").when((form == "mixed") & (words == ""), " /(f a/b)").when(form == "mixed", " /(f a/b)/").otherwise(" /"), words, F.lit("/"))
+    parts = d.withColumn("line", line).groupBy(F.floor(n / 300).alias("part")).agg(*(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(side, F.struct("doc_id", "line")))), lambda x: x["line"]), "\n").alias(name) for name, side in (("a", ari), ("b", ~ari))))
+    with scratch(spark, "keyed") as path:  # some hundred documents a file
+        parts.select("part", F.concat_ws("\n", F.lit(files.ARI_HEADER), "a", F.lit(files.NASI_HEADER), "b").alias("value")).write.partitionBy("part").text(path)
+        rows = files.read_keyed(spark, path, splitBytes=4096)
+        return materialized(rows.select(F.regexp_extract("path", r"part=(\d+)", 1).cast("long").alias("part"), "reading", "surface", "counter", "kind", "scope", "rank"))
+
+
+@query("""
+WITH w AS (SELECT doc_id, lang, string_split_regex(coalesce(text, ''), '[^A-Za-z]+') AS p FROM documents), t AS (SELECT DISTINCT doc_id, lang, unnest(list_filter(p, lambda x: x <> '')) AS token FROM w)
+SELECT lower(token) AS reading, token || '"' AS surface, '名詞|' || lang || '|*|*|*|' || CASE length(token) % 3 WHEN 0 THEN '*' WHEN 1 THEN '終止形-一般' ELSE '連用形-一般' END AS pos, CASE length(token) % 3 WHEN 2 THEN 'migemo' ELSE 'all' END AS scope, min(doc_id)::INT AS cost, count(*) AS n FROM t GROUP BY ALL""")
+def q53_analyser_files(spark, sf_dir):
+    """Words as rows of analyser dictionaries, quoted, with code points written out, each some hundred documents' in a zip; inflected forms are for searching only."""
+    words = F.array_distinct(F.filter(F.split(F.coalesce("text", F.lit("")), "[^A-Za-z]+"), lambda x: x != ""))
+    t = table(spark, sf_dir, "documents").select("doc_id", "lang", F.explode(words).alias("token"))
+    form = F.element_at(F.array(F.lit("*"), F.lit("終止形-一般"), F.lit("連用形-一般")), F.length("token") % 3 + 1)
+    quoted = F.concat(F.lit('"'), F.substring("token", 1, 1), F.lit('\\u{'), F.lower(F.hex(F.ascii(F.substring("token", 2, 1)))), F.lit("}"), F.substring("token", 3, 1 << 20), F.lit('"""'))
+    surface = F.when(F.length("token") > 1, quoted).otherwise(F.concat(F.lit('"'), "token", F.lit('"""')))
+    line = F.concat_ws(",", "token", F.lit("1"), F.lit("1"), F.col("doc_id").cast("string"), surface, F.lit("名詞"), "lang", F.lit("*"), F.lit("*"), F.lit("*"), form, F.lower("token"), "token", F.lit("*"), *[F.lit("*")] * 4)
+    with scratch(spark, "analyser") as path:
+        zipped(t.select(F.floor(F.col("doc_id") / 300).alias("part"), F.lit("small_lex.csv").alias("member"), line.alias("line")), path, lambda lines: "\n".join(lines).encode())
+        rows = catalog.read(spark, {"id": "sudachi-small", "format": "sudachi", "path": path})[0]
+        return materialized(rows.groupBy("reading", "surface", "pos", "scope").agg(F.min("cost").alias("cost"), F.count("*").alias("n")))
+
+
+@query("""
+WITH w AS (SELECT doc_id, string_split_regex(coalesce(text, ''), '[^A-Za-z]+') AS p FROM documents), t AS (SELECT DISTINCT doc_id, unnest(list_filter(p, lambda x: x <> '')) AS token FROM w)
+SELECT CASE WHEN length(token) % 5 = 0 THEN NULL ELSE lower(token) END AS reading, CASE WHEN length(token) % 5 > 0 THEN token || ' & more' END AS surface, CASE WHEN length(token) % 5 > 0 THEN 'd' || (doc_id % 4) || '_mini' END AS pos, CASE WHEN length(token) % 5 = 0 THEN 'jmed_without_reading' END AS note, count(*) AS n FROM t GROUP BY ALL""")
+def q54_workbook_files(spark, sf_dir):
+    """Words as cells of workbooks, four in each zip of some hundred documents, surfaces as shared strings; rows without a reading are counted."""
+    words = F.array_distinct(F.filter(F.split(F.coalesce("text", F.lit("")), "[^A-Za-z]+"), lambda x: x != ""))
+    t = table(spark, sf_dir, "documents").select("doc_id", F.explode(words).alias("token"))
+    reading = F.when(F.length("token") % 5 == 0, "-1").otherwise(F.lower("token"))
+    t = t.select(F.floor(F.col("doc_id") / 300).alias("part"), F.concat(F.lit("d"), (F.col("doc_id") % 4).cast("string"), F.lit("_mini.xlsx")).alias("member"), F.concat_ws("\t", reading, "token").alias("line"))
+    with scratch(spark, "books") as path:
+        zipped(t, path, workbook)
+        rows = catalog.noted(spark, {"id": "jmed", "format": "jmed", "path": path})
+        given = F.col("given")
+        return materialized(rows.select(F.when(given, F.col("reading")).alias("reading"), F.when(given, F.col("surface")).alias("surface"), F.when(given, F.col("pos")).alias("pos"), "note").groupBy("reading", "surface", "pos", "note").agg(F.count("*").alias("n")))
+
+
+def workbook(lines: list[str]) -> bytes:
+    """A workbook of rows "reading TAB surface" under the two titles; the surfaces are shared strings."""
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    pairs = [x.split("\t") for x in lines]
+    shared = "".join(f"<si><t>{s}</t><r><t> &amp; more</t></r></si>" for _, s in pairs)
+    head = f'<row><c r="B1" t="inlineStr"><is><t>{planned.READING_TITLE}</t></is></c><c r="D1" t="inlineStr"><is><t>{planned.SURFACE_TITLE}</t></is></c></row>'
+    rows = "".join(f'<row><c r="B{k}" t="inlineStr"><is><t>{r}</t></is></c><c r="D{k}" t="s"><v>{k - 2}</v></c></row>' for k, (r, _) in enumerate(pairs, 2))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("xl/sharedStrings.xml", f"<sst {ns}>{shared}</sst>")
+        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {ns}><sheetData>{head}{rows}</sheetData></worksheet>")
+    return out.getvalue()
+
+
+def zipped(rows: DataFrame, path: str, member: Callable[[list[str]], bytes]) -> None:
+    """A zip per part in ``path`` with its members (part, member, line) written by ``member``; a part is one of bounded size."""
+
+    def write(part: pd.DataFrame) -> pd.DataFrame:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for name, own in part.groupby("member"):
+                z.writestr(f"d/{name}", member(list(own["line"])))
+        planned.put(f"{path}/{part['part'].iloc[0]}.zip", out.getvalue())
+        return pd.DataFrame({"n": [len(part)]})
+
+    ship(rows.sparkSession)
+    rows.groupBy("part").applyInPandas(write, "n long").agg(F.sum("n")).collect()  # one number
+
+
 @query("""
 SELECT user_id, event_type, min(event_id) AS rank, arg_min(props, event_id) AS props, min(value) FILTER (value > 1) AS value, arg_min(value, event_id) FILTER (value > 2) AS first_large,
   CASE WHEN min(event_id % 2) = max(event_id % 2) THEN min((event_id % 2)::VARCHAR) ELSE 'all' END AS scope FROM events GROUP BY user_id, event_type""")
@@ -612,7 +718,7 @@ def q45_lemmas(spark, sf_dir):
     size = F.col("p_size")
     forms = F.explode(F.array(form(okuri.PLAIN_FORM, "書く", "ク", size), form("連用形-イ音便", "書い", "イ", size + 5), form("仮定形-一般", "描け", "ケ", size))).alias("f")
     rows = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("lemma"), F.lit("五段-カ行").alias("conjugation"), F.lit("書く").alias("normalized"), forms).select("lemma", "conjugation", "normalized", "f.*")
-    return okuri.from_lemmas(rows).select("reading", "surface", "pos", "cost")
+    return okuri.from_lemmas(rows)[0].select("reading", "surface", "pos", "cost")
 
 
 @query("SELECT p_partkey, chr(12353 + p_size::INT) || 'x' || chr(131072 + p_partkey::INT) AS plain FROM part")

@@ -56,10 +56,32 @@ def scratch(spark: SparkSession, name: str) -> Iterator[str]:
         fs.delete(p, True)
 
 
+_open: list[list[str]] = []
+
+
+@contextmanager
+def keeping(spark: SparkSession) -> Iterator[None]:
+    """What is ``materialized`` in the block is gone after it."""
+    paths: list[str] = []
+    _open.append(paths)
+    try:
+        yield
+    finally:
+        _open.remove(paths)
+        for path in paths:
+            p, fs = _path(spark, path)
+            fs.delete(p, True)
+
+
 def materialized(df: DataFrame) -> DataFrame:
-    """``df`` as a checkpoint in the shared folder: read many times, computed once."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` computed once and read many times: a table in the shared folder that lasts as long as the block of ``keeping`` around it, else a checkpoint there."""
+    folder = shared_dir(df.sparkSession)
+    if not _open:
+        return df.checkpoint(eager=True)
+    path = f"{folder}/kept-{uuid.uuid4().hex}"
+    _open[-1].append(path)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _move(fs, source, target) -> None:
