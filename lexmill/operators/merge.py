@@ -35,11 +35,15 @@ def common_tags(tags: Column) -> Column:
     return F.when(F.size(shared) > 0, F.array_sort(shared))
 
 
-def fold(rows: DataFrame) -> DataFrame:
-    """Rows of (ENTRY_KEY, scope, rank, cost, pri, pos, original_reading, confidence, inf) as ENTRIES: one shuffle, in any order of rows.
+def fold(rows: DataFrame, often: bool = False) -> DataFrame:
+    """Rows of (ENTRY_KEY, scope, rank, cost, pri, pos, original_reading, confidence, inf) as ENTRIES, in any order of rows.
 
     rank and cost: least known. scope: the rows' own if it is one, else all. pri: the first known. inf: shared tags. The rest is the first row's.
+    One shuffle, after each task has folded its own rows. often: keys come many times, with few different values, as words of a corpus do: then rows that differ in rank and cost
+    only are folded first, by a hash aggregate of numbers, since one that keeps strings has to sort its rows.
     """
+    if often:
+        rows = rows.groupBy(*ENTRY_KEY, "scope", "pri", "pos", "original_reading", "confidence", "inf").agg(F.min("rank").alias("rank"), F.min("cost").alias("cost"))
     rank = F.col("rank")
     first = lambda c: F.min_by(c, rank).alias(c)
     merged = rows.groupBy(*ENTRY_KEY).agg(

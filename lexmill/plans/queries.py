@@ -82,7 +82,7 @@ def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {LEXICON} done AS (SELECT 1) SELECT * FROM merged")
 def q03_merge(spark, sf_dir):
-    return merge.fold(lexicon(spark, sf_dir)).withColumn("pri", F.array_join("pri", "|")).drop("inf")
+    return merge.fold(lexicon(spark, sf_dir), often=True).withColumn("pri", F.array_join("pri", "|")).drop("inf")
 
 
 @query(f"WITH {TOK} done AS (SELECT 1) SELECT DISTINCT token, lower(token) AS search_key FROM tok")
@@ -302,7 +302,7 @@ def q07_total_clicks(spark, sf_dir):
 WITH {LEXICON} pairs AS (SELECT reading, surface, kind, max(confidence) = 'rule-generated' AS made FROM merged GROUP BY ALL)
 SELECT count(DISTINCT reading) FILTER (kind = 'nasi') AS readings, count(*) FILTER (kind = 'nasi') AS nasi_pairs, count(*) FILTER (kind <> 'nasi') AS ari_pairs, count(*) FILTER (made AND kind <> 'nasi') AS generated_pairs FROM pairs""")
 def q08_totals(spark, sf_dir):
-    return merge.totals(merge.fold(lexicon(spark, sf_dir)))
+    return merge.totals(merge.fold(lexicon(spark, sf_dir), often=True))
 
 
 @query("""
@@ -331,17 +331,18 @@ def q14_owner_guard(spark, sf_dir):
     """Clicks count for a candidate unless signals give its title to another reading, or to several."""
     pairs = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("surface"), F.col("l_suppkey").alias("reading"), "l_quantity")
     clicks = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("surface"), F.col("p_size").cast("long").alias("clicks"))
-    return rank.with_guarded_clicks(pairs.select("surface", "reading").distinct(), clicks, pairs.where("l_quantity > 40").select("reading", "surface"))
+    said = pairs.groupBy("surface", "reading").agg(F.bool_or(F.col("l_quantity") > 40).alias("said"))
+    return rank.with_guarded_clicks(said, clicks).drop("said")
 
 
 @query(f"WITH {LEXICON} done AS (SELECT 1) SELECT DISTINCT reading, surface FROM merged WHERE source IN ('en', 'fr') AND kind = 'nasi' AND scope IN ('all', 'migemo')")
 def q11_pairs(spark, sf_dir):
-    return export.reading_pairs(merge.fold(lexicon(spark, sf_dir)), ["en", "fr"])
+    return export.reading_pairs(merge.fold(lexicon(spark, sf_dir), often=True), ["en", "fr"])
 
 
 @query(f"WITH {LEXICON} done AS (SELECT 1) SELECT reading, surface, source, original_reading, kind, scope, confidence, CASE WHEN confidence = 'rule-generated' THEN pos ELSE '' END AS rule FROM merged")
 def q12_provenance(spark, sf_dir):
-    return merge.provenance(merge.fold(lexicon(spark, sf_dir)))
+    return merge.provenance(merge.fold(lexicon(spark, sf_dir), often=True))
 
 
 @query("SELECT l_partkey AS title, count(DISTINCT l_suppkey) AS n_owners, CASE WHEN count(DISTINCT l_suppkey) = 1 THEN min(l_suppkey) END AS owner FROM lineitem WHERE l_quantity > 40 GROUP BY 1")
@@ -399,7 +400,7 @@ def named_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(NASI).alias("kind"), F.lit(ALL).alias("scope"), (F.col("doc_id") * 1000000 + pos).alias("rank"), (pos % 500).alias("cost"), F.when(pos % 7 == 0, F.array(F.concat(F.lit("nf"), F.lpad((1 + pos % 48).cast("string"), 2, "0")))).alias("pri"),
         F.lit("").alias("pos"), key.alias("original_reading"), F.lit(GIVEN).alias("confidence"), F.lit(None).cast("array<string>").alias("inf"),
     )
-    return merge.fold(rows)
+    return merge.fold(rows, often=True)
 
 
 def ordered(merged: DataFrame, ignored: tuple[str, ...] = ()) -> DataFrame:
@@ -589,7 +590,8 @@ def q20_evidence(spark, sf_dir):
         F.col("p_brand").alias("reading"), F.col("p_type").alias("surface"), F.when(size < 15, "skk-l").when(size < 30, "sudachi-small").when(size < 40, "sudachi-core").otherwise("jmdict").alias("source"),
         F.col("p_partkey").alias("rank"), size.alias("cost"), F.lit(None).cast("array<string>").alias("pri"), (F.col("p_retailprice") > 1400).alias("irregular"),
     )
-    return rank.evidence(rows).select("reading", "surface", "first_rank", "measured_cost", "is_tagged", "irregular", "families", F.col("fallback.rank").alias("fallback_rank"))
+    ids = ["skk-l", "sudachi-small", "sudachi-core", "jmdict"]
+    return rank.evidence(rows, ids, ids).select("reading", "surface", "first_rank", "measured_cost", "is_tagged", "irregular", F.col("families").cast("long").alias("families"), "fallback_rank")
 
 
 #: Words as ari candidates: two languages' are given, two languages' are generated, with the dictionary form that they come from.
@@ -617,7 +619,7 @@ def ari_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("doc_id") * 1000000 + pos).alias("rank"), (pos % 500).alias("cost"), F.lit(None).cast("array<string>").alias("pri"), F.concat(F.lit("okuri-rule|v5k|"), F.lower(word), F.lit("|"), word).alias("pos"),
         F.lower(word).alias("original_reading"), F.when(lang.isin("de", "fr"), GENERATED).otherwise(GIVEN).alias("confidence"), F.lit(None).cast("array<string>").alias("inf"),
     )
-    return merge.fold(rows)
+    return merge.fold(rows, often=True)
 
 
 def ari_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -636,7 +638,7 @@ WITH {ARI_ROWS}, nasi AS (SELECT lower(token) AS key, token AS surface, min(doc_
 SELECT kind, key, surface, position::INT AS position FROM p UNION ALL SELECT 'ari', reading, surface, position::INT FROM ari_placed""")
 def q42_dictionary_order(spark, sf_dir):
     """Both sections of a dictionary, one behind the other."""
-    given = merge.fold(lexicon(spark, sf_dir).withColumn("kind", F.lit(NASI)).withColumn("scope", F.lit(ALL)).withColumn("source", F.lit("skk-l")))
+    given = merge.fold(lexicon(spark, sf_dir).withColumn("kind", F.lit(NASI)).withColumn("scope", F.lit(ALL)).withColumn("source", F.lit("skk-l")), often=True)
     return export.ranked_pairs(ari_positions(spark, sf_dir), rank.positions(rank.nasi_order(given, ["skk-l"])))
 
 
@@ -741,13 +743,13 @@ SELECT reading, surface, source, original_reading, kind, scope, confidence, CASE
 def q48_traced(spark, sf_dir):
     """Each entry with its source's version and licence; two sources aren't listed."""
     listed = [{"id": "en", "format": "skk", "version": "1", "license": "A"}, {"id": "de", "format": "skk", "version": "2", "license": "B"}]
-    return merge.traced(merge.fold(lexicon(spark, sf_dir)), catalog.source_table(spark, listed))
+    return merge.traced(merge.fold(lexicon(spark, sf_dir), often=True), catalog.source_table(spark, listed))
 
 
 @query(f"WITH {LEXICON} done AS (SELECT 1), i AS (SELECT unnest(['en', 'de', 'fr', 'es', 'none']) AS id) SELECT id, count(reading) AS n, count(*) FILTER (confidence = 'rule-generated') AS generated FROM i LEFT JOIN merged ON source = id GROUP BY id")
 def q49_per_source(spark, sf_dir):
     """Entries by source, of listed ones that have none, too."""
-    return merge.per_source(merge.fold(lexicon(spark, sf_dir)), ["en", "de", "fr", "es", "none"])
+    return merge.per_source(merge.fold(lexicon(spark, sf_dir), often=True), ["en", "de", "fr", "es", "none"])
 
 
 @query("""
