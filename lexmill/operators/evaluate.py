@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import costs as C
-from ..functions import text
+from ..functions import quantiles, text
 from .rank import ORDER, positions
 
 QUANTILES = (0.01, 0.02, 0.05, *(k / 20 for k in range(2, 20)), 0.95, 0.98, 0.99)
@@ -121,23 +121,34 @@ def evaluate_order(candidates: DataFrame, ordered: DataFrame, probes: int = 8) -
     return {"agreement": order_agreement(truth, ordered), "first_kinds": first_kinds(placed), "probes": top(placed, probes).select("reading", "surface", "position")}
 
 
-def knots(rows: DataFrame, x: str, y: str, quantiles: Sequence[float] = QUANTILES, falling: bool = False) -> DataFrame:
-    """n, x, y: matched quantiles of two scales over rows that have both; of equal x the first stays. falling: large x goes with small y."""
-    q = sorted(quantiles)
+def knots(rows: DataFrame, x: str, y: str, shares: Sequence[float] = QUANTILES, falling: bool = False) -> DataFrame:
+    """n, x, y: matched quantiles of two scales over rows that have both; of equal x the first stays. falling: large x goes with small y.
+
+    Quantiles are exact, by histograms of bounded size, so no task holds a column.
+    """
+    q = sorted(shares)
     both = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    at = both.agg(F.percentile(x, F.lit(q)).alias("x"), F.percentile(y, F.lit(q)).alias("y"))
-    pairs = at.select(F.posexplode(F.arrays_zip("x", F.reverse("y").alias("y") if falling else F.col("y"))).alias("n", "p")).select("n", "p.x", "p.y")
-    before = F.lag("x").over(Window.orderBy("n"))  # as many rows as quantiles
-    return pairs.withColumn("_b", before).where(F.col("_b").isNull() | (F.col("_b") != F.col("x"))).drop("_b")
+    at_x, at_y = (quantiles.quantiles(both, c, q).get(None, []) for c in (x, y))
+    pairs = list(enumerate(zip(at_x, at_y[::-1] if falling else at_y)))
+    kept = [(n, *p) for n, p in pairs if not n or pairs[n - 1][1][0] != p[0]]
+    return rows.sparkSession.createDataFrame(kept, "n int, x double, y double")
+
+
+def pool(blocks: Iterable[tuple[list, float, int]]) -> list[tuple[list, float, int]]:
+    """Blocks (keys, mean, weight) in the order of their keys, made to never fall by pooling neighbours. Neighbours that are pooled in a part stay so in the whole, so results of parts are blocks again."""
+    out: list[tuple[list, float, int]] = []
+    for keys, mean, weight in blocks:
+        keys = list(keys)
+        while out and out[-1][1] > mean:
+            before, m, w = out.pop()
+            keys, mean, weight = before + keys, (m * w + mean * weight) / (w + weight), w + weight
+        out.append((keys, mean, weight))
+    return out
 
 
 def pooled_medians(rows: DataFrame, band: str, value: str) -> list[tuple[int, float]]:
     """Median of each band, made to never fall along the bands by pooling neighbours, weighted by their rows."""
-    found = rows.groupBy(band).agg(F.median(value).alias("m"), F.count(value).alias("n")).orderBy(band).collect()  # one row per band
-    pools: list[list] = []
-    for r in found:
-        pools.append([[r[band]], float(r["m"]), r["n"]])
-        while len(pools) > 1 and pools[-2][1] > pools[-1][1]:
-            keys, m, n = pools.pop()
-            pools[-1] = [pools[-1][0] + keys, (pools[-1][1] * pools[-1][2] + m * n) / (pools[-1][2] + n), pools[-1][2] + n]
-    return [(k, m) for keys, m, _ in pools for k in keys]
+    known = rows.where(F.col(value).isNotNull())
+    medians = quantiles.quantiles(known, value, (0.5,), by=band)
+    sizes = {r["g"]: r["n"] for r in known.groupBy(F.col(band).alias("g")).agg(F.count("*").alias("n")).collect()}  # a row per band
+    return [(k, m) for keys, m, _ in pool(([b], medians[b][0], sizes[b]) for b in sorted(medians)) for k in keys]

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text
 from ..runtime import publish
@@ -61,25 +63,37 @@ def judged_pairs(pairs: DataFrame, cap: int = ENTRY_CHARS) -> DataFrame:
     again = F.row_number().over(Window.partitionBy("kind", "key", "surface").orderBy("position")) > 1
     rows = pairs.withColumn("verdict", F.coalesce(wrong, F.when(again, "duplicate")))
     size = F.char_length("key") + F.sum(F.when(F.col("verdict").isNull(), F.char_length("surface") + 1).otherwise(0)).over(Window.partitionBy("kind", "key"))
-    sized = rows.withColumn("_over", F.col("verdict").isNull() & (size > cap))
-    over = sized.where("_over").groupBy("kind", "key").agg(F.array_sort(F.collect_list(F.struct("position", "surface"))).alias("c"))
-    passed = F.transform(greedy_fit(F.col("c"), F.char_length("key"), F.lit(cap)), lambda x: ~x)
-    none = over.select("kind", "key", F.explode(F.arrays_zip("c", passed.alias("out"))).alias("x")).where("x.out").select("kind", "key", F.col("x.c.surface").alias("surface"), F.lit("overlong_entry").alias("late"))
-    told = sized.join(none, ["kind", "key", "surface"], "left")
-    return told.select("kind", "key", "surface", "position", F.coalesce("verdict", F.when(F.col("_over"), F.col("late")), F.lit("kept")).alias("verdict"))
+    sized = rows.withColumn("size", size)
+    over = F.col("verdict").isNull() & (F.col("size") > cap)
+    told = sized.where(~over).select("kind", "key", "surface", "position", F.coalesce("verdict", F.lit("kept")).alias("verdict"))
+    tried = greedy_fit(sized.where(over).select("kind", "key", "surface", "position"), ["kind", "key"], "position", F.char_length("surface") + 1, F.char_length("key"), cap)
+    return told.unionByName(tried.select("kind", "key", "surface", "position", F.when(F.col("fits"), "kept").otherwise("overlong_entry").alias("verdict")))
 
 
-def greedy_fit(items, start, cap):
-    """For an ordered array of structs with ``surface``: which of them fit, one after the other, each adding its length and 1 to ``start``.
+def greedy_fit(rows: DataFrame, keys: list[str], order: str, need: Column, start: Column, cap: int) -> DataFrame:
+    """``rows`` with fits: whether a row still fits behind those of its key that fitted before it, ``start`` being taken already.
 
-    The sizes so far come by one fold; a candidate fits if it grows them.
+    A key's rows run through one task in order, and all that is held of them is the size so far: linear in time, whatever a key's rows.
     """
-    step = lambda a, x: F.struct(
-        F.when(a["size"] + F.char_length(x["surface"]) + 1 <= cap, a["size"] + F.char_length(x["surface"]) + 1).otherwise(a["size"]).alias("size"),
-        F.concat(a["fits"], F.when(a["size"] + F.char_length(x["surface"]) + 1 <= cap, "1").otherwise("0")).alias("fits"),
-    )
-    zero = F.struct(start.cast("int").alias("size"), F.lit("").alias("fits"))
-    return F.transform(F.filter(F.split(F.aggregate(items, zero, step, lambda a: a["fits"]), ""), lambda x: x != ""), lambda x: x == "1")
+    used = "need_", "start_", "fits"
+    if clash := set(used) & set(rows.columns):
+        raise ValueError(f"columns of these names are in use: {', '.join(sorted(clash))}")
+    sized = rows.withColumns({"need_": need.cast("long"), "start_": start.cast("long")}).repartition(*keys).sortWithinPartitions(*keys, order)
+
+    def run(batches):
+        key, size = object(), 0
+        for b in batches:
+            column = lambda c: b.column(b.schema.get_field_index(c)).to_pylist()  # noqa: B023, E731
+            fits = []
+            for k, n, first in zip(zip(*(column(c) for c in keys)), column("need_"), column("start_")):
+                if k != key:
+                    key, size = k, first
+                fits.append(size + n <= cap)
+                size += n if fits[-1] else 0
+            kept = [c for c in b.schema.names if c not in used]
+            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in kept), pa.array(fits, pa.bool_())], [*kept, "fits"])
+
+    return sized.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("fits", T.BooleanType())]))
 
 
 def verdict_counts(judged: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from ..operators import evaluate, export, index, integrity, merge, rank
 from ..runtime import materialized, scratch, ship
 from ..schema import ALL, ARI, GENERATED, GIVEN, NASI, SKK_ONLY
 from ..sources import catalog, files, planned
+from ..streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -477,6 +478,27 @@ def q27_knots(spark, sf_dir):
     return evaluate.knots(table(spark, sf_dir, "lineitem"), "l_extendedprice", "l_quantity", (0.01, 0.25, 0.5, 0.75, 0.99), falling=True).select("n", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
 
 
+@query("""
+WITH m AS (SELECT l_linenumber AS band, quantile_cont(l_extendedprice, 0.5) AS m, count(*) AS n FROM lineitem GROUP BY 1),
+c AS (SELECT a.band AS first, b.band AS last, sum(x.m * x.n) / sum(x.n) AS mean FROM m a JOIN m b ON b.band >= a.band JOIN m x ON x.band BETWEEN a.band AND b.band GROUP BY ALL)
+SELECT m.band, round((SELECT max(low) FROM (SELECT first, min(mean) AS low FROM c WHERE last >= m.band AND first <= m.band GROUP BY first)), 6) AS median FROM m""")
+def q57_pooled_medians(spark, sf_dir):
+    """The median of each band, made to never fall: at each band the greatest over all starts of the least mean to any end."""
+    found = evaluate.pooled_medians(table(spark, sf_dir, "lineitem"), "l_linenumber", "l_extendedprice")
+    return spark.createDataFrame(found, "band int, median double").withColumn("median", F.round("median", 6))
+
+
+@query(f"WITH {LEXICON} done AS (SELECT 1) SELECT * FROM merged")
+def q58_incremental_merge(spark, sf_dir):
+    """The merged lexicon from a store that was folded in three batches, the last rows first."""
+    rows = lexicon(spark, sf_dir)
+    with scratch(spark, "store") as path:
+        store = incremental.Store(spark, path, buckets=16)
+        for k in (2, 1, 0):
+            store.fold(rows.where(F.col("rank") % 3 == k))
+        return materialized(store.entries().withColumn("pri", F.array_join("pri", "|")).drop("inf"))
+
+
 # Order, output, integrity
 
 LINES = "lines AS (SELECT doc_id, unnest(p) AS line, generate_subscripts(p, 1) - 1 AS line_no FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)),"
@@ -498,9 +520,8 @@ WITH RECURSIVE {LINES} f(doc_id, line_no, size, fits) AS (
   SELECT f.doc_id, l.line_no, CASE WHEN f.size + length(l.line) + 1 <= 2000 THEN f.size + length(l.line) + 1 ELSE f.size END, f.size + length(l.line) + 1 <= 2000 FROM f JOIN lines l ON l.doc_id = f.doc_id AND l.line_no = f.line_no + 1
 ) SELECT doc_id, line_no::INT AS line_no, fits FROM f WHERE line_no >= 0""")
 def q22_greedy_fit(spark, sf_dir):
-    items = lines(spark, sf_dir).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line_no", F.col("line").alias("surface")))).alias("c"))  # a document's lines
-    fits = export.greedy_fit(F.col("c"), F.lit(10), F.lit(2000))
-    return items.withColumn("fits", fits).select("doc_id", F.explode(F.arrays_zip("c", "fits")).alias("x")).select("doc_id", "x.c.line_no", "x.fits")
+    sized = lines(spark, sf_dir).select("doc_id", "line_no", F.char_length("line").alias("length"))
+    return export.greedy_fit(sized, ["doc_id"], "line_no", F.col("length") + 1, F.lit(10), 2000).drop("length")
 
 
 @query(f"""

@@ -101,5 +101,5 @@ def test_stream_folds_as_batches_do(spark, tmp_path):
     incremental.maintain(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
     from lexmill.operators import merge
 
-    got, want = spark.read.parquet(str(tmp_path / "out")), merge.entries(df)
+    got, want = incremental.Store(spark, str(tmp_path / "out")).entries(), merge.entries(df)
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and F is not None
