@@ -25,6 +25,7 @@ TRACK_ENTRY, TRACK_NUMBER, TRACK_UID, TRACK_TYPE, FLAG_LACING, CODEC_ID, DEFAULT
 AUDIO, SAMPLING_FREQUENCY, CHANNELS, BIT_DEPTH = 0xE1, 0xB5, 0x9F, 0x6264
 TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK, BLOCK_DURATION, REFERENCE_BLOCK = 0xE7, 0xA3, 0xA0, 0xA1, 0x9B, 0xFB
 TAGS, CHAPTERS, ATTACHMENTS = 0x1254C367, 0x1043A770, 0x1941A469
+CONTENT_ENCODINGS = 0x6D80
 CUE_POINT, CUE_TIME, CUE_TRACK_POSITIONS, CUE_TRACK, CUE_CLUSTER_POSITION = 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
 NO_LACING, XIPH, FIXED, EBML_LACING = 0, 1, 2, 3
 
@@ -204,7 +205,7 @@ def parse(data: bytes) -> Media:
                 for i, _, x, y in children(data, a, e):
                     if i == TRACK_ENTRY:
                         t = {j: data[p:q] for j, _, p, q in children(data, x, y)}
-                        out.tracks[int.from_bytes(t.get(TRACK_NUMBER, b""), "big")] = {"codec": t.get(CODEC_ID, b"").decode("ascii", "replace"), "type": int.from_bytes(t.get(TRACK_TYPE, b""), "big"), "frame_ns": int.from_bytes(t.get(DEFAULT_DURATION, b""), "big")}
+                        out.tracks[int.from_bytes(t.get(TRACK_NUMBER, b""), "big")] = {"codec": t.get(CODEC_ID, b"").decode("ascii", "replace"), "type": int.from_bytes(t.get(TRACK_TYPE, b""), "big"), "frame_ns": int.from_bytes(t.get(DEFAULT_DURATION, b""), "big"), "encoded": CONTENT_ENCODINGS in t}
             elif k == CUES:
                 for i, _, x, y in children(data, a, e):
                     if i == CUE_POINT:
@@ -254,8 +255,12 @@ def _block(data: bytes, at: int, end: int, stamp: int, index: int, out: Media, k
         raise Damaged(f"a block is cut off at {at}")
     relative, flags = int.from_bytes(data[at : at + 2], "big", signed=True), data[at + 2]
     lacing, time = flags >> 1 & 3, (stamp + relative) * out.scale
+    if out.tracks.get(track, {}).get("encoded"):
+        raise Damaged(f"the frames of track {track} at {at} are encoded, which isn't undone")
     frames = laced(data, at + 3, end, lacing)
     step = out.tracks.get(track, {}).get("frame_ns", 0) or duration * out.scale // len(frames)
+    if max(track, abs(time), abs(time + step * len(frames))) >= 1 << 63:
+        raise Damaged(f"a track's number or a time at {at} is beyond 64 bits")
     for k, (p, n) in enumerate(frames):
         out.packets.append((track, time + k * step, p, n, index, lacing, bool(flags & 0x80) if key is None else key))
 
@@ -272,7 +277,7 @@ PACKET = "track long, timestamp_ns long, start long, size long, cluster int, lac
 def packet_table(media: DataFrame, id_col: str, media_col: str) -> DataFrame:
     """One row per packet of each row's Matroska bytes: the id, PACKET's columns, error.
 
-    Null or empty bytes give no row. Bytes that break the format give one row with null packet
+    Null or empty bytes give no row. Bytes that break the format, have numbers beyond 64 bits or packets of a track whose content is encoded give one row with null packet
     columns and the reason in ``error``; a row's packets before the break aren't returned. Repeated
     rows give their packets each. Narrow: memory is one batch of media.
     """

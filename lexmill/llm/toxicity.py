@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_sample, mapped, rows_of
@@ -204,12 +204,18 @@ def is_held_out(doc_id) -> bool:
     return zlib.crc32(str(doc_id).encode()) % 4 == 2
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = 2_000, text_col: str = "text") -> list[tuple[str | None, int]]:
-    """At most ``per_label`` rows of each label, by the hash of doc_id, of those that aren't held out."""
+def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = 2_000, text_col: str = "text", most_chars: int = 64 << 20) -> list[tuple[str | None, int]]:
+    """At most ``per_label`` rows of each label, by the hashes of doc_id and text, of those that aren't held out; of these as many as have ``most_chars`` characters together."""
     usable = labels.where(F.col("toxic").isin(0, 1) & (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != 2))
-    chosen = [bounded_sample(usable.where(F.col("toxic") == k).select("doc_id", "toxic"), per_label) for k in (0, 1)]
-    few = F.broadcast(chosen[0].unionByName(chosen[1]).distinct())  # at most 2 * per_label ids
-    return [(r["text"], r["toxic"]) for r in docs.select("doc_id", F.col(text_col).alias("text")).join(few, "doc_id").orderBy("doc_id").collect()]
+    texts = docs.select("doc_id", F.col(text_col).alias("text"))
+    out = []
+    for k in (0, 1):
+        few = F.broadcast(bounded_sample(usable.where(F.col("toxic") == k).select("doc_id"), per_label).distinct())  # at most per_label ids
+        # An id may be that of any number of rows.
+        first = texts.join(few, "doc_id").withColumns({"h": F.xxhash64("doc_id"), "g": F.xxhash64("text")}).orderBy("h", "doc_id", "g").limit(per_label)
+        chars = F.sum(F.coalesce(F.char_length("text"), F.lit(0))).over(Window.orderBy("h", "doc_id", "g").rowsBetween(Window.unboundedPreceding, 0))  # over per_label rows at most
+        out += [(r["doc_id"], r["text"], k) for r in first.withColumn("chars", chars).where(F.col("chars") <= most_chars).collect()]
+    return [(t, k) for _, t, k in sorted(out, key=lambda x: x[0])]
 
 
 def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, per_label: int = 2_000, text_col: str = "text") -> DataFrame:

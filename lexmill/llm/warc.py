@@ -155,10 +155,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for b in batches:
             for (data,) in rows_of(b, "content"):
-                out, data = [], unzipped(data)
+                out = []
                 try:
-                    for h, block in records(data):
+                    for h, block in records(unzipped(data)):
                         number = h.get("warc-segment-number", "")
+                        if number and not (number.isdigit() and int(number) < 1 << 31) or len(h.get("warc-segment-total-length", "")) > 18:
+                            raise Damaged(f"a segment's number or total length is none: {h.get('warc-record-id', '')}")
                         rid = h.get("warc-record-id", "")
                         out.append((rid, h.get("warc-type"), h.get("warc-segment-origin-id") or rid, int(number or 1), int(h["warc-segment-total-length"]) if "warc-segment-total-length" in h else None, h.get("warc-target-uri"), h.get("warc-refers-to-target-uri"), h.get("warc-payload-digest", "").removeprefix("sha1:") or None, not number, block, None))
                 except (Damaged, ValueError) as e:
@@ -172,14 +174,19 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def unzipped(data: bytes) -> bytes:
-    """Gzip members one behind the other; other bytes as they are."""
+    """Gzip members one behind the other; other bytes as they are. Damaged where a member is broken or cut off."""
     if data[:2] != b"\x1f\x8b":
         return data
-    out = []
+    out, at = [], 0
     while data:
         d = zlib.decompressobj(31)
-        out.append(d.decompress(data))
-        data = d.unused_data
+        try:
+            out.append(d.decompress(data))
+        except zlib.error as e:
+            raise Damaged(f"member {at} isn't gzip: {e}") from e
+        if not d.eof:
+            raise Damaged(f"member {at} is cut off")
+        data, at = d.unused_data, at + 1
     return b"".join(out)
 
 

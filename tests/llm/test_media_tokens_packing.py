@@ -221,3 +221,14 @@ def test_sequences(spark):
     (row,) = packing.sequences(packed).collect()
     parts = [bytes(r["ids"]) for r in packed.orderBy("offset").collect()]
     assert bytes(row["ids"]) == b"".join(parts) and row["n"] == len(row["ids"]) // 4
+
+
+def test_numbers_beyond_64_bits_and_encoded_tracks_are_errors(spark):
+    good = mk.mux(bytes(mk.FRAME))
+    stamp = mk.uint(mk.TIMESTAMP, 0)
+    late = good.replace(mk.element(mk.CLUSTER, stamp + mk.element(mk.SIMPLE_BLOCK, mk.block(1, 0, [bytes(mk.FRAME)], mk.FIXED))), mk.element(mk.CLUSTER, mk.element(mk.TIMESTAMP, (1 << 62).to_bytes(8, "big")) + mk.element(mk.SIMPLE_BLOCK, mk.block(1, 0, [bytes(mk.FRAME)], mk.FIXED))))
+    track = mk.element(mk.TRACK_ENTRY, mk.uint(mk.TRACK_NUMBER, 1) + mk.element(mk.CONTENT_ENCODINGS, b""))
+    encoded = mk.element(mk.EBML, b"") + mk.element(mk.SEGMENT, mk.element(mk.TRACKS, track) + mk.element(mk.CLUSTER, stamp + mk.element(mk.SIMPLE_BLOCK, mk.block(1, 0, [b"abc"], mk.NO_LACING))))
+    assert late != good and mk.parse(good).packets
+    rows = {r["k"]: r for r in mk.packet_table(spark.createDataFrame([(1, good), (2, late), (3, encoded)], "k int, media binary"), "k", "media").collect()}
+    assert rows[1]["error"] is None and "64 bits" in rows[2]["error"] and "encoded" in rows[3]["error"] and rows[2]["track"] is rows[3]["track"] is None

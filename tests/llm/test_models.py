@@ -34,6 +34,17 @@ def test_held_out_labels_are_never_read(spark):
     assert one == two
 
 
+def test_training_rows_are_bounded_also_where_ids_repeat(spark):
+    docs = spark.range(20_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text")).union(spark.createDataFrame([(7, "one"), (3, None)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(1, 1), (7, 0), (3, 0), (None, 1)], "doc_id long, toxic int")
+    used = [i for i in (1, 7, 3) if not toxicity.is_held_out(i)]
+    rows = toxicity.training_rows(docs, labels, per_label=10)
+    assert 1 in used and sum(k for _, k in rows) == 10 and sum(1 - k for _, k in rows) == len(used) - 1
+    assert rows == toxicity.training_rows(docs.repartition(3), labels, per_label=10)
+    few = toxicity.training_rows(docs, labels, per_label=100, most_chars=95)
+    assert 0 < sum(len(t) for t, k in few if k) <= 95
+
+
 def test_swaps_keep_neutral_mentions_neutral():
     r = random.Random(0)
     filler = lambda: " ".join(r.choice("the city has many people who work and live in it every day".split()) for _ in range(12))

@@ -1,3 +1,4 @@
+import gzip
 import base64
 import hashlib
 import random
@@ -127,3 +128,25 @@ def test_verdicts_follow_held_back_labels(spark):
     judged = quality.judge(docs).withColumnRenamed("quality", "p").join(labels, "doc_id").where(~F.col("base_failed")).select("kept", "quality").collect()
     bad, good = [r["kept"] for r in judged if r["quality"] == 0], [r["kept"] for r in judged if r["quality"] == 1]
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.2 * len(bad)
+
+
+def test_damaged_gzip_and_numbers_are_reported(spark, tmp_path):
+    good = gzip.compress(warc.record({"WARC-Type": "response", "WARC-Record-ID": "<a>"}, b"HTTP/1.1 200 OK\r\n\r\nhello") + b"\r\n\r\n")
+    huge = warc.record({"WARC-Type": "continuation", "WARC-Record-ID": "<b>", "WARC-Segment-Number": str(1 << 40)}, b"x") + b"\r\n\r\n"
+    long = warc.record({"WARC-Type": "continuation", "WARC-Record-ID": "<c>", "WARC-Segment-Number": "2", "WARC-Segment-Total-Length": "9" * 30}, b"x") + b"\r\n\r\n"
+    flipped = bytearray(good)
+    flipped[len(good) // 2] ^= 0xFF
+    flipped[len(good) // 2 + 1] ^= 0xFF
+    for k, data in enumerate((good + good, bytes(flipped), good[:-9], good + b"\x1f\x8brubbish", huge, long)):
+        (tmp_path / f"part-{k}").write_bytes(data)
+    rows = warc.read(spark, str(tmp_path)).collect()
+    assert sum(r["error"] is None for r in rows) == 2 and sum(r["error"] is not None for r in rows) == 5
+    r = random.Random(1)
+    for _ in range(300):  # whatever is changed, there are records or an error of one kind
+        data = bytearray(good)
+        for _ in range(r.randint(1, 3)):
+            data[r.randrange(2, len(data))] = r.randrange(256)
+        try:
+            list(warc.records(warc.unzipped(bytes(data))))
+        except warc.Damaged:
+            pass
