@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -73,9 +75,23 @@ def is_valid_dictionary_key(kind: Column, key: Column) -> Column:
     return (key != "") & ~key.rlike(r"[\s\p{Z}/;#\[\]]") & (is_okuri_key(key) == (kind == "ari"))
 
 
+@lru_cache(maxsize=1)
+def joining_class() -> str:
+    """A character class of what forms one grapheme with what stands before it: marks by the Unicode version of this Python, as the JVM's own classes may know fewer, and a few others."""
+    more = [(0x1F3FB, 0x1F3FF), (0x200C, 0x200D), (0xFF9E, 0xFF9F), (0xE0020, 0xE007F)]  # fixed values: skin tones, joiners, half-width voicing, tags
+    joins = lambda c: unicodedata.category(chr(c)) in ("Mn", "Me", "Mc") or any(a <= c <= b for a, b in more)
+    runs: list[list[int]] = []
+    for c in filter(joins, range(sys.maxunicode + 1)):
+        if runs and runs[-1][1] == c - 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in runs) + "]"
+
+
 def joins_previous(c: Column) -> Column:
-    """Whether the first character forms one grapheme with what stands before it."""
-    return c.rlike("\\A[\\p{Mn}\\p{Me}\\p{Mc}\\x{1F3FB}-\\x{1F3FF}\\x{200C}\\x{200D}\\x{FF9E}\\x{FF9F}\\x{E0020}-\\x{E007F}]")
+    """Whether the first character forms one grapheme with what stands before it. A first character below the first mark takes no search."""
+    return (c >= F.lit("\u0300")) & c.rlike(rf"\A{joining_class()}")
 
 
 def is_valid_candidate(c: Column) -> Column:

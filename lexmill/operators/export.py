@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from ..functions import text
 from ..runtime import publish
 from ..schema import ALL, ARI, NASI, SEARCH_ONLY
+from ..sources import files
+from . import integrity
 
 #: A line of a dictionary has at most so many characters of key and candidates.
 ENTRY_CHARS = 30_000
@@ -130,6 +132,18 @@ def write_dictionary(judged: DataFrame, path: str, headers: tuple[str, ...] = ()
     return stats
 
 
+def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """kind, key, surface, rank of the candidates of a dictionary that ``write_dictionary`` has written, in its order. Its files are read as one, in parts."""
+    rows = files.read_keyed(spark, path, whole=True)
+    return rows.where("surface IS NOT NULL").select("kind", F.col("reading").alias("key"), "surface", "rank")
+
+
+def rebuilt(judged: DataFrame, path: str) -> DataFrame:
+    """kind, key, surface, side of the kept candidates that a written dictionary lacks (one), or has and shouldn't (two); none if it is what ``judged`` makes."""
+    kept = judged.where("verdict = 'kept'").select("kind", "key", "surface")
+    return integrity.changed_rows(kept, read_dictionary(judged.sparkSession, path).drop("rank"), "key")
+
+
 def write_pairs(pairs: DataFrame, path: str) -> None:
     """Columns as tab-separated lines, in the frame's order, over as many files as there are ranges; their names keep the order."""
     publish(non_empty(pairs).select(F.concat_ws("\t", *pairs.columns)), path, lambda w, at: w.text(at))
@@ -143,5 +157,5 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
 
 def manifest(spark: SparkSession, path: str, catalog: list[dict], ids: list[str], **extra) -> str:
     """JSON about an output: its files' digests, the sources that went in, and what else is given."""
-    files = [r.asDict() for r in file_digests(spark, path).orderBy("path").collect()]  # one row per output file
-    return json.dumps({"files": files, "sources": [s for s in catalog if s["id"] in ids], **extra}, ensure_ascii=False, indent=2)
+    listed = [r.asDict() for r in file_digests(spark, path).orderBy("path").collect()]  # one row per output file
+    return json.dumps({"files": listed, "sources": [s for s in catalog if s["id"] in ids], **extra}, ensure_ascii=False, indent=2)

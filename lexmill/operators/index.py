@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import publish
+from ..runtime import materialized, publish, ship
 
 _VOWELS = "aiueo"
 #: Rows of the syllabary by their consonant; syllables that go another way are listed below.
@@ -98,6 +99,41 @@ def matches(index: DataFrame, latin: str) -> DataFrame:
     return index.where(hit).select(F.explode("surfaces").alias("surface")).distinct()
 
 
+def prefixes(latin: str) -> list[str]:
+    """What readings may begin with for a query, without those that begin with another one."""
+    every = sorted({*kana_prefixes(latin), latin.lower()} - {""}) or [""]
+    kept: list[str] = []
+    for p in every:
+        if not (kept and p.startswith(kept[-1])):
+            kept.append(p)
+    return kept
+
+
+def matches_many(index: DataFrame, queries: DataFrame, query: str = "query") -> DataFrame:
+    """query, surface: for each different Latin query, the different surfaces whose reading begins as it may be read.
+
+    A reading meets a query by equality on as many of its first characters as one of the query's prefixes has, so that all queries are one hashed join, and a reading is repeated by
+    the number of different lengths of prefixes only. Empty and null queries match nothing.
+    """
+
+    def run(batches):
+        for b in batches:
+            pairs = [(q, p) for q in b.column(0).to_pylist() for p in prefixes(q)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*pairs)] or [pa.array([], pa.string())] * 2, ["query", "prefix"])
+
+    ship(index.sparkSession)
+    asked = queries.select(F.col(query).alias("query")).where("query <> ''").distinct().mapInArrow(run, "query string, prefix string")
+    asked = materialized(asked.withColumn("length", F.char_length("prefix")))
+    lengths = sorted(r["length"] for r in asked.select("length").distinct().collect())  # as many as prefixes have lengths
+    if not lengths:
+        return asked.select("query", F.col("prefix").alias("surface")).limit(0)
+    heads = F.filter(F.array(*(F.struct(F.lit(n).alias("length"), F.substring("reading", 1, n).alias("prefix")) for n in lengths)), lambda x: F.char_length(x["prefix"]) == x["length"])
+    readings = index.select("reading", F.explode(heads).alias("h")).select("reading", "h.length", "h.prefix")
+    hits = asked.join(readings, ["length", "prefix"]).select("query", "reading")
+    # Of a query's prefixes none begins with another one, so a reading is there once, and its surfaces are fetched after the join.
+    return hits.join(index.select("reading", "surfaces"), "reading").select("query", F.explode("surfaces").alias("surface")).distinct()
+
+
 def pattern(index: DataFrame, latin: str, most_chars: int = 10 << 20) -> str:
     """A regular expression of the query itself, its kana, and all matching surfaces. Over ``most_chars`` it raises, as nothing would compile it."""
     found = matches(index, latin)

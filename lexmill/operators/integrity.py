@@ -40,6 +40,22 @@ def differs(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.exceptAll(right).union(right.exceptAll(left))
 
 
+def fingerprints(rows: DataFrame, key: str, buckets: int = 256) -> DataFrame:
+    """bucket (of the key's hash), n, h1, h2: what tells multisets of rows apart whatever their order; sums of two hashes of all columns, so each task adds up its own rows."""
+    columns = sorted(rows.columns)
+    total = lambda *seed: F.sum(F.xxhash64(*seed, *columns).cast("decimal(38,0)"))
+    return rows.groupBy(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")).agg(F.count("*").alias("n"), total().alias("h1"), total(F.lit(1)).alias("h2"))
+
+
+def changed_rows(one: DataFrame, two: DataFrame, key: str, buckets: int = 256) -> DataFrame:
+    """Rows with side (one or two) that the other side lacks, counted as often as they come. Only buckets whose fingerprints differ are compared row by row."""
+    own = [fingerprints(df, key, buckets).select("bucket", F.struct("n", "h1", "h2").alias(name)) for df, name in ((one, "a"), (two, "b"))]
+    unlike = own[0].join(own[1], "bucket", "full").where(~F.col("a").eqNullSafe(F.col("b"))).select("bucket")
+    found = [r["bucket"] for r in unlike.collect()]  # at most as many as there are buckets
+    some = [df.select(*sorted(one.columns)).where(F.pmod(F.xxhash64(key), F.lit(buckets)).isin(found)) for df in (one, two)]
+    return some[0].exceptAll(some[1]).withColumn("side", F.lit("one")).unionByName(some[1].exceptAll(some[0]).withColumn("side", F.lit("two")))
+
+
 def listing(spark: SparkSession, checksums: dict[str, str]) -> DataFrame:
     return spark.createDataFrame(list(checksums.items()), "path string, sha256 string")
 

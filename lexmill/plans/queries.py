@@ -585,6 +585,38 @@ def q33_prefix_search(spark, sf_dir):
     return index.matches(index.grouped(pairs), "the")
 
 
+@query(f"""
+WITH {TOK} d AS (SELECT DISTINCT lower(token) AS word, token AS surface FROM tok), r AS (SELECT word AS reading, surface FROM d UNION SELECT translate(word, 'aiueo', 'あいうえお'), surface FROM d),
+q AS (SELECT DISTINCT word AS query, word AS key FROM d UNION SELECT DISTINCT regexp_extract(word, '^[aiueo]+'), regexp_extract(word, '^[aiueo]+') FROM d),
+k AS (SELECT query, key FROM q WHERE query <> '' UNION SELECT query, translate(query, 'aiueo', 'あいうえお') FROM q WHERE regexp_full_match(query, '[aiueo]+')),
+p AS (SELECT surface, substr(reading, 1, n) AS head FROM (SELECT surface, reading, unnest(range(1, length(reading) + 1)) AS n FROM r))
+SELECT query, count(DISTINCT surface) AS n, min(surface) AS first, max(surface) AS last FROM k JOIN p ON head = key GROUP BY query""")
+def q59_many_latin_queries(spark, sf_dir):
+    """Every word and every run of vowels that a word begins with as a query, against readings in letters and with vowels in kana."""
+    words = tokens(spark, sf_dir).select(F.lower("token").alias("word"), F.col("token").alias("surface")).distinct()
+    both = words.select("word", "surface", F.explode(F.array("word", F.translate("word", "aiueo", "あいうえお"))).alias("reading"))
+    queries = words.select(F.explode(F.array("word", F.regexp_extract("word", "^[aiueo]+", 0))).alias("query"))
+    found = index.matches_many(materialized(index.grouped(both)), queries)
+    return found.groupBy("query").agg(F.count("*").alias("n"), F.min("surface").alias("first"), F.max("surface").alias("last"))
+
+
+@query(f"""
+WITH {TOK} e AS (SELECT DISTINCT CASE WHEN doc_id % 2 = 0 THEN 'ari' ELSE 'nasi' END AS kind, CASE WHEN doc_id % 2 = 0 THEN 'か' || doc_id || 'あk' ELSE 'key' || doc_id END AS key, token AS surface, lang FROM tok),
+l AS (SELECT DISTINCT kind, key, CASE WHEN lang = 'fr' THEN upper(surface) ELSE surface END AS surface FROM e), d AS (SELECT kind, key, surface FROM e)
+SELECT *, 'one' AS side FROM (SELECT * FROM l EXCEPT SELECT * FROM d) UNION ALL SELECT *, 'two' FROM (SELECT * FROM d EXCEPT SELECT * FROM l)""")
+def q60_rebuilt_dictionary(spark, sf_dir):
+    """A dictionary of both sections, written, read back, and compared with candidates of which one language's are in capitals."""
+    even, n = F.col("doc_id") % 2 == 0, F.col("doc_id").cast("string")
+    rows = tokens(spark, sf_dir).select(F.when(even, ARI).otherwise(NASI).alias("kind"), F.when(even, F.concat(F.lit("か"), n, F.lit("あk"))).otherwise(F.concat(F.lit("key"), n)).alias("key"), F.col("token").alias("surface"), "lang", F.col("pos").alias("position"))
+    changed = rows.withColumn("surface", F.when(F.col("lang") == "fr", F.upper("surface")).otherwise(F.col("surface")))
+    judged = [materialized(export.judged_pairs(r.drop("lang"), cap=1 << 30)) for r in (rows, changed)]
+    with scratch(spark, "dictionary") as path:
+        export.write_dictionary(judged[0], path)
+        if not export.rebuilt(judged[0], path).isEmpty():
+            raise ValueError("the dictionary isn't what its candidates make")
+        return materialized(export.rebuilt(judged[1], path))
+
+
 @query()
 def q34_normalized(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.search_key(F.col("text")).alias("search_key"))

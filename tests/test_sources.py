@@ -10,14 +10,14 @@ from lexmill.operators import export, merge
 from lexmill.sources import catalog, files, planned
 
 DICTIONARY = """;; okuri-ari entries.
-かk /書/欠;note/
+あk /開/欠;note/
 かか /x/
 #k /1/
 ;; okuri-nasi entries.
-けんさく /検索;memo/研削/
+さかみち /坂道;memo/坂路/
 か#い /#1回/
 あk /x/
-むこう /(concat "a/b")/無効/[向/向こう/]/
+ゆうひ /(concat "a/b")/夕日/[夕/夕べ/]/
 べ/x/
 ね /#0/猫/
 """
@@ -32,7 +32,7 @@ def write(path, data: bytes):
 def test_keyed(spark, tmp_path, encoding):
     rows = files.read_keyed(spark, write(tmp_path / "d", DICTIONARY.encode(encoding)), encoding).orderBy("rank").collect()
     assert [(r["kind"], r["reading"], r["surface"], r["scope"]) for r in rows if r["counter"] is None] == [
-        ("ari", "かk", "書", "skk"), ("ari", "かk", "欠", "skk"), ("nasi", "けんさく", "検索", "all"), ("nasi", "けんさく", "研削", "all"), ("nasi", "むこう", "無効", "skk"), ("nasi", "ね", "猫", "all"),
+        ("ari", "あk", "開", "skk"), ("ari", "あk", "欠", "skk"), ("nasi", "さかみち", "坂道", "all"), ("nasi", "さかみち", "坂路", "all"), ("nasi", "ゆうひ", "夕日", "skk"), ("nasi", "ね", "猫", "all"),
     ]
     counted = {}
     for r in rows:
@@ -46,8 +46,8 @@ def test_keyed_without_headers_is_nasi(spark, tmp_path):
 
 
 XML = """<?xml version="1.0"?><!DOCTYPE JMdict [<!ENTITY v5k "Godan verb with 'ku' ending"><!ENTITY sK "search-only kanji form"><!ENTITY exp "expressions">]>
-<JMdict><entry><k_ele><keb>書く</keb><ke_pri>news1</ke_pri><ke_pri>nf01</ke_pri></k_ele><k_ele><keb>かく</keb><ke_inf>&sK;</ke_inf></k_ele>
-<r_ele><reb>かく</reb><re_pri>news1</re_pri></r_ele><r_ele><reb>ショ</reb><re_nokanji/></r_ele><r_ele><reb>カク</reb><re_restr>書く</re_restr><re_pri>gai1</re_pri></r_ele><sense><pos>&v5k;</pos></sense></entry>
+<JMdict><entry><k_ele><keb>開く</keb><ke_pri>news1</ke_pri><ke_pri>nf01</ke_pri></k_ele><k_ele><keb>あく</keb><ke_inf>&sK;</ke_inf></k_ele>
+<r_ele><reb>あく</reb><re_pri>news1</re_pri></r_ele><r_ele><reb>ショ</reb><re_nokanji/></r_ele><r_ele><reb>アク</reb><re_restr>開く</re_restr><re_pri>gai1</re_pri></r_ele><sense><pos>&v5k;</pos></sense></entry>
 <entry><r_ele><reb>あ</reb></r_ele><sense><pos>&exp;</pos></sense></entry></JMdict>"""
 
 
@@ -56,11 +56,11 @@ def test_xml(spark, tmp_path):
     rows, counted = catalog.read(spark, {"id": "jmdict", "format": "jmdict", "path": path})
     got = {(r["reading"], r["surface"], r["kind"], r["scope"], "|".join(r["pri"] or []), "|".join(r["inf"] or [])) for r in rows.collect()}
     assert got == {
-        ("かく", "書く", "nasi", "all", "news1", ""), ("かく", "かく", "nasi", "migemo", "", "sK"), ("ショ", "ショ", "nasi", "all", "", ""), ("カク", "書く", "nasi", "all", "gai1|news1|nf01", ""), ("あ", "あ", "nasi", "all", "", ""),
-        ("かk", "書", "ari", "skk", "news1", ""), ("かi", "書", "ari", "skk", "news1", ""),
+        ("あく", "開く", "nasi", "all", "news1", ""), ("あく", "あく", "nasi", "migemo", "", "sK"), ("ショ", "ショ", "nasi", "all", "", ""), ("アク", "開く", "nasi", "all", "gai1|news1|nf01", ""), ("あ", "あ", "nasi", "all", "", ""),
+        ("あk", "開", "ari", "skk", "news1", ""), ("あi", "開", "ari", "skk", "news1", ""),
     }
     assert {(r["metric"], r["n"]) for r in counted.collect()} == {("jmdict_search_only_pair", 1), ("okuri_generated", 2)}
-    assert {r["pos"] for r in rows.where("kind = 'ari'").collect()} == {"okuri-rule|v5k|かく|書く"}
+    assert {r["pos"] for r in rows.where("kind = 'ari'").collect()} == {"okuri-rule|v5k|あく|開く"}
     assert "v5k" in INFLECTIONS
 
 
@@ -77,10 +77,10 @@ def line(surface, reading, cost=100, left=1, part="動詞", conj="五段-カ行"
 
 
 def test_analyser(spark, tmp_path):
-    text = "\n".join([line("書く", "カク"), line("書い", "カイ", form="連用形-イ音便", normal="書く"), line(r"\u{20BB7}", "ヨシ", 0, part="名詞", conj="*", form="*", lemma="*"), line("散る", "アカル", 0, left=-1, lemma="9")])
+    text = "\n".join([line("開く", "アク"), line("開い", "アイ", form="連用形-イ音便", normal="開く"), line(r"\u{20BB7}", "ヨシ", 0, part="名詞", conj="*", form="*", lemma="*"), line("散る", "アカル", 0, left=-1, lemma="9")])
     rows, _ = catalog.read(spark, {"id": "sudachi-small", "format": "sudachi", "path": write(tmp_path / "z", archive({"small_lex.csv": text.encode()}))})
     assert {(r["reading"], r["surface"], r["kind"], r["scope"], r["cost"]) for r in rows.collect()} == {
-        ("カク", "書く", "nasi", "all", 100), ("カイ", "書い", "nasi", "migemo", 100), ("ヨシ", "𠮷", "nasi", "all", 0), ("アカル", "散る", "nasi", "all", 0), ("かk", "書", "ari", "skk", 100), ("かi", "書", "ari", "skk", 100),
+        ("アク", "開く", "nasi", "all", 100), ("アイ", "開い", "nasi", "migemo", 100), ("ヨシ", "𠮷", "nasi", "all", 0), ("アカル", "散る", "nasi", "all", 0), ("あk", "開", "ari", "skk", 100), ("あi", "開", "ari", "skk", 100),
     }
     for bad in ({"a_lex.csv": b"", "b_lex.csv": b""}, {"a_lex.csv": b"1,2\n"}):
         with pytest.raises(Exception, match="needed"):
@@ -121,12 +121,12 @@ def test_workbooks(spark, tmp_path):
 
 
 def test_two_copies_are_kept_and_exported_once(spark, tmp_path):
-    data = "けんさく /検索/検索/\nむこう /無効/\n".encode()
+    data = "さかみち /坂道/坂道/\nゆうひ /夕日/\n".encode()
     path = write(tmp_path / "d", data)
     pinned = {"format": "skk", "path": path, "sha256": hashlib.sha256(data).hexdigest()}
     rows, _ = catalog.read_all(spark, [{"id": "one", **pinned}, {"id": "two", **pinned}])
     merged = merge.entries(rows)
-    assert merged.count() == 4 and [tuple(r) for r in export.reading_pairs(merged, ["one", "two"]).collect()] == [("けんさく", "検索"), ("むこう", "無効")]
+    assert merged.count() == 4 and [tuple(r) for r in export.reading_pairs(merged, ["one", "two"]).collect()] == [("さかみち", "坂道"), ("ゆうひ", "夕日")]
     with pytest.raises(ValueError, match="checksum"):
         catalog.read(spark, {"id": "one", **pinned, "sha256": "0"})
     with pytest.raises(ValueError, match="unknown format"):
