@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import gzip
+import hashlib
 import io
 import json
-import os
 import re
 import tarfile
-import tempfile
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..runtime import _move, _path, materialized, ship
+from ..sources import planned
+
 LIST = "CONTENTS.sha256.json"
 
 
@@ -75,60 +80,128 @@ def unsafe_members(names: list[tuple[str, bool]]) -> list[str]:
 REPOSITORY, TAG = r"[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+", r"[A-Za-z0-9][A-Za-z0-9._-]*"
 
 
+#: What each field of a release looks like, and what is said where it doesn't.
+RELEASE = {"repository": (REPOSITORY, "a repository is owner/name"), "tag": (TAG, "a tag has letters, digits, dots, underscores and hyphens"), "modifier": (r"[^\r\n]*\S[^\r\n]*", "the modifier is one line")}
+
+
 def release_identity(repository: str, tag: str, modifier: str, when: str) -> dict:
     """What a release says about itself; raises where a name isn't one. when: an ISO time."""
-    if not re.fullmatch(REPOSITORY, repository):
-        raise ValueError("a repository is owner/name")
-    if not re.fullmatch(TAG, tag):
-        raise ValueError("a tag has letters, digits, dots, underscores and hyphens")
-    if not modifier.strip() or len(modifier.splitlines()) > 1 or modifier.endswith(("\n", "\r")):
-        raise ValueError("the modifier is one line")
-    return {"repository": repository, "tag": tag, "modifier": modifier, "generated_at": when}
-
-
-def write_archive(spark: SparkSession, folder: str, path: str, most: int = 2 << 30) -> dict[str, str]:
-    """A gzipped tar of a folder's files with the list of their checksums, which is returned. On the driver, file by file; more than ``most`` bytes raise."""
-    listed = {r["path"]: r["sha256"] for r in digests(spark, folder).collect() if r["path"] != LIST}  # one row per file
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    with tempfile.NamedTemporaryFile(suffix=".tar.gz") as local:
-        with tarfile.open(local.name, "w:gz", compresslevel=1) as tar:
-            def put(name: str, data: bytes) -> None:
-                info = tarfile.TarInfo(name)
-                info.size = len(data)
-                tar.addfile(info, io.BytesIO(data))
-
-            for name in sorted(listed):
-                put(name, bytes(spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/{name}").select("content").first()[0]))
-            put(LIST, json.dumps(listed, indent=2).encode())
-        if not 0 < os.path.getsize(local.name) < most:
-            raise ValueError(f"the archive has {os.path.getsize(local.name)} bytes")
-        fs.copyFromLocalFile(False, True, hadoop(local.name), hadoop(path))
+    said = {"repository": repository, "tag": tag, "modifier": modifier, "generated_at": when}
+    for field, (rule, message) in RELEASE.items():
+        if not re.fullmatch(rule, said[field]):
+            raise ValueError(message)
+    return said
+
+
+def write_archive(spark: SparkSession, folder: str, path: str, most: int = 2 << 30, part: int = 64 << 20) -> dict[str, str]:
+    """A gzipped tar of a folder's files with the list of their checksums, which is returned: as parts in the folder ``path`` that, one behind the other, are the archive.
+
+    Each part is some files' members, of about ``part`` bytes or one file, packed by an executor in blocks, so that no file's bytes pass through the driver or lie in memory as a whole. There as a
+    whole or not at all; more than ``most`` bytes raise.
+    """
+    top, at, rows = folder.rstrip("/"), 0, []
+    for name, size in planned.listed(top):
+        if (name := name.removeprefix(f"{top}/")) != LIST:
+            rows.append((at // part, name))
+            at += size + 1024
+    (target, fs), (new, _) = _path(spark, path), _path(spark, f"{path}.new")
+
+    def pack(own: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        with planned.created(f"{path}.new/part-{own['part'].iloc[0]:06d}.tar.gz") as raw:
+            with gzip.GzipFile(fileobj=raw, mode="wb", compresslevel=1, mtime=0) as packed:
+                for name in own["name"].sort_values():
+                    with planned._open(f"{top}/{name}") as f:
+                        out.append((name, _add(packed, name, f.size(), f)))
+            size = raw.tell()
+        return pd.DataFrame([(n, h, size if not k else 0) for k, (n, h) in enumerate(out)], columns=["name", "sha256", "bytes"])
+
+    ship(spark)
+    fs.delete(new, True)
+    try:
+        made = spark.createDataFrame(rows, "part long, name string").groupBy("part").applyInPandas(pack, "name string, sha256 string, bytes long").collect()  # one row per file
+        listed, size = {r["name"]: r["sha256"] for r in made}, sum(r["bytes"] for r in made)
+        if not 0 < size < most:
+            raise ValueError(f"the archive has {size} bytes")
+        last = io.BytesIO()
+        with gzip.GzipFile(fileobj=last, mode="wb", mtime=0) as packed:
+            data = json.dumps(listed, indent=2, sort_keys=True).encode()
+            _add(packed, LIST, len(data), io.BytesIO(data))
+            packed.write(bytes(2 * tarfile.BLOCKSIZE))  # the archive's end
+        planned.put(f"{path}.new/part-{rows[-1][0] + 1:06d}.tar.gz", last.getvalue())
+        fs.delete(target, True)
+        _move(fs, new, target)
+    except BaseException:
+        fs.delete(new, True)
+        raise
     return listed
 
 
+def _add(out, name: str, size: int, data) -> str:
+    """Write a member's header and bytes, block by block; returns their sha256."""
+    info = tarfile.TarInfo(name)
+    info.size = size
+    out.write(info.tobuf(tarfile.PAX_FORMAT))
+    digest, left = hashlib.sha256(), size
+    while left:
+        block = data.read(min(left, 1 << 20))
+        if not block:
+            raise OSError(f"{name} became shorter")
+        digest.update(block)
+        out.write(block)
+        left -= len(block)
+    out.write(bytes(-size % tarfile.BLOCKSIZE))
+    return digest.hexdigest()
+
+
+def archive_members(spark: SparkSession, path: str) -> DataFrame:
+    """name, regular, sha256, text (of the list of checksums only) of a tar's members but folders, gzipped or not: a file, or a folder of parts, each of which is one task's. Bytes are hashed in blocks."""
+
+    def run(batches):
+        for b in batches:
+            for file in b.column(0).to_pylist():
+                with planned._open(file) as f:
+                    packed = f.read(2) == b"\x1f\x8b"
+                    f.seek(0)
+                    rows = []
+                    with tarfile.open(fileobj=gzip.GzipFile(fileobj=f) if packed else f, mode="r|") as tar:
+                        for m in tar:
+                            if m.isdir():
+                                continue
+                            digest, text = hashlib.sha256(), b""
+                            if m.isreg():
+                                data = tar.extractfile(m)
+                                while block := data.read(1 << 20):
+                                    digest.update(block)
+                                    text += block if PurePosixPath(m.name).name == LIST else b""
+                            rows.append((m.name, m.isreg(), digest.hexdigest(), text.decode("utf-8", "replace") if text else None))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 4, (pa.string(), pa.bool_(), pa.string(), pa.string()))], ["name", "regular", "sha256", "text"])
+
+    ship(spark)
+    parts = planned.listed(path)
+    return spark.createDataFrame([(p,) for p, _ in parts], "path string").repartition(len(parts)).mapInArrow(run, "name string, regular boolean, sha256 string, text string")
+
+
 def rebuild_differences(spark: SparkSession, rebuilt: str, recorded: dict[str, str]) -> DataFrame:
     """path, problem of outputs made anew against the checksums that were recorded of the first ones; empty if all are the same."""
     return differences(digests(spark, rebuilt), listing(spark, recorded))
 
 
 def verify_archive(spark: SparkSession, path: str, required: tuple[str, ...] = ()) -> DataFrame:
-    """name, problem of a gzipped tar with its own list of checksums; empty if all is well. One archive is read on the driver."""
-    import hashlib
-
-    content = spark.read.format("binaryFile").load(path).select("content").first()[0]
-    with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
-        members = [m for m in tar.getmembers() if not m.isdir()]
-        bad = [(n, "unsafe") for n in unsafe_members([(m.name, not m.isreg()) for m in members])]
-        top = {PurePosixPath(m.name).parts[0] for m in members}
-        strip = lambda n: str(PurePosixPath(*PurePosixPath(n).parts[1:])) if len(top) == 1 and len(PurePosixPath(n).parts) > 1 else n
-        found = {strip(m.name): hashlib.sha256(tar.extractfile(m).read()).hexdigest() for m in members if m.isreg()}
-        listed = json.loads(next((tar.extractfile(m).read() for m in members if m.isreg() and strip(m.name) == LIST), b"{}"))
-    bad += [(r, "missing") for r in (*required, LIST) if r not in found]
-    found.pop(LIST, None)
-    wrong = differences(listing(spark, found), listing(spark, listed)) if found or listed else None
-    rows = spark.createDataFrame(bad, "path string, problem string")
-    return rows.unionByName(wrong).distinct() if wrong is not None else rows
+    """path, problem of a tar with its own list of checksums; empty if all is well. A folder that all members are in is taken off their names.
+
+    unsafe: absolute, leading out of the archive, no regular file, or there twice. missing: listed or ``required``, and not there.
+    """
+    members = materialized(archive_members(spark, path))
+    step = F.split("name", "/")
+    tops = members.agg(F.min(step[0]).alias("a"), F.max(step[0]).alias("b"), F.min(F.size(step)).alias("n")).first()
+    name = F.expr("substr(name, instr(name, '/') + 1)") if tops["a"] == tops["b"] and tops["n"] > 1 else F.col("name")
+    wrong = ~F.col("regular") | F.col("name").startswith("/") | F.array_contains(step, "..") | (F.count("*").over(Window.partitionBy("name")) > 1)
+    unsafe = members.withColumn("wrong", wrong).where("wrong").select(F.col("name").alias("path"), F.lit("unsafe").alias("problem"))
+    found = members.where("regular").select(name.alias("path"), "sha256", "text")
+    listed = found.where(F.col("path") == LIST).select(F.explode(F.from_json("text", "map<string,string>")).alias("path", "sha256"))
+    needed = spark.createDataFrame([(r,) for r in (*required, LIST)], "path string").join(found.select("path"), "path", "left_anti").withColumn("problem", F.lit("missing"))
+    return unsafe.unionByName(needed).unionByName(differences(found.where(F.col("path") != LIST).drop("text"), listed)).distinct()
 
 
 def verify_folder(spark: SparkSession, folder: str) -> DataFrame:

@@ -207,10 +207,34 @@ def test_archive_round_trip(spark, tmp_path):
     assert [r["problem"] for r in integrity.rebuild_differences(spark, str(tmp_path / "stage"), listed).collect()] == ["changed"]
     with pytest.raises(ValueError, match="bytes"):
         integrity.write_archive(spark, str(tmp_path / "stage"), str(tmp_path / "y.tar.gz"), most=10)
+    assert not (tmp_path / "y.tar.gz").exists() and not (tmp_path / "y.tar.gz.new").exists()
+
+
+def test_archives_of_many_parts_are_one_archive(spark, tmp_path):
+    (tmp_path / "in" / "sub").mkdir(parents=True)
+    made = {f"sub/f{k:02d}.bin" if k % 2 else f"f{k:02d}.bin": bytes([k]) * (k * 700) for k in range(40)} | {"long" * 60: b"a name beyond 100 characters", "é": b""}
+    for name, data in made.items():
+        (tmp_path / "in" / name).write_bytes(data)
+    out = tmp_path / "a"
+    listed = integrity.write_archive(spark, str(tmp_path / "in"), str(out), part=20_000)
+    parts = sorted(out.glob("part-*"))
+    assert len(parts) > 10 and set(listed) == set(made) and integrity.verify_archive(spark, str(out), tuple(made)).count() == 0
+    joined = tmp_path / "joined.tar.gz"
+    joined.write_bytes(b"".join(p.read_bytes() for p in parts))
+    with tarfile.open(joined) as t:  # as any other program reads it
+        assert {m.name: t.extractfile(m).read() for m in t if m.name != integrity.LIST} == made
+    assert integrity.verify_archive(spark, str(joined)).count() == 0
+    parts[3].unlink()
+    lost = {tuple(r) for r in integrity.verify_archive(spark, str(out)).collect()}
+    assert lost and {p for _, p in lost} == {"missing"}
+    twice = tar([("x", b"1"), ("x", b"1"), ("/abs", b""), (integrity.LIST, json.dumps({"x": "0"}).encode())])
+    (tmp_path / "t").write_bytes(twice)
+    assert {("x", "unsafe"), ("/abs", "unsafe"), ("x", "changed")} <= {tuple(r) for r in integrity.verify_archive(spark, str(tmp_path / "t")).collect()}
 
 
 def test_release_identity():
     assert integrity.release_identity("o/r", "v1.0", "Ann", "2026-01-01")["tag"] == "v1.0"
+    assert integrity.release_identity("o/r", "v1", "Ann\u2028B\x0bC", "2026-01-01")["modifier"] == "Ann\u2028B\x0bC"
     for bad in (("o", "v1", "Ann"), ("o/r", "-v", "Ann"), ("o/r", "v1", " "), ("o/r", "v1", "a\nb")):
         with pytest.raises(ValueError):
             integrity.release_identity(*bad, "2026-01-01")
