@@ -8,8 +8,9 @@ and by bits that bound how many words differ; what is left is verified on the wh
 line has the same set or links with it.
 
 So a class needs one earlier class that links with it, not all of them, and pairs of classes are never written out as such.
-A semi-join over the words first keeps those classes that can link with any other one at all, by the filters. From here on
-256 bits of a set bound how many words differ, which leaves few false candidates. Classes that may link with an earlier one
+A semi-join over the words first keeps those classes that can link with any other one at all, by the filters. The bits that
+bound how many words differ are 64 for short sets, 128 from HALVED words on and 256 from QUARTERED on, so that long sets pass no more often
+by chance than short ones, however many there are. From here on all sets have 256 bits. Classes that may link with an earlier one
 are held against the two first classes of their words' buckets, and only the best candidate is verified. Who is still open meets the classes at ranks 0 to 15 of their buckets, then 16 to 127, and so on in growing blocks; whoever has
 found an earlier link drops out, and the last block ends where the largest bucket of an open class does. No
 bucket is capped, and no link that decides is lost.
@@ -35,6 +36,8 @@ BUCKETS = 1 << 16
 PART = 1 << 20
 #: Longs of a wide sketch; a power of 2.
 WIDE = 4
+#: Sets of so many words have 128 and 256 bits in the first semi-join: 64 bits fill up with some 60 differing words, which long sets may have.
+HALVED, QUARTERED = 40, 120
 #: Ends of the first block of ranks; each next block ends at GROWTH times the last one's end.
 BLOCK, GROWTH = 16, 8
 
@@ -65,9 +68,18 @@ def _set_of(line, levels: list[int]) -> Column:
     return F.sort_array(F.array_distinct(F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), as_long)))
 
 
-def _parity(words) -> Column:
-    """64 bits, each whether an odd number of words falls on it. Sets that differ in n words differ in at most n bits."""
-    return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
+def _flips(words, of: int = 0) -> Column:
+    """64 bits, each whether an odd number of words falls on it, of the words with all bits of ``of`` set."""
+    one = lambda w: (w.bitwiseAND(F.lit(of)) == of if of else F.lit(True)).cast("long")
+    return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", one(w), w.bitwiseAND(F.lit(63)).cast("int"))))
+
+
+def _bits(words, size) -> list[Column]:
+    """parity of all words; half, quarter and both of long sets: of words with bit 6, bit 7, and both. Sets that differ in n words differ in at most n bits of the cells these make."""
+    return [
+        _flips(words).alias("parity"), F.when(size >= HALVED, _flips(words, 64)).alias("half"),
+        F.when(size >= QUARTERED, _flips(words, 128)).alias("quarter"), F.when(size >= QUARTERED, _flips(words, 192)).alias("both"),
+    ]
 
 
 def _rows(docs: DataFrame, text_col: str, apart: bool) -> DataFrame:
@@ -101,44 +113,54 @@ def _class(words) -> list[Column]:
 
 
 def line_table(rows: DataFrame, levels: list[int], num: int = 4, den: int = 5) -> DataFrame:
-    """doc_id, row, line_no, c1 and c2 (the class), size, parity, prefix of each line with words."""
+    """doc_id, row, line_no, c1 and c2 (the class), size, BITS, prefix of each line with words."""
     sets = _lines(rows).where(F.btrim("line") != "").select("doc_id", "row", "line_no", _set_of(F.col("line"), levels).alias("words"))
     size = F.size("words")
     least = F.floor((num * size + (den - 1)) / den).cast("int")  # the least overlap with any set: ceil(size * num / den)
-    return sets.select("doc_id", "row", "line_no", *_class("words"), size.alias("size"), _parity(F.col("words")).alias("parity"), F.slice("words", 1, size - least + 1).alias("prefix"))
+    return sets.select("doc_id", "row", "line_no", *_class("words"), size.alias("size"), *_bits(F.col("words"), size), F.slice("words", 1, size - least + 1).alias("prefix"))
 
 
 def first_lines(lines: DataFrame) -> DataFrame:
-    """One row per class: id (any number), c1, c2, at (its first line's place), size, parity, prefix. To be stored, for the ids to stay."""
-    first = lines.groupBy("c1", "c2").agg(F.min(F.struct(_at().alias("at"), "size", "parity", "prefix")).alias("f"))  # equal places hold equal lines
+    """One row per class: id (any number), c1, c2, at (its first line's place), size, BITS, prefix. To be stored, for the ids to stay."""
+    first = lines.groupBy("c1", "c2").agg(F.min(F.struct(_at().alias("at"), "size", *BITS, "prefix")).alias("f"))  # equal places hold equal lines
     return first.select(F.monotonically_increasing_id().alias("id"), "c1", "c2", "f.*")
 
 
-#: Of two rows x and y: the least number of words that differ, by 64 bits or by all bits of ``_sketch``.
-NARROW = "bit_count(x.parity ^ y.parity)"
+#: Columns of ``_bits``.
+BITS = ("parity", "half", "quarter", "both")
+
+
+def _at_least() -> str:
+    """Of two rows x and y: the least number of words that differ, by as many bits as both have."""
+    count = lambda *names: f"bit_count({' ^ '.join(f'x.{n} ^ y.{n}' for n in names)})"
+    four = " + ".join([count("both"), count("half", "both"), count("quarter", "both"), count(*BITS)])
+    two = f"{count('half')} + {count('parity', 'half')}"
+    return f"coalesce({four}, {two}, {count('parity')})"
+
+
 
 
-def _can_link(num: int, den: int, differ: str = NARROW) -> str:
+def _can_link(num: int, den: int, differ: str) -> str:
     """Length, position and bits allow that the rows x and y of a bucket link."""
     both = "(x.size + y.size)"
-    return (
-        f"{num + den} * ({both} - {differ}) >= 2 * {num} * {both} AND {den} * least(x.size, y.size) >= {num} * greatest(x.size, y.size)"
-        f" AND {num + den} * least(x.size - x.pos, y.size - y.pos) >= {num} * {both}"
+    return (  # the cheap ones first
+        f"{den} * least(x.size, y.size) >= {num} * greatest(x.size, y.size) AND {num + den} * least(x.size - x.pos, y.size - y.pos) >= {num} * {both}"
+        f" AND {num + den} * ({both} - ({differ})) >= 2 * {num} * {both}"
     )
 
 
 def _sketch() -> list[Column]:
-    """WIDE times 64 bits of a set from its exploded words w, as ``_parity`` has 64: they tell nearly exactly how many words differ."""
+    """WIDE times 64 bits of a set from its exploded words w, for all sizes: they tell nearly exactly how many words differ."""
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("w").bitwiseAND(F.lit(63)).cast("int"))
     cell = F.shiftright("w", 6).bitwiseAND(F.lit(WIDE - 1))
     return [F.bit_xor(F.when(cell == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"b{k}") for k in range(WIDE)]
 
 
 def promising(classes: DataFrame, num: int, den: int) -> DataFrame:
-    """word, id, size, pos, parity of the prefixes' words on which a class can link with another one."""
+    """word, id, size, pos of the prefixes' words on which a class can link with another one."""
     least = next(s for s in range(1, 10_000) if num * (s + 1) <= den * s)  # below, no other size is near enough
-    index = classes.where(F.col("size") >= least).select("id", "size", "parity", F.posexplode("prefix").alias("pos", "word"))
-    return index.alias("x").join(index.alias("y"), F.expr(f"x.word = y.word AND x.id <> y.id AND {_can_link(num, den)}"), "left_semi")
+    index = classes.where(F.col("size") >= least).select("id", "size", *BITS, F.posexplode("prefix").alias("pos", "word"))
+    return index.alias("x").join(index.alias("y"), F.expr(f"x.word = y.word AND x.id <> y.id AND {_can_link(num, den, _at_least())}"), "left_semi").drop(*BITS)
 
 
 def _sets(ids: DataFrame, rows: DataFrame, levels: list[int]) -> DataFrame:
@@ -164,7 +186,6 @@ def preceded(classes: DataFrame, rows: DataFrame, levels: list[int], keep: Table
     part = Window.partitionBy("word", F.pmod("id", _parts(F.col("word")))).orderBy("ord", "id")
     wide = sets.select("id", F.explode("words").alias("w")).groupBy("id").agg(*_sketch())
     numbered = ids.join(order.hint("shuffle_hash"), "at").select("id", "ord").join(wide, "id")
-    hits = hits.drop("parity")
     ranked = keep(hits.join(numbered.hint("shuffle_hash"), "id").withColumn("rank", F.row_number().over(part) - 1), "ranked")
     keep.drop("promising", "order")
     differ = f"({' + '.join(f'bit_count(x.b{k} ^ y.b{k})' for k in range(WIDE))})"
