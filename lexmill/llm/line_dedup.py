@@ -37,7 +37,7 @@ PART = 1 << 20
 #: Longs of a wide sketch; a power of 2.
 WIDE = 4
 #: Sets of so many words have 128 and 256 bits in the first semi-join: 64 bits fill up with some 60 differing words, which long sets may have.
-HALVED, QUARTERED = 40, 120
+HALVED, QUARTERED = 64, 180
 #: Ends of the first block of ranks; each next block ends at GROWTH times the last one's end.
 BLOCK, GROWTH = 16, 8
 
@@ -64,8 +64,8 @@ def _words(line) -> Column:
 def _set_of(line, levels: list[int]) -> Column:
     """The line's distinct words as longs, rarest first."""
     table = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")  # folded to a constant
-    as_long = lambda h: F.shiftleft(table[h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")], 57).bitwiseOR(F.shiftrightunsigned(h, 7))
-    return F.sort_array(F.array_distinct(F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), as_long)))
+    as_long = lambda w: F.shiftleft(table[F.xxhash64(w).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")], 57).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 7))
+    return F.sort_array(F.array_distinct(F.transform(_words(line), as_long)))
 
 
 def _flips(words, of: int = 0) -> Column:

@@ -196,3 +196,41 @@ def test_line_plans_have_no_python(spark, odd):
     for df in (lines, classes, line_dedup.promising(classes, 4, 5), line_dedup._sets(ids, rows, [0] * line_dedup.BUCKETS), line_dedup.line_report(odd), line_dedup.remove_lines(odd)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_difference_bits_never_exceed_the_difference(spark):
+    """Of sets of every width of bits: the bound holds, and is exact where few words differ."""
+    r = random.Random(17)
+    rows = []
+    for size in (1, 20, line_dedup.HALVED - 1, line_dedup.HALVED, line_dedup.QUARTERED - 1, line_dedup.QUARTERED, 600):
+        for other in (0, 1, size // 5, size):
+            x = {r.getrandbits(62) for _ in range(size)}
+            rows.append((sorted(x), sorted(set(sorted(x)[other:]) | {r.getrandbits(62) for _ in range(other)})))
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>")
+    side = lambda name, new: F.struct(*line_dedup._bits(F.col(name), F.size(name))).alias(new)
+    got = df.select("a", "b", side("a", "x"), side("b", "y")).select("a", "b", F.expr(line_dedup._at_least()).alias("least")).collect()
+    for g in got:
+        differ = len(set(g["a"]) ^ set(g["b"]))
+        assert g["least"] <= differ and g["least"] % 2 == differ % 2 and (differ != 2 or g["least"] in (0, 2))
+    wide = [g["least"] for g in got if len(g["a"]) >= line_dedup.QUARTERED and not set(g["a"]) & set(g["b"])]
+    assert wide and min(wide) > 64  # 64 bits could not tell so much
+
+
+def test_long_lines_against_all_pairs(spark):
+    """Lines on both sides of each width of bits, with copies just above and just below the threshold."""
+    r = random.Random(23)
+    lines = []
+    for size in (30, line_dedup.HALVED - 4, line_dedup.HALVED + 4, line_dedup.QUARTERED - 6, line_dedup.QUARTERED + 6, 500):
+        base = [f"w{r.randrange(3000)}x{k}" for k in range(size)]
+        lines.append(base)
+        for share in (0.02, 0.09, 0.11, 0.125, 0.2):
+            changed = list(base)
+            for k in r.sample(range(size), max(1, int(size * share))):
+                changed[k] = f"n{r.randrange(10**9)}"
+            lines += [changed, changed[: len(changed) - size // 12]]
+    r.shuffle(lines)
+    rows = [(k, " ".join(x)) for k, x in enumerate(lines)]
+    got = {x["doc_id"]: x["n_near"] for x in line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    sets = [frozenset(x) for x in lines]
+    want = {k: int(any(s != t and 5 * len(s & t) >= 4 * len(s | t) for t in sets[:k])) for k, s in enumerate(sets)}
+    assert got == want and 0 < sum(want.values()) < len(want)
