@@ -424,10 +424,18 @@ def plausible(kind: str, span: str) -> bool:
     """Whether a span has what its kind can't do without, since a field labels words and not wholes."""
     digits = sum(c.isdigit() for c in span)
     if kind == "email":
-        words = [_CUES.get(w.lower(), "") for w in span.split()]
         if not re.match(r"\S*[A-Za-z]", span) or not re.search(r"[A-Za-z]{2,}\W*\Z", span):
             return False
-        return "@" in span and "." in span or any(w.startswith("at") for w in words[1:]) and ("." in span or any(w.startswith("dot") for w in words[2:]))
+        if "@" in span:
+            return "." in span
+        words = span.split()
+        cues = [_CUES.get(w.lower(), "") for w in words]
+        at = next((k for k, c in enumerate(cues) if k and c.startswith("at")), None)
+        # Written-out addresses have one at, which begins no sentence, and behind it a domain of two labels or more.
+        if at is None or words[at][:1].isupper() or words[at - 1][-1] in _EDGE or sum(c.startswith("at") for c in cues) > 1:
+            return False
+        domain = "".join("." if c.startswith("dot") else w for w, c in zip(words[at + 1 :], cues[at + 1 :])).rstrip(_EDGE)
+        return bool(_DOMAIN.fullmatch(domain))
     return {"ip": digits >= 4 and span.count(".") >= 3, "card": 12 <= digits <= 19, "phone": 7 <= digits <= 15, "secret": bool(_MIXED.fullmatch(span))}[kind]
 
 

@@ -285,3 +285,11 @@ def test_mixture_meets_targets(spark):
     out = mixing.mixed(docs, labelled, weights)
     counts = Counter(r["doc_id"] for r in out.select("doc_id").collect())
     assert counts == {i: c for i, c in zip(rows.doc_id, rows.copies) if c}
+
+
+def test_written_out_addresses_need_a_domain():
+    """An at within prose is none, whatever the field labels."""
+    yes = ["ana at host dot com", "ana.b (at) host.org", "a.b [at] host [dot] example [dot] net", "a7 {at} h1 {dot} de", "x@host.com"]
+    no = ["ing. At at heorea re", "ing. At heorea re", "end. at host dot com", "ana at host", "ana at host com", "ana at at host dot com", "at host dot com", "ana At host dot com", "ana at dot com", "12 at host dot 34"]
+    assert all(pii.plausible("email", x) for x in yes)
+    assert not any(pii.plausible("email", x) for x in no)
