@@ -104,11 +104,14 @@ def script_kind(c: Column) -> Column:
 
 
 def unescape_code_points(c: Column) -> Column:
-    """Escapes of four hexadecimal digits, or of any number in braces, behind a backslash and u, as their characters."""
-    parts = F.split(F.regexp_replace(c, r"\\u(?:([0-9a-fA-F]{4})|\{([0-9a-fA-F]+)\})", "\u0000$1$2\u0001"), "\u0000")
+    """Escapes of four hexadecimal digits, or of any number in braces, behind a backslash and u, as their characters. One that names none, a surrogate or beyond the last code point, stays as it is written."""
+    parts = F.split(F.regexp_replace(c, r"\\u(?:[0-9a-fA-F]{4}|\{[0-9a-fA-F]+\})", "\u0000$0\u0001"), "\u0000")
 
     def part(p: Column, k: Column) -> Column:
-        code = F.conv(F.substring_index(p, "\u0001", 1), 16, 10).cast("int")
+        written = F.substring_index(p, "\u0001", 1)
+        hexed = F.ltrim(F.translate(written, "\\u{}", ""), F.lit("0"))
+        code = F.when(F.char_length(hexed) <= 6, F.conv(F.concat(F.lit("0"), hexed), 16, 10).cast("int"))
+        named = F.coalesce((code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF), F.lit(False))
         # UTF-8 by hand, since chr() stops at one byte.
         b = lambda shift, mask, mark: F.lpad(F.hex((F.shiftright(code, shift).bitwiseAND(mask)).bitwiseOR(mark)), 2, "0")
         digits = (
@@ -116,6 +119,6 @@ def unescape_code_points(c: Column) -> Column:
             .when(code < 0x10000, F.concat(b(12, 0x0F, 0xE0), b(6, 0x3F, 0x80), b(0, 0x3F, 0x80)))
             .otherwise(F.concat(b(18, 0x07, 0xF0), b(12, 0x3F, 0x80), b(6, 0x3F, 0x80), b(0, 0x3F, 0x80)))
         )
-        return F.when(k == 0, p).otherwise(F.concat(F.decode(F.unhex(digits), "UTF-8"), F.substring_index(p, "\u0001", -1)))
+        return F.when(k == 0, p).otherwise(F.concat(F.when(named, F.decode(F.unhex(digits), "UTF-8")).otherwise(written), F.substring_index(p, "\u0001", -1)))
 
     return F.when(~c.contains("\\u"), c).otherwise(F.array_join(F.transform(parts, part), ""))
