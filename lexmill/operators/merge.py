@@ -35,6 +35,11 @@ def common_tags(tags: Column) -> Column:
     return F.when(F.size(shared) > 0, F.array_sort(shared))
 
 
+def least_ranks(rows: DataFrame) -> DataFrame:
+    """Rows of ``fold`` that differ in rank and cost only as one, with the least of both; which says all that folding asks of them."""
+    return rows.groupBy(*ENTRY_KEY, "scope", "pri", "pos", "original_reading", "confidence", "inf").agg(F.min("rank").alias("rank"), F.min("cost").alias("cost"))
+
+
 def fold(rows: DataFrame, often: bool = False) -> DataFrame:
     """Rows of (ENTRY_KEY, scope, rank, cost, pri, pos, original_reading, confidence, inf) as ENTRIES, in any order of rows.
 
@@ -42,8 +47,7 @@ def fold(rows: DataFrame, often: bool = False) -> DataFrame:
     One shuffle, after each task has folded its own rows. often: keys come many times, with few different values, as words of a corpus do: then rows that differ in rank and cost
     only are folded first, by a hash aggregate of numbers, since one that keeps strings has to sort its rows.
     """
-    if often:
-        rows = rows.groupBy(*ENTRY_KEY, "scope", "pri", "pos", "original_reading", "confidence", "inf").agg(F.min("rank").alias("rank"), F.min("cost").alias("cost"))
+    rows = least_ranks(rows) if often else rows
     rank = F.col("rank")
     first = lambda c: F.min_by(c, rank).alias(c)
     merged = rows.groupBy(*ENTRY_KEY).agg(
@@ -84,10 +88,10 @@ def total_clicks(parsed: DataFrame, keys=("surface", "source"), cost: str = "cos
 
 
 def reject_counts(parsed: DataFrame) -> DataFrame:
-    """source, metric, n: rows parsed, rows rejected by reason, and readings that lost a separator."""
-    rows = checked(parsed)
+    """source, metric, n: rows parsed, rows rejected by reason, and readings that lost a separator. Rows that are alike are counted first and checked once."""
+    rows = checked(parsed.groupBy("source", "reading", "surface").agg(F.count("*").alias("n")))
     metric = F.explode(F.filter(F.array(F.lit("parsed_pairs"), "reject", F.when(F.col("reject").isNull() & (text.normalize(F.col("reading")) != F.col("key")), "separator_joined_pairs")), lambda x: x.isNotNull()))
-    return rows.select("source", metric.alias("metric")).groupBy("source", "metric").agg(F.count("*").alias("n"))
+    return rows.select("source", "n", metric.alias("metric")).groupBy("source", "metric").agg(F.sum("n").alias("n"))
 
 
 def totals(merged: DataFrame) -> DataFrame:

@@ -80,8 +80,9 @@ class Store:
         rows = merge.checked(parsed).where("reject IS NULL")
         return self.fold(rows.withColumnRenamed("reading", "original_reading").withColumnRenamed("key", "reading"))
 
-    def fold(self, rows: DataFrame) -> list[int]:
-        """Fold rows (the input of ``merge.fold``) in; returns the buckets that were written."""
+    def fold(self, rows: DataFrame, often: bool = False) -> list[int]:
+        """Fold rows (the input of ``merge.fold``) in; returns the buckets that were written. often: as there; rows that differ in rank and cost only are folded first."""
+        rows = merge.least_ranks(rows) if often else rows
         bucket = F.pmod(F.xxhash64("reading"), F.lit(self.buckets)).cast("int")
         with scratch(self.spark, "batch") as staged:
             combined(states(rows)).withColumn("bucket", bucket).write.parquet(staged)

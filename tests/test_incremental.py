@@ -127,3 +127,13 @@ def test_a_key_of_a_million_candidates_is_linear(spark):
     counts = {r["metric"]: r["n"] for r in export.verdict_counts(export.judged_pairs(hot)).collect()}
     assert counts["input_pairs"] == 1_000_000 and counts["nasi_pairs"] + counts["overlong_entry_pairs"] == 1_000_000 and counts["nasi_pairs"] > 4000
     assert time.time() - began < 120
+
+
+def test_rows_that_come_often_fold_to_the_same_entries(spark, tmp_path):
+    rows = [(f"r{k % 3}", f"s{k % 4}", "x", "nasi", "all" if k % 5 else "skk", k, k % 7, ["nf01"] if k % 3 == 1 else None, f"p{k % 2}", "o", "upstream-provided", ["t"] if k % 2 else None) for k in range(240)]
+    df = spark.createDataFrame(rows, ENTRIES)
+    one, two = incremental.Store(spark, str(tmp_path / "one"), 4), incremental.Store(spark, str(tmp_path / "two"), 4)
+    for k in (2, 0, 1):
+        one.fold(df.where(f"rank % 3 = {k}"))
+        two.fold(df.where(f"rank % 3 = {k}"), often=True)
+    assert one.entries().count() == 12 and sorted(map(str, one.entries().collect())) == sorted(map(str, two.entries().collect()))
