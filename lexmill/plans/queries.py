@@ -505,7 +505,7 @@ def q58_incremental_merge(spark, sf_dir):
     with scratch(spark, "store") as path:
         store = incremental.Store(spark, path, buckets=16)
         for k in (2, 1, 0):
-            store.fold(rows.where(F.col("rank") % 3 == k))
+            store.fold(rows.where(F.col("rank") % 3 == k), often=True)
         return materialized(store.entries().withColumn("pri", F.array_join("pri", "|")).drop("inf"))
 
 
