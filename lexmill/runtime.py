@@ -57,17 +57,24 @@ def scratch(spark: SparkSession, name: str) -> Iterator[str]:
 
 
 _open: list[list[str]] = []
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
 def keeping(spark: SparkSession) -> Iterator[None]:
-    """What is ``materialized`` in the block is gone after it."""
+    """What is ``materialized`` in the block is gone after it, and shuffle files of the queries that run in it go as each query ends."""
     paths: list[str] = []
     _open.append(paths)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
     try:
         yield
     finally:
-        _open.remove(paths)
+        _open[:] = [p for p in _open if p is not paths]
+        if before is None:
+            spark.conf.unset(_CLEAN)
+        else:
+            spark.conf.set(_CLEAN, before)
         for path in paths:
             p, fs = _path(spark, path)
             fs.delete(p, True)
