@@ -619,12 +619,13 @@ def q60_rebuilt_dictionary(spark, sf_dir):
     even, n = F.col("doc_id") % 2 == 0, F.col("doc_id").cast("string")
     rows = tokens(spark, sf_dir).select(F.when(even, ARI).otherwise(NASI).alias("kind"), F.when(even, F.concat(F.lit("か"), n, F.lit("あk"))).otherwise(F.concat(F.lit("key"), n)).alias("key"), F.col("token").alias("surface"), "lang", F.col("pos").alias("position"))
     changed = rows.withColumn("surface", F.when(F.col("lang") == "fr", F.upper("surface")).otherwise(F.col("surface")))
-    judged = [materialized(export.judged_pairs(r.drop("lang"), cap=1 << 30)) for r in (rows, changed)]
-    with scratch(spark, "dictionary") as path:
+    with keeping(spark), scratch(spark, "dictionary") as path:
+        judged = [materialized(export.judged_candidates(r.drop("lang"), cap=1 << 30)) for r in (rows, changed)]
         export.write_dictionary(judged[0], path)
-        if not export.rebuilt(judged[0], path).isEmpty():
-            raise ValueError("the dictionary isn't what its candidates make")
-        return materialized(export.rebuilt(judged[1], path))
+        with keeping(spark):
+            if not export.rebuilt(judged[0], path).isEmpty():
+                raise ValueError("the dictionary isn't what its candidates make")
+        return materialized(export.rebuilt(judged[1], path), lasting=True)
 
 
 @query()
