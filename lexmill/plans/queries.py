@@ -53,6 +53,12 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "lang", F.posexplode(split).alias("pos", "token"))
 
 
+def first_tokens(spark: SparkSession, sf_dir: str, **by: Column) -> DataFrame:
+    """token, lang, ``by``, with the least rank and cost (by place in the corpus) of each: words come often, so that each task folds its own before anything is made of them."""
+    rank = F.col("doc_id") * 1000000 + F.col("pos")
+    return tokens(spark, sf_dir).groupBy("token", "lang", *(c.alias(k) for k, c in by.items())).agg(F.min(rank).alias("rank"), F.min(F.col("pos") % 500).alias("cost"))
+
+
 # Merging
 
 LEXICON = TOK + """
@@ -406,12 +412,12 @@ def named_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     pos, word = F.col("pos"), F.col("token")
     bare = F.regexp_replace(F.lower(word), "[aeiou]", "")
     key = F.when(bare != "", bare).otherwise(F.lower(word))
-    rows = tokens(spark, sf_dir).select(
-        key.alias("reading"), word.alias("surface"), F.when(F.col("doc_id") % 3 == 0, "jawiki").otherwise(F.coalesce(F.try_element_at(lang, F.col("lang")), F.lit("other"))).alias("source"),
-        F.lit(NASI).alias("kind"), F.lit(ALL).alias("scope"), (F.col("doc_id") * 1000000 + pos).alias("rank"), (pos % 500).alias("cost"), F.when(pos % 7 == 0, F.array(F.concat(F.lit("nf"), F.lpad((1 + pos % 48).cast("string"), 2, "0")))).alias("pri"),
+    rows = first_tokens(spark, sf_dir, third=F.col("doc_id") % 3 == 0, nf=F.when(pos % 7 == 0, 1 + pos % 48)).select(
+        key.alias("reading"), word.alias("surface"), F.when(F.col("third"), "jawiki").otherwise(F.coalesce(F.try_element_at(lang, F.col("lang")), F.lit("other"))).alias("source"),
+        F.lit(NASI).alias("kind"), F.lit(ALL).alias("scope"), "rank", "cost", F.when(F.col("nf").isNotNull(), F.array(F.concat(F.lit("nf"), F.lpad(F.col("nf").cast("string"), 2, "0")))).alias("pri"),
         F.lit("").alias("pos"), key.alias("original_reading"), F.lit(GIVEN).alias("confidence"), F.lit(None).cast("array<string>").alias("inf"),
     )
-    return merge.fold(rows, often=True)
+    return merge.fold(rows)
 
 
 def ordered(merged: DataFrame, ignored: tuple[str, ...] = ()) -> DataFrame:
