@@ -682,14 +682,14 @@ made AS (
 
 
 def ari_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pos, word, lang = F.col("pos"), F.col("token"), F.col("lang")
+    word, lang = F.col("token"), F.col("lang")
     source = F.when(lang == "en", "skk-l").when(lang == "de", "sudachi-small").when(lang == "fr", "jmdict").otherwise("jawiki")
-    rows = tokens(spark, sf_dir).select(
-        F.concat(F.lower(word), F.lit("k")).alias("reading"), F.concat(F.upper(F.substring(word, 1, 1)), F.when(pos % 2 == 0, lang).otherwise(word)).alias("surface"), source.alias("source"), F.lit(ARI).alias("kind"), F.lit(SKK_ONLY).alias("scope"),
-        (F.col("doc_id") * 1000000 + pos).alias("rank"), (pos % 500).alias("cost"), F.lit(None).cast("array<string>").alias("pri"), F.concat(F.lit("okuri-rule|v5k|"), F.lower(word), F.lit("|"), word).alias("pos"),
+    rows = first_tokens(spark, sf_dir, even=F.col("pos") % 2 == 0).select(
+        F.concat(F.lower(word), F.lit("k")).alias("reading"), F.concat(F.upper(F.substring(word, 1, 1)), F.when(F.col("even"), lang).otherwise(word)).alias("surface"), source.alias("source"), F.lit(ARI).alias("kind"), F.lit(SKK_ONLY).alias("scope"),
+        "rank", "cost", F.lit(None).cast("array<string>").alias("pri"), F.concat(F.lit("okuri-rule|v5k|"), F.lower(word), F.lit("|"), word).alias("pos"),
         F.lower(word).alias("original_reading"), F.when(lang.isin("de", "fr"), GENERATED).otherwise(GIVEN).alias("confidence"), F.lit(None).cast("array<string>").alias("inf"),
     )
-    return merge.fold(rows, often=True)
+    return merge.fold(rows)
 
 
 def ari_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -708,7 +708,12 @@ WITH {ARI_ROWS}, nasi AS (SELECT lower(token) AS key, token AS surface, min(doc_
 SELECT kind, key, surface, position::INT AS position FROM p UNION ALL SELECT 'ari', reading, surface, position::INT FROM ari_placed""")
 def q42_dictionary_order(spark, sf_dir):
     """Both sections of a dictionary, one behind the other."""
-    given = merge.fold(lexicon(spark, sf_dir).withColumn("kind", F.lit(NASI)).withColumn("scope", F.lit(ALL)).withColumn("source", F.lit("skk-l")), often=True)
+    word, none = F.col("token"), F.lit(None).cast("array<string>")
+    rows = first_tokens(spark, sf_dir).select(
+        F.lower(word).alias("reading"), word.alias("surface"), F.lit("skk-l").alias("source"), F.lit(NASI).alias("kind"), F.lit(ALL).alias("scope"), "rank", "cost", none.alias("pri"), F.lit("").alias("pos"),
+        F.lower(word).alias("original_reading"), F.lit(GIVEN).alias("confidence"), none.alias("inf"),
+    )
+    given = merge.fold(rows)
     return export.ranked_pairs(ari_positions(spark, sf_dir), rank.positions(rank.nasi_order(given, ["skk-l"])))
 
 
