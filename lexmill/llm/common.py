@@ -136,9 +136,18 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+#: Texts of 10,000 rows, Spark's measure of an Arrow batch, are tens of MB, that a worker holds as Arrow, as Python's values and as what it makes of them; so batches end after so many bytes, too.
+BATCH_BYTES = 1 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def mapped(df: DataFrame, f, schema) -> DataFrame:
-    """mapInArrow by a function that needs this package."""
-    ship(df.sparkSession)
+    """mapInArrow by a function that needs this package. From then on the session's Arrow batches are of BATCH_BYTES at most, and a row."""
+    spark = df.sparkSession
+    ship(spark)
+    now = spark.conf.get(_BATCH).lower().removesuffix("b")
+    if not now.isdecimal() or int(now) > BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     return df.mapInArrow(f, schema)
 
 

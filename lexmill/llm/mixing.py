@@ -182,7 +182,7 @@ def with_rates(state: DataFrame, found: Fit) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            p = np.array(b.column(b.schema.get_field_index("p")).to_pylist(), float).reshape(b.num_rows, -1)
+            p = np.array(b.column(b.schema.get_field_index("p")).to_pylist(), float).reshape(b.num_rows, len(found.targets))
             yield b.append_column("rate", pa.array(found.rates(p), pa.float64()))
 
     return mapped(state, run, StructType([*state.schema, StructField("rate", DoubleType())])).withColumn("copies", copies(F.col("rate")))
@@ -212,7 +212,7 @@ def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budge
 
     def run(batches):
         for b in batches:
-            p = np.array([model.posterior(t)[1] for t in b.column(at).to_pylist()], float).reshape(b.num_rows, -1)
+            p = np.array([model.posterior(t)[1] for t in b.column(at).to_pylist()], float).reshape(b.num_rows, len(domains))
             yield b.append_column(rate, pa.array(found.rates(p), pa.float64()))
 
     rated = mapped(docs, run, StructType([*docs.schema, StructField(rate, DoubleType())]))

@@ -132,7 +132,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: in
                 all_ids = ids.of(text or "") + end
                 for k in range(0, len(all_ids), size):
                     piece = all_ids[k : k + size]
-                    out.append((doc, k // size, k // 4, len(piece) // 4, zlib.crc32(piece), piece))
+                    out.append((doc, k // size, k // 4, len(piece) // 4, zlib.crc32(piece), piece if with_ids else None))
             cols = list(zip(*out)) if out else [()] * 6
             arrays = [pa.array(cols[0], b.schema.field("doc_id").type)] + [pa.array(c, pa.int64() if k else pa.int32()) for k, c in enumerate(cols[1:5])]
             yield pa.RecordBatch.from_arrays(arrays + [pa.array(cols[5], pa.binary())] * with_ids, ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)

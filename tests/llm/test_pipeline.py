@@ -2,6 +2,8 @@ import struct
 import zlib
 from collections import defaultdict
 
+import pyarrow as pa
+
 import corpus_pipeline
 from lexmill.llm import common, minhash, packing, quality, queries
 
@@ -70,3 +72,14 @@ def test_stages_on_odd_and_empty_rows(spark, odd):
 def test_every_operator_has_its_query():
     names = {k.split("_")[0] for k in queries.QUERIES}
     assert names == {f"op{n}" for n in range(1, 11)} and len(corpus_pipeline.STAGES) == 5 and set(queries.ORACLES) <= set(queries.QUERIES)
+
+
+def test_batches_of_long_texts_are_small(spark):
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('word ', 800) AS text")
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["rows", "size"])
+
+    got = common.mapped(docs, run, "rows long, size long").collect()
+    assert sum(r["rows"] for r in got) == 3000 and max(r["size"] for r in got) <= 2 * common.BATCH_BYTES
