@@ -1,6 +1,7 @@
 """Sources by format, as rows of PARSED, behind a checksum of their files.
 
-A catalog entry is a dict: id, format, path, and what the format needs (encoding); sha256 if the file is pinned.
+A catalog entry is a dict: id, format, path, and what the format needs (encoding); sha256 if the file is pinned; ranked, False where
+rows of workbooks need no numbers, which take a second reading.
 Further formats are added by ``register``.
 """
 
@@ -121,7 +122,9 @@ def _pairs(spark, source):
 @register("jmed")
 def _workbooks(spark, source):
     unread = F.trim("reading") == "-1"
-    return files.read_workbooks(spark, source["path"]).select("reading", "surface", F.col("book").alias("pos"), "rank", F.when(unread, "jmed_without_reading").alias("note"), (~unread).alias("given"))
+    rows = files.read_workbooks(spark, source["path"], ranked=source.get("ranked", True))
+    rank = ["rank"] if "rank" in rows.columns else []
+    return rows.select("reading", "surface", F.col("book").alias("pos"), *rank, F.when(unread, "jmed_without_reading").alias("note"), (~unread).alias("given"))
 
 
 def _all(source: dict, *frames: DataFrame) -> DataFrame:
