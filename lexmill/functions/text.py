@@ -108,17 +108,17 @@ def unescape_code_points(c: Column) -> Column:
     parts = F.split(F.regexp_replace(c, r"\\u(?:[0-9a-fA-F]{4}|\{[0-9a-fA-F]+\})", "\u0000$0\u0001"), "\u0000")
 
     def part(p: Column, k: Column) -> Column:
-        written = F.substring_index(p, "\u0001", 1)
-        hexed = F.ltrim(F.translate(written, "\\u{}", ""), F.lit("0"))
-        code = F.when(F.char_length(hexed) <= 6, F.conv(F.concat(F.lit("0"), hexed), 16, 10).cast("int"))
-        named = F.coalesce((code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF), F.lit(False))
-        # UTF-8 by hand, since chr() stops at one byte.
-        b = lambda shift, mask, mark: F.lpad(F.hex((F.shiftright(code, shift).bitwiseAND(mask)).bitwiseOR(mark)), 2, "0")
-        digits = (
-            F.when(code < 0x80, b(0, 0x7F, 0)).when(code < 0x800, F.concat(b(6, 0x1F, 0xC0), b(0, 0x3F, 0x80)))
-            .when(code < 0x10000, F.concat(b(12, 0x0F, 0xE0), b(6, 0x3F, 0x80), b(0, 0x3F, 0x80)))
-            .otherwise(F.concat(b(18, 0x07, 0xF0), b(12, 0x3F, 0x80), b(6, 0x3F, 0x80), b(0, 0x3F, 0x80)))
-        )
-        return F.when(k == 0, p).otherwise(F.concat(F.when(named, F.decode(F.unhex(digits), "UTF-8")).otherwise(written), F.substring_index(p, "\u0001", -1)))
+        return F.when(k == 0, p).otherwise(F.concat(F.get(F.transform(F.array(F.substring_index(p, "\u0001", 1)), named), F.lit(0)), F.substring_index(p, "\u0001", -1)))
+
+    def named(written: Column) -> Column:
+        # In a lambda nothing is shared, so that what is used often is an element of an array.
+        return F.get(F.transform(F.array(F.ltrim(F.translate(written, "\\u{}", ""), F.lit("0"))), lambda h: F.when(is_code(h), of_code(h)).otherwise(written)), F.lit(0))
+
+    def is_code(h: Column) -> Column:
+        n = F.char_length(h)
+        return F.when(n == 4, ~h.rlike("\\A[dD][89a-fA-F]")).when(n == 6, h.startswith("10")).otherwise(n < 6)
+
+    def of_code(h: Column) -> Column:  # chr() stops at one byte; the mark of byte order in front lets one behind it stand
+        return F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(h, 8, "0"))), "UTF-32")
 
     return F.when(~c.contains("\\u"), c).otherwise(F.array_join(F.transform(parts, part), ""))

@@ -1,7 +1,7 @@
 """Sources by format, as rows of PARSED, behind a checksum of their files.
 
 A catalog entry is a dict: id, format, path, and what the format needs (encoding); sha256 if the file is pinned; ranked, False where
-rows of workbooks need no numbers, which take a second reading.
+rows of workbooks and analyser dictionaries need no numbers: those of several workbooks take a second reading.
 Further formats are added by ``register``.
 """
 
@@ -133,11 +133,11 @@ def _all(source: dict, *frames: DataFrame) -> DataFrame:
 
 @register("sudachi")
 def _analyser(spark, source):
-    rows = files.read_analyser(spark, source["path"], keep=True)
+    rows = files.read_analyser(spark, source["path"], keep=True, ranked=source.get("ranked", True))
     for c in ("reading", "surface", "normalized"):
         rows = rows.withColumn(c, text.unescape_code_points(F.col(c)))
     inflected = (F.col("form") != "*") & ~F.col("form").startswith("終止形")
-    plain = rows.select("reading", "surface", "pos", F.when(inflected, SEARCH_ONLY).otherwise(ALL).alias("scope"), "cost", "rank")
+    plain = rows.select("reading", "surface", "pos", F.when(inflected, SEARCH_ONLY).otherwise(ALL).alias("scope"), "cost", *(["rank"] if "rank" in rows.columns else []))
     lemmas = rows.where((F.col("left_id") != -1) & F.col("part").isin("動詞", "形容詞") & (F.col("lemma") != "*") & F.col("conjugation").rlike(okuri.CONJUGATIONS) & ~F.col("conjugation").isin(*okuri.EXCLUDED_CLASSES))
     made, skipped = okuri.from_lemmas(lemmas.select("lemma", "conjugation", "form", "normalized", "surface", "reading", "cost"))
     made = ranked_behind(made.withColumn("note", F.lit("okuri_generated")), "reading", "surface")
