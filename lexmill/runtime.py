@@ -83,7 +83,7 @@ def keeping(spark: SparkSession) -> Iterator[None]:
 def materialized(df: DataFrame, lasting: bool = False) -> DataFrame:
     """``df`` computed once and read many times: a table in the shared folder that lasts as long as the block of ``keeping`` around it, or, if ``lasting``, the application; elsewhere a checkpoint there.
 
-    A checkpoint runs its last stage twice, and keeps rows as they lie in memory.
+    A checkpoint keeps rows as they lie in memory, and reads all columns of them.
     """
     spark = df.sparkSession
     folder = shared_dir(spark)
