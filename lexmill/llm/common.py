@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -141,14 +142,33 @@ BATCH_BYTES = 1 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+def release() -> None:
+    """Give the memory that a task has freed back to the system: a worker lives on, and its allocators would keep it."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc's
+        trim(0)
+
+
 def mapped(df: DataFrame, f, schema) -> DataFrame:
-    """mapInArrow by a function that needs this package. From then on the session's Arrow batches are of BATCH_BYTES at most, and a row."""
+    """mapInArrow by a function that needs this package. From then on the session's Arrow batches are of BATCH_BYTES at most, and a row.
+
+    What a task has freed goes back to the system as it ends.
+    """
+
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            release()
+
     spark = df.sparkSession
     ship(spark)
     now = spark.conf.get(_BATCH).lower().removesuffix("b")
     if not now.isdecimal() or int(now) > BATCH_BYTES:
         spark.conf.set(_BATCH, str(BATCH_BYTES))
-    return df.mapInArrow(f, schema)
+    return df.mapInArrow(run, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -83,3 +83,14 @@ def test_batches_of_long_texts_are_small(spark):
 
     got = common.mapped(docs, run, "rows long, size long").collect()
     assert sum(r["rows"] for r in got) == 3000 and max(r["size"] for r in got) <= 2 * common.BATCH_BYTES
+
+
+def test_a_task_gives_back_what_it_freed(spark, monkeypatch):
+    common.release()  # has to work here
+    freed, made = [], []
+    monkeypatch.setattr(common, "release", lambda: freed.append(1))
+    frame = type("Frame", (), {"sparkSession": spark, "mapInArrow": lambda self, f, schema: made.append(f)})()
+    common.mapped(frame, iter, "x long")
+    batches = made[0]([1, 2])
+    assert next(batches) == 1 and not freed
+    assert list(batches) == [2] and freed == [1]
