@@ -63,22 +63,23 @@ def _words(line) -> Column:
 
 def _set_of(line, levels: list[int]) -> Column:
     """The line's distinct words as longs, rarest first."""
-    table = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")  # folded to a constant
-    as_long = lambda w: F.shiftleft(table[F.xxhash64(w).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")], 57).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 7))
-    return F.sort_array(F.array_distinct(F.transform(_words(line), as_long)))
+    table = F.split(F.lit(",".join(str(k << 57) for k in levels)), ",").cast("array<bigint>")  # folded to a constant
+    # Lambdas are interpreted, so each has as few steps as can be. A set known to hold no nulls is sorted as plain longs.
+    as_long = lambda h: F.coalesce(table[h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")].bitwiseOR(F.shiftrightunsigned(h, 7)), F.lit(0).cast("long"))
+    return F.sort_array(F.array_distinct(F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), as_long)))
 
 
-def _flips(words, of: int = 0) -> Column:
-    """64 bits, each whether an odd number of words falls on it, of the words with all bits of ``of`` set."""
-    one = lambda w: (w.bitwiseAND(F.lit(of)) == of if of else F.lit(True)).cast("long")
-    return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", one(w), w.bitwiseAND(F.lit(63)).cast("int"))))
+def _flips(words) -> Column:
+    """64 bits, each whether an odd number of words falls on it."""
+    return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def _bits(words, size) -> list[Column]:
     """parity of all words; half, quarter and both of long sets: of words with bit 6, bit 7, and both. Sets that differ in n words differ in at most n bits of the cells these make."""
+    having = lambda words, bit: F.filter(words, lambda w: w.bitwiseAND(F.lit(bit)) > 0)
     return [
-        _flips(words).alias("parity"), F.when(size >= HALVED, _flips(words, 64)).alias("half"),
-        F.when(size >= QUARTERED, _flips(words, 128)).alias("quarter"), F.when(size >= QUARTERED, _flips(words, 192)).alias("both"),
+        _flips(words).alias("parity"), F.when(size >= HALVED, _flips(having(words, 64))).alias("half"),
+        F.when(size >= QUARTERED, _flips(having(words, 128))).alias("quarter"), F.when(size >= QUARTERED, _flips(having(having(words, 128), 64))).alias("both"),
     ]
 
 
@@ -144,7 +145,7 @@ def _can_link(num: int, den: int, differ: str) -> str:
     """Length, position and bits allow that the rows x and y of a bucket link."""
     both = "(x.size + y.size)"
     return (  # the cheap ones first
-        f"{den} * least(x.size, y.size) >= {num} * greatest(x.size, y.size) AND {num + den} * least(x.size - x.pos, y.size - y.pos) >= {num} * {both}"
+        f"{den} * x.size >= {num} * y.size AND {den} * y.size >= {num} * x.size AND {num + den} * least(x.size - x.pos, y.size - y.pos) >= {num} * {both}"
         f" AND {num + den} * ({both} - ({differ})) >= 2 * {num} * {both}"
     )
 

@@ -198,6 +198,15 @@ def test_line_plans_have_no_python(spark, odd):
         assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_sets_of_words_are_known_to_hold_no_nulls(spark):
+    """Else they are sorted as objects."""
+    lines = spark.createDataFrame([("b a  b",), (" ",)], "line string")
+    sets = lines.select(line_dedup._set_of(F.col("line"), [63] * line_dedup.BUCKETS).alias("words"))
+    assert not sets.schema["words"].dataType.containsNull
+    found = [r["words"] for r in sets.collect()]
+    assert [len(w) for w in found] == [2, 0] and found[0] == sorted(found[0]) and all(w >> 57 == 63 for w in found[0])
+
+
 def test_difference_bits_never_exceed_the_difference(spark):
     """Of sets of every width of bits: the bound holds, and is exact where few words differ."""
     r = random.Random(17)
