@@ -43,6 +43,9 @@ def cut(df: DataFrame) -> DataFrame:
 
 #: Spark then drops a query's shuffle files when the query ends, instead of when the driver happens to collect garbage.
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: The driver keeps a text of each query's plan, and makes it anew with each stage; tables that stand in a plan as values would make it one of MB.
+_PLAN_CHARS = "spark.sql.maxPlanStringLength"
+PLAN_CHARS = 100_000
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -59,15 +62,16 @@ class Tables:
     """Tables in the shared folder that live as long as a block: ``with Tables(spark) as keep: df = keep(df, name)``.
 
     Shuffle files of the queries that run in the block, but for checkpoints, go as each query ends, so disk is what is kept and one
-    query's shuffles. What isn't kept is planned anew where it is used again.
+    query's shuffles. What isn't kept is planned anew where it is used again. Texts of plans end after PLAN_CHARS.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, {}
 
     def __enter__(self) -> Tables:
-        self.before = self.spark.conf.get(_CLEAN, None)
+        self.before = {k: self.spark.conf.get(k, None) for k in (_CLEAN, _PLAN_CHARS)}
         self.spark.conf.set(_CLEAN, "true")
+        self.spark.conf.set(_PLAN_CHARS, str(PLAN_CHARS))
         return self
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
@@ -87,10 +91,11 @@ class Tables:
                 remove(self.spark, path)
 
     def __exit__(self, *_) -> None:
-        if self.before is None:
-            self.spark.conf.unset(_CLEAN)
-        else:
-            self.spark.conf.set(_CLEAN, self.before)
+        for k, v in self.before.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
         self.drop(*list(self.paths))
 
 

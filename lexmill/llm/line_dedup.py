@@ -63,9 +63,9 @@ def _words(line) -> Column:
 
 def _set_of(line, levels: list[int]) -> Column:
     """The line's distinct words as longs, rarest first."""
-    table = F.split(F.lit(",".join(str(k << 57) for k in levels)), ",").cast("array<bigint>")  # folded to a constant
+    table = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")  # folded to a constant, which plans print: hence levels, not what they are shifted to
     # Lambdas are interpreted, so each has as few steps as can be. A set known to hold no nulls is sorted as plain longs.
-    as_long = lambda h: F.coalesce(table[h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")].bitwiseOR(F.shiftrightunsigned(h, 7)), F.lit(0).cast("long"))
+    as_long = lambda h: F.coalesce(F.call_function("shiftleft", table[h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")], F.lit(57)).bitwiseOR(F.shiftrightunsigned(h, 7)), F.lit(0).cast("long"))
     return F.sort_array(F.array_distinct(F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), as_long)))
 
 

@@ -243,3 +243,18 @@ def test_long_lines_against_all_pairs(spark):
     sets = [frozenset(x) for x in lines]
     want = {k: int(any(s != t and 5 * len(s & t) >= 4 * len(s | t) for t in sets[:k])) for k, s in enumerate(sets)}
     assert got == want and 0 < sum(want.values()) < len(want)
+
+
+def test_the_driver_keeps_no_long_plans(spark, corpus):
+    """It has the text of each query's plan, where levels of rarity stood as 65,536 longs."""
+    sets = line_dedup._lines(line_dedup._rows(spark.range(1).selectExpr("id AS doc_id", "'a b' AS text"), "text", True)).select(line_dedup._set_of(F.col("line"), [63] * line_dedup.BUCKETS).alias("w"))
+    assert len(sets._jdf.queryExecution().executedPlan().toString()) < 300_000
+    docs = spark.createDataFrame(list(enumerate(corpus)), "doc_id long, text string")
+    store = spark._jsparkSession.sharedState().statusStore()
+    seen = store.executionsCount()
+    before = spark.conf.get("spark.sql.maxPlanStringLength")
+    assert line_dedup.remove_lines(docs).count()
+    assert spark.conf.get("spark.sql.maxPlanStringLength") == before
+    listed = store.executionsList(int(seen), 10_000)
+    sizes = [len(listed.apply(k).physicalPlanDescription()) for k in range(listed.size())]
+    assert sizes and max(sizes) < 150_000
