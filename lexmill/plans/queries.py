@@ -574,7 +574,8 @@ UNION ALL SELECT kind || '_readings', count(DISTINCT key) FROM d WHERE NOT (surf
 def q36_verdicts(spark, sf_dir):
     kind, k = F.when(F.col("doc_id") % 2 == 0, ARI).otherwise(NASI), F.floor(F.col("doc_id") / 10).cast("string")
     d = table(spark, sf_dir, "documents").select(kind.alias("kind"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("か"), k, F.lit("あk"))).otherwise(F.concat(F.lit("key"), k)).alias("key"), "doc_id", F.posexplode(F.split("text", r"[ \n]+")).alias("i", "surface"))
-    return export.verdict_counts(export.judged_candidates(d.select("kind", "key", "surface", (F.col("doc_id") * 1_000_000 + F.col("i")).alias("position")), cap=1 << 30))
+    with keeping(spark):
+        return materialized(export.candidate_counts(d.select("kind", "key", "surface", (F.col("doc_id") * 1_000_000 + F.col("i")).alias("position")), cap=1 << 30), lasting=True)
 
 
 @query("SELECT doc_id, sha256(text) AS sha256 FROM documents")
