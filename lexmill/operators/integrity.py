@@ -52,13 +52,25 @@ def fingerprints(rows: DataFrame, key: str, buckets: int = 256) -> DataFrame:
     return rows.groupBy(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")).agg(F.count("*").alias("n"), total().alias("h1"), total(F.lit(1)).alias("h2"))
 
 
+def _free(df: DataFrame, name: str) -> str:
+    """The name, changed if ``df`` has a column of it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def changed_rows(one: DataFrame, two: DataFrame, key: str, buckets: int = 256) -> DataFrame:
     """Rows with side (one or two) that the other side lacks, counted as often as they come. Only buckets whose fingerprints differ are compared row by row."""
     own = [fingerprints(df, key, buckets).select("bucket", F.struct("n", "h1", "h2").alias(name)) for df, name in ((one, "a"), (two, "b"))]
     unlike = own[0].join(own[1], "bucket", "full").where(~F.col("a").eqNullSafe(F.col("b"))).select("bucket")
     found = [r["bucket"] for r in unlike.collect()]  # at most as many as there are buckets
-    some = [df.select(*sorted(one.columns)).where(F.pmod(F.xxhash64(key), F.lit(buckets)).isin(found)) for df in (one, two)]
-    return some[0].exceptAll(some[1]).withColumn("side", F.lit("one")).unionByName(some[1].exceptAll(some[0]).withColumn("side", F.lit("two")))
+    columns = sorted(one.columns)
+    more, side = (_free(one, name) for name in ("more", "side_of"))
+    some = [df.select(*columns, F.lit(n).cast("long").alias(more)).where(F.pmod(F.xxhash64(key), F.lit(buckets)).isin(found)) for df, n in ((one, 1), (two, -1))]
+    # Both ways at once: each side is read and moved once.
+    left = some[0].unionByName(some[1]).groupBy(*columns).agg(F.sum(more).alias(more)).where(F.col(more) != 0)
+    told = left.withColumn(side, F.when(F.col(more) > 0, "one").otherwise("two"))
+    return told.select(*columns, F.col(side).alias("side"), F.explode(F.sequence(F.lit(1).cast("long"), F.abs(more))).alias(more)).drop(more)
 
 
 def listing(spark: SparkSession, checksums: dict[str, str]) -> DataFrame:
