@@ -1,0 +1,30 @@
+import os
+
+import pytest
+
+from lexmill.plans import queries
+from lexmill.runtime import shared_dir
+from lexmill.sources import files
+
+
+@pytest.mark.parametrize("name", ["q41_xml_files", "q55_xml_parts"])
+def test_files_of_a_round_are_gone_before_the_next(spark, tmp_path, monkeypatch, name):
+    docs = [(k, None if k % 50 == 7 else f"word{'abc'[k % 3]} some Text of {'xyz'[k % 3] * 9}") for k in range(0, 6000, 10)] + [(None, "no id")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    folder, held, kept = shared_dir(spark).removeprefix("file:"), [], []
+    real = files.read_xml
+
+    def read(spark, path, *args, **more):
+        top = path.removesuffix("/*").removeprefix("file:")
+        held.append(sum(os.path.getsize(os.path.join(d, f)) for x in os.listdir(folder) if x.startswith("xml-") for d, _, names in os.walk(os.path.join(folder, x)) for f in names))
+        assert os.path.isdir(top)
+        found = real(spark, path, *args, **more)
+        kept.append([x for x in found.columns if x in ("path", "rank")])
+        return found
+
+    monkeypatch.setattr(files, "read_xml", read)
+    want = sorted(map(str, queries.QUERIES[name](spark, str(tmp_path)).collect()))
+    assert len(held) == 1 and not any(kept)  # nothing is numbered, so no rows are kept for it
+    monkeypatch.setattr(queries, "ROUND", 2000)
+    assert sorted(map(str, queries.QUERIES[name](spark, str(tmp_path)).collect())) == want and want
+    assert len(held) > 5 and max(held[1:]) < held[0] / 3
